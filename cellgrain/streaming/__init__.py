@@ -1,0 +1 @@
+"""The inventory has no streaming operator, so none is built; the operators that neither sort nor rank work on streams."""
