@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cellgrain.plans import expression, labels, vectors  # noqa: F401
+from cellgrain.plans import expression, fits, labels, logs, vectors  # noqa: F401
 from cellgrain.plans.registry import QUERIES, SQL, Query
 
 
