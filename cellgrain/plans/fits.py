@@ -32,7 +32,7 @@ def ingest_samples(s, d):
     bars, feats = listed("c", F.concat(F.lit("bc"), "cell_id")), listed("g", F.concat_ws("\t", F.concat(F.lit("ENS"), "gene_id"), F.concat(F.lit("G"), "gene_id")))
     for name, df in (("matrix", entries.unionByName(size)), ("barcodes", bars), ("features", feats)):
         df.write.partitionBy("sample_id").text(f"{here}/{name}")
-    read = lambda name, whole: s.read.option("wholetext", whole).text(f"{here}/{name}").select(F.col("sample_id").cast("string"), "value")
+    read = lambda name, whole: s.read.text(f"{here}/{name}", wholetext=whole).select(F.col("sample_id").cast("string"), "value")
     return ingest.assemble(read("matrix", False), read("barcodes", True), read("features", True))
 
 

@@ -40,7 +40,7 @@ def assemble(matrix: DataFrame, barcodes: DataFrame, features: DataFrame) -> Dat
 def triplets(spark: SparkSession, path: str) -> DataFrame:
     """assemble() of folders by sample with matrix.mtx, features.tsv and barcodes.tsv, packed or not."""
     sample = F.element_at(F.split(F.input_file_name(), "/"), -2).alias("sample_id")
-    files = lambda name, whole: spark.read.option("wholetext", whole).option("recursiveFileLookup", True).option("pathGlobFilter", name).text(path).select(sample, "value")
+    files = lambda name, whole: spark.read.text(path, wholetext=whole, recursiveFileLookup=True, pathGlobFilter=name).select(sample, "value")
     return assemble(files("matrix.mtx*", False), files("barcodes.tsv*", True), files("features.tsv*", True))
 
 
