@@ -217,7 +217,7 @@ def sql() -> str:
         r"""d AS MATERIALIZED (SELECT row_number() OVER () AS row_id, doc_id, coalesce('=' || lang, '-') AS of_lang, coalesce('=' || lang, '-') || '|' || coalesce('=' || source, '-') AS both_of,
   coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents)""",
         "g AS (SELECT row_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT row_id, w, unnest(range(1, len(w) - 1)) AS i FROM d))",
-        "rep AS (SELECT row_id, count(DISTINCT at) AS n FROM (SELECT row_id, unnest([i, i + 1, i + 2]) AS at FROM (SELECT *, count(*) OVER (PARTITION BY row_id, g) AS c FROM g) WHERE c > 1) GROUP BY row_id)",
+        "rep AS (SELECT row_id, count(DISTINCT pos) AS n FROM (SELECT row_id, unnest([i, i + 1, i + 2]) AS pos FROM (SELECT *, count(*) OVER (PARTITION BY row_id, g) AS c FROM g) WHERE c > 1) GROUP BY row_id)",
         "b AS MATERIALIZED (SELECT doc_id, of_lang, both_of, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words FROM d LEFT JOIN rep USING (row_id))",
         f"z AS MATERIALIZED (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, round(ln(greatest(word_chars, 1) / greatest(n_words, 1)), 6) AS z1, round(sqrt(n_symbols / greatest(n_words, 1)), 6) AS z2, round(asin(sqrt(n_dup_lines / greatest(n_lines, 1))), 6) AS z3, round(asin(sqrt(n_repeat_words / greatest(n_words, 1))), 6) AS z4 FROM b)",
         f"f AS MATERIALIZED (SELECT *, CASE WHEN count(*) OVER (PARTITION BY both_of) >= {MIN_GROUP} THEN both_of WHEN count(*) OVER (PARTITION BY of_lang) >= {MIN_GROUP} THEN of_lang ELSE '*' END AS grp FROM z WHERE NOT base_failed)",
