@@ -21,23 +21,32 @@ def patients(cells: DataFrame, patient: str, stratum: str | None = None) -> Data
     return who
 
 
-def ranked(who: DataFrame, patient: str, seed: int) -> DataFrame:
-    w = Window.partitionBy("_s")
-    order = hash_rank(patient, seed=seed)
-    return who.withColumn("_n", F.count("*").over(w)).withColumn("k", F.row_number().over(w.orderBy(order, patient)))
+def shuffled_rank(df: DataFrame, by: str, key: str, seed: int = 42) -> DataFrame:
+    """Adds ``k``, the row's rank (from 1) in the shuffled order of its class, and ``_n``, the class's rows.
+
+    Ranks come from an exact two-level count: rows of a class are dealt over buckets by the first digits of their digest, ranked inside
+    of a bucket, and counts of the buckets before are added; so a class of any size is ranked in many tasks."""
+    rows = df.withColumn("_h", hash_rank(key, seed=seed)).withColumn("_b", F.substring("_h", 1, 3))
+    counts = rows.groupBy(by, "_b").agg(F.count("*").alias("_c"))
+    w = Window.partitionBy(by)
+    before = F.coalesce(F.sum("_c").over(w.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sides = counts.select(F.col(by).alias("_by"), "_b", before.alias("_before"), F.sum("_c").over(w).alias("_n"))
+    local = rows.withColumn("_k", F.row_number().over(Window.partitionBy(by, "_b").orderBy("_h", key)))
+    joined = local.join(sides, (local[by].eqNullSafe(sides["_by"])) & (local["_b"] == sides["_b"])).drop(sides["_b"])
+    return joined.withColumn("k", F.col("_k") + F.col("_before")).drop("_h", "_b", "_by", "_k", "_before")
 
 
 def patient_split(cells: DataFrame, patient: str, test_size: float = 0.2, stratum: str | None = None, seed: int = 42) -> DataFrame:
     """Adds ``is_test``: all cells of max(1, ceil(n * test_size)) patients (of each stratum) are. Cells without a
     patient are in neither part."""
-    who = ranked(patients(cells, patient, stratum), patient, seed)
+    who = shuffled_rank(patients(cells, patient, stratum), "_s", patient, seed)
     flag = F.col("k") <= F.greatest(F.lit(1), F.ceil(F.col("_n") * test_size))
     return cells.join(who.select(patient, flag.alias("is_test")), patient)
 
 
 def patient_folds(cells: DataFrame, patient: str, folds: int = 5, stratum: str | None = None, seed: int = 42) -> DataFrame:
     """patient, fold: from 0; no more folds than patients."""
-    who = ranked(patients(cells, patient, stratum), patient, seed)
+    who = shuffled_rank(patients(cells, patient, stratum), "_s", patient, seed)
     total = who.agg(F.least(F.count("*"), F.lit(folds)).alias("_f"))
     return who.crossJoin(F.broadcast(total)).select(patient, F.pmod(F.col("k") - 1, F.col("_f")).cast("int").alias("fold"))
 
@@ -66,21 +75,11 @@ def fold_overlap(folds: DataFrame, patient: str = "patient_id") -> DataFrame:
 
 
 def stratified(df: DataFrame, label: str, key: str, parts: int | None = None, test_size: float = 0.2, seed: int = 42) -> DataFrame:
-    """Adds ``fold`` (0 to parts - 1), or ``is_test``, dealt evenly inside of each label.
-
-    Ranks come from an exact two-level count: rows of a label are dealt over buckets by their digest, ranked inside of
-    a bucket, and counts of the buckets before are added; so a label of any size is ranked in many tasks."""
-    order = hash_rank(key, seed=seed)
-    rows = df.withColumn("_h", order).withColumn("_b", F.substring("_h", 1, 2))
-    counts = rows.groupBy(label, "_b").agg(F.count("*").alias("_c"))
-    w = Window.partitionBy(label)
-    before = F.coalesce(F.sum("_c").over(w.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    sides = counts.select(label, "_b", before.alias("_before"), F.sum("_c").over(w).alias("_n"))
-    k = F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h", key))
-    out = rows.withColumn("_k", k).join(sides, [label, "_b"]).withColumn("_k", F.col("_k") + F.col("_before"))
+    """Adds ``fold`` (0 to parts - 1), or ``is_test``, dealt evenly inside of each label."""
+    out = shuffled_rank(df, label, key, seed)
     if parts:
-        return out.withColumn("fold", F.pmod(F.col("_k") - 1, F.lit(parts)).cast("int")).drop("_h", "_b", "_k", "_before", "_n")
-    return out.withColumn("is_test", F.col("_k") <= F.ceil(F.col("_n") * test_size)).drop("_h", "_b", "_k", "_before", "_n")
+        return out.withColumn("fold", F.pmod(F.col("k") - 1, F.lit(parts)).cast("int")).drop("k", "_n")
+    return out.withColumn("is_test", F.col("k") <= F.ceil(F.col("_n") * test_size)).drop("k", "_n")
 
 
 def fit_on_train(stages: list, train: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame]:
