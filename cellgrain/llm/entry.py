@@ -37,4 +37,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mcd_outliers": mcd.sql(), "op6_url_bloom_filter": urlbloom.sql(), "op8_warc_archives": warc.SQL}
+    return {"op2_mcd_outliers": mcd.sql(), "op4_prefix_shards": shards.sql(), "op6_url_bloom_filter": urlbloom.sql(), "op8_warc_archives": warc.SQL}

@@ -30,3 +30,27 @@ def shard_documents(docs: DataFrame, shards: int = 24) -> DataFrame:
     rows = docs.select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.monotonically_increasing_id().alias("_row"))
     out = contiguous_shards(rows, ["doc_id", "text_crc32", "_row"], "size", shards)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of a text as DuckDB SQL: bytes from hexadecimal digits, reduced four bits at a time. The table follows from the
+    polynomial."""
+
+    def entry(n: int) -> int:
+        for _ in range(4):
+            n = n >> 1 ^ (0xEDB88320 if n & 1 else 0)
+        return n
+
+    table = str([entry(n) for n in range(16)])
+    nibble = lambda a, b: f"xor(({a}) >> 4, {table}[(xor({a}, {b}) & 15) + 1])"
+    digits = f"list_transform(string_split(hex({text}), ''), lambda c: CAST(instr('0123456789ABCDEF', c) - 1 AS BIGINT))"
+    data = f"list_transform(list_zip({digits}[1:-1:2], {digits}[2:-1:2]), lambda z: z[1] * 16 + z[2])"
+    return f"xor(CASE WHEN {text} = '' THEN 4294967295 ELSE list_reduce({data}, lambda a, b: {nibble(nibble('a', 'b'), '(b >> 4)')}, 4294967295) END, 4294967295)"
+
+
+def sql(shards: int = 24) -> str:
+    return f"""WITH d AS (SELECT doc_id, CAST(strlen(coalesce(text, '')) + 8 AS BIGINT) AS size, coalesce(text, '') AS text FROM documents),
+c AS (SELECT doc_id, size, {crc32_sql('text')} AS text_crc32 FROM d),
+r AS (SELECT *, sum(size) OVER w - size AS before, row_number() OVER w AS k FROM c WINDOW w AS (ORDER BY doc_id NULLS FIRST, text_crc32 ROWS UNBOUNDED PRECEDING)),
+s AS (SELECT *, CAST(least({shards - 1}, before * {shards} // (SELECT sum(size) FROM c)) AS INTEGER) AS shard FROM r)
+SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'bytes' AS law, shard, k - min(k) OVER (PARTITION BY shard) AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM s"""
