@@ -71,3 +71,37 @@ def test_storage(spark):
 def test_remaining_queries_run(spark):
     for name in ("marker_score", "bootstrap_intervals", "pairwise_better", "evaluate_all", "graph_communities", "pca_embed", "silhouette_fast", "transfer_score", "fingerprint", "preprocess_pipeline", "harmony_correct"):
         assert Q[name](spark, SF).count() > 0
+
+
+def test_text_sinks(spark, tmp_path):
+    from cellgrain.sources import layers
+
+    df = spark.range(5).withColumn("x", F.col("id") / 2)
+    for kind in ("csv", "json"):
+        layers.write_text(df, str(tmp_path / kind), kind)
+        back = spark.read.option("header", True).option("inferSchema", True)
+        assert (back.csv if kind == "csv" else back.json)(str(tmp_path / kind)).count() == 5
+    with pytest.raises(ValueError):
+        layers.write_text(df, str(tmp_path / "x"), "xml")
+    with pytest.raises(ValueError):
+        layers.write({"expr": df}, str(tmp_path), "nope", "a")
+
+
+def test_triplet_folders(spark, tmp_path):
+    from cellgrain.sources import ingest
+
+    for s in ("A", "B"):
+        (tmp_path / s).mkdir()
+        (tmp_path / s / "matrix.mtx").write_text("%%MatrixMarket\n%\n3 2 3\n1 1 5\n2 2 1\n3 2 7\n")
+        (tmp_path / s / "barcodes.tsv").write_text("AAA\nCCC\n")
+        (tmp_path / s / "features.tsv").write_text("E1\tG\nE2\tH\nE3\tG\n")
+    got = sorted((r["cell_id"], r["gene_id"], r["value"]) for r in ingest.triplets(spark, str(tmp_path)).collect())
+    assert got == [(f"{s}_{b}", g, v) for s in "AB" for b, g, v in (("AAA", "G", 5.0), ("CCC", "G-1", 7.0), ("CCC", "H", 1.0))]
+
+
+def test_clinical_table_without_common_names(spark):
+    from cellgrain.sources import ingest
+
+    cells = spark.createDataFrame([("a",)], "sample_id string")
+    assert ingest.attach_clinical(cells, spark.createDataFrame([("z", 1)], "sample_id string, age int")).columns == ["sample_id"]
+    assert ingest.attach_clinical(cells, spark.createDataFrame([("a", 1)], "sample_id string, age int")).first()["age"] == 1
