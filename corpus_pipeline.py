@@ -24,7 +24,7 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that pass the base rules and lie inside of their group's ellipsoid. Only hashes of rejected rows meet the
     texts again; equal rows have equal verdicts."""
-    keys = {"_k1": F.xxhash64("doc_id", "lang", "source", "text"), "_k2": F.hash("text", "source", "lang", "doc_id")}
+    keys = {"_row_key_1": F.xxhash64("doc_id", "lang", "source", "text"), "_row_key_2": F.hash("text", "source", "lang", "doc_id")}
     keyed = docs.withColumns(keys)
     gone = mcd.judge(keyed, [*keys]).where("not kept").select(*keys).distinct()
     return lookup_join(keyed, gone, [*keys], F.monotonically_increasing_id(), "left_anti").select(docs.columns)

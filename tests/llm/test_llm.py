@@ -449,3 +449,25 @@ def test_pipeline_brute_force(spark, docs, texts, tmp_path):
         got[r["doc_id"]] += r["length"]
     assert dict(got) == {i: len(e.ids(texts[i], 1)) for i in set(roots.values())}
     assert sorted(corpus_pipeline.run(spark, SF).collect(), key=str) == sorted(last.collect(), key=str)
+
+
+def test_pipeline_stages_take_odd_rows_and_empty_tables(spark, odd):
+    import corpus_pipeline
+
+    for docs in (odd, odd.limit(0)):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, SF)
+            n = out.count()
+            if name == "packing":
+                assert (n > 0) == (docs is odd)
+            else:
+                assert out.columns == docs.columns and n <= 8 and (docs is odd or n == 0)
+    # A null id stays, and the copies of one text leave one.
+    kept = [r["doc_id"] for r in corpus_pipeline.copies(spark, odd, SF).collect()]
+    assert None in kept and 5 not in kept and kept.count(4) == 2
+
+
+def test_url_and_archive_operators_take_clashing_columns(spark):
+    pages = spark.createDataFrame([(1, "http://a.com/x", "h" * 1200), (2, "http://a.com/x", "h" * 1200), (None, None, None)], "page_id long, url string, html string")
+    clash = pages.withColumns({c: F.lit(1) for c in ("host", "path", "rule", "verdict", "listed", "canonical_url", "_block", "payload", "refers_to", "content", "archive")})
+    assert urlbloom.url_verdicts(clash).count() == 3 and warc.archived_pages(clash).count() == 3
