@@ -86,7 +86,9 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, label: str = "quality
     # `rows` ids of each class, by construction: small enough to broadcast.
     picked = known.where("_y = 0").orderBy(order, "doc_id").limit(rows).unionByName(known.where("_y = 1").orderBy(order, "doc_id").limit(rows))
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.octet_length("text") <= SAMPLE_TEXT_BYTES)
-    sample = sorted(((r["doc_id"], r["_y"], r["text"].encode()) for r in texts.join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id", "text"]).collect()), key=lambda r: (r[0], r[2]))
+    # Ids may repeat: two texts for each picked label at most, by hash again.
+    few = texts.join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id", "text"]).orderBy(order, "doc_id", F.xxhash64("text")).limit(4 * rows)
+    sample = sorted(((r["doc_id"], r["_y"], r["text"].encode()) for r in few.collect()), key=lambda r: (r[0], r[2]))
     of = {y: [t for _, k, t in sample if k == y] for y in (0, 1)}
     if not of[0] or not of[1]:
         return None
