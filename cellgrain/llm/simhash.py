@@ -82,9 +82,8 @@ def forest(a: np.ndarray, b: np.ndarray, same: bool, radius: int) -> Iterator[tu
     pop_a, pop_b = (np.bitwise_count(x).sum(axis=1, dtype=np.int64) for x in (a, b))
     offset = 0 if same else len(a)
     label = np.arange(offset + len(b))
-    first_b = np.ascontiguousarray(b[:, 0])
-    # A first word alone is a coarse filter: with k words a link has at most `radius` in any of them.
-    most = radius if a.shape[1] == 1 else min(radius, 24)
+    words = a.shape[1]
+    of_b = [np.ascontiguousarray(b[:, w]) for w in range(words)]
     for i in range(0, len(a), ROWS):
         rows = a[i : i + ROWS]
         low = np.searchsorted(pop_b, pop_a[i] - radius, "left")
@@ -93,12 +92,16 @@ def forest(a: np.ndarray, b: np.ndarray, same: bool, radius: int) -> Iterator[tu
             low = max(low, i)
         for at in range(low, high, 8192):
             to = min(at + 8192, high)
-            r, c = np.nonzero(np.bitwise_count(rows[:, :1] ^ first_b[None, at:to]) <= most)
+            # Of the words of a link one at least has no more than its share of the radius.
+            few = np.bitwise_count(rows[:, :1] ^ of_b[0][None, at:to]) <= radius // words
+            for w in range(1, words):
+                few |= np.bitwise_count(rows[:, w : w + 1] ^ of_b[w][None, at:to]) <= radius // words
+            r, c = np.nonzero(few)
             if same:
                 r, c = r[at + c > i + r], c[at + c > i + r]
             if not len(r):
                 continue
-            if a.shape[1] > 1:
+            if words > 1:
                 near = np.bitwise_count(rows[r] ^ b[at + c]).sum(axis=1, dtype=np.int64) <= radius
                 r, c = r[near], c[near]
             for k in np.unique(r):

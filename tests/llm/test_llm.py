@@ -326,6 +326,13 @@ def test_forest_joins_what_all_pairs_join():
     assert len(set(got.values())) == len(set(want.values()))
 
 
+def test_forest_has_links_whose_first_words_differ_most():
+    a = np.zeros((1, 4), np.uint64)
+    b = a.copy()
+    b[0, 0] = (1 << 40) - 1
+    assert len(list(simhash.forest(a, b, False, 44))) == 1 and not list(simhash.forest(a, b, False, 39))
+
+
 def components_of_edges(root: dict, edges: list) -> dict:
     def find(i):
         while root[i] != i:
