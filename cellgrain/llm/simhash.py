@@ -8,6 +8,12 @@ components of all forests are those of all links. They are found by rounds of st
 
 All pairs of unskipped tiles are compared, so the work grows with the square of the number of distinct fingerprints.
 
+With a ``similarity`` the fingerprints only search candidates, at a wide radius. A pair of tiles reports the members of
+each of its components, and every true link lies inside one of these. Their shingle sets are laid out by component and
+cut into blocks of BLOCK shingles; pairs of blocks that share a component compare the sets themselves, and only pairs
+whose exact Jaccard index (of 64-bit shingle hashes) reaches the similarity enter the forest, so a false link neither
+joins texts nor hides a true one.
+
 Cases: a null text is empty; a text without words has fingerprint zero and is linked like any other; fewer words than
 a shingle give one shingle; repeated rows share a fingerprint and a component; a null id is never a component's name
 while there is another (null if not); extra columns are left out; an empty table gives an empty one.
@@ -15,20 +21,22 @@ while there is another (null if not); extra columns are left out; an empty table
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from cellgrain.llm.common import cut, lookup_join, prefix_sums
+from cellgrain.llm.common import cut, lookup_join, prefix_sums, table
 from cellgrain.llm.media import pieces
 
 SHINGLE, SEED, RADIUS, TILE, ROWS = 3, 42, 2, 32_768, 64
-#: Of the pipeline's stage: shingles of five words and a similarity of 0.8. Sets of that similarity have a cosine of
-#: 0.89, so 15 % of the bits differ; 256 bits and the radius leave room for one standard deviation.
-STAGE_SHINGLE, STAGE_BITS, STAGE_RADIUS = 5, 256, 44
+#: Of the pipeline's stage: shingles of five words and an exact similarity of 0.8. Sets of that similarity have a cosine
+#: of 0.89, so 15 % of the bits differ (39 of 256, standard deviation 6); the radius leaves room for over four deviations.
+STAGE_SHINGLE, STAGE_BITS, STAGE_RADIUS, STAGE_SIMILARITY = 5, 256, 64, 0.8
+#: Shingles in a block of the exact comparison (8 bytes each), and sets compared with one set at a time.
+BLOCK, CHECKED = 1 << 19, 64
 
 
 def shingle_hashes(text: str, size: int, seed: int = SEED) -> np.ndarray:
@@ -71,14 +79,57 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, bits: int = 64) -> Dat
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, fp binary")
 
 
-def words_of(fps: list[bytes]) -> np.ndarray:
-    """Rows of 64-bit words, ordered by population count."""
+def shingle_sets(docs: DataFrame, shingle: int, bits: int) -> DataFrame:
+    """doc_id, fp and hs of every text: its distinct shingle hashes in order, and its fingerprint followed by their
+    16-byte digest, so that only equal sets share an fp."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in pieces(whole, "text", 4 << 20):
+                hashes = [shingle_hashes(t.as_py() or "", shingle) for t in b.column("text")]
+                sets = [np.unique(h).tobytes() for h in hashes]
+                fps = [fingerprint(h, bits) + xxhash.xxh3_128_digest(x) for h, x in zip(hashes, sets, strict=True)]
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps, pa.binary()), pa.array(sets, pa.binary())], names=["doc_id", "fp", "hs"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, fp binary, hs binary")
+
+
+def order_of(fps: list[bytes], words: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of 64-bit words, and their order by the population count of the first ``words``."""
     x = np.frombuffer(b"".join(fps), np.uint64).reshape(len(fps), -1)
-    return x[np.argsort(np.bitwise_count(x).sum(axis=1, dtype=np.int64), kind="stable")]
+    return x, np.argsort(np.bitwise_count(x[:, :words]).sum(axis=1, dtype=np.int64), kind="stable")
 
 
-def forest(a: np.ndarray, b: np.ndarray, same: bool, radius: int) -> Iterator[tuple[bytes, bytes]]:
-    """A spanning forest of the links between two tiles, or within one."""
+def words_of(fps: list[bytes], words: int | None = None) -> np.ndarray:
+    """Rows of 64-bit words, ordered by population count."""
+    x, order = order_of(fps, words)
+    return x[order]
+
+
+def similar(sets_a: list[np.ndarray], sets_b: list[np.ndarray], similarity: float) -> Callable[[int, np.ndarray], np.ndarray]:
+    """A check for forest(): which sets of the second list reach the Jaccard index with one of the first."""
+    sizes = np.array([len(x) for x in sets_b])
+
+    def check(i: int, js: np.ndarray) -> np.ndarray:
+        mine = sets_a[i]
+        out = np.minimum(sizes[js], len(mine)) >= similarity * np.maximum(sizes[js], len(mine))
+        if not out.any() or not len(mine):
+            return out
+        js = js[out]
+        theirs = np.concatenate([sets_b[j] for j in js])
+        found = mine[np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)] == theirs
+        both = np.add.reduceat(found, np.cumsum(sizes[js]) - sizes[js], dtype=np.int64)
+        out[out] = both / (sizes[js] + len(mine) - both) >= similarity
+        return out
+
+    return check
+
+
+def forest(a: np.ndarray, b: np.ndarray, same: bool, radius: int, words: int | None = None, check: Callable[[int, np.ndarray], np.ndarray] | None = None) -> Iterator[tuple[bytes, bytes]]:
+    """A spanning forest of the links between two tiles, or within one. Only the first ``words`` are compared; with a
+    ``check`` of a row of ``a`` and some of ``b``, only pairs that pass it are links."""
+    keys_a, keys_b = a, b
+    a, b = a[:, :words], b[:, :words]
     pop_a, pop_b = (np.bitwise_count(x).sum(axis=1, dtype=np.int64) for x in (a, b))
     offset = 0 if same else len(a)
     label = np.arange(offset + len(b))
@@ -107,12 +158,31 @@ def forest(a: np.ndarray, b: np.ndarray, same: bool, radius: int) -> Iterator[tu
             for k in np.unique(r):
                 mine, hits = i + k, at + c[r == k]
                 while len(hits := hits[label[offset + hits] != label[mine]]):
-                    yield a[mine].tobytes(), b[hits[0]].tobytes()
-                    label[label == label[offset + hits[0]]] = label[mine]
+                    part, hits = (hits[:1], hits) if check is None else (hits[:CHECKED], hits[CHECKED:])
+                    for hit in part if check is None else part[check(mine, part)]:
+                        if label[offset + hit] != label[mine]:
+                            yield keys_a[mine].tobytes(), keys_b[hit].tobytes()
+                            label[label == label[offset + hit]] = label[mine]
+
+
+def members(edges: list[tuple[bytes, bytes]], name: bytes) -> list[tuple[bytes, bytes]]:
+    """Every vertex of a forest with ``name`` and a vertex of its tree."""
+    root: dict[bytes, bytes] = {}
+
+    def find(v: bytes) -> bytes:
+        while root.setdefault(v, v) != v:
+            root[v] = root[root[v]]
+            v = root[v]
+        return v
+
+    for a, b in edges:
+        root[find(a)] = find(b)
+    return [(v, name + find(v)) for v in list(root)]
 
 
-def links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """a, b: a spanning forest, per pair of tiles, of the distinct fingerprints at most ``radius`` bits apart."""
+def links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE, words: int | None = None, grouped: bool = False) -> DataFrame:
+    """a, b: a spanning forest, per pair of tiles, of the distinct fingerprints at most ``radius`` bits apart in their
+    first ``words`` of 64 bits. If ``grouped``, a is a member and b the name of a tree of it instead."""
     ranked, _ = prefix_sums(fps.select("pop", "fp", F.lit(1).cast("long").alias("one")), ["pop", "fp"], "one", "at")
     tiles = cut(ranked.withColumn("tile", F.expr(f"at div {tile}")).groupBy("tile").agg(F.min("pop").alias("low"), F.max("pop").alias("high"), F.collect_list("fp").alias("fps")))
     # Ranks follow population counts: tile y comes into x's reach if its lowest count is in [x.low, x.high + radius].
@@ -124,15 +194,50 @@ def links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for x, y, fx, fy in zip(*(batch.column(k) for k in ("x", "y", "fx", "fy")), strict=True):
-                a = words_of(fx.as_py())
-                b = a if x.as_py() == y.as_py() else words_of(fy.as_py())
-                found = list(forest(a, b, x.as_py() == y.as_py(), radius))
+                a = words_of(fx.as_py(), words)
+                b = a if x.as_py() == y.as_py() else words_of(fy.as_py(), words)
+                found = list(forest(a, b, x.as_py() == y.as_py(), radius, words))
+                if grouped:
+                    found = members(found, b"%d|%d|" % (x.as_py(), y.as_py()))
                 yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.binary()) for i in (0, 1)], names=["a", "b"])
 
     n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return both.repartition(n).mapInArrow(compare, "a binary, b binary")
 
 
+def true_links(candidates: DataFrame, sets: DataFrame, radius: int, words: int, similarity: float, block: int = BLOCK) -> DataFrame:
+    """a, b: a spanning forest, per pair of blocks, of the links inside the candidates' groups (links() with
+    ``grouped``) whose sets (fp, hs; repeats allowed) have at least the Jaccard index ``similarity``."""
+    roots = candidates.select(F.col("a").alias("fp"), F.col("b").alias("root"))
+    salt = F.monotonically_increasing_id()
+    sizes = lookup_join(sets.select("fp", F.expr("octet_length(hs) div 8").alias("size")), roots, ["fp"], salt, "inner")
+    ranked, _ = prefix_sums(sizes.groupBy("root", "fp").agg(F.first("size").alias("size")), ["root", "fp"], "size", "at")
+    ranked = cut(ranked.select("root", "fp", F.expr(f"at div {block}").alias("mine")))
+    spans = ranked.groupBy("root").agg(F.min("mine").alias("low"), F.max("mine").alias("high"))
+    # Only keys are laid out; a set goes once to every pair of blocks that its component has with its own block.
+    spread = lookup_join(ranked, spans, ["root"], salt).select("fp", "mine", F.explode(F.sequence("low", "high")).alias("other"))
+    places = spread.select("fp", "mine", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y")).distinct()
+    held = lookup_join(sets.select("fp", "hs"), places, ["fp"], salt, "inner").groupBy("x", "y", "mine", "fp").agg(F.first("hs").alias("hs"))
+
+    def ordered(rows: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
+        x, order = order_of(rows.column("fp").to_pylist(), words)
+        sets = rows.column("hs").to_pylist()
+        return x[order], [np.frombuffer(sets[k], np.uint64) for k in order]
+
+    def compare(pair: pa.Table) -> pa.Table:
+        x, y = pair.column("x")[0].as_py(), pair.column("y")[0].as_py()
+        mine = np.array(pair.column("mine"))
+        found = []
+        # A set of over a block leaves numbers without sets behind it.
+        if (mine == x).any() and (mine == y).any():
+            a, sets_a = ordered(pair.filter(pa.array(mine == x)))
+            b, sets_b = (a, sets_a) if x == y else ordered(pair.filter(pa.array(mine == y)))
+            found = list(forest(a, b, x == y, radius, words, similar(sets_a, sets_b, similarity)))
+        return pa.table([pa.array([p[i] for p in found], pa.binary()) for i in (0, 1)], names=["a", "b"])
+
+    return held.groupBy("x", "y").applyInArrow(compare, "a binary, b binary")
+
+
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     """v, root: every vertex of the edges (a, b) with the least vertex of its component. Large and small stars in
     turn until nothing changes; each round is checkpointed."""
@@ -156,12 +261,20 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     return e.select(F.col("u").alias("v"), F.col("v").alias("root")).unionByName(e.select("v", F.col("v").alias("root")).distinct())
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = 64, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """doc_id, fp, component_id of every row: the least id that links reach."""
-    rows = cut(fingerprints(docs, shingle, bits))
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = 64, radius: int = RADIUS, tile: int = TILE, similarity: float | None = None) -> DataFrame:
+    """doc_id, fp, component_id of every row: the least id that links reach. With a ``similarity``, fingerprints (here
+    followed by the digest of the shingle set) at most ``radius`` apart are candidates, and links are checked exactly."""
+    if similarity is None:
+        rows = cut(fingerprints(docs, shingle, bits))
+    else:
+        sets = table(shingle_sets(docs, shingle, bits))
+        rows = sets.select("doc_id", "fp")
     pop = F.aggregate(F.sequence(F.lit(1), F.lit(bits // 64)), F.lit(0), lambda a, i: a + F.bit_count(F.conv(F.hex(F.substring("fp", i * 8 - 7, F.lit(8))), 16, -10).cast("long")))
     groups = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).withColumn("pop", pop))
-    roots = cut(components(links(groups, radius, tile)))
+    edges = links(groups, radius, tile, bits // 64, similarity is not None)
+    if similarity is not None:
+        edges = true_links(edges, sets, radius, bits // 64, similarity)
+    roots = cut(components(edges))
     salt = F.monotonically_increasing_id()
     linked = lookup_join(groups, roots.withColumnRenamed("v", "fp"), ["fp"], salt, "inner")
     names = linked.groupBy("root").agg(F.min("first").alias("name"))
@@ -178,9 +291,9 @@ def near_copies(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs).select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
-def without_copies(docs: DataFrame, shingle: int = STAGE_SHINGLE, bits: int = STAGE_BITS, radius: int = STAGE_RADIUS) -> DataFrame:
+def without_copies(docs: DataFrame, shingle: int = STAGE_SHINGLE, bits: int = STAGE_BITS, radius: int = STAGE_RADIUS, similarity: float = STAGE_SIMILARITY) -> DataFrame:
     """The rows of ``docs`` without those that another of their component represents: the one with its least id stays.
     Rows with a null id stay; rows that share an id go or stay together."""
-    found = near_duplicates(docs, shingle, bits, radius)
+    found = near_duplicates(docs, shingle, bits, radius, similarity=similarity)
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
     return lookup_join(docs, gone, ["doc_id"], F.monotonically_increasing_id(), "left_anti")

@@ -31,7 +31,7 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies: five-word shingles, similarity of about 0.8 or more."""
+    """One row of each group of near copies: five-word shingles, an exact similarity of 0.8 or more."""
     return simhash.without_copies(docs).select(docs.columns)
 
 

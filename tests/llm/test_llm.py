@@ -363,6 +363,45 @@ def test_stage_catches_near_copies_and_keeps_others(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [3 * g for g in range(20)] and kept.columns == df.columns
 
 
+def jaccard(texts: dict) -> dict:
+    sets = {i: set(simhash.shingle_hashes(t, 5).tolist()) for i, t in texts.items()}
+    return {(i, j): len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i in sets for j in sets if i < j and sets[i] | sets[j]}
+
+
+@pytest.mark.parametrize("block", [100, 300, simhash.BLOCK])
+def test_stage_goes_by_exact_similarity(spark, monkeypatch, block):
+    """Pairs on both sides of 0.8, many of which a fingerprint radius of 44 decides wrongly, and groups in several blocks."""
+    rng = np.random.default_rng(11)
+    words, rows = [f"w{i}" for i in range(5000)], {}
+    for g in range(60):
+        t = list(rng.choice(words, 300))
+        u = list(t)
+        for k in range(int(rng.integers(4, 11))):
+            u[7 + 13 * k] = f"x{k}"
+        rows |= {10 * g: " ".join(t), 10 * g + 1: " ".join(u), 10 * g + 2: " ".join(t)}
+    base = list(rng.choice(words, 120))
+    rows |= {5000 + k: " ".join([*base, f"end{k}"]) for k in range(30)}
+    exact = jaccard(rows)
+    roots = components_of_edges({i: i for i in rows}, [p for p, x in exact.items() if x >= 0.8])
+    least = {}
+    for i, r in roots.items():
+        least[r] = min(i, least.get(r, i))
+    assert any(0.8 <= x < 0.85 for x in exact.values()) and any(0.7 < x < 0.8 for x in exact.values())
+    true_links = simhash.true_links
+    monkeypatch.setattr(simhash, "true_links", lambda *a: true_links(*a, block=block))
+    links, tile = simhash.links, 20 if block <= 300 else simhash.TILE
+    monkeypatch.setattr(simhash, "links", lambda fps, radius, _, *a: links(fps, radius, tile, *a))
+    df = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    assert {r["doc_id"] for r in simhash.without_copies(df).collect()} == set(least.values())
+
+
+def test_a_false_link_hides_no_true_one():
+    """The candidates of a row join only by the check, although the first is nearer."""
+    sets = [np.arange(0, 10, dtype=np.uint64), np.arange(50, 60, dtype=np.uint64), np.arange(1, 11, dtype=np.uint64)]
+    x = np.array([[0, 1], [1, 2], [3, 3]], np.uint64)
+    assert [(a[8], b[8]) for a, b in simhash.forest(x, x, True, 2, 1, simhash.similar(sets, sets, 0.8))] == [(1, 3)]
+
+
 # 10 ----------------------------------------------------------------------------------------------------------------
 
 
