@@ -153,13 +153,16 @@ def test_shards_brute_force(spark, docs, texts, partitions):
 # 5 -----------------------------------------------------------------------------------------------------------------
 
 
-def test_packing_brute_force(docs, texts):
+def test_packing_brute_force(spark, docs, texts):
     import public_tokenizers
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
+    extra = {70_000: "a <|endoftext|> b", 70_001: "x\x1c\x85 \u2003y  z\u200b \U0001e8d0\U00016ac0 ½²Ⅷ it's IT'S ''s \u1c89\ua7cb", 70_002: "\n \n\t\r\n a  "}
+    texts = texts | extra
+    docs = docs.select("doc_id", "text").unionByName(spark.createDataFrame(list(extra.items()), "doc_id long, text string"))
     ids = {i: [*e.ids, 1] for i, e in zip(texts, t.encode_batch(list(texts.values()), add_special_tokens=False), strict=True)}
+    assert 50256 in ids[70_000]
     got = hilbert.pack(docs).collect()
     by_doc, by_seq = defaultdict(list), defaultdict(list)
     for r in got:
@@ -182,6 +185,16 @@ def test_packing_brute_force(docs, texts):
     assert keys == sorted(keys)
 
 
+def test_encoder_equals_the_library_at_every_character(monkeypatch):
+    """Whole texts of the library, for all assigned planes and any memory of words."""
+    monkeypatch.setattr(hilbert, "MEMO", 50)
+    e = hilbert.Encoder(hilbert.public_vocabulary())
+    texts = ["".join(f"a{chr(c)} {chr(c)}1{chr(c)}" for c in range(i, i + 256) if not 0xD800 <= c < 0xE000) for i in [*range(0, 0x3000, 256), 0xA700, 0xFF00, 0x10D00, 0x16A00, 0x1D400, 0x1E800, 0x1F600]]
+    want = [[*x.ids, 1] for x in e.library.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in e.ids(texts, 1)] == want
+    assert sum(e.agree(set(t)) for t in texts) > len(texts) / 2
+
+
 @pytest.mark.parametrize(("dims", "bits"), [(2, 4), (3, 3), (4, 2)])
 def test_hilbert_curve_visits_neighbours(dims, bits):
     cells = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dims, indexing="ij"), -1).reshape(-1, dims)
@@ -493,7 +506,7 @@ def test_pipeline_brute_force(spark, docs, texts, tmp_path):
     got = Counter()
     for r in last.collect():
         got[r["doc_id"]] += r["length"]
-    assert dict(got) == {i: len(e.ids(texts[i], 1)) for i in set(roots.values())}
+    assert dict(got) == {i: len(e.ids([texts[i]], 1)[0]) for i in set(roots.values())}
     assert sorted(corpus_pipeline.run(spark, SF).collect(), key=str) == sorted(last.collect(), key=str)
 
 
