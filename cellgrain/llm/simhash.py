@@ -238,13 +238,14 @@ def true_links(candidates: DataFrame, sets: DataFrame, radius: int, words: int,
     return held.groupBy("x", "y").applyInArrow(compare, "a binary, b binary")
 
 
-def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """v, root: every vertex of the edges (a, b) with the least vertex of its component. Large and small stars in
-    turn until nothing changes; each round is checkpointed."""
+    turn until nothing changes, however many rounds that takes; each round is checkpointed."""
     salt = F.monotonically_increasing_id()
     e = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
-    last = None
-    for _ in range(rounds):
+    last, state = None, ()
+    while state != last:
+        last = state
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = lookup_join(both, low, ["u"], salt).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -253,11 +254,6 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         small = lookup_join(e, low, ["u"], salt)
         e = cut(small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
         state = e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if state == last:
-            break
-        last = state
-    else:
-        raise RuntimeError(f"components are not settled after {rounds} rounds")
     return e.select(F.col("u").alias("v"), F.col("v").alias("root")).unionByName(e.select("v", F.col("v").alias("root")).distinct())
 
 
@@ -292,8 +288,11 @@ def near_copies(docs: DataFrame) -> DataFrame:
 
 
 def without_copies(docs: DataFrame, shingle: int = STAGE_SHINGLE, bits: int = STAGE_BITS, radius: int = STAGE_RADIUS, similarity: float = STAGE_SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` without those that another of their component represents: the one with its least id stays.
-    Rows with a null id stay; rows that share an id go or stay together."""
-    found = near_duplicates(docs, shingle, bits, radius, similarity=similarity)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return lookup_join(docs, gone, ["doc_id"], F.monotonically_increasing_id(), "left_anti")
+    """One row of each component of ``docs``: the one with the least id, null ids last, the first in place among equal
+    ids. Rows go one by one by their place, so rows that share an id but not a text are judged apart."""
+    place = next(n for n in (f"_place{k}" for k in range(len(docs.columns) + 1)) if n not in docs.columns)
+    keyed = table(docs.withColumn(place, F.monotonically_increasing_id()))  # written, so that a place never changes
+    rows = keyed.select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col(place).alias("place")).alias("doc_id"), "text")
+    found = near_duplicates(rows, shingle, bits, radius, similarity=similarity)
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id.place").alias(place))
+    return lookup_join(keyed, gone, [place], F.col(place), "left_anti").drop(place)

@@ -381,6 +381,38 @@ def jaccard(texts: dict) -> dict:
     return {(i, j): len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i in sets for j in sets if i < j and sets[i] | sets[j]}
 
 
+def exact_roots(rows: dict) -> dict:
+    """Each id's least linked id; texts without words have equal, empty sets."""
+    empty = [i for i, t in rows.items() if not t.encode().split()]
+    roots = components_of_edges({i: i for i in rows}, [p for p, x in jaccard(rows).items() if x >= 0.8] + list(zip(empty, empty[1:], strict=False)))
+    least = {}
+    for i, r in roots.items():
+        least[r] = min(i, least.get(r, i))
+    return {i: least[r] for i, r in roots.items()}
+
+
+def test_stage_judges_rows_and_not_ids(spark):
+    """Another text under an id stays; of identical rows one stays; a null id yields to another."""
+    a, b = ("word%d " * 60 % tuple(range(k, k + 60)) for k in (0, 100))
+    rows = [(1, a), (2, a), (2, b), (3, b), (3, b), (None, a), (None, "other " * 60), (None, "other " * 60), (4, None), (4, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_place0", F.lit(5)).repartition(3)
+    kept = simhash.without_copies(df)
+    assert kept.columns == df.columns
+    assert sorted(((r["doc_id"], (r["text"] or "")[:6]) for r in kept.collect()), key=str) == sorted([(1, "word0 "), (2, "word10"), (None, "other "), (4, "")], key=str)
+
+
+def test_rules_stage_tells_nulls_apart(spark, docs):
+    """A rejected row takes no row of another group with it, whichever columns are null."""
+    import corpus_pipeline
+
+    good = [r["text"] for r in docs.where("lang = 'en' and n_chars > 600").orderBy("doc_id").limit(40).collect()]
+    odd = " ".join(f"#{w}#$%" for w in good[0].split())
+    rows = [(k, t, lang, source) for k, t in enumerate(good) for lang, source in ((None, "x"), ("x", None))] + [(900, odd, None, "x")] + [(901, odd, "x", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = mcd.judge(df, ["doc_id", "lang", "source"]).where("kept").collect()
+    assert sorted(map(str, ((r["doc_id"], r["lang"], r["source"]) for r in kept))) == sorted(map(str, ((r["doc_id"], r["lang"], r["source"]) for r in corpus_pipeline.rules(spark, df, SF).collect())))
+
+
 @pytest.mark.parametrize("block", [100, 300, simhash.BLOCK])
 def test_stage_goes_by_exact_similarity(spark, monkeypatch, block):
     """Pairs on both sides of 0.8, many of which a fingerprint radius of 44 decides wrongly, and groups in several blocks."""
@@ -395,17 +427,13 @@ def test_stage_goes_by_exact_similarity(spark, monkeypatch, block):
     base = list(rng.choice(words, 120))
     rows |= {5000 + k: " ".join([*base, f"end{k}"]) for k in range(30)}
     exact = jaccard(rows)
-    roots = components_of_edges({i: i for i in rows}, [p for p, x in exact.items() if x >= 0.8])
-    least = {}
-    for i, r in roots.items():
-        least[r] = min(i, least.get(r, i))
     assert any(0.8 <= x < 0.85 for x in exact.values()) and any(0.7 < x < 0.8 for x in exact.values())
     true_links = simhash.true_links
     monkeypatch.setattr(simhash, "true_links", lambda *a: true_links(*a, block=block))
     links, tile = simhash.links, 20 if block <= 300 else simhash.TILE
     monkeypatch.setattr(simhash, "links", lambda fps, radius, _, *a: links(fps, radius, tile, *a))
     df = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
-    assert {r["doc_id"] for r in simhash.without_copies(df).collect()} == set(least.values())
+    assert {r["doc_id"] for r in simhash.without_copies(df).collect()} == set(exact_roots(rows).values())
 
 
 def test_a_false_link_hides_no_true_one():
@@ -497,9 +525,8 @@ def test_pipeline_brute_force(spark, docs, texts, tmp_path):
     names = [c[0] for c in con.description]
     want = {r[names.index("doc_id")] for r in con.fetchall() if r[names.index("kept")]}
     assert {r["doc_id"] for r in second.collect()} == want
-    # Near copies: all pairs of 256-bit fingerprints.
-    fps = {i: int.from_bytes(simhash.fingerprint(simhash.shingle_hashes(texts[i], 5), 256), "big") for i in want}
-    roots = components(fps, simhash.STAGE_RADIUS)
+    # Near copies: the exact similarity of all pairs of shingle sets.
+    roots = exact_roots({i: texts[i] for i in want})
     assert {r["doc_id"] for r in third.collect()} == set(roots.values())
     # Packing keeps every id of every document.
     e = hilbert.Encoder(hilbert.public_vocabulary())
@@ -521,9 +548,9 @@ def test_pipeline_stages_take_odd_rows_and_empty_tables(spark, odd):
                 assert (n > 0) == (docs is odd)
             else:
                 assert out.columns == docs.columns and n <= 8 and (docs is odd or n == 0)
-    # A null id stays, and the copies of one text leave one.
+    # A null id stays where nothing else has its text, and the copies of one text leave one row.
     kept = [r["doc_id"] for r in corpus_pipeline.copies(spark, odd, SF).collect()]
-    assert None in kept and 5 not in kept and kept.count(4) == 2
+    assert None in kept and 5 not in kept and kept.count(4) == 1
 
 
 def test_url_and_archive_operators_take_clashing_columns(spark):
