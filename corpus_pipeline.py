@@ -1,7 +1,7 @@
 """A training corpus from raw documents: quality classifier, quality rules, near copies, packing.
 
 Every stage takes what its predecessor kept. All but the last return the columns of ``documents``; their decisions
-are rows that go. A table without rows stays one without rows; repeated ids go or stay together.
+are rows that go. A table without rows stays one without rows; rows that share an id are judged one by one.
 """
 
 from __future__ import annotations
@@ -22,9 +22,9 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that pass the base rules and lie inside of their group's ellipsoid. Only hashes of rejected rows meet the
-    texts again; equal rows have equal verdicts."""
-    keys = {"_row_key_1": F.xxhash64("doc_id", "lang", "source", "text"), "_row_key_2": F.hash("text", "source", "lang", "doc_id")}
+    """Rows that pass the base rules and lie inside of their group's ellipsoid. A verdict depends on text, language and
+    source alone, so only a digest of the text and both names (nulls told apart) of rejected rows meet the rows again."""
+    keys = {"_row_key_1": F.md5(F.coalesce("text", F.lit(""))), "_row_key_2": F.to_json(F.struct("lang", "source"))}
     keyed = docs.withColumns(keys)
     gone = mcd.judge(keyed, [*keys]).where("not kept").select(*keys).distinct()
     return lookup_join(keyed, gone, [*keys], F.monotonically_increasing_id(), "left_anti").select(docs.columns)
