@@ -9,8 +9,8 @@ components of all forests are those of all links. They are found by rounds of st
 All pairs of unskipped tiles are compared, so the work grows with the square of the number of distinct fingerprints.
 
 With a ``similarity`` the fingerprints only search candidates, at a wide radius. A pair of tiles reports the members of
-each of its components, and every true link lies inside one of these. Their shingle sets are laid out by component and
-cut into blocks of BLOCK shingles; pairs of blocks that share a component compare the sets themselves, and only pairs
+each of its components, and every true link lies inside one of these. They are laid out by component, weighed by the
+size of their shingle sets, and cut into blocks of BLOCK shingles; pairs of blocks that share a component compare the sets themselves, and only pairs
 whose exact Jaccard index (of 64-bit shingle hashes) reaches the similarity enter the forest, so a false link neither
 joins texts nor hides a true one.
 
@@ -26,9 +26,9 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from cellgrain.llm.common import cut, lookup_join, prefix_sums, table
+from cellgrain.llm.common import cut, lookup_join, prefix_sums
 from cellgrain.llm.media import pieces
 
 SHINGLE, SEED, RADIUS, TILE, ROWS = 3, 42, 2, 32_768, 64
@@ -67,31 +67,37 @@ def fingerprint(h: np.ndarray, bits: int = 64) -> bytes:
     return out
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, bits: int = 64) -> DataFrame:
-    """doc_id and fp of every text."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, bits: int = 64, digest: bool = False) -> DataFrame:
+    """doc_id and fp of every text. With ``digest`` also size, the number of distinct shingles, and fp goes on with the
+    16-byte digest of their hashes in order, so that only equal sets share it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in pieces(whole, "text", 4 << 20):
-                fps = [fingerprint(shingle_hashes(t.as_py() or "", shingle), bits) for t in b.column("text")]
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps, pa.binary())], names=["doc_id", "fp"])
+                fps, sizes = [], []
+                for t in b.column("text"):
+                    h = shingle_hashes(t.as_py() or "", shingle)
+                    some = np.unique(h) if digest else h[:0]
+                    fps.append(fingerprint(h, bits) + (xxhash.xxh3_128_digest(some.tobytes()) if digest else b""))
+                    sizes.append(len(some))
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps, pa.binary()), pa.array(sizes, pa.int64())], names=["doc_id", "fp", "size"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, fp binary")
+    out = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, fp binary, size long")
+    return out if digest else out.drop("size")
 
 
-def shingle_sets(docs: DataFrame, shingle: int, bits: int) -> DataFrame:
-    """doc_id, fp and hs of every text: its distinct shingle hashes in order, and its fingerprint followed by their
-    16-byte digest, so that only equal sets share an fp."""
+def with_sets(rows: DataFrame, shingle: int) -> DataFrame:
+    """Puts hs, the distinct shingle hashes in order (8 bytes each), in the place of the column text."""
+    names = [c for c in rows.columns if c != "text"]
+    schema = T.StructType([*(rows.schema[c] for c in names), T.StructField("hs", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in pieces(whole, "text", 4 << 20):
-                hashes = [shingle_hashes(t.as_py() or "", shingle) for t in b.column("text")]
-                sets = [np.unique(h).tobytes() for h in hashes]
-                fps = [fingerprint(h, bits) + xxhash.xxh3_128_digest(x) for h, x in zip(hashes, sets, strict=True)]
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps, pa.binary()), pa.array(sets, pa.binary())], names=["doc_id", "fp", "hs"])
+                sets = [np.unique(shingle_hashes(t.as_py() or "", shingle)).tobytes() for t in b.column("text")]
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(sets, pa.binary())], names=[*names, "hs"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, fp binary, hs binary")
+    return rows.mapInArrow(run, schema)
 
 
 def order_of(fps: list[bytes], words: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -205,19 +211,21 @@ def links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE, words: int | N
     return both.repartition(n).mapInArrow(compare, "a binary, b binary")
 
 
-def true_links(candidates: DataFrame, sets: DataFrame, radius: int, words: int, similarity: float, block: int = BLOCK) -> DataFrame:
+def true_links(candidates: DataFrame, groups: DataFrame, docs: DataFrame, shingle: int, radius: int, words: int, similarity: float, block: int = BLOCK) -> DataFrame:
     """a, b: a spanning forest, per pair of blocks, of the links inside the candidates' groups (links() with
-    ``grouped``) whose sets (fp, hs; repeats allowed) have at least the Jaccard index ``similarity``."""
-    roots = candidates.select(F.col("a").alias("fp"), F.col("b").alias("root"))
+    ``grouped``) whose sets have at least the Jaccard index ``similarity``. ``groups`` has fp, size and the key of one of
+    its texts, ``docs`` key and text: sets are made of the candidates' texts only, when their blocks are known."""
     salt = F.monotonically_increasing_id()
-    sizes = lookup_join(sets.select("fp", F.expr("octet_length(hs) div 8").alias("size")), roots, ["fp"], salt, "inner")
-    ranked, _ = prefix_sums(sizes.groupBy("root", "fp").agg(F.first("size").alias("size")), ["root", "fp"], "size", "at")
-    ranked = cut(ranked.select("root", "fp", F.expr(f"at div {block}").alias("mine")))
+    named = lookup_join(groups, candidates.select(F.col("a").alias("fp"), F.col("b").alias("root")), ["fp"], salt, "inner")
+    ranked, _ = prefix_sums(named.select("root", "fp", "key", "size"), ["root", "fp"], "size", "at")
+    ranked = cut(ranked.select("root", "fp", "key", F.expr(f"at div {block}").alias("mine")))
     spans = ranked.groupBy("root").agg(F.min("mine").alias("low"), F.max("mine").alias("high"))
     # Only keys are laid out; a set goes once to every pair of blocks that its component has with its own block.
-    spread = lookup_join(ranked, spans, ["root"], salt).select("fp", "mine", F.explode(F.sequence("low", "high")).alias("other"))
-    places = spread.select("fp", "mine", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y")).distinct()
-    held = lookup_join(sets.select("fp", "hs"), places, ["fp"], salt, "inner").groupBy("x", "y", "mine", "fp").agg(F.first("hs").alias("hs"))
+    spread = lookup_join(ranked, spans, ["root"], salt).select("fp", "key", "mine", F.explode(F.sequence("low", "high")).alias("other"))
+    places = spread.select("fp", "key", F.struct(F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine").alias("place"))
+    places = places.groupBy("key").agg(F.first("fp").alias("fp"), F.collect_set("place").alias("places"))
+    sets = with_sets(lookup_join(docs.select("key", "text"), places, ["key"], salt, "inner").drop("key"), shingle)
+    held = sets.select("fp", "hs", F.explode("places").alias("at")).groupBy("at.x", "at.y", "at.mine", "fp").agg(F.first("hs").alias("hs"))
 
     def ordered(rows: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
         x, order = order_of(rows.column("fp").to_pylist(), words)
@@ -259,17 +267,15 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = 64, radius: int = RADIUS, tile: int = TILE, similarity: float | None = None) -> DataFrame:
     """doc_id, fp, component_id of every row: the least id that links reach. With a ``similarity``, fingerprints (here
-    followed by the digest of the shingle set) at most ``radius`` apart are candidates, and links are checked exactly."""
-    if similarity is None:
-        rows = cut(fingerprints(docs, shingle, bits))
-    else:
-        sets = table(shingle_sets(docs, shingle, bits))
-        rows = sets.select("doc_id", "fp")
+    followed by the digest of the shingle set) at most ``radius`` apart are candidates, and links are checked exactly;
+    doc_id is then a struct whose field key is never null and equal for equal texts only."""
+    rows = cut(fingerprints(docs, shingle, bits, similarity is not None))
     pop = F.aggregate(F.sequence(F.lit(1), F.lit(bits // 64)), F.lit(0), lambda a, i: a + F.bit_count(F.conv(F.hex(F.substring("fp", i * 8 - 7, F.lit(8))), 16, -10).cast("long")))
-    groups = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).withColumn("pop", pop))
+    size = [F.first("size").alias("size")] if similarity is not None else []
+    groups = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"), *size).withColumn("pop", pop))
     edges = links(groups, radius, tile, bits // 64, similarity is not None)
     if similarity is not None:
-        edges = true_links(edges, sets, radius, bits // 64, similarity)
+        edges = true_links(edges, groups.select("fp", "size", "first.key"), docs.select("doc_id.key", "text"), shingle, radius, bits // 64, similarity)
     roots = cut(components(edges))
     salt = F.monotonically_increasing_id()
     linked = lookup_join(groups, roots.withColumnRenamed("v", "fp"), ["fp"], salt, "inner")
@@ -278,7 +284,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = 64, rad
     known = cut(lookup_join(groups, named.withColumn("hit", F.lit(True)), ["fp"], salt).select("fp", "n", "first", F.when(F.col("hit"), F.col("name")).otherwise(F.col("first")).alias("component_id")))
     # A fingerprint of one row is that row; only shared ones go back to their rows.
     single = known.where("n = 1").select(F.col("first").alias("doc_id"), "fp", "component_id")
-    shared = lookup_join(rows, known.where("n > 1").select("fp", "component_id"), ["fp"], salt, "inner")
+    shared = lookup_join(rows.select("doc_id", "fp"), known.where("n > 1").select("fp", "component_id"), ["fp"], salt, "inner")
     return single.unionByName(shared.select("doc_id", "fp", "component_id"))
 
 
@@ -288,11 +294,16 @@ def near_copies(docs: DataFrame) -> DataFrame:
 
 
 def without_copies(docs: DataFrame, shingle: int = STAGE_SHINGLE, bits: int = STAGE_BITS, radius: int = STAGE_RADIUS, similarity: float = STAGE_SIMILARITY) -> DataFrame:
-    """One row of each component of ``docs``: the one with the least id, null ids last, the first in place among equal
-    ids. Rows go one by one by their place, so rows that share an id but not a text are judged apart."""
-    place = next(n for n in (f"_place{k}" for k in range(len(docs.columns) + 1)) if n not in docs.columns)
-    keyed = table(docs.withColumn(place, F.monotonically_increasing_id()))  # written, so that a place never changes
-    rows = keyed.select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col(place).alias("place")).alias("doc_id"), "text")
+    """One row of each component of ``docs``: the one with the least id, null ids last. Rows are told apart by a digest
+    of id and text, so rows that share an id but not a text are judged apart; of rows that share both, one stays."""
+    key = next(n for n in (f"_key{k}" for k in range(len(docs.columns) + 1)) if n not in docs.columns)
+    keyed = docs.withColumn(key, F.md5(F.to_json(F.struct("doc_id", "text"))))
+    rows = keyed.select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col(key).alias("key")).alias("doc_id"), "text")
     found = near_duplicates(rows, shingle, bits, radius, similarity=similarity)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id.place").alias(place))
-    return lookup_join(keyed, gone, [place], F.col(place), "left_anti").drop(place)
+    found = cut(found.groupBy(F.col("doc_id.key").alias(key)).agg(F.first(F.col("doc_id.key") == F.col("component_id.key")).alias("stays"), F.count("*").alias("n")).where("not stays or n > 1"))
+    salt = F.monotonically_increasing_id()
+    kept = lookup_join(keyed, found.select(key), [key], salt, "left_anti")
+    again = found.where("stays").select(key)
+    if not again.isEmpty():
+        kept = kept.unionByName(lookup_join(keyed, again, [key], salt, "inner").dropDuplicates([key]))
+    return kept.drop(key)
