@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -25,8 +26,8 @@ from cellgrain.llm.common import prefix_sums, table
 from cellgrain.llm.media import pieces
 
 LENGTH, END, FEATURES, DIMS, BITS = 2048, 1, 1024, 4, 12
-#: Distinct words whose ids an encoder keeps, and rows of a partition's hash table in pack().
-MEMO, JOIN_ROWS = 200_000, 500_000
+#: Distinct words whose ids an encoder keeps, words that it encodes in one call, and rows of a hash table in pack().
+MEMO, TOGETHER, JOIN_ROWS = 600_000, 1000, 500_000
 
 
 @cache
@@ -40,8 +41,9 @@ class Encoder:
     """Ids of whole texts by the tokenizers library, without special tokens being added.
 
     A byte-level model merges inside of words only, so each distinct word is encoded once by the library and its ids
-    are kept. The words are cut by the model's published pattern; a text goes to the library whole if it has an added
-    token's string, or a character that the pattern and the library's own cutting put into different classes."""
+    are kept, those of the first MEMO words for good. A text is cut before its spaces, or by the model's published
+    pattern if white space precedes a space; it goes to the library whole if it has an added token's string, or a
+    character that the pattern and the library's own cutting put into different classes."""
 
     #: The byte-level pattern (fixed value).
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -57,7 +59,8 @@ class Encoder:
         cutter = parts["pre_tokenizer"] or {}
         self.by_words = not parts["normalizer"] and cutter.get("type") == "ByteLevel" and cutter.get("use_regex", True) and not cutter.get("add_prefix_space")
         self.added = [x["content"] for x in parts["added_tokens"]]
-        self.words = regex.compile(self.PATTERN).findall
+        self.words, self.solid, self.runs = regex.compile(self.PATTERN).findall, regex.compile(r" ?\S+").fullmatch, regex.compile(r"\s ").search
+        self.line = self.encoded(["\n"])[0]
         self.memo: dict[str, bytes] = {}
         self.agreed: set[str] = set()
 
@@ -74,18 +77,47 @@ class Encoder:
         return True
 
     def encoded(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encoded_words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of new words, put together from their parts by the pattern. Parts without white space inside go to the
+        library as lines, whose ends have an id of their own."""
+        parts = [self.words(w) for w in words]
+        new = list(set().union(*parts).difference(self.memo))
+        lines = [w for w in new if self.solid(w)] if len(self.line) == 4 else []
+        out = {}
+        groups = [lines[i : i + TOGETHER] for i in range(0, len(lines), TOGETHER)]
+        for some, data in zip(groups, self.encoded(["\n".join(g) for g in groups]), strict=True):
+            ends = [*(4 * np.flatnonzero(np.frombuffer(data, "<u4") == np.frombuffer(self.line, "<u4"))).tolist(), len(data)]
+            out.update(zip(some, (data[a:b] for a, b in zip([0, *(e + 4 for e in ends)], ends, strict=False)), strict=True))
+        rest = [w for w in new if w not in out]
+        out.update(zip(rest, self.encoded(rest), strict=True))
+        known = self.memo
+        return {w: out[w] if w in out else b"".join([known[p] if p in known else out[p] for p in some]) for w, some in zip(words, parts, strict=True)}
+
+    def cut(self, text: str) -> list[str] | None:
+        """Words, or None for a text that isn't to be cut."""
+        if not self.by_words or not self.agree(set(text)) or any(x in text for x in self.added):
+            return None
+        return self.words(text) if "\0" in text or self.runs(text) else text.replace(" ", "\0 ").split("\0")
 
     def ids(self, texts: list[str], end: int) -> list[np.ndarray]:
-        last = np.array([end], "<u4").tobytes()
-        cut = [self.words(t) if self.by_words and self.agree(set(t)) and not any(x in t for x in self.added) else None for t in texts]
-        new = list({w for words in cut if words for w in words if w not in self.memo})
-        if len(self.memo) + len(new) > MEMO:
-            self.memo = {}
-            new = list({w for words in cut if words for w in words})
-        self.memo.update(zip(new, self.encoded(new), strict=True))
+        last = array("I", [end]).tobytes()
+        cut = [self.cut(t) for t in texts]
+        new = self.encoded_words(list(set().union(*filter(None, cut)).difference(self.memo)))
+        spare = list(new)[max(0, MEMO - len(self.memo)) :]
+        self.memo.update(new)
         known = self.memo.__getitem__
-        return [np.frombuffer((b"".join(map(known, words)) if words is not None else self.encoded([t])[0]) + last, "<u4") for t, words in zip(texts, cut, strict=True)]
+        out = [np.frombuffer((b"".join(map(known, words)) if words is not None else self.encoded([t])[0]) + last, "<u4") for t, words in zip(texts, cut, strict=True)]
+        for w in spare:
+            del self.memo[w]
+        return out
+
+
+@cache
+def encoder(path: str) -> Encoder:
+    """One for all tasks of a Python worker."""
+    return Encoder(path)
 
 
 def mix(x: np.ndarray, seed: int) -> np.ndarray:
@@ -141,11 +173,11 @@ def tokenized(docs: DataFrame, path: str | None = None, end: int = END) -> DataF
     path = path or public_vocabulary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, axes = Encoder(path), directions()
-        feature = (mix(np.arange(encoder.size), 3) % np.uint64(FEATURES)).astype(np.int64)
+        of, axes = encoder(path), directions()
+        feature = (mix(np.arange(of.size), 3) % np.uint64(FEATURES)).astype(np.int64)
         for whole in batches:
             for b in pieces(whole, "text", 4 << 20):
-                ids = encoder.ids([t or "" for t in b.column("text").to_pylist()], end)
+                ids = of.ids([t or "" for t in b.column("text").to_pylist()], end)
                 cells = np.array([coordinates(np.bincount(feature[x], minlength=FEATURES), axes) for x in ids]).reshape(-1, DIMS)
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(hilbert_key(cells), pa.int64()), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())], names=["doc_id", "curve_key", "n", "ids"])
 
