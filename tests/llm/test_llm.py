@@ -233,24 +233,28 @@ def test_filter_misses_nothing_and_passes_little(spark):
 # 7 -----------------------------------------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("chunk", [50, 700, sptok.CHUNK])
-def test_pieces_equal_the_library(spark, docs, texts, chunk):
+@pytest.mark.parametrize(("chunk", "block"), [(50, 7), (50, 50), (700, 64), (sptok.CHUNK, sptok.BLOCK)])
+def test_pieces_equal_the_library(spark, docs, texts, chunk, block):
     import sentencepiece
 
     m = sentencepiece.SentencePieceProcessor(model_file=sptok.public_model())
-    extra = {1000: "QWxhZGRpbjpvcGVuIHNlc2FtZQ" * 60, 1001: "日本語 𝔘𝔫" * 60, 1002: " " * 300, 1003: "", 1004: "a\r\nb \n c" * 50}
-    some = docs.select("doc_id", "text").where("doc_id % 5 = 0").unionByName(spark.createDataFrame(list(extra.items()), "doc_id long, text string"))
-    want = {i: t for i, t in (texts | extra).items() if i % 5 == 0 or i >= 1000}
-    got = {r["doc_id"]: r for r in sptok.decode(sptok.encode(some, chunk=chunk)).collect()}
+    extra = {1000: "QWxhZGRpbjpvcGVuIHNlc2FtZQ" * 60, 1001: "日本語 𝔘𝔫" * 60, 1002: " " * 300, 1003: "", 1004: "a\r\nb \n c\0 d" * 50, 1005: " lead  two " * 30, 1006: "▁a▁▁b" * 40}
+    if chunk == sptok.CHUNK:  # text without a space, longer than a chunk
+        extra[1007] = hashlib.sha512(b"x").hexdigest() * 300
+    every = 5 if chunk < sptok.CHUNK else 1
+    some = docs.select("doc_id", "text").where(f"doc_id % {every} = 0").unionByName(spark.createDataFrame(list(extra.items()), "doc_id long, text string"))
+    want = {i: t for i, t in (texts | extra).items() if i % every == 0 or i >= 1000}
+    got = {r["doc_id"]: r for r in sptok.decode(sptok.encode(some, chunk=chunk, block=block)).collect()}
     assert set(got) == set(want)
     for i, t in want.items():
-        assert np.frombuffer(got[i]["ids"], "<u4").tolist() == m.encode(t) and got[i]["text"] == t
-    assert max(r["n_chunks"] for r in got.values()) > 1 or chunk == sptok.CHUNK
+        assert np.frombuffer(got[i]["ids"], "<u4").tolist() == m.encode(t) and got[i]["text"] == t.replace("▁", " ")
+        assert got[i]["n_chunks"] >= len(t) // block
 
 
 def test_transfer_product_is_associative():
     a, b, c = {(0, 1), (0, 2)}, {(1, 3), (2, 3), (2, 4)}, {(3, 0), (4, 5)}
     assert sptok.combine(sptok.combine(a, b), c) == sptok.combine(a, sptok.combine(b, c)) == {(0, 0), (0, 5)}
+    assert sptok.boundary_states(sptok.tree([a, b, c])) in ([(0, 1), (1, 3), (3, 0)], [(0, 2), (2, 3), (3, 0)])
 
 
 # 8 -----------------------------------------------------------------------------------------------------------------
