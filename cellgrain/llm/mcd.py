@@ -1,17 +1,21 @@
 """Quality rules: robust multivariate outliers by minimum-covariance-determinant estimates.
 
-Four statistics of each text are transformed so that clean text is near normal. Per language and source a location
-and a scatter are fitted to the ``SUPPORT`` share of rows that lie closest together, by concentration steps from
-the medians; a row is rejected if its Mahalanobis distance is beyond the chi-square quantile. DataFrame functions only.
+Four statistics of each text are transformed so that clean text is near normal. For each language and source, each
+language, and all rows, concentration steps look for the ``SUPPORT`` share of rows whose covariance has the least
+determinant: from three starts (scaled medians, covariance of damped values, covariance of directions) each step takes
+the rows nearest by the last estimate, until the determinant stands still; the start that ends lowest wins. A group's
+estimate is then shrunk to its language's, and that to everybody's, by the share PRIOR / (rows + PRIOR), at every size
+alike. A row is rejected if its Mahalanobis distance is beyond the chi-square quantile. DataFrame functions only.
 
-A concentration step is one aggregation: rows are summed up by group and bin of their squared distance (count, first
-and second moments), and a running count over the bins of a group (never more than MAX_BIN of them) gives the nearest
-rows. So a group of any size is pre-aggregated where its rows are, and no task holds a group.
+A step is one aggregation: rows are summed up by group, start and bin of their squared distance (count, first and second
+moments), and a running count over a group's bins gives the nearest rows. Bins follow the logarithm of the distance, so
+a group has some hundreds at most, whatever its rows; a group of any size is pre-aggregated where its rows are.
 
 Cases: a null text has no words, fails the base rules and is not kept; null languages and sources are groups of their
-own; a group under MIN_GROUP rows uses the estimates of its language, or else of all rows; ties share a bin and enter
-the subset together; SCALE_FLOOR keeps the scatter regular where a statistic is constant; repeated rows count each;
-extra columns pass through where their names don't clash; an empty table gives an empty one.
+own; a group of a row or a few has its language's estimate all but unchanged; ties share a bin and enter the subset
+together; SCALE_FLOOR keeps the scatter regular where a statistic is constant (so determinants are of the regularised
+scatter); repeated rows count each; extra columns pass through where their names don't clash; an empty table gives an
+empty one.
 """
 
 from __future__ import annotations
@@ -22,12 +26,19 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cellgrain.llm.common import cut, lookup_join
 
-SUPPORT, STEPS, MIN_GROUP, TAIL = 0.75, 4, 100, 1e-6
+#: Share of rows in the subset, rows that an estimate's parent counts for, and the tail of the chi-square distribution.
+SUPPORT, PRIOR, TAIL = 0.75, 100, 1e-9
+#: A step must lower the log determinant by so much to be followed by another one.
+GAIN = 1e-3
 STATS = ("z1", "z2", "z3", "z4")
 #: Standard deviation added in quadrature to each statistic's, in its own unit.
 SCALE_FLOOR = (0.08, 0.06, 0.12, 0.12)
-FINE, MAX_FINE, BIN, MAX_BIN = 100, 5000, 32, 480
+FINE, BIN, STARTS = 100, 32, 3
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
+P = range(1, len(STATS) + 1)
+TRIANGLE = [(r, c) for r in P for c in range(1, r + 1)]
+ESTIMATE = [f"m{r}" for r in P] + [f"c{r}{c}" for r, c in TRIANGLE]
+FACTOR = [f"i{r}{c}" for r, c in TRIANGLE]
 
 
 def chi2_cdf(x: float, even: int) -> float:
@@ -84,23 +95,16 @@ def transformed(df: DataFrame) -> DataFrame:
     return df.withColumns({name: F.round(x, 6) for name, x in zip(STATS, z, strict=True)})
 
 
-def key(lang: str, source: str) -> tuple[Column, Column]:
-    """Texts for a language and for a language with a source, with nulls told apart from all values."""
-    of_lang = F.coalesce(F.concat(F.lit("="), F.col(lang)), F.lit("-"))
-    return of_lang, F.concat(of_lang, F.lit("|"), F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("-")))
-
-
-def grouped(df: DataFrame, min_group: int) -> DataFrame:
-    """Adds ``grp``: the language and source, or the language, or all, whichever has ``min_group`` rows first."""
-    sizes = df.groupBy("_lang", "_both").agg(F.count("*").alias("n"))
-    of_lang = F.sum("n").over(Window.partitionBy("_lang"))
-    grp = F.when(F.col("n") >= min_group, F.col("_both")).when(of_lang >= min_group, F.col("_lang")).otherwise("*")
-    return lookup_join(df, sizes.select("_both", grp.alias("grp")), ["_both"], F.monotonically_increasing_id())
+def labels(lang: str, source: str) -> list[Column]:
+    """Names of the three groups of a row: all, its language, its language with its source. Lengths and marks of nulls
+    keep different groups apart."""
+    part = lambda c: F.coalesce(F.concat(F.length(c).cast("string"), F.lit("="), F.col(c)), F.lit("-"))
+    return [F.lit("0"), F.concat(F.lit("1"), part(lang)), F.concat(F.lit("2"), part(lang), F.lit("|"), part(source))]
 
 
 def medians(df: DataFrame, values: dict[str, Column], out: str) -> DataFrame:
     """Per group the lower median of each value on a grid of 1 / FINE, from counts of its cells."""
-    cells = df.select("grp", F.explode(F.array(*(F.struct(F.lit(k).alias("k"), F.least(F.greatest(F.floor(v * FINE), F.lit(-MAX_FINE)), F.lit(MAX_FINE)).alias("b")) for k, v in values.items()))).alias("e")).select("grp", "e.k", "e.b")
+    cells = df.select("grp", F.explode(F.array(*(F.struct(F.lit(k).alias("k"), F.floor(v * FINE).alias("b")) for k, v in values.items()))).alias("e")).select("grp", "e.k", "e.b")
     counts = cells.groupBy("grp", "k", "b").agg(F.count("*").alias("n"))
     w = Window.partitionBy("grp", "k")
     run = F.sum("n").over(w.orderBy("b").rowsBetween(Window.unboundedPreceding, 0))
@@ -110,16 +114,15 @@ def medians(df: DataFrame, values: dict[str, Column], out: str) -> DataFrame:
 
 
 def factored(groups: DataFrame) -> DataFrame:
-    """From m1.. and the lower triangle c11.. the inverse Cholesky factor i11.., by substitution."""
-    p = range(1, len(STATS) + 1)
-    for r in p:
-        for c in range(1, r + 1):
-            x = F.col(f"c{r}{c}")
-            for k in range(1, c):
-                x = x - F.col(f"l{r}{k}") * F.col(f"l{c}{k}")
-            groups = groups.withColumn(f"l{r}{c}", F.sqrt(F.greatest(x, F.lit(1e-12))) if r == c else x / F.col(f"l{c}{c}"))
-    for c in p:
-        for r in range(c, p[-1] + 1):
+    """Adds the inverse Cholesky factor i11.. of the lower triangle c11.., by substitution, and the log determinant."""
+    names = groups.columns
+    for r, c in TRIANGLE:
+        x = F.col(f"c{r}{c}")
+        for k in range(1, c):
+            x = x - F.col(f"l{r}{k}") * F.col(f"l{c}{k}")
+        groups = groups.withColumn(f"l{r}{c}", F.sqrt(F.greatest(x, F.lit(1e-12))) if r == c else x / F.col(f"l{c}{c}"))
+    for c in P:
+        for r in range(c, P[-1] + 1):
             if r == c:
                 x = 1 / F.col(f"l{r}{r}")
             else:
@@ -128,7 +131,7 @@ def factored(groups: DataFrame) -> DataFrame:
                     x = x - F.col(f"l{r}{k}") * F.col(f"i{k}{c}")
                 x = x / F.col(f"l{r}{r}")
             groups = groups.withColumn(f"i{r}{c}", x)
-    return groups.select("grp", *(f"m{r}" for r in p), *(f"i{r}{c}" for r in p for c in range(1, r + 1)))
+    return groups.withColumn("det", 2 * sum((F.log(f"l{r}{r}") for r in P), F.lit(0.0))).select(*names, *FACTOR, "det")
 
 
 def squared(df: DataFrame) -> Column:
@@ -142,43 +145,82 @@ def squared(df: DataFrame) -> Column:
     return total
 
 
-def fit(rows: DataFrame, support: float = SUPPORT, steps: int = STEPS) -> DataFrame:
-    """One row a group: centre and inverse factor of the concentrated subset. ``rows`` has grp and STATS."""
-    p = range(1, len(STATS) + 1)
+def starts(rows: DataFrame) -> DataFrame:
+    """A row for each group and start: the estimate that orders the rows of the first step."""
     centre = cut(medians(rows, {k: F.col(k) for k in STATS}, "m"))
     near = lookup_join(rows, centre, ["grp"], F.monotonically_increasing_id())
     spread = medians(near, {k: F.abs(F.col(k) - F.col(f"m{i}")) for i, k in enumerate(STATS, 1)}, "s")
-    groups = centre.join(spread, "grp")
-    for r in p:
-        for c in range(1, r + 1):
-            groups = groups.withColumn(f"c{r}{c}", F.pow(1.4826 * F.col(f"s{r}"), F.lit(2.0)) + SCALE_FLOOR[r - 1] ** 2 if r == c else F.lit(0.0))
-    for _ in range(steps):
-        groups = cut(factored(groups))
-        near = lookup_join(rows, groups, ["grp"], F.monotonically_increasing_id())
-        near = near.withColumn("bin", F.least(F.floor(BIN * F.log1p(squared(near))), F.lit(MAX_BIN)))
-        u = {r: F.col(STATS[r - 1]) - F.col(f"m{r}") for r in p}
-        bins = near.groupBy("grp", "bin").agg(F.count("*").alias("n"), *(F.sum(u[r]).alias(f"u{r}") for r in p), *(F.sum(u[r] * u[c]).alias(f"v{r}{c}") for r in p for c in range(1, r + 1)))
-        w = Window.partitionBy("grp")
-        before = F.coalesce(F.sum("n").over(w.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        inside = bins.withColumn("before", before).withColumn("all", F.sum("n").over(w)).where(F.col("before") < F.ceil(support * F.col("all")))
-        sums = inside.groupBy("grp").agg(F.sum("n").alias("n"), *(F.sum(f"u{r}").alias(f"u{r}") for r in p), *(F.sum(f"v{r}{c}").alias(f"v{r}{c}") for r in p for c in range(1, r + 1)))
-        groups = sums.join(groups.select("grp", *(f"m{r}" for r in p)), "grp")
-        for r in p:
-            for c in range(1, r + 1):
-                cov = CONSISTENCY * (F.col(f"v{r}{c}") / F.col("n") - F.col(f"u{r}") * F.col(f"u{c}") / F.col("n") / F.col("n"))
-                groups = groups.withColumn(f"c{r}{c}", cov + SCALE_FLOOR[r - 1] ** 2 if r == c else cov)
-        groups = groups.select("grp", *((F.col(f"m{r}") + F.col(f"u{r}") / F.col("n")).alias(f"m{r}") for r in p), *(f"c{r}{c}" for r in p for c in range(1, r + 1)))
-    return factored(groups)
-
-
-def judge(docs: DataFrame, keep: list[str], lang: str = "lang", source: str = "source", text: str = "text", min_group: int = MIN_GROUP, cutoff: float = CUTOFF) -> DataFrame:
+    scale = centre.join(spread, "grp").select("grp", *(f"m{r}" for r in P), *(F.sqrt(F.pow(1.4826 * F.col(f"s{r}"), F.lit(2.0)) + SCALE_FLOOR[r - 1] ** 2).alias(f"s{r}") for r in P))
+    scale = cut(scale)
+    near = lookup_join(rows, scale, ["grp"], F.monotonically_increasing_id()).select("grp", *(((F.col(k) - F.col(f"m{r}")) / F.col(f"s{r}")).alias(f"u{r}") for r, k in enumerate(STATS, 1)))
+    near = near.withColumn("u", F.greatest(F.sqrt(sum((F.col(f"u{r}") * F.col(f"u{r}") for r in P), F.lit(0.0))), F.lit(1e-9)))
+    damped = [F.avg(F.tanh(f"u{r}") * F.tanh(f"u{c}")).alias(f"t{r}{c}") for r, c in TRIANGLE]
+    directed = [(len(STATS) * F.avg(F.col(f"u{r}") / F.col("u") * F.col(f"u{c}") / F.col("u"))).alias(f"d{r}{c}") for r, c in TRIANGLE]
+    sums = scale.join(near.groupBy("grp").agg(F.count("*").alias("n"), *damped, *directed), "grp")
+    out = None
+    for k in range(STARTS):
+        cells = []
+        for r, c in TRIANGLE:
+            x = F.col(f"{'-td'[k]}{r}{c}") * F.col(f"s{r}") * F.col(f"s{c}") if k else (F.col(f"s{r}") * F.col(f"s{r}") if r == c else F.lit(0.0))
+            cells.append((x + SCALE_FLOOR[r - 1] ** 2 if r == c else x).alias(f"c{r}{c}"))
+        some = sums.select("grp", F.lit(k).alias("start"), "n", *(f"m{r}" for r in P), *cells)
+        out = some if out is None else out.unionByName(some)
+    return out
+
+
+def concentrated(rows: DataFrame, groups: DataFrame, support: float) -> DataFrame:
+    """One step: centre and regularised scatter of each group's nearest rows by its last estimate."""
+    near = lookup_join(rows, groups.select("grp", "start", *(f"m{r}" for r in P), *FACTOR), ["grp"], F.monotonically_increasing_id(), "inner")
+    near = near.withColumn("bin", F.floor(BIN * F.log1p(squared(near))))
+    u = {r: F.col(STATS[r - 1]) - F.col(f"m{r}") for r in P}
+    bins = near.groupBy("grp", "start", "bin").agg(F.count("*").alias("k"), *(F.sum(u[r]).alias(f"u{r}") for r in P), *(F.sum(u[r] * u[c]).alias(f"v{r}{c}") for r, c in TRIANGLE))
+    w = Window.partitionBy("grp", "start")
+    before = F.coalesce(F.sum("k").over(w.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inside = bins.withColumn("before", before).withColumn("all", F.sum("k").over(w)).where(F.col("before") < F.ceil(support * F.col("all")))
+    sums = inside.groupBy("grp", "start").agg(F.sum("k").alias("k"), *(F.sum(f"u{r}").alias(f"u{r}") for r in P), *(F.sum(f"v{r}{c}").alias(f"v{r}{c}") for r, c in TRIANGLE))
+    sums = sums.join(groups.select("grp", "start", "n", *(f"m{r}" for r in P)), ["grp", "start"])
+    cells = []
+    for r, c in TRIANGLE:
+        cov = CONSISTENCY * (F.col(f"v{r}{c}") / F.col("k") - F.col(f"u{r}") * F.col(f"u{c}") / F.col("k") / F.col("k"))
+        cells.append((cov + SCALE_FLOOR[r - 1] ** 2 if r == c else cov).alias(f"c{r}{c}"))
+    return factored(sums.select("grp", "start", "n", *((F.col(f"m{r}") + F.col(f"u{r}") / F.col("k")).alias(f"m{r}") for r in P), *cells))
+
+
+def fit(rows: DataFrame, support: float = SUPPORT) -> DataFrame:
+    """One row a group: n, centre m1.., scatter c11.. and det, the least of all starts. ``rows`` has grp and STATS."""
+    state = cut(factored(starts(rows)).withColumn("det", F.lit(float("inf"))).withColumn("live", F.lit(True)))
+    names = [*ESTIMATE, *FACTOR, "det"]
+    while not state.where("live").isEmpty():  # every round lowers determinants, which SCALE_FLOOR bounds below
+        live = state.where("live")
+        new = concentrated(rows, live, support).select("grp", "start", *(F.col(c).alias(f"new_{c}") for c in names))
+        both = live.join(new, ["grp", "start"])
+        better = F.col("new_det") < F.col("det") - GAIN
+        moved = both.select("grp", "start", "n", *(F.when(better, F.col(f"new_{c}")).otherwise(F.col(c)).alias(c) for c in names), better.alias("live"))
+        state = cut(state.where("not live").unionByName(moved))
+    best = state.groupBy("grp").agg(F.min(F.struct("det", "start", "n", *ESTIMATE)).alias("e"))
+    return best.select("grp", "e.n", *(f"e.{c}" for c in ESTIMATE), "e.det")
+
+
+def estimates(rows: DataFrame, support: float = SUPPORT) -> DataFrame:
+    """Per language and source (_own) the shrunk estimate and its factor. ``rows`` has the names of the three groups
+    (_all, _lang, _own) and STATS."""
+    e = cut(fit(rows.select(F.explode(F.array("_all", "_lang", "_own")).alias("grp"), *STATS), support))
+    out = rows.select("_all", "_lang", "_own").distinct()
+    for level in ("_own", "_lang", "_all"):
+        some = e.select(F.col("grp").alias(level), F.struct("n", *ESTIMATE).alias(f"e{level}"))
+        out = lookup_join(out, some, [level], F.monotonically_increasing_id(), "inner")
+    share = {k: F.col(f"e{k}.n") / (F.col(f"e{k}.n") + PRIOR) for k in ("_own", "_lang")}
+    mixed = [(share["_own"] * F.col(f"e_own.{c}") + (1 - share["_own"]) * (share["_lang"] * F.col(f"e_lang.{c}") + (1 - share["_lang"]) * F.col(f"e_all.{c}"))).alias(c) for c in ESTIMATE]
+    return factored(out.select("_own", *mixed)).select("_own", *(f"m{r}" for r in P), *FACTOR)
+
+
+def judge(docs: DataFrame, keep: list[str], lang: str = "lang", source: str = "source", text: str = "text", cutoff: float = CUTOFF) -> DataFrame:
     """The columns ``keep`` with BASE, base_failed, the distance (null where the base failed) and kept."""
-    of_lang, both = key(lang, source)
-    stats = base_stats(docs.select(*keep, of_lang.alias("_lang"), both.alias("_both"), F.col(text).alias("_text")), "_text").drop("_text")
+    groups = [x.alias(k) for x, k in zip(labels(lang, source), ("_all", "_lang", "_own"), strict=True)]
+    stats = base_stats(docs.select(*keep, *groups, F.col(text).alias("_text")), "_text").drop("_text")
     stats = cut(transformed(stats.withColumn("base_failed", base_failed())))
-    fine = grouped(stats.where(~F.col("base_failed")), min_group)
-    fine = cut(fine)
-    scored = lookup_join(fine, fit(fine.select("grp", *STATS)), ["grp"], F.monotonically_increasing_id())
+    fine = stats.where(~F.col("base_failed"))
+    scored = lookup_join(fine, estimates(fine), ["_own"], F.monotonically_increasing_id())
     d2 = F.round(squared(scored), 6)
     scored = scored.select(*keep, *BASE, "base_failed", F.round(F.sqrt(d2), 4).alias("distance"), F.coalesce(d2 <= cutoff, F.lit(True)).alias("kept"))
     rest = stats.where("base_failed").select(*keep, *BASE, "base_failed", F.lit(None).cast("double").alias("distance"), F.lit(False).alias("kept"))
@@ -190,52 +232,69 @@ def outlier_rules(docs: DataFrame) -> DataFrame:
     return judge(docs, ["doc_id"])
 
 
-def sql() -> str:
-    """The same over whole tables as DuckDB SQL."""
-    p = range(1, len(STATS) + 1)
-    tri = [(r, c) for r in p for c in range(1, r + 1)]
-    d2 = " + ".join("power(" + " + ".join(f"i{r}{c} * ({STATS[c - 1]} - m{c})" for c in range(1, r + 1)) + ", 2)" for r in p)
+def sql(steps: int = 10) -> str:
+    """The same over whole tables as DuckDB SQL, for data whose determinants stand still after ``steps``."""
+    d2 = " + ".join("power(" + " + ".join(f"i{r}{c} * ({STATS[c - 1]} - m{c})" for c in range(1, r + 1)) + ", 2)" for r in P)
+    floor = {r: repr(SCALE_FLOOR[r - 1] ** 2) for r in P}
 
     def median_of(name: str, source: str, values: list[str], out: str) -> str:
-        cells = " UNION ALL ".join(f"SELECT grp, {i} AS k, least(greatest(floor({v} * {FINE}), -{MAX_FINE}), {MAX_FINE}) AS b FROM {source}" for i, v in enumerate(values, 1))
-        return f"""{name} AS MATERIALIZED (SELECT grp, {", ".join(f"max(v) FILTER (k = {i}) AS {out}{i}" for i in p)} FROM (
+        cells = " UNION ALL ".join(f"SELECT grp, {i} AS k, floor({v} * {FINE}) AS b FROM {source}" for i, v in enumerate(values, 1))
+        return f"""{name} AS MATERIALIZED (SELECT grp, {", ".join(f"max(v) FILTER (k = {i}) AS {out}{i}" for i in P)} FROM (
   SELECT grp, k, (min(b) + 0.5) / {FINE} AS v FROM (SELECT *, sum(n) OVER (PARTITION BY grp, k ORDER BY b) AS run, sum(n) OVER (PARTITION BY grp, k) AS total
     FROM (SELECT grp, k, b, count(*) AS n FROM ({cells}) GROUP BY ALL)) WHERE 2 * run >= total GROUP BY grp, k) GROUP BY grp)"""
 
-    def factor(name: str, source: str) -> str:
-        inner = f"SELECT * FROM {source}"
-        for r, c in tri:
+    def factor(name: str, source: str, also: str = "") -> str:
+        inner = f"SELECT * FROM ({source})"
+        for r, c in TRIANGLE:
             x = f"c{r}{c}" + "".join(f" - l{r}{k} * l{c}{k}" for k in range(1, c))
             inner = f"SELECT *, {f'sqrt(greatest({x}, 1e-12))' if r == c else f'({x}) / l{c}{c}'} AS l{r}{c} FROM ({inner})"
-        for c in p:
-            for r in range(c, p[-1] + 1):
+        for c in P:
+            for r in range(c, P[-1] + 1):
                 x = f"1 / l{r}{r}" if r == c else "(0.0" + "".join(f" - l{r}{k} * i{k}{c}" for k in range(c, r)) + f") / l{r}{r}"
                 inner = f"SELECT *, {x} AS i{r}{c} FROM ({inner})"
-        return f"{name} AS MATERIALIZED (SELECT grp, {', '.join(f'm{r}' for r in p)}, {', '.join(f'i{r}{c}' for r, c in tri)} FROM ({inner}))"
+        return f"{name} AS MATERIALIZED (SELECT * EXCLUDE ({', '.join(f'l{r}{c}' for r, c in TRIANGLE)}), 2 * ({' + '.join(f'ln(l{r}{r})' for r in P)}) AS det{also} FROM ({inner}))"
+
+    def start(k: int) -> str:
+        cells = []
+        for r, c in TRIANGLE:
+            x = f"{'-td'[k]}{r}{c} * s{r} * s{c}" if k else (f"s{r} * s{r}" if r == c else "0.0")
+            cells.append(f"{x}{f' + {floor[r]}' if r == c else ''} AS c{r}{c}")
+        return f"SELECT grp, {k} AS start, n, {', '.join(f'm{r}' for r in P)}, {', '.join(cells)} FROM sums"
 
+    part = lambda c: f"coalesce(length({c}) || '=' || {c}, '-')"
     parts = [
-        r"""d AS MATERIALIZED (SELECT row_number() OVER () AS row_id, doc_id, coalesce('=' || lang, '-') AS of_lang, coalesce('=' || lang, '-') || '|' || coalesce('=' || source, '-') AS both_of,
+        rf"""d AS MATERIALIZED (SELECT row_number() OVER () AS row_id, doc_id, '0' AS g0, '1' || {part("lang")} AS g1, '2' || {part("lang")} || '|' || {part("source")} AS g2,
   coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents)""",
         "g AS (SELECT row_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT row_id, w, unnest(range(1, len(w) - 1)) AS i FROM d))",
         "rep AS (SELECT row_id, count(DISTINCT pos) AS n FROM (SELECT row_id, unnest([i, i + 1, i + 2]) AS pos FROM (SELECT *, count(*) OVER (PARTITION BY row_id, g) AS c FROM g) WHERE c > 1) GROUP BY row_id)",
-        "b AS MATERIALIZED (SELECT doc_id, of_lang, both_of, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words FROM d LEFT JOIN rep USING (row_id))",
-        f"z AS MATERIALIZED (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, round(ln(greatest(word_chars, 1) / greatest(n_words, 1)), 6) AS z1, round(sqrt(n_symbols / greatest(n_words, 1)), 6) AS z2, round(asin(sqrt(n_dup_lines / greatest(n_lines, 1))), 6) AS z3, round(asin(sqrt(n_repeat_words / greatest(n_words, 1))), 6) AS z4 FROM b)",
-        f"f AS MATERIALIZED (SELECT *, CASE WHEN count(*) OVER (PARTITION BY both_of) >= {MIN_GROUP} THEN both_of WHEN count(*) OVER (PARTITION BY of_lang) >= {MIN_GROUP} THEN of_lang ELSE '*' END AS grp FROM z WHERE NOT base_failed)",
-        median_of("centre", "f", list(STATS), "m"),
-        median_of("spread", "(SELECT * FROM f JOIN centre USING (grp))", [f"abs(z{i} - m{i})" for i in p], "s"),
-        f"c0 AS (SELECT grp, {', '.join(f'm{r}' for r in p)}, {', '.join(f'power(1.4826 * s{r}, 2) + {SCALE_FLOOR[r - 1] ** 2!r} AS c{r}{c}' if r == c else f'0.0 AS c{r}{c}' for r, c in tri)} FROM centre JOIN spread USING (grp))",
-        factor("e0", "c0"),
+        "b AS MATERIALIZED (SELECT doc_id, g0, g1, g2, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words FROM d LEFT JOIN rep USING (row_id))",
+        "z AS MATERIALIZED (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, round(ln(greatest(word_chars, 1) / greatest(n_words, 1)), 6) AS z1, round(sqrt(n_symbols / greatest(n_words, 1)), 6) AS z2, round(asin(sqrt(n_dup_lines / greatest(n_lines, 1))), 6) AS z3, round(asin(sqrt(n_repeat_words / greatest(n_words, 1))), 6) AS z4 FROM b)",
+        "f AS MATERIALIZED (SELECT * FROM z WHERE NOT base_failed)",
+        "r AS MATERIALIZED (SELECT unnest([g0, g1, g2]) AS grp, z1, z2, z3, z4 FROM f)",
+        median_of("centre", "r", list(STATS), "m"),
+        median_of("spread", "(SELECT * FROM r JOIN centre USING (grp))", [f"abs(z{i} - m{i})" for i in P], "s"),
+        f"scale AS MATERIALIZED (SELECT grp, {', '.join(f'm{r}' for r in P)}, {', '.join(f'sqrt(power(1.4826 * s{r}, 2) + {floor[r]}) AS s{r}' for r in P)} FROM centre JOIN spread USING (grp))",
+        f"u AS MATERIALIZED (SELECT *, greatest(sqrt({' + '.join(f'u{r} * u{r}' for r in P)}), 1e-9) AS u FROM (SELECT grp, {', '.join(f'(z{r} - m{r}) / s{r} AS u{r}' for r in P)} FROM r JOIN scale USING (grp)))",
+        f"sums AS MATERIALIZED (SELECT * FROM scale JOIN (SELECT grp, count(*) AS n, {', '.join(f'avg(tanh(u{r}) * tanh(u{c})) AS t{r}{c}' for r, c in TRIANGLE)}, {', '.join(f'{len(STATS)} * avg(u{r} / u * u{c} / u) AS d{r}{c}' for r, c in TRIANGLE)} FROM u GROUP BY grp) USING (grp))",
+        factor("x0", " UNION ALL ".join(start(k) for k in range(STARTS))),
+        "e0 AS MATERIALIZED (SELECT * REPLACE (CAST('inf' AS DOUBLE) AS det), true AS live FROM x0)",
     ]
-    for s in range(STEPS):
+    for s in range(steps):
+        moved = ", ".join(f"CASE WHEN n.det < e.det - {GAIN} THEN n.{c} ELSE e.{c} END AS {c}" for c in [*ESTIMATE, *FACTOR, "det"])
         parts += [
-            f"""bins{s} AS (SELECT grp, bin, count(*) AS n, {", ".join(f"sum(z{r} - m{r}) AS u{r}" for r in p)}, {", ".join(f"sum((z{r} - m{r}) * (z{c} - m{c})) AS v{r}{c}" for r, c in tri)} FROM (
-  SELECT *, least(floor({BIN} * ln(1 + {d2})), {MAX_BIN}) AS bin FROM f JOIN e{s} USING (grp)) GROUP BY grp, bin)""",
-            f"""sums{s} AS (SELECT grp, sum(n) AS n, {", ".join(f"sum(u{r}) AS u{r}" for r in p)}, {", ".join(f"sum(v{r}{c}) AS v{r}{c}" for r, c in tri)} FROM (
-  SELECT *, coalesce(sum(n) OVER (PARTITION BY grp ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prior, sum(n) OVER (PARTITION BY grp) AS total FROM bins{s}) WHERE prior < ceil({SUPPORT} * total) GROUP BY grp)""",
-            f"c{s + 1} AS (SELECT grp, {', '.join(f'm{r} + u{r} / n AS m{r}' for r in p)}, {', '.join(f'{CONSISTENCY!r} * (v{r}{c} / n - u{r} * u{c} / n / n)' + (f' + {SCALE_FLOOR[r - 1] ** 2!r}' if r == c else '') + f' AS c{r}{c}' for r, c in tri)} FROM sums{s} JOIN e{s} USING (grp))",
-            factor(f"e{s + 1}", f"c{s + 1}"),
+            f"""bins{s} AS (SELECT grp, start, bin, count(*) AS k, {", ".join(f"sum(z{r} - m{r}) AS u{r}" for r in P)}, {", ".join(f"sum((z{r} - m{r}) * (z{c} - m{c})) AS v{r}{c}" for r, c in TRIANGLE)} FROM (
+  SELECT *, floor({BIN} * ln(1 + {d2})) AS bin FROM r JOIN e{s} USING (grp) WHERE live) GROUP BY grp, start, bin)""",
+            f"""sums{s} AS (SELECT grp, start, sum(k) AS k, {", ".join(f"sum(u{r}) AS u{r}" for r in P)}, {", ".join(f"sum(v{r}{c}) AS v{r}{c}" for r, c in TRIANGLE)} FROM (
+  SELECT *, coalesce(sum(k) OVER (PARTITION BY grp, start ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prior, sum(k) OVER (PARTITION BY grp, start) AS total FROM bins{s}) WHERE prior < ceil({SUPPORT} * total) GROUP BY grp, start)""",
+            factor(f"x{s + 1}", f"SELECT grp, start, n, {', '.join(f'm{r} + u{r} / k AS m{r}' for r in P)}, {', '.join(f'{CONSISTENCY!r} * (v{r}{c} / k - u{r} * u{c} / k / k)' + (f' + {floor[r]}' if r == c else '') + f' AS c{r}{c}' for r, c in TRIANGLE)} FROM sums{s} JOIN (SELECT grp, start, n, {', '.join(f'm{r}' for r in P)} FROM e{s}) USING (grp, start)"),
+            f"e{s + 1} AS MATERIALIZED (SELECT e.grp, e.start, e.n, {moved}, coalesce(n.det < e.det - {GAIN}, false) AS live FROM e{s} e LEFT JOIN x{s + 1} n USING (grp, start))",
         ]
+    mixed = ", ".join(f"o.n / (o.n + {PRIOR}) * o.{c} + (1 - o.n / (o.n + {PRIOR})) * (l.n / (l.n + {PRIOR}) * l.{c} + (1 - l.n / (l.n + {PRIOR})) * a.{c}) AS {c}" for c in ESTIMATE)
+    parts += [
+        f"best AS MATERIALIZED (SELECT * FROM e{steps} QUALIFY row_number() OVER (PARTITION BY grp ORDER BY det, start) = 1)",
+        factor("own", f"SELECT g2, {mixed} FROM (SELECT DISTINCT g0, g1, g2 FROM f) JOIN best o ON o.grp = g2 JOIN best l ON l.grp = g1 JOIN best a ON a.grp = g0"),
+    ]
     out = ", ".join(f"CAST({x} AS BIGINT) AS {x}" for x in BASE)
     return f"""WITH {", ".join(parts)}
-SELECT doc_id, {out}, base_failed, round(sqrt(d2), 4) AS distance, coalesce(d2 <= {CUTOFF!r}, true) AS kept FROM (SELECT *, round({d2}, 6) AS d2 FROM f JOIN e{STEPS} USING (grp))
+SELECT doc_id, {out}, base_failed, round(sqrt(d2), 4) AS distance, coalesce(d2 <= {CUTOFF!r}, true) AS kept FROM (SELECT *, round({d2}, 6) AS d2 FROM f JOIN own USING (g2))
 UNION ALL SELECT doc_id, {out}, base_failed, NULL, false FROM z WHERE base_failed"""

@@ -115,13 +115,42 @@ def test_mcd_is_robust(spark):
     clean, bad = rng.normal(0, 1, (400, 4)), rng.normal(12, 0.5, (130, 4))
     rows = [("g", *map(float, x)) for x in np.vstack([clean, bad])]
     df = spark.createDataFrame(rows, "grp string, z1 double, z2 double, z3 double, z4 double")
-    e = mcd.fit(df, support=0.7).first()
+    fitted = mcd.factored(mcd.fit(df, support=0.7).drop("det"))
+    e = fitted.first()
     assert all(abs(e[f"m{i}"]) < 0.4 for i in range(1, 5))
-    d2 = df.crossJoin(mcd.fit(df, support=0.7).drop("grp")).select("z1", mcd.squared(df).alias("d2"))
+    d2 = df.crossJoin(fitted.drop("grp")).select("z1", mcd.squared(df).alias("d2"))
     assert d2.where((F.col("z1") > 8) & (F.col("d2") <= mcd.CUTOFF)).count() == 0
     assert d2.where((F.col("z1") < 5) & (F.col("d2") > mcd.CUTOFF)).count() <= 4
 
 
+def test_mcd_finds_the_least_determinant(spark):
+    """Small groups against every subset of their rows: no determinant is lower than brute force's, few are higher."""
+    from itertools import combinations
+
+    rng = np.random.default_rng(2)
+    groups = {f"g{k}": np.vstack([rng.normal(0, 1, (9, 4)), rng.normal(15, 1, (3, 4))]).round(6) for k in range(12)}
+    df = spark.createDataFrame([(g, *map(float, x)) for g, v in groups.items() for x in v], "grp string, z1 double, z2 double, z3 double, z4 double")
+    got = {r["grp"]: r for r in mcd.fit(df).collect()}
+    floor = np.diag(np.square(mcd.SCALE_FLOOR))
+    exact = 0
+    for g, v in groups.items():
+        best = min(np.linalg.slogdet(mcd.CONSISTENCY * np.cov(v[[*some]].T, bias=True) + floor)[1] for some in combinations(range(12), 9))
+        assert got[g]["det"] > best - 1e-6
+        assert np.abs([got[g][f"m{i}"] for i in range(1, 5)]).max() < 3  # the gross outliers are outside
+        exact += got[g]["det"] < best + 1e-6
+    assert exact >= 10
+
+
+def test_small_groups_lean_on_their_language(spark):
+    """Junk that is its source's only row is judged by the language, whatever its own estimate."""
+    rng = np.random.default_rng(4)
+    rows = [("0", "1en", "2en|big", *map(float, x)) for x in rng.normal(0, 0.1, (300, 4))] + [("0", "1en", f"2en|junk{k}", 3.0 + k, 3.0, 0.0, 0.0) for k in range(3)]
+    df = spark.createDataFrame(rows, "_all string, _lang string, _own string, z1 double, z2 double, z3 double, z4 double")
+    scored = df.join(mcd.estimates(df), "_own")
+    far = scored.where(mcd.squared(scored) > mcd.CUTOFF).collect()
+    assert sorted(r["_own"] for r in far) == ["2en|junk0", "2en|junk1", "2en|junk2"]
+
+
 # 3 -----------------------------------------------------------------------------------------------------------------
 
 
