@@ -5,12 +5,14 @@ difference of both sizes over their sum is the only input of a logistic calibrat
 ids are never inputs of a score.
 
 Fitted on a bounded sample of labelled rows: SAMPLE_ROWS of each class, those with the least hash of their id, of at
-most SAMPLE_TEXT_BYTES each. Three of four make the dictionaries, the others calibrate, weighted to the class shares of
-all labelled training rows. Every row is scored over its whole text.
+most SAMPLE_TEXT_BYTES each, in that order as far as SAMPLE_BYTES go. Of each class three texts of four make the
+dictionary, the others calibrate, weighted to the class shares of all labelled training rows. Every row is scored over
+its whole text.
 
 Cases: null texts count as empty, an empty text has difference 0; a null label is no label; a document labelled both
-ways counts as bad; repeated rows get equal scores; without labels of both classes every score is 0.5; extra columns
-pass through; an empty table gives an empty one.
+ways counts as bad; repeated rows get equal scores; without labelled texts of both classes every score is 0.5; where the
+library can't train on so few texts, their last bytes are the dictionary as they are (none where there are no bytes);
+extra columns pass through; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -21,12 +23,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from cellgrain.llm.common import crc_fold
 from cellgrain.llm.media import pieces
 
-SAMPLE_ROWS, SAMPLE_TEXT_BYTES, DICT_BYTES, LEVEL, BLOCK, THRESHOLD = 2000, 128 << 10, 64 << 10, 3, 4096, 0.3
+SAMPLE_ROWS, SAMPLE_TEXT_BYTES, SAMPLE_BYTES = 2000, 128 << 10, 24 << 20
+DICT_BYTES, LEVEL, BLOCK, THRESHOLD = 64 << 10, 3, 4096, 0.3
 
 
 def dictionary(texts: list[bytes], size: int = DICT_BYTES) -> bytes:
@@ -85,14 +88,17 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, label: str = "quality
     order = F.xxhash64("doc_id")
     # `rows` ids of each class, by construction: small enough to broadcast.
     picked = known.where("_y = 0").orderBy(order, "doc_id").limit(rows).unionByName(known.where("_y = 1").orderBy(order, "doc_id").limit(rows))
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.octet_length("text") <= SAMPLE_TEXT_BYTES)
-    # Ids may repeat: two texts for each picked label at most, by hash again.
-    few = texts.join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id", "text"]).orderBy(order, "doc_id", F.xxhash64("text")).limit(4 * rows)
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumns({"_size": F.octet_length("text"), "_text_hash": F.xxhash64("text")}).where(F.col("_size") <= SAMPLE_TEXT_BYTES)
+    # Ids may repeat: their distinct texts by hash again, 4 * rows in all. Sizes are summed before any text moves.
+    sizes = texts.drop("text").join(F.broadcast(picked), "doc_id").distinct().orderBy(order, "doc_id", "_text_hash").limit(4 * rows)
+    so_far = F.sum("_size").over(Window.partitionBy("_y").orderBy(order, "doc_id", "_text_hash"))
+    few = sizes.withColumn("_so_far", so_far).where(F.col("_so_far") <= SAMPLE_BYTES).select("doc_id", "_text_hash", "_y")
+    few = texts.join(F.broadcast(few), ["doc_id", "_text_hash"]).dropDuplicates(["doc_id", "_text_hash"])
     sample = sorted(((r["doc_id"], r["_y"], r["text"].encode()) for r in few.collect()), key=lambda r: (r[0], r[2]))
     of = {y: [t for _, k, t in sample if k == y] for y in (0, 1)}
     if not of[0] or not of[1]:
         return None
-    learn = {y: [t for i, t in enumerate(v) if i % 4 or len(v) < 8] for y, v in of.items()}
+    learn = {y: [t for i, t in enumerate(v) if i % 4] for y, v in of.items()}
     held = {y: v[::4] for y, v in of.items()}
     good, bad = dictionary(learn[1]), dictionary(learn[0])
     sizes = Sizes(good, bad)

@@ -163,6 +163,60 @@ def test_classifier_on_held_out_labels(spark):
     assert np.mean([x["predicted"] == 1 for x in scored if x["quality"] == 1]) > 0.95
 
 
+@pytest.mark.parametrize("sf", [SF, "/root/testdata/sf0.01"])
+def test_classifier_brute_force(spark, sf):
+    """Every score from the labels on: sample, dictionaries, sizes, and the calibration by plain descent."""
+    import struct
+
+    import xxhash
+    import zstandard
+
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    quality = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect() if r["quality"] is not None}
+    known = {i: y for i, y in quality.items() if zlib.crc32(str(i).encode()) % 5}
+    hashed = lambda i: (xxhash.xxh64_intdigest(struct.pack("<q", i), 42) + (1 << 63)) % (1 << 64)
+    of = {}
+    for y in (0, 1):
+        picked = sorted((i for i, k in known.items() if k == y), key=hashed)[: zstdclf.SAMPLE_ROWS]
+        of[y] = [texts[i].encode() for i in sorted(picked) if i in texts]
+    compressors = {}
+    for y, v in of.items():
+        blocks = [t[k : k + 4096] for n, t in enumerate(v) if n % 4 for k in range(0, len(t), 4096)]
+        try:
+            data = zstandard.train_dictionary(64 << 10, blocks, level=3).as_bytes()
+        except zstandard.ZstdError:
+            assert sf == SF  # too few to train on
+            data = b"".join(t for n, t in enumerate(v) if n % 4)[-(64 << 10) :]
+        compressors[y] = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(data), level=3, write_content_size=False, write_checksum=False, write_dict_id=False)
+    size = lambda y, t: sum(len(compressors[y].compress(t[k : k + 4096])) for k in range(0, len(t), 4096))
+    difference = lambda t: (size(0, t) - size(1, t)) / (size(0, t) + size(1, t)) if t else 0.0
+    x = np.array([difference(t) for y in (0, 1) for t in of[y][::4]])
+    y = np.array([y for y in (0, 1) for _ in of[y][::4]])
+    share = sum(known.values()) / len(known)
+    weight = np.where(y == 1, share / y.sum(), (1 - share) / (1 - y).sum()) * len(y)
+    scale = math.sqrt((x * x).mean())
+    a, c = 0.0, 0.0
+    for _ in range(400_000):
+        p = 1 / (1 + np.exp(-(a * x / scale + c)))
+        da, dc = (weight * (p - y) * x / scale).sum() + 1e-3 * a, (weight * (p - y)).sum() + 1e-3 * c
+        a, c = a - 0.5 * da / len(y), c - 0.5 * dc / len(y)
+        if abs(da) + abs(dc) < 1e-7:
+            break
+    got = {r["doc_id"]: r for r in entry.op3(spark, sf).collect()}
+    assert set(got) == set(texts)
+    for i, t in texts.items():
+        want = 1 / (1 + math.exp(-max(-30.0, min(30.0, a * difference(t.encode()) / scale + c))))
+        assert got[i]["score"] == pytest.approx(want, abs=1e-4)
+
+
+def test_sample_is_bounded_in_bytes(spark, docs, monkeypatch):
+    seen = []
+    monkeypatch.setattr(zstdclf, "dictionary", lambda texts: seen.append(sum(map(len, texts))) or b"")
+    monkeypatch.setattr(zstdclf, "SAMPLE_BYTES", 30_000)
+    zstdclf.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"), F.lit(True))
+    assert len(seen) == 2 and all(0 < n <= 30_000 for n in seen)
+
+
 # 4 -----------------------------------------------------------------------------------------------------------------
 
 
