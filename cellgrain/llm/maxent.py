@@ -1,106 +1,136 @@
 """Language-model scores by a hashed maximum-entropy model with a class-factored softmax.
 
-P(word | history) = P(class | history) * P(word | class). The most frequent words and the end of a text
-are classes of their own, other words, known or not, share classes by their last bytes. The class softmax has weights for
-hashed n-gram features (the last word's bucket, the bucket pair) and a skip feature (the word before it). Within its class a
-word has its smoothed share of the class's training tokens; a shared class keeps one count for its unknown words.
-
-Training reads all training texts: word counts, then counts of (history, class), both by grouped sums. Each update is
-a distributed gradient: partitions of the history table emit their part of it, which Spark sums by feature. Scoring
-looks up the sparse features of a batch of tokens in numpy. Words under the HOT most frequent meet their counts in a
-shuffle join.
-
-Cases: a null text is empty and has its end only; a null id counts as an empty text for the fold; repeated rows
-score alike; without training rows every token is unknown and class shares are uniform; extra columns are left out; an
-empty table gives an empty one.
+P(word | history) = P(class | history) * P(word | class). The most frequent words and the end of a text are classes of
+their own. Other words, known or not, share classes by the bucket of their last bytes; buckets whose neighbours in the
+training texts are alike (those of one language, mostly) are put into one class by weighted k-means.
+
+The class softmax has weights for hashed n-gram features (the last word's bucket, the bucket with its context) and skip
+features (the group of the word before it, with the group that most of the WINDOW words before belong to). It is mixed
+with the plain class shares; how far is chosen on a part of the training texts whose counts don't train the weights.
+Within its class a word has its smoothed share of the class's training tokens (a factor without features); a shared
+class keeps one count for its unknown words.
+
+Training reads all training texts: word counts, neighbours of buckets, then counts of (history, class), by grouped
+sums. The number of buckets, and so of features and histories, grows with the cube root of the training tokens. Each
+update is a distributed gradient: partitions of the history table emit their part of it, which Spark sums by feature.
+Scoring looks up the sparse features of a batch of tokens in numpy. Words under the HOT most frequent meet their counts
+in a shuffle join; none of them has more than a small share of the rows, because HOT others are more frequent.
+
+Cases: a null text is empty and has its end only; a null id counts as an empty text for the fold; a word of over
+MAX_WORD bytes goes by a 128-bit digest, whatever its frequency; repeated rows score alike; without training rows every
+token is unknown and class shares are uniform; extra columns are left out; an empty table gives an empty one.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from cellgrain.llm.common import crc_fold, cut, table
 from cellgrain.llm.hilbert import mix
 from cellgrain.llm.media import pieces
 
-#: Classes: the end, OWN frequent words, SHARED classes of the other words by suffix.
-OWN, SHARED, HOT, MAX_WORD = 31, 32, 20_000, 64
+#: Classes: the end, OWN frequent words, SHARED classes of the other words.
+OWN, SHARED, HOT, MAX_WORD = 31, 32, 50_000, 64
 CLASSES = 1 + OWN + SHARED
-#: Buckets of the last word and of the word before it; features of both, and of the hashed pair.
-LAST, SKIP, PAIR = 512, 128, 4096
-FEATURES = LAST + SKIP + PAIR + 1
-UPDATES, RATE, RIDGE, FLUSH = 12, 1.0, 1e-6, 200_000
-#: Features of a block of the gradient, and partitions of the history table (it has at most LAST * SKIP rows).
-BLOCK, PARTS = 256, 8
+#: Buckets of last bytes, and of their neighbours; groups of buckets (and one number for none) and words that vote.
+SUFFIX, NEAR, GROUPS, WINDOW = 4096, 256, 8, 8
+NONE = GROUPS
+UPDATES, RATE, RIDGE, FLUSH = 12, 0.6, 1.0, 200_000
+#: Histories of a row of the history table, features of a block of the gradient, and partial sums of one array.
+ROW, BLOCK, PARTIAL = 512, 256, 256
+#: Shares of the softmax that are tried, one text in VALIDATE chooses, and rows of a hash table in the join.
+SHARES, VALIDATE, JOIN_ROWS = (*(k / 20 for k in range(20)), 0.98), 10, 500_000
 
 
 def tokens(text: str | None) -> list[bytes]:
-    """Words between ASCII white space, with A-Z lower-cased, and one end."""
-    return [*(text or "").encode("utf-8", "surrogatepass").lower().split(), b""]
+    """Words between ASCII white space, with A-Z lower-cased, and one end. Long words are replaced by a space and their
+    digest."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if words and max(map(len, words)) > MAX_WORD:
+        words = [w if len(w) <= MAX_WORD else b" " + xxhash.xxh3_128_digest(w) for w in words]
+    return [*words, b""]
 
 
 def hash_of(word: bytes) -> int:
     """A fixed hash of a word (Python's own differs between processes)."""
-    import xxhash
-
     return xxhash.xxh64_intdigest(word, 42)
 
 
-class Codes(dict):
+def bucket(word: bytes) -> int:
+    return hash_of(word[-3:]) % SUFFIX
+
+
+class Memo(dict):
     """Words met so far, up to FLUSH of them; others are computed each time."""
 
-    def __init__(self, own: list[bytes]):
+    def __init__(self, f: Callable[[bytes], int]):
         super().__init__()
-        self.own = {w: 1 + i for i, w in enumerate(own)}
+        self.f = f
 
     def __missing__(self, w: bytes) -> int:
-        h = hash_of(w)
-        c = 1 + OWN + hash_of(w[-3:]) % SHARED if w else 0
-        code = (self.own.get(w, c) * LAST + h % LAST) * SKIP + (h >> 32) % SKIP
+        x = self.f(w)
         if len(self) < FLUSH:
-            self[w] = code
-        return code
-
-
-class Words:
-    """Per word: its class and its two buckets as one number."""
-
-    def __init__(self, own: list[bytes]):
-        self.memo = Codes(own)
-
-    def codes(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))
-
-
-def histories(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of one text: the history number of each token (last bucket, bucket before it) and its class. A text begins
-    after two ends."""
-    last, skip, cls = codes // SKIP % LAST, codes % SKIP, codes // SKIP // LAST
-    start = hash_of(b"")
-    last = np.concatenate(([start % LAST], last[:-1]))
-    skip = np.concatenate(([(start >> 32) % SKIP] * 2, skip))[: len(codes)]
-    return last * SKIP + skip, cls
-
-
-def features(history: np.ndarray) -> np.ndarray:
-    """The three feature rows of a history."""
-    pair = (mix(history, 11) % np.uint64(PAIR)).astype(np.int64)
-    return np.stack([history // SKIP, LAST + history % SKIP, LAST + SKIP + pair], axis=1)
-
-
-def log_softmax(weights: np.ndarray, history: np.ndarray) -> np.ndarray:
-    """Log class shares of histories, one row each."""
-    f = features(history)
-    z = weights[f[:, 0]] + weights[f[:, 1]] + weights[f[:, 2]] + weights[-1]
-    z -= z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+            self[w] = x
+        return x
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+
+
+class Shape:
+    """How words and histories are numbered: ``last`` buckets of the last word, what is a class, what a group."""
+
+    def __init__(self, tokens: int, own: list[bytes], classes: np.ndarray, groups: np.ndarray):
+        self.last = 1 << max(6, math.ceil(math.log2(max(tokens, 1)) / 3))
+        self.pair, self.own, self.classes, self.groups = 8 * self.last, {w: 1 + i for i, w in enumerate(own)}, classes, groups
+        self.histories = self.last * (GROUPS + 1) ** 2
+        self.features = self.last + (GROUPS + 1) ** 2 + self.pair + 1
+
+    def code(self, w: bytes) -> int:
+        """Class, bucket and group of a word as one number."""
+        b = bucket(w)
+        cls = self.own.get(w, 1 + OWN + int(self.classes[b])) if w else 0
+        return (cls * self.last + hash_of(w) % self.last) * (GROUPS + 1) + (int(self.groups[b]) if w else NONE)
+
+    def class_of(self, codes: np.ndarray) -> np.ndarray:
+        return codes // (GROUPS + 1) // self.last
+
+    def of_text(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The history number of each token of a text and its class. A text begins after an end."""
+        group = codes % (GROUPS + 1)
+        last = np.concatenate(([hash_of(b"") % self.last], (codes // (GROUPS + 1) % self.last)[:-1]))
+        skip = np.concatenate(([NONE, NONE], group))[: len(codes)]
+        # Votes of the words before each place, as differences of running counts; the least group wins a tie.
+        at = np.arange(len(codes))
+        begin = np.maximum(at - WINDOW, 0)
+        best, context = np.zeros(len(codes), np.int64), np.full(len(codes), NONE)
+        for k in range(GROUPS):
+            run = np.concatenate(([0], np.cumsum(group == k)))
+            votes = run[at] - run[begin]
+            context[votes > best] = k
+            np.maximum(best, votes, out=best)
+        return (last * (GROUPS + 1) + skip) * (GROUPS + 1) + context, self.class_of(codes)
+
+    def rows(self, history: np.ndarray) -> np.ndarray:
+        """The three feature rows of histories."""
+        last, context, both = history // (GROUPS + 1) ** 2, history % (GROUPS + 1), history % (GROUPS + 1) ** 2
+        pair = (mix(last * (GROUPS + 1) + context, 11) % np.uint64(self.pair)).astype(np.int64)
+        return np.stack([last, self.last + both, self.last + (GROUPS + 1) ** 2 + pair], axis=1)
+
+    def log_softmax(self, weights: np.ndarray, history: np.ndarray) -> np.ndarray:
+        """Log class shares of histories, one row each."""
+        f = self.rows(history)
+        z = weights[f[:, 0]] + weights[f[:, 1]] + weights[f[:, 2]] + weights[-1]
+        z -= z.max(axis=1, keepdims=True)
+        return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
 
 
 def word_counts(train: DataFrame) -> DataFrame:
@@ -125,124 +155,212 @@ def word_counts(train: DataFrame) -> DataFrame:
     return train.select("text").mapInArrow(run, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c"))
 
 
-def class_counts(train: DataFrame, own: list[bytes]) -> DataFrame:
-    """history, cls, n over all texts."""
+def arrays_summed(parts: DataFrame) -> DataFrame:
+    """block, idx, n: sums of sparse arrays (idx unsigned 32-bit, n 64-bit) by block, in two levels, so that no task
+    holds the arrays of all others."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(own)
-        parts: list[np.ndarray] = []
-        total: dict[str, np.ndarray] = {}
-
-        def merge() -> None:
-            nonlocal parts
-            cells, n = np.unique(np.concatenate(parts), return_counts=True)
-            if total:
-                both, at = np.unique(np.concatenate([total["k"], cells]), return_inverse=True)
-                n = np.bincount(at, np.concatenate([total["n"], n]), len(both)).astype(np.int64)
-                cells = both
-            total["k"], total["n"] = cells, n
-            parts = []
+    def add(t: pa.Table) -> pa.Table:
+        idx = np.concatenate([np.frombuffer(x, "<u4") for x in t.column("idx").to_pylist()])
+        n = np.concatenate([np.frombuffer(x, "<f8") for x in t.column("n").to_pylist()])
+        cells, at = np.unique(idx, return_inverse=True)
+        return pa.table({"block": pa.array([t.column("block")[0].as_py()], pa.int32()), "idx": [cells.astype("<u4").tobytes()], "n": [np.bincount(at, n, len(cells)).astype("<f8").tobytes()]})
 
-        for whole in batches:
-            for b in pieces(whole, "text", 16 << 20):
-                for t in b.column("text"):
-                    h, c = histories(words.codes(tokens(t.as_py())))
-                    parts.append(h * CLASSES + c)
-                merge()
-        if total:
-            yield pa.RecordBatch.from_arrays([pa.array(total["k"] // CLASSES, pa.int64()), pa.array((total["k"] % CLASSES).astype(np.int32), pa.int32()), pa.array(total["n"], pa.int64())], names=["history", "cls", "n"])
+    schema = "block int, idx binary, n binary"
+    some = parts.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(PARTIAL))).groupBy("block", "_salt").applyInArrow(lambda t: add(t), schema)
+    return some.groupBy("block").applyInArrow(lambda t: add(t), schema)
 
-    return train.select("text").mapInArrow(run, "history long, cls int, n long").groupBy("history", "cls").agg(F.sum("n").alias("n"))
 
+def counted(train: DataFrame, cells_of: Callable[[list[bytes]], np.ndarray], width: int) -> DataFrame:
+    """block, idx, n: how often each number that ``cells_of`` gives for a text's tokens occurs over all texts; ``width``
+    numbers make a block."""
 
-def gradient(cells: DataFrame, weights: np.ndarray) -> tuple[np.ndarray, float]:
-    """Sum over all histories of observed less expected class counts by feature, and the log likelihood. ``cells`` has
-    a row a history: the classes seen and their counts. Tasks emit their part as arrays by block of BLOCK features,
-    which are summed by block."""
-    shared = cells.sparkSession.sparkContext.broadcast(weights)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: tuple[np.ndarray, np.ndarray] | None = None
+        for whole in batches:
+            for b in pieces(whole, "text", 16 << 20):
+                cells, n = np.unique(np.concatenate([cells_of(tokens(t.as_py())) for t in b.column("text")]), return_counts=True)
+                if total is not None:
+                    cells, at = np.unique(np.concatenate([total[0], cells]), return_inverse=True)
+                    n = np.bincount(at, np.concatenate([total[1], n]), len(cells))
+                total = cells, n
+        if total is not None and len(total[0]):
+            blocks, first = np.unique(total[0] // width, return_index=True)
+            ends = [*first[1:], len(total[0])]
+            idx, n = (total[0] % width).astype("<u4"), total[1].astype("<f8")
+            yield pa.RecordBatch.from_arrays([pa.array(blocks.astype(np.int32)), *(pa.array([x[a:b].tobytes() for a, b in zip(first, ends, strict=True)], pa.binary()) for x in (idx, n))], names=["block", "idx", "n"])
+
+    return arrays_summed(train.select("text").mapInArrow(run, "block int, idx binary, n binary"))
+
+
+def neighbours(train: DataFrame) -> np.ndarray:
+    """SUFFIX x NEAR counts: buckets beside each bucket of last bytes, over all texts."""
+    memo = Memo(bucket)
+
+    def cells(words: list[bytes]) -> np.ndarray:
+        s = memo.of(words[:-1])
+        return np.concatenate([s[1:] * NEAR + s[:-1] % NEAR, s[:-1] * NEAR + s[1:] % NEAR])
+
+    out = np.zeros(SUFFIX * NEAR)
+    for r in counted(train, cells, 64 * NEAR).collect():  # SUFFIX * NEAR numbers
+        out[r["block"] * 64 * NEAR + np.frombuffer(r["idx"], "<u4").astype(np.int64)] = np.frombuffer(r["n"], "<f8")
+    return out.reshape(SUFFIX, NEAR)
+
+
+def k_means(y: np.ndarray, weight: np.ndarray, k: int, rounds: int = 30) -> np.ndarray:
+    """Labels of weighted rows. Centres start from the heaviest row and then the row that is farthest, by weight, from
+    the centres so far; nothing is random."""
+    centres = [y[np.argmax(weight)]]
+    for _ in range(k - 1):
+        far = np.min([((y - c) ** 2).sum(axis=1) for c in centres], axis=0)
+        centres.append(y[np.argmax(far * weight)])
+    c = np.array(centres)
+    for _ in range(rounds):
+        label = ((y[:, None, :] - c[None]) ** 2).sum(axis=2).argmin(axis=1)
+        for j in range(k):
+            mine = label == j
+            if weight[mine].sum() > 0:
+                c[j] = np.average(y[mine], axis=0, weights=weight[mine])
+    return label
+
+
+def clusters(near: np.ndarray, dims: int = 6) -> tuple[np.ndarray, np.ndarray]:
+    """Class and group of each bucket: k-means along the directions in which neighbours differ most."""
+    mass = near.sum(axis=1)
+    if not mass.any():
+        return np.arange(SUFFIX) % SHARED, np.arange(SUFFIX) % GROUPS
+    x = np.sqrt(near / np.maximum(mass, 1)[:, None])
+    x = (x - np.average(x, axis=0, weights=mass)) * (mass / (mass + 50))[:, None]
+    _, axes = np.linalg.eigh((x * mass[:, None]).T @ x)
+    y = x @ axes[:, : -1 - dims : -1]
+    return k_means(y, mass, SHARED), k_means(y[:, :4], mass, GROUPS)
+
+
+def class_counts(train: DataFrame, shape: Shape) -> DataFrame:
+    """block, idx, n: counts of (history, class) over all texts, ROW histories a row."""
+    memo = Memo(shape.code)
+
+    def cells(words: list[bytes]) -> np.ndarray:
+        h, c = shape.of_text(memo.of(words))
+        return h * CLASSES + c
+
+    return counted(train, cells, ROW * CLASSES)
+
+
+def dense(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The histories of each row of a history table and their class counts."""
+    for block, idx, n in zip(b.column("block").to_pylist(), b.column("idx").to_pylist(), b.column("n").to_pylist(), strict=True):
+        seen = np.zeros(ROW * CLASSES)
+        seen[np.frombuffer(idx, "<u4")] = np.frombuffer(n, "<f8")
+        seen = seen.reshape(ROW, CLASSES)
+        there = np.flatnonzero(seen.any(axis=1))
+        yield block * ROW + there, seen[there]
+
+
+def by_feature(cells: DataFrame, shape: Shape, part: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, float]]) -> tuple[np.ndarray, float]:
+    """Sums, by feature, of a matrix that ``part`` gives for histories and their class counts (a row a history), and of
+    a number. Tasks emit their part as arrays by block of BLOCK features, which are summed by block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = shared.value
-        g, like = np.zeros((FEATURES, CLASSES)), 0.0
+        g, total = np.zeros((shape.features, CLASSES)), 0.0
         for b in batches:
-            history = b.column("history").to_numpy()
-            if not len(history):
-                continue
-            row = np.repeat(np.arange(len(history)), np.diff(b.column("cls").offsets.to_numpy()))
-            seen = np.zeros((len(history), CLASSES))
-            seen[row, b.column("cls").flatten().to_numpy()] = b.column("ns").flatten().to_numpy()
-            logs = log_softmax(w, history)
-            like += float((seen * logs).sum())
-            d = seen - np.exp(logs) * seen.sum(axis=1, keepdims=True)
-            f = features(history)
-            for k in range(3):
-                order = np.argsort(f[:, k], kind="stable")
-                rows, first = np.unique(f[order, k], return_index=True)
-                g[rows] += np.add.reduceat(d[order], first)
-            g[-1] += d.sum(axis=0)
-        rows = [i for i in range(0, FEATURES, BLOCK) if g[i : i + BLOCK].any()]
+            for history, seen in dense(b):
+                d, x = part(history, seen)
+                total += x
+                f = shape.rows(history)
+                for k in range(3):
+                    order = np.argsort(f[:, k], kind="stable")
+                    rows, first = np.unique(f[order, k], return_index=True)
+                    g[rows] += np.add.reduceat(d[order], first)
+                g[-1] += d.sum(axis=0)
+        rows = [i for i in range(0, shape.features, BLOCK) if g[i : i + BLOCK].any()]
         parts = [g[i : i + BLOCK].astype("<f4").tobytes() for i in rows]
-        yield pa.RecordBatch.from_arrays([pa.array([*rows, -1], pa.int32()), pa.array([*parts, np.array([like]).tobytes()], pa.binary())], names=["block", "g"])
+        yield pa.RecordBatch.from_arrays([pa.array([*rows, -1], pa.int32()), pa.array([*parts, np.array([total]).tobytes()], pa.binary())], names=["block", "g"])
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         kind = "<f8" if pdf["block"].iloc[0] < 0 else "<f4"
         total = np.sum([np.frombuffer(x, kind) for x in pdf["g"]], axis=0, dtype=np.float64)
         return pd.DataFrame({"block": pdf["block"].iloc[:1], "g": [total.tobytes()]})
 
-    g, like = np.zeros((FEATURES, CLASSES)), 0.0
-    for r in cells.mapInArrow(run, "block int, g binary").groupBy("block").applyInPandas(add, "block int, g binary").collect():  # FEATURES * CLASSES numbers
+    g, total = np.zeros((shape.features, CLASSES)), 0.0
+    for r in cells.mapInArrow(run, "block int, g binary").groupBy("block").applyInPandas(add, "block int, g binary").collect():  # features * CLASSES numbers
         x = np.frombuffer(r["g"], "<f8")
         if r["block"] < 0:
-            like = float(x[0])
+            total = float(x[0])
         else:
             g[r["block"] : r["block"] + BLOCK] = x.reshape(-1, CLASSES)
+    return g, total
+
+
+def gradient(cells: DataFrame, shape: Shape, weights: np.ndarray) -> tuple[np.ndarray, float]:
+    """Observed less expected class counts by feature, and the log likelihood."""
+    shared = cells.sparkSession.sparkContext.broadcast(weights)
+
+    def part(history: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, float]:
+        logs = shape.log_softmax(shared.value, history)
+        return seen - np.exp(logs) * seen.sum(axis=1, keepdims=True), float((seen * logs).sum())
+
+    out = by_feature(cells, shape, part)
     shared.destroy()
-    return g, like
+    return out
 
 
-def train_weights(cells: DataFrame, updates: int = UPDATES) -> np.ndarray:
+def train_weights(cells: DataFrame, shape: Shape, updates: int = UPDATES) -> np.ndarray:
     """Full-batch updates, scaled per feature by its tokens (a bound on the curvature)."""
-    w = np.zeros((FEATURES, CLASSES))
-    totals = cells.select("history", F.aggregate("ns", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"))
-    per_class = cells.select(F.explode(F.arrays_zip("cls", "ns")).alias("e")).groupBy("e.cls").agg(F.sum("e.ns").alias("n")).collect()
-    if not per_class:
-        return w.astype(np.float32)
-    shares = np.full(CLASSES, 0.5)
-    for r in per_class:
-        shares[r["cls"]] += r["n"]
-    w[-1] = np.log(shares / shares.sum())
-    mass = np.ones(FEATURES)
-    for name, x, n in (("last", F.expr(f"history div {SKIP}"), LAST), ("skip", F.expr(f"history % {SKIP} + {LAST}"), SKIP)):
-        for r in totals.groupBy(x.cast("int").alias("f")).agg(F.sum("n").alias("n")).collect():
-            mass[r["f"]] += r["n"]
+    seen, _ = by_feature(cells, shape, lambda history, seen: (seen, 0.0))
+    w = np.zeros((shape.features, CLASSES))
+    shares = seen[-1] + 0.5
     total = shares.sum()
-    mass[LAST + SKIP : -1] += total / PAIR
-    mass[-1] = 4 * total
-    momentum = np.zeros_like(w)
     share = shares / total
+    w[-1] = np.log(share)
+    # A feature's own class counts, and those expected of it before the first update, bound its part of the curvature.
+    bound = seen + seen.sum(axis=1)[:, None] * np.maximum(share, 1e-4)[None, :] + 20
+    bound[-1] *= 2
+    momentum = np.zeros_like(w)
     for _ in range(updates):
-        g, _like = gradient(cells, w + 0.7 * momentum)
-        # The class's own share bounds its part of the curvature; three features and the bias share a step.
-        step = RATE * (g - RIDGE * w) / (mass[:, None] * np.maximum(share, 1e-4)[None, :] + 20) / 2
+        g, _like = gradient(cells, shape, w + 0.7 * momentum)
+        pull = RIDGE * w
+        pull[-1] = 0
+        step = RATE * (g - pull) / bound  # three features and the bias share a step
         momentum = 0.7 * momentum + np.clip(step, -1, 1)
         w += momentum
     return w.astype(np.float32)
 
 
+def mixed(cells: DataFrame, shape: Shape, weights: np.ndarray, share: np.ndarray) -> float:
+    """The share of the softmax, of SHARES, under which these histories' classes are likeliest."""
+    shared = cells.sparkSession.sparkContext.broadcast(weights)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        like = np.zeros(len(SHARES))
+        for b in batches:
+            for history, seen in dense(b):
+                p = np.exp(shape.log_softmax(shared.value, history))
+                like += [(seen * np.log(a * p + (1 - a) * share)).sum() for a in SHARES]
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(SHARES)), pa.int32()), pa.array(like)], names=["k", "like"])
+
+    found = cells.mapInArrow(run, "k int, like double").groupBy("k").agg(F.sum("like").alias("like")).collect()
+    shared.destroy()
+    return SHARES[max(found, key=lambda r: (round(r["like"], 6), -r["k"]))["k"]] if any(r["like"] for r in found) else 0.0
+
+
 def model(train: DataFrame) -> dict:
-    """Counts (a table), N, V, the hot words' counts, class masses and weights."""
+    """Counts (a table), N, V, the hot words' counts, class masses, shape, weights and their share."""
+    spark = train.sparkSession
     counts = table(word_counts(train))
     n, v = (int(x or 0) for x in counts.agg(F.sum("c"), F.count("*")).first())
-    top = counts.where((F.octet_length("token") <= MAX_WORD)).orderBy(F.desc("c"), "token").limit(HOT).collect()  # HOT short words
+    top = counts.orderBy(F.desc("c"), "token").limit(HOT).collect()  # HOT words of MAX_WORD bytes at most
     hot = {bytes(r["token"]): r["c"] for r in top}
     own = [w for w in hot if w][:OWN]
-    cells = cut(class_counts(train, own).groupBy("history").agg(F.collect_list("cls").alias("cls"), F.collect_list("n").alias("ns")).repartition(PARTS, "history"))
-    weights = train_weights(cells)
+    shape = Shape(n, own, *clusters(neighbours(train)))
+    parts = max(8, shape.histories // (16 * ROW))
+    aside = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(VALIDATE)) == 0  # copies of a text are on one side
+    cells, check = (cut(class_counts(train.where(x), shape).repartition(parts, "block")) for x in (~aside, aside))
+    weights = train_weights(cells, shape)
 
     def masses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(own)
+        memo = Memo(shape.code)
         for b in batches:
-            c = words.codes(b.column("token").to_pylist()) // SKIP // LAST
+            c = shape.class_of(memo.of(b.column("token").to_pylist()))
             m = np.bincount(c, b.column("c").to_numpy() + 1.0, CLASSES)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES), pa.int32()), pa.array(m)], names=["cls", "m"])
 
@@ -250,27 +368,30 @@ def model(train: DataFrame) -> dict:
     for r in counts.mapInArrow(masses, "cls int, m double").groupBy("cls").agg(F.sum("m").alias("m")).collect():
         mass[r["cls"]] = r["m"]
     mass[1 + OWN :] += 1
-    return {"counts": counts, "n": n, "v": v, "hot": hot, "own": own, "mass": mass, "weights": weights, "floor": min(hot.values(), default=0) if len(hot) == HOT else 0}
+    share = mass / mass.sum()
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), v // JOIN_ROWS + 1)
+    return {"counts": counts, "n": n, "v": v, "hot": hot, "mass": mass, "share": share, "shape": shape, "weights": weights, "softmax": mixed(check, shape, weights, np.maximum(share, 1e-12)), "floor": min(hot.values(), default=0) if len(hot) == HOT else 0, "partitions": partitions}
 
 
 def score(docs: DataFrame, m: dict) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score of every row."""
     n, v = m["n"], m["v"]
     prior = np.log(np.maximum(m["mass"], 1.0) / (n + v + 1))
-    shared = docs.sparkSession.sparkContext.broadcast({"hot": m["hot"], "own": m["own"], "weights": m["weights"], "prior": prior})  # HOT words and FEATURES * CLASSES numbers
+    shared = docs.sparkSession.sparkContext.broadcast({k: m[k] for k in ("hot", "shape", "weights", "share", "softmax")})  # HOT words and features * CLASSES numbers
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x = shared.value
-        words, prior, weights = Words(x["own"]), x["prior"], x["weights"]
+        shape, weights, share = x["shape"], x["weights"], x["softmax"]
+        memo = Memo(shape.code)
         logs = {w: math.log10(c + 1) for w, c in x["hot"].items()}
         for whole in batches:
             for b in pieces(whole, "text", 2 << 20):
                 texts = [tokens(t.as_py()) for t in b.column("text")]
-                pairs = [histories(words.codes(t)) for t in texts]
+                pairs = [shape.of_text(memo.of(t)) for t in texts]
                 history, cls = (np.concatenate([p[i] for p in pairs]) for i in (0, 1))
                 which, at = np.unique(history, return_inverse=True)
-                shares = np.concatenate([log_softmax(weights, which[i : i + 4096]) for i in range(0, len(which), 4096)])
+                shares = np.concatenate([np.log(share * np.exp(shape.log_softmax(weights, which[i : i + 4096])) + (1 - share) * np.maximum(x["share"], 1e-12)) for i in range(0, len(which), 4096)])
                 sizes = np.array([len(t) for t in texts])
                 gain = np.add.reduceat(shares[at, cls] - prior[cls], np.cumsum(sizes) - sizes) / math.log(10)
                 base, known, rare, often, offsets = [], [], [], [], [0]
@@ -293,10 +414,10 @@ def score(docs: DataFrame, m: dict) -> DataFrame:
     rows = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, known long, base double, gain double, w array<binary>, f array<long>")
     rows = rows.withColumn("_row", F.monotonically_increasing_id())
     flat = rows.select("_row", "doc_id", "n_tokens", "known", "base", "gain", F.explode_outer(F.arrays_zip("w", "f")).alias("e")).select("_row", "doc_id", "n_tokens", "known", "base", "gain", F.col("e.w").alias("token"), F.col("e.f").alias("f"))
-    # Texts without rare words get a key of their own (no word holds a space), so that they aren't dealt to one task.
+    # Texts without rare words get a key of their own (a space and digits are no word's key), so that they aren't dealt to one task.
     flat = flat.withColumn("token", F.coalesce("token", F.concat(F.lit(" ").cast("binary"), F.col("_row").cast("string").cast("binary"))))
-    rest = m["counts"].where((F.col("c") <= m["floor"]) | (F.octet_length("token") > MAX_WORD))
-    met = flat.join(rest.hint("shuffle_hash"), "token", "left")  # the counts of a partition as hash table; the many rows aren't sorted
+    rest = m["counts"].where(F.col("c") <= m["floor"]).repartition(m["partitions"], "token")
+    met = flat.repartition(m["partitions"], "token").join(rest.hint("shuffle_hash"), "token", "left")  # JOIN_ROWS counts or so as hash table; the many rows aren't sorted
     once = lambda c: F.first(c).alias(c)
     out = met.groupBy("_row").agg(*map(once, ("doc_id", "n_tokens", "known", "base", "gain")), F.sum(F.when(F.col("c").isNotNull(), F.col("f")).otherwise(0)).alias("more"), F.sum(F.coalesce(F.col("f") * F.log10(F.col("c") + 1), F.lit(0.0))).alias("add"))
     base = F.col("base") + F.col("add") - F.col("n_tokens") * math.log10(n + v + 1)
