@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -15,12 +18,27 @@ SALT = 24
 SPACE = "[\\x20\\x09-\\x0D]+"
 
 
+@contextmanager
+def no_cycle_search() -> Iterator[None]:
+    """Python's search for reference cycles is off: it would walk lists of millions of words, which hold none."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; only where that is unset, one made for this session."""
+    """The folder in spark.checkpoint.dir; where that is unset, one made for this session on a local master, else an
+    error: executors don't see each other's disks."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path.rstrip("/")
     context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and the executors share")
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(tempfile.mkdtemp(prefix="cellgrain-"))
     return context._jsc.sc().getCheckpointDir().get().rstrip("/")

@@ -17,12 +17,13 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cellgrain.llm.common import prefix_sums, table
+from cellgrain.llm.common import no_cycle_search, prefix_sums, table
 from cellgrain.llm.media import pieces
 
 LENGTH, END, FEATURES, DIMS, BITS = 2048, 1, 1024, 4, 12
@@ -59,10 +60,11 @@ class Encoder:
         cutter = parts["pre_tokenizer"] or {}
         self.by_words = not parts["normalizer"] and cutter.get("type") == "ByteLevel" and cutter.get("use_regex", True) and not cutter.get("add_prefix_space")
         self.added = [x["content"] for x in parts["added_tokens"]]
-        self.words, self.solid, self.runs = regex.compile(self.PATTERN).findall, regex.compile(r" ?\S+").fullmatch, regex.compile(r"\s ").search
+        self.words, self.solid, self.space = regex.compile(self.PATTERN).findall, regex.compile(r" ?\S+").fullmatch, regex.compile(r"\s").fullmatch
         self.line = self.encoded(["\n"])[0]
         self.memo: dict[str, bytes] = {}
         self.agreed: set[str] = set()
+        self.spaces: set[str] = set()
 
     def agree(self, characters: set[str]) -> bool:
         """Whether both cut at these characters alike: after a letter, a digit and a sign, and before a word."""
@@ -74,6 +76,8 @@ class Encoder:
                 if [x[1][1] for x in self.library.pre_tokenizer.pre_tokenize_str(probe)] != at[1:]:
                     return False
             self.agreed.add(c)
+            if self.space(c):
+                self.spaces.add(c)
         return True
 
     def encoded(self, texts: list[str]) -> list[bytes]:
@@ -97,20 +101,26 @@ class Encoder:
 
     def cut(self, text: str) -> list[str] | None:
         """Words, or None for a text that isn't to be cut."""
-        if not self.by_words or not self.agree(set(text)) or any(x in text for x in self.added):
+        characters = set(text)
+        if not self.by_words or not self.agree(characters) or any(x in text for x in self.added):
             return None
-        return self.words(text) if "\0" in text or self.runs(text) else text.replace(" ", "\0 ").split("\0")
+        if "\0" in characters or any(c + " " in text for c in characters & self.spaces):
+            return self.words(text)
+        return text.replace(" ", "\0 ").split("\0")
 
     def ids(self, texts: list[str], end: int) -> list[np.ndarray]:
         last = array("I", [end]).tobytes()
         cut = [self.cut(t) for t in texts]
-        new = self.encoded_words(list(set().union(*filter(None, cut)).difference(self.memo)))
-        spare = list(new)[max(0, MEMO - len(self.memo)) :]
-        self.memo.update(new)
-        known = self.memo.__getitem__
-        out = [np.frombuffer((b"".join(map(known, words)) if words is not None else self.encoded([t])[0]) + last, "<u4") for t, words in zip(texts, cut, strict=True)]
-        for w in spare:
-            del self.memo[w]
+        known = [list(map(self.memo.get, words)) if words is not None else None for words in cut]
+        new = self.encoded_words(list({w for words, some in zip(cut, known, strict=True) if some and not all(some) for w, x in zip(words, some, strict=True) if x is None}))
+        self.memo.update(islice(new.items(), max(0, MEMO - len(self.memo))))
+        out = []
+        for text, words, some in zip(texts, cut, known, strict=True):
+            if words is None:
+                some = self.encoded([text])
+            elif not all(some):
+                some = [new[w] if x is None else x for w, x in zip(words, some, strict=True)]
+            out.append(np.frombuffer(b"".join(some) + last, "<u4"))
         return out
 
 
@@ -135,10 +145,8 @@ def directions(features: int = FEATURES, dims: int = DIMS) -> np.ndarray:
 
 
 def coordinates(counts: np.ndarray, axes: np.ndarray, bits: int = BITS) -> np.ndarray:
-    """Grid cell of a count vector: its damped, scaled projection, mapped from [-1, 1] to the grid."""
-    v = np.sqrt(counts)
-    n = np.sqrt((v * v).sum())
-    x = (v @ axes) / n if n else np.zeros(axes.shape[1])
+    """Grid cells of count vectors (rows): their damped, scaled projections, mapped from [-1, 1] to the grid."""
+    x = np.sqrt(counts) @ axes / np.sqrt(np.maximum(counts.sum(axis=1, keepdims=True), 1))
     # A random direction's projection is of order 1; tanh spreads the bulk over the grid and bounds the rest.
     return np.minimum((np.tanh(x / 2) + 1) / 2 * (1 << bits), (1 << bits) - 1).astype(np.int64)
 
@@ -177,8 +185,10 @@ def tokenized(docs: DataFrame, path: str | None = None, end: int = END) -> DataF
         feature = (mix(np.arange(of.size), 3) % np.uint64(FEATURES)).astype(np.int64)
         for whole in batches:
             for b in pieces(whole, "text", 4 << 20):
-                ids = of.ids([t or "" for t in b.column("text").to_pylist()], end)
-                cells = np.array([coordinates(np.bincount(feature[x], minlength=FEATURES), axes) for x in ids]).reshape(-1, DIMS)
+                with no_cycle_search():
+                    ids = of.ids([t or "" for t in b.column("text").to_pylist()], end)
+                counts = np.array([np.bincount(feature[x], minlength=FEATURES) for x in ids]).reshape(-1, FEATURES)
+                cells = coordinates(counts, axes)
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(hilbert_key(cells), pa.int64()), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())], names=["doc_id", "curve_key", "n", "ids"])
 
     kind = dict(docs.dtypes)["doc_id"]

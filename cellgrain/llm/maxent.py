@@ -26,6 +26,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -33,7 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from cellgrain.llm.common import crc_fold, cut, table
+from cellgrain.llm.common import crc_fold, cut, no_cycle_search, table
 from cellgrain.llm.hilbert import mix
 from cellgrain.llm.media import pieces
 
@@ -81,8 +82,10 @@ class Memo(dict):
             self[w] = x
         return x
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+    def of(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of all words of texts, one after another, and the texts' sizes."""
+        sizes = np.array([len(t) for t in texts], np.int64)
+        return np.fromiter(map(self.__getitem__, chain.from_iterable(texts)), np.int64, sizes.sum()), sizes
 
 
 class Shape:
@@ -103,18 +106,20 @@ class Shape:
     def class_of(self, codes: np.ndarray) -> np.ndarray:
         return codes // (GROUPS + 1) // self.last
 
-    def of_text(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The history number of each token of a text and its class. A text begins after an end."""
+    def of_texts(self, codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The history number of each token of texts of ``sizes`` tokens, one after another, and its class. A text
+        begins after an end."""
+        at = np.arange(len(codes))
+        start = np.repeat(np.cumsum(sizes) - sizes, sizes)
         group = codes % (GROUPS + 1)
-        last = np.concatenate(([hash_of(b"") % self.last], (codes // (GROUPS + 1) % self.last)[:-1]))
-        skip = np.concatenate(([NONE, NONE], group))[: len(codes)]
+        last = np.where(at > start, np.roll(codes // (GROUPS + 1) % self.last, 1), hash_of(b"") % self.last)
+        skip = np.where(at > start + 1, np.roll(group, 2), NONE)
         # Votes of the words before each place, as differences of running counts; the least group wins a tie.
-        at = np.arange(len(codes))
-        begin = np.maximum(at - WINDOW, 0)
-        best, context = np.zeros(len(codes), np.int64), np.full(len(codes), NONE)
+        begin = np.maximum(at - WINDOW, start)
+        best, context = np.zeros(len(codes), np.int32), np.full(len(codes), NONE, np.int64)
         for k in range(GROUPS):
-            run = np.concatenate(([0], np.cumsum(group == k)))
-            votes = run[at] - run[begin]
+            run = np.concatenate(([0], np.cumsum(group == k, dtype=np.int32)))
+            votes = run[:-1] - run[begin]
             context[votes > best] = k
             np.maximum(best, votes, out=best)
         return (last * (GROUPS + 1) + skip) * (GROUPS + 1) + context, self.class_of(codes)
@@ -170,15 +175,16 @@ def arrays_summed(parts: DataFrame) -> DataFrame:
     return some.groupBy("block").applyInArrow(lambda t: add(t), schema)
 
 
-def counted(train: DataFrame, cells_of: Callable[[list[bytes]], np.ndarray], width: int) -> DataFrame:
-    """block, idx, n: how often each number that ``cells_of`` gives for a text's tokens occurs over all texts; ``width``
+def counted(train: DataFrame, cells_of: Callable[[list[list[bytes]]], np.ndarray], width: int) -> DataFrame:
+    """block, idx, n: how often each number that ``cells_of`` gives for texts' tokens occurs over all texts; ``width``
     numbers make a block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: tuple[np.ndarray, np.ndarray] | None = None
         for whole in batches:
-            for b in pieces(whole, "text", 16 << 20):
-                cells, n = np.unique(np.concatenate([cells_of(tokens(t.as_py())) for t in b.column("text")]), return_counts=True)
+            for b in pieces(whole, "text", 8 << 20):
+                with no_cycle_search():
+                    cells, n = np.unique(cells_of([tokens(t) for t in b.column("text").to_pylist()]), return_counts=True)
                 if total is not None:
                     cells, at = np.unique(np.concatenate([total[0], cells]), return_inverse=True)
                     n = np.bincount(at, np.concatenate([total[1], n]), len(cells))
@@ -196,9 +202,13 @@ def neighbours(train: DataFrame) -> np.ndarray:
     """SUFFIX x NEAR counts: buckets beside each bucket of last bytes, over all texts."""
     memo = Memo(bucket)
 
-    def cells(words: list[bytes]) -> np.ndarray:
-        s = memo.of(words[:-1])
-        return np.concatenate([s[1:] * NEAR + s[:-1] % NEAR, s[:-1] * NEAR + s[1:] % NEAR])
+    def cells(texts: list[list[bytes]]) -> np.ndarray:
+        s, sizes = memo.of(texts)
+        both = np.ones(len(s), bool)  # places whose token and next one are words of one text
+        both[np.cumsum(sizes) - 1] = False
+        both[np.cumsum(sizes)[sizes > 1] - 2] = False
+        a, b = s[both], np.roll(s, -1)[both]
+        return np.concatenate([b * NEAR + a % NEAR, a * NEAR + b % NEAR])
 
     out = np.zeros(SUFFIX * NEAR)
     for r in counted(train, cells, 64 * NEAR).collect():  # SUFFIX * NEAR numbers
@@ -239,8 +249,8 @@ def class_counts(train: DataFrame, shape: Shape) -> DataFrame:
     """block, idx, n: counts of (history, class) over all texts, ROW histories a row."""
     memo = Memo(shape.code)
 
-    def cells(words: list[bytes]) -> np.ndarray:
-        h, c = shape.of_text(memo.of(words))
+    def cells(texts: list[list[bytes]]) -> np.ndarray:
+        h, c = shape.of_texts(*memo.of(texts))
         return h * CLASSES + c
 
     return counted(train, cells, ROW * CLASSES)
@@ -360,7 +370,7 @@ def model(train: DataFrame) -> dict:
     def masses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Memo(shape.code)
         for b in batches:
-            c = shape.class_of(memo.of(b.column("token").to_pylist()))
+            c = shape.class_of(memo.of([b.column("token").to_pylist()])[0])
             m = np.bincount(c, b.column("c").to_numpy() + 1.0, CLASSES)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES), pa.int32()), pa.array(m)], names=["cls", "m"])
 
@@ -387,26 +397,26 @@ def score(docs: DataFrame, m: dict) -> DataFrame:
         logs = {w: math.log10(c + 1) for w, c in x["hot"].items()}
         for whole in batches:
             for b in pieces(whole, "text", 2 << 20):
-                texts = [tokens(t.as_py()) for t in b.column("text")]
-                pairs = [shape.of_text(memo.of(t)) for t in texts]
-                history, cls = (np.concatenate([p[i] for p in pairs]) for i in (0, 1))
-                which, at = np.unique(history, return_inverse=True)
-                shares = np.concatenate([np.log(share * np.exp(shape.log_softmax(weights, which[i : i + 4096])) + (1 - share) * np.maximum(x["share"], 1e-12)) for i in range(0, len(which), 4096)])
-                sizes = np.array([len(t) for t in texts])
-                gain = np.add.reduceat(shares[at, cls] - prior[cls], np.cumsum(sizes) - sizes) / math.log(10)
-                base, known, rare, often, offsets = [], [], [], [], [0]
-                for t in texts:
-                    s, k = 0.0, 0
-                    for w, f in Counter(t).items():
-                        if (lg := logs.get(w)) is None:
-                            rare.append(w)
-                            often.append(f)
-                        else:
-                            s += f * lg
-                            k += f
-                    base.append(s)
-                    known.append(k)
-                    offsets.append(len(rare))
+                with no_cycle_search():
+                    texts = [tokens(t.as_py()) for t in b.column("text")]
+                    codes, sizes = memo.of(texts)
+                    history, cls = shape.of_texts(codes, sizes)
+                    which, at = np.unique(history, return_inverse=True)
+                    shares = np.concatenate([np.log(share * np.exp(shape.log_softmax(weights, which[i : i + 4096])) + (1 - share) * np.maximum(x["share"], 1e-12)) for i in range(0, len(which), 4096)])
+                    gain = np.add.reduceat(shares[at, cls] - prior[cls], np.cumsum(sizes) - sizes) / math.log(10)
+                    base, known, rare, often, offsets = [], [], [], [], [0]
+                    for t in texts:
+                        s, k = 0.0, 0
+                        for w, f in Counter(t).items():
+                            if (lg := logs.get(w)) is None:
+                                rare.append(w)
+                                often.append(f)
+                            else:
+                                s += f * lg
+                                k += f
+                        base.append(s)
+                        known.append(k)
+                        offsets.append(len(rare))
                 ends = pa.array(offsets, pa.int32())
                 cols = [pa.array(sizes, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(gain, pa.float64()), pa.ListArray.from_arrays(ends, pa.array(rare, pa.binary())), pa.ListArray.from_arrays(ends, pa.array(often, pa.int64()))]
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), *cols], names=["doc_id", "n_tokens", "known", "base", "gain", "w", "f"])

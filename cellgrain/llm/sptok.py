@@ -32,8 +32,8 @@ from cellgrain.llm.common import table
 from cellgrain.llm.media import pieces
 
 CHUNK, BLOCK, MARK = 16_384, 2048, "▁"
-#: Words, and pairs of pieces, that a Python worker keeps.
-MEMO = 300_000
+#: Words, pairs of pieces and so on that a Python worker keeps of each kind.
+MEMO = 400_000
 #: The state at a boundary that no piece crosses.
 CLEAN = 0
 NEVER = float("-inf")
@@ -76,6 +76,7 @@ class Pieces:
         plain = [i for i in range(n) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))]
         self.score = {model.id_to_piece(i): model.get_score(i) for i in plain}
         self.id = {model.id_to_piece(i): i for i in plain}
+        self.raw = {p: np.array([i], "<u4").tobytes() for p, i in self.id.items()}
         self.byte = {int(model.id_to_piece(i)[3:5], 16): i for i in range(n) if model.is_byte(i)}
         self.longest = max(map(len, self.id))
         if any(re.search(f"[^{MARK}]{MARK}", p) for p in self.id):
@@ -89,11 +90,8 @@ class Pieces:
 
     def bytes_of(self, parts: list[str]) -> bytes:
         """Ids (32-bit) of pieces; a character outside of the model has those of its bytes."""
-        ids = []
-        for p in parts:
-            i = self.id.get(p)
-            ids += [i] if i is not None else [self.byte[b] for b in p.encode()]
-        return np.array(ids, "<u4").tobytes()
+        raw = self.raw
+        return b"".join([raw[p] if p in raw else np.array([self.byte[b] for b in p.encode()], "<u4").tobytes() for p in parts])
 
     def merged(self, s: str) -> list[str]:
         """The encoding of a string inside a word: the best-scored neighbours merge first, leftmost on ties."""
