@@ -18,9 +18,10 @@ def study_id(df: DataFrame, key: str | None = None, dataset: str | None = None)
     return F.coalesce(column, F.lit(dataset), F.lit("unknown"))
 
 
-def first_study(df: DataFrame, key: str, dataset: str | None = None) -> DataFrame:
-    """One row: the least value of the key, else the dataset's name, else ``unknown``."""
-    return df.agg(F.coalesce(F.min(key), F.lit(dataset), F.lit("unknown")).alias("study_id"))
+def first_study(df: DataFrame, key: str, order: str, dataset: str | None = None) -> DataFrame:
+    """One row: the key's first value in the order of a column (nulls left out), else the dataset's name, else ``unknown``."""
+    first = F.min_by(key, F.when(F.col(key).isNotNull(), F.col(order)))
+    return df.agg(F.coalesce(first, F.lit(dataset), F.lit("unknown")).alias("study_id"))
 
 
 def patient_id(name: Column) -> Column:

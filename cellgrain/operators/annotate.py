@@ -10,74 +10,129 @@ from cellgrain.model import hash_rank, need, ratio
 
 #: Marker genes of each cell type, in dictionary order.
 MARKERS = {
-    "Plasma cells": "SDC1 CD138 TNFRSF17 BCMA XBP1 IRF4 PRDM1",
-    "T cells": "CD3D CD3E CD4 CD8A CD8B",
-    "NK cells": "NCAM1 NKG7 GNLY KLRD1",
-    "Monocytes": "CD14 LYZ CST3 FCGR3A",
-    "B cells": "CD79A MS4A1 CD20 CD19",
-    "Erythroid": "HBA1 HBB GYPA",
-    "HSC/progenitors": "CD34 KIT THY1",
-    "Osteoclasts": "ACP5 CTSK MMP9",
-    "Mast cells": "KIT CPA3 TPSAB1",
+    "Plasma cells": ["SDC1", "CD138", "TNFRSF17", "BCMA", "XBP1", "IRF4", "PRDM1"],
+    "T cells": ["CD3D", "CD3E", "CD4", "CD8A", "CD8B"],
+    "NK cells": ["NCAM1", "NKG7", "GNLY", "KLRD1"],
+    "Monocytes": ["CD14", "LYZ", "CST3", "FCGR3A"],
+    "B cells": ["CD79A", "MS4A1", "CD20", "CD19"],
+    "Erythroid": ["HBA1", "HBB", "GYPA"],
+    "HSC/progenitors": ["CD34", "KIT", "THY1"],
+    "Osteoclasts": ["ACP5", "CTSK", "MMP9"],
+    "Mast cells": ["KIT", "CPA3", "TPSAB1"],
 }
 
-#: Cell ontology ids and their labels. The table's order is that of the labels.
-ONTOLOGY = """
-CL:0000786 Plasma cell|Plasma cells|Plasmacyte
-CL:0000236 B cell|B cells
-CL:0000813 Memory B cell|Memory B cells
-CL:0000817 Naive B cell|Naive B cells
-CL:0000993 Mature B cell
-CL:0000084 T cell|T cells
-CL:0000624 CD4+ T cell|CD4+ T cells|Helper T cell
-CL:0000625 CD8+ T cell|CD8+ T cells|Cytotoxic T cell
-CL:0000819 Regulatory T cell|Regulatory T cells
-CL:0000898 Naive T cell
-CL:0000813 Memory T cell
-CL:0000930 NK cell|NK cells|Natural killer cell
-CL:0000576 Monocyte|Monocytes
-CL:0000235 Macrophage|Macrophages
-CL:0000860 Classical monocyte
-CL:0000861 Intermediate monocyte
-CL:0000862 Non-classical monocyte
-CL:0000451 Dendritic cell|Dendritic cells
-CL:0000784 Myeloid dendritic cell
-CL:0000785 Plasmacytoid dendritic cell
-CL:0000775 Neutrophil|Neutrophils
-CL:0000771 Eosinophil|Eosinophils
-CL:0000768 Basophil|Basophils
-CL:0000097 Mast cell|Mast cells
-CL:0000037 HSC|Hematopoietic stem cell
-CL:0000049 Hematopoietic progenitor|Progenitor
-CL:0000050 Common myeloid progenitor
-CL:0000051 Common lymphoid progenitor
-CL:0000232 Erythrocyte|Erythrocytes|Red blood cell|RBC
-CL:0000762 Erythroid
-CL:0000557 Megakaryocyte|Megakaryocytes
-CL:0000233 Platelet
-CL:0000182 Osteoclast|Osteoclasts
-CL:0000185 Osteoblast|Osteoblasts
-CL:0000057 Fibroblast|Fibroblasts|Stromal cell
-CL:0000115 Endothelial cell|Endothelial cells
-CL:0000000 Unknown|Unassigned
-"""
+#: Labels and their cell ontology ids, in the table's order.
+ONTOLOGY = [
+    ("Plasma cell", "CL:0000786"),
+    ("Plasma cells", "CL:0000786"),
+    ("Plasmacyte", "CL:0000786"),
+    ("B cell", "CL:0000236"),
+    ("B cells", "CL:0000236"),
+    ("Memory B cell", "CL:0000813"),
+    ("Memory B cells", "CL:0000813"),
+    ("Naive B cell", "CL:0000817"),
+    ("Naive B cells", "CL:0000817"),
+    ("Mature B cell", "CL:0000993"),
+    ("T cell", "CL:0000084"),
+    ("T cells", "CL:0000084"),
+    ("CD4+ T cell", "CL:0000624"),
+    ("CD4+ T cells", "CL:0000624"),
+    ("Helper T cell", "CL:0000624"),
+    ("CD8+ T cell", "CL:0000625"),
+    ("CD8+ T cells", "CL:0000625"),
+    ("Cytotoxic T cell", "CL:0000625"),
+    ("Regulatory T cell", "CL:0000819"),
+    ("Regulatory T cells", "CL:0000819"),
+    ("Naive T cell", "CL:0000898"),
+    ("Memory T cell", "CL:0000813"),
+    ("NK cell", "CL:0000930"),
+    ("NK cells", "CL:0000930"),
+    ("Natural killer cell", "CL:0000930"),
+    ("Monocyte", "CL:0000576"),
+    ("Monocytes", "CL:0000576"),
+    ("Macrophage", "CL:0000235"),
+    ("Macrophages", "CL:0000235"),
+    ("Classical monocyte", "CL:0000860"),
+    ("Intermediate monocyte", "CL:0000861"),
+    ("Non-classical monocyte", "CL:0000862"),
+    ("Dendritic cell", "CL:0000451"),
+    ("Dendritic cells", "CL:0000451"),
+    ("Myeloid dendritic cell", "CL:0000784"),
+    ("Plasmacytoid dendritic cell", "CL:0000785"),
+    ("Neutrophil", "CL:0000775"),
+    ("Neutrophils", "CL:0000775"),
+    ("Eosinophil", "CL:0000771"),
+    ("Eosinophils", "CL:0000771"),
+    ("Basophil", "CL:0000768"),
+    ("Basophils", "CL:0000768"),
+    ("Mast cell", "CL:0000097"),
+    ("Mast cells", "CL:0000097"),
+    ("HSC", "CL:0000037"),
+    ("Hematopoietic stem cell", "CL:0000037"),
+    ("Hematopoietic progenitor", "CL:0000049"),
+    ("Progenitor", "CL:0000049"),
+    ("Common myeloid progenitor", "CL:0000050"),
+    ("Common lymphoid progenitor", "CL:0000051"),
+    ("Erythrocyte", "CL:0000232"),
+    ("Erythrocytes", "CL:0000232"),
+    ("Red blood cell", "CL:0000232"),
+    ("RBC", "CL:0000232"),
+    ("Erythroid", "CL:0000762"),
+    ("Megakaryocyte", "CL:0000557"),
+    ("Megakaryocytes", "CL:0000557"),
+    ("Platelet", "CL:0000233"),
+    ("Osteoclast", "CL:0000182"),
+    ("Osteoclasts", "CL:0000182"),
+    ("Osteoblast", "CL:0000185"),
+    ("Osteoblasts", "CL:0000185"),
+    ("Fibroblast", "CL:0000057"),
+    ("Fibroblasts", "CL:0000057"),
+    ("Stromal cell", "CL:0000057"),
+    ("Endothelial cell", "CL:0000115"),
+    ("Endothelial cells", "CL:0000115"),
+    ("Unknown", "CL:0000000"),
+    ("Unassigned", "CL:0000000"),
+]
 #: The labels of the reference model, in order; their ids are those of ONTOLOGY.
-MODEL_LABELS = "B cell|B cells|T cell|T cells|CD4+ T cell|CD8+ T cell|NK cell|NK cells|Monocyte|Monocytes|Macrophage|Macrophages|Dendritic cell|Dendritic cells|Plasma cell|Plasma cells|Memory B cell|Naive B cell|Regulatory T cell|Naive T cell|Erythrocyte|Megakaryocyte|Neutrophil|Eosinophil"
+MODEL_LABELS = [
+    "B cell",
+    "B cells",
+    "T cell",
+    "T cells",
+    "CD4+ T cell",
+    "CD8+ T cell",
+    "NK cell",
+    "NK cells",
+    "Monocyte",
+    "Monocytes",
+    "Macrophage",
+    "Macrophages",
+    "Dendritic cell",
+    "Dendritic cells",
+    "Plasma cell",
+    "Plasma cells",
+    "Memory B cell",
+    "Naive B cell",
+    "Regulatory T cell",
+    "Naive T cell",
+    "Erythrocyte",
+    "Megakaryocyte",
+    "Neutrophil",
+    "Eosinophil",
+]
 UNKNOWN = "CL:0000000"
 
 
-def marker_table(spark: SparkSession, markers: dict[str, str] | None = None) -> DataFrame:
+def marker_table(spark: SparkSession, markers: dict[str, list[str]] | None = None) -> DataFrame:
     """cell_type, set_order, gene_id."""
-    rows = [(t, i, g) for i, (t, genes) in enumerate((markers or MARKERS).items()) for g in genes.split()]
+    rows = [(t, i, g) for i, (t, genes) in enumerate((markers or MARKERS).items()) for g in genes]
     return spark.createDataFrame(rows, "cell_type string, set_order int, gene_id string")
 
 
-def ontology_table(spark: SparkSession, only: str | None = None) -> DataFrame:
+def ontology_table(spark: SparkSession, only: list[str] | None = None) -> DataFrame:
     """label, cl_id, ord."""
-    pairs = [(label, line.split(" ", 1)[0]) for line in ONTOLOGY.strip().splitlines() for label in line.split(" ", 1)[1].split("|")]
-    if only is not None:
-        ids = dict(pairs)
-        pairs = [(label, ids[label]) for label in only.split("|")]
+    ids = dict(ONTOLOGY)
+    pairs = ONTOLOGY if only is None else [(label, ids[label]) for label in only]
     return spark.createDataFrame([(*p, i) for i, p in enumerate(pairs)], "label string, cl_id string, ord int")
 
 

@@ -8,7 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cellgrain.operators import metrics, splits
 
@@ -61,6 +61,34 @@ def soft_vote(*probabilities: Column) -> Column:
     return F.transform(total, lambda x: x / len(probabilities))
 
 
+def importances(model: PipelineModel) -> DataFrame:
+    """feature (its place in the vector) and importance of a fitted forest: one row a feature."""
+    rows = [(i, float(x)) for i, x in enumerate(model.stages[-1].featureImportances.toArray())]
+    return SparkSession.active().createDataFrame(rows, "feature int, importance double")
+
+
+def ensemble(train: DataFrame, test: DataFrame, label: str = "label", key: str = "cell_id", options: dict | None = None) -> DataFrame:
+    """``test`` with lr, rf, svm (labels by the three models), predicted (their majority) and soft (the label of the
+    largest mean probability of lr and rf). Keys are unique."""
+    out, labels = test, []
+    for kind in ("lr", "rf", "svm"):
+        model = fit(train, kind, label, **dict((options or {}).get(kind, {})))
+        labels = model.stages[0].labels
+        scored = predict(model, test.select(key, label, "vec"), kind)
+        probability = [F.col("class_probability").alias(f"_{kind}")] if "class_probability" in scored.columns else []
+        out = out.join(scored.select(key, kind, *probability), key)
+    mean = soft_vote(F.col("_lr"), F.col("_rf"))
+    soft = F.get(F.array(*(F.lit(x) for x in labels)), (F.array_position(mean, F.array_max(mean)) - 1).cast("int"))
+    return out.withColumns({"predicted": hard_vote(F.col("lr"), F.col("rf"), F.col("svm")), "soft": soft}).drop("_lr", "_rf")
+
+
+def held_out(df: DataFrame, kind: str, label: str = "label", key: str = "cell_id", **options) -> DataFrame:
+    """Predictions for a stratified fifth of the rows by a model (or the ``ensemble``) of the other rows."""
+    dealt = splits.stratified(df, label, key)
+    train, test = dealt.where("not is_test").drop("is_test"), dealt.where("is_test").drop("is_test")
+    return ensemble(train, test, label, key, options) if kind == "ensemble" else predict(fit(train, kind, label, **options), test)
+
+
 def cross_validate(df: DataFrame, kind: str, label: str = "label", key: str = "cell_id", folds: int = 5, seed: int = 42, **options) -> DataFrame:
     """fold, part, accuracy, balanced_accuracy. The scaler is fitted on the training rows of each fold only."""
     dealt = splits.stratified(df, label, key, parts=folds, seed=seed)
@@ -87,22 +115,25 @@ def transfer_score(model: PipelineModel, query: DataFrame, label: str = "label")
     return predict(model, query).agg(F.avg((F.col("predicted") == F.col(label).cast("string")).cast("double")).alias("transfer_accuracy"))
 
 
-def fused_classify(df: DataFrame, label: str = "label", kind: str = "mlp", **options) -> DataFrame:
-    """Predictions on fused vectors; the perceptron's hidden layers halve from the input's size."""
+def fused_classify(df: DataFrame, label: str = "label", kind: str = "mlp", key: str = "cell_id", **options) -> DataFrame:
+    """Predictions on fused vectors of held-out rows; the perceptron's hidden layers halve from the input's size."""
     if kind == "mlp" and "layers" not in options:
         dim = df.select(F.size("vec").alias("n")).head()["n"]
         hidden = max(64, dim // 2)
         # One output more than labels: the indexer keeps one for unseen labels.
         options["layers"] = [dim, hidden, hidden // 2, df.select(label).distinct().count() + 1]
-    return predict(fit(df, kind, label, **options), df)
+    return held_out(df, kind, label, key, **options)
 
 
-def benchmark(df: DataFrame, kinds: tuple[str, ...] = ("lr", "rf"), label: str = "label", key: str = "cell_id", options: dict | None = None) -> DataFrame:
+def benchmark(df: DataFrame, kinds: tuple[str, ...] = ("lr", "rf", "svm", "ensemble"), label: str = "label", key: str = "cell_id", options: dict | None = None) -> DataFrame:
     """model, metric, value on a fifth of the rows, best first."""
-    dealt = splits.stratified(df, label, key)
-    rows = []
+    options, rows, scores = options or {}, [], {}
+    if "ensemble" in kinds:  # its three models are fitted once
+        all_of = held_out(df, "ensemble", label, key, **options)
+        scores = {k: all_of.withColumn("predicted", F.col(c)) for k, c in (("lr", "lr"), ("rf", "rf"), ("svm", "svm"), ("ensemble", "predicted"))}
     for kind in kinds:
-        scored = predict(fit(dealt.where("not is_test"), kind, label, **dict((options or {}).get(kind, {}))), dealt.where("is_test")).withColumn("_y", F.col(label).cast("string"))
+        scored = scores[kind] if kind in scores else held_out(df, kind, label, key, **dict(options.get(kind, {})))
+        scored = scored.withColumn("_y", F.col(label).cast("string"))
         for name, f in (("ari", metrics.ari), ("nmi", metrics.nmi)):
             rows.append(f(scored, "_y", "predicted").select(F.lit(kind).alias("model"), F.lit(name).alias("metric"), F.col(name).alias("value")))
     return reduce(DataFrame.unionByName, rows).orderBy(F.desc("value"), "model", "metric")

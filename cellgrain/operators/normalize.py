@@ -65,18 +65,22 @@ def gene_moments(expr: DataFrame, cells: DataFrame, genes: DataFrame) -> DataFra
     return out.select("gene_id", "n_cells", mean.alias("mean"), F.greatest(F.col("_q") / F.col("n_cells") - mean * mean, F.lit(0.0)).alias("var"))
 
 
-def pearson_residuals(expr: DataFrame, cells: DataFrame, genes: DataFrame) -> DataFrame:
+def pearson_residuals(expr: DataFrame, cells: DataFrame, genes: DataFrame, dense: bool = True) -> DataFrame:
     """Residuals of all cells by the selected ``genes`` (zeros have residuals, too). s = total / mean total over all
-    genes, mu = s * mean, theta from the gene's overdispersion, variance 0.1 at least."""
+    genes, mu = s * mean, theta from the gene's overdispersion, variance 0.1 at least. If not ``dense``, only stored
+    entries have rows, with zero_value, the residual that a zero would have there: for all genes of a large matrix."""
     lib = library_sizes(expr, cells)
     s = lib.crossJoin(F.broadcast(lib.agg(F.avg("lib").alias("_mean")))).select("cell_id", ratio(F.col("lib"), F.col("_mean")).alias("s"))
     few = expr.join(genes.select("gene_id"), "gene_id", "left_semi")
     g = gene_moments(few, cells, genes)
     theta = F.least(F.greatest(g["mean"] * g["mean"] / F.greatest(g["var"] - g["mean"], F.lit(1e-6)), F.lit(1e-6)), F.lit(1e6))
-    # The result is this large; the selected genes come to every cell.
-    grid = s.crossJoin(g.select("gene_id", "mean", theta.alias("theta"))).join(few, ["cell_id", "gene_id"], "left")
     mu = F.col("s") * F.col("mean")
     v = F.greatest(mu + mu * mu / F.col("theta"), F.lit(0.1))
+    g = g.select("gene_id", "mean", theta.alias("theta"))
+    if not dense:
+        return few.join(g, "gene_id").join(s, "cell_id").select("cell_id", "gene_id", ((F.col("value") - mu) / F.sqrt(v)).alias("value"), (-mu / F.sqrt(v)).alias("zero_value"))
+    # The result is this large; the selected genes come to every cell.
+    grid = s.crossJoin(g).join(few, ["cell_id", "gene_id"], "left")
     return grid.select("cell_id", "gene_id", ((F.coalesce("value", F.lit(0.0)) - mu) / F.sqrt(v)).alias("value"))
 
 

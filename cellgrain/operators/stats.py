@@ -115,16 +115,18 @@ def bonferroni(tests: DataFrame, group: list[str] | None = None, alpha: float =
     return out.withColumn("p_corrected", F.least(F.col(p) * F.col("_m"), F.lit(1.0))).withColumn("significant", F.col("p_corrected") < alpha).drop("_m")
 
 
-def all_pairs(scores: DataFrame, method: str, block: str, value: str, alpha: float = 0.05) -> DataFrame:
-    """wilcoxon() of all pairs of methods, corrected."""
-    return bonferroni(wilcoxon(differences(scores, method, block, value), ["method_a", "method_b"]), alpha=alpha)
+def all_pairs(scores: DataFrame, method: str, block: str, value: str, alpha: float = 0.05, group: list[str] | None = None) -> DataFrame:
+    """wilcoxon() of all pairs of methods, corrected; in each ``group`` on its own."""
+    keys = group or []
+    return bonferroni(wilcoxon(differences(scores, method, block, value, keys), [*keys, "method_a", "method_b"]), keys, alpha)
 
 
-def better(scores: DataFrame, method: str, block: str, value: str, alpha: float = 0.05) -> DataFrame:
-    """method_a, method_b, better: a has the larger mean and half the p-value is under alpha."""
-    d = differences(scores, method, block, value)
-    mean = d.groupBy("method_a", "method_b").agg(F.avg("d").alias("m"))
-    return wilcoxon(d, ["method_a", "method_b"]).join(mean, ["method_a", "method_b"]).select("method_a", "method_b", ((F.col("m") > 0) & (F.col("p_value") / 2 < alpha)).alias("better"))
+def better(scores: DataFrame, method: str, block: str, value: str, alpha: float = 0.05, group: list[str] | None = None) -> DataFrame:
+    """group, method_a, method_b, better: a has the larger mean and half the p-value is under alpha."""
+    keys = [*(group or []), "method_a", "method_b"]
+    d = differences(scores, method, block, value, group)
+    mean = d.groupBy(*keys).agg(F.avg("d").alias("m"))
+    return wilcoxon(d, keys).join(mean, keys).select(*keys, ((F.col("m") > 0) & (F.col("p_value") / 2 < alpha)).alias("better"))
 
 
 def chi2_tail(x: float, df: int) -> float:
@@ -141,20 +143,22 @@ def chi2_tail(x: float, df: int) -> float:
     return max(0.0, 1 - total)
 
 
-def friedman(scores: DataFrame, method: str, block: str, value: str) -> DataFrame:
-    """One row: blocks, methods, statistic with ties, p-value; null under two blocks. Blocks without all methods are left
-    out."""
-    rows = scores.where(F.col(value).isNotNull())
-    k = rows.agg(F.count_distinct(method).alias("k"))
-    full = rows.groupBy(block).agg(F.count("*").alias("c")).crossJoin(F.broadcast(k)).where("c = k").select(block)
-    rows = rows.join(full, block, "left_semi")
-    r = rows.withColumn("r", F.rank().over(Window.partitionBy(block).orderBy(value)) + (F.count("*").over(Window.partitionBy(block, value)) - 1) / 2)
-    cols = r.groupBy(method).agg(F.sum("r").alias("s"), F.count("*").alias("n")).agg(F.sum(F.col("s") * F.col("s")).alias("ss"), F.max("n").alias("n_blocks"), F.count("*").alias("n_methods"))
-    ties = rows.groupBy(block, value).agg(F.count("*").alias("t")).agg(F.sum(F.pow("t", F.lit(3.0)) - F.col("t")).alias("ties"))
+def friedman(scores: DataFrame, method: str, block: str, value: str, group: list[str] | None = None) -> DataFrame:
+    """A row (one for each ``group``): blocks, methods, statistic with ties, p-value; null under two blocks. Blocks
+    without all methods are left out."""
+    keys = group or []
+    rows = scores.where(F.col(value).isNotNull()).withColumn("_one", F.lit(1))  # all rows have this key
+    all_of = ["_one", *keys]
+    k = rows.groupBy(*all_of).agg(F.count_distinct(method).alias("k"))
+    full = rows.groupBy(*all_of, block).agg(F.count("*").alias("c")).join(k, all_of).where("c = k").select(*all_of, block)
+    rows = rows.join(full, [*all_of, block], "left_semi")
+    r = rows.withColumn("r", F.rank().over(Window.partitionBy(*all_of, block).orderBy(value)) + (F.count("*").over(Window.partitionBy(*all_of, block, value)) - 1) / 2)
+    cols = r.groupBy(*all_of, method).agg(F.sum("r").alias("s"), F.count("*").alias("n")).groupBy(*all_of).agg(F.sum(F.col("s") * F.col("s")).alias("ss"), F.max("n").alias("n_blocks"), F.count("*").alias("n_methods"))
+    ties = rows.groupBy(*all_of, block, value).agg(F.count("*").alias("t")).groupBy(*all_of).agg(F.sum(F.pow("t", F.lit(3.0)) - F.col("t")).alias("ties"))
     n, m = F.col("n_blocks"), F.col("n_methods")
     raw = 12 * F.col("ss") / (n * m * (m + 1)) - 3 * n * (m + 1)
     fix = 1 - F.col("ties") / (n * (m * m * m - m))
-    out = cols.crossJoin(ties).select("n_blocks", "n_methods", F.when((n >= 2) & (m >= 2) & (fix > 0), raw / fix).alias("statistic"))
+    out = cols.join(ties, all_of).select(*keys, "n_blocks", "n_methods", F.when((n >= 2) & (m >= 2) & (fix > 0), raw / fix).alias("statistic"))
     tail = F.pandas_udf(lambda x, d: pd.Series([None if pd.isna(a) else chi2_tail(a, int(b)) for a, b in zip(x, d, strict=True)], dtype="float64"), "double")
     return out.withColumn("p_value", tail("statistic", F.col("n_methods") - 1)).withColumn("significant", F.col("p_value") < 0.05)
 

@@ -167,29 +167,31 @@ def scran_normalize(s, d):
     return rounded(normalize.scran_normalize(expr(s, d), cells(s, d)), "value")
 
 
-# The selected genes of the dense operators: those of size 50, so that cells * genes grows with the cells only slowly.
-FEW = "few AS (SELECT gene_id FROM genes WHERE size = 50)"
 MOMENTS = "mo AS (SELECT gene_id, n, coalesce(t, 0) / n AS mean, greatest(coalesce(q, 0) / n - (coalesce(t, 0) / n) * (coalesce(t, 0) / n), 0) AS var FROM {genes} LEFT JOIN (SELECT gene_id, sum(value) AS t, sum(value * value) AS q FROM {expr} GROUP BY gene_id) USING (gene_id), (SELECT count(*) AS n FROM cells))"
+DISPERSION = f"""{LOGNORM}, {MOMENTS.format(genes='genes', expr='ln_expr')}, dd AS (SELECT gene_id, ln(1 + mean) AS mean, CASE WHEN mean > 0 AND var * n / (n - 1) > 0 THEN ln(var * n / (n - 1) / mean) END AS dispersion FROM mo),
+bb AS (SELECT *, CAST(CASE WHEN b > a THEN least(floor((mean - a) / (b - a) * 20), 19) ELSE 0 END AS INTEGER) AS bin FROM dd, (SELECT min(mean) AS a, max(mean) AS b FROM dd)),
+zz AS (SELECT *, CASE WHEN stddev_samp(dispersion) OVER w > 0 THEN (dispersion - avg(dispersion) OVER w) / stddev_samp(dispersion) OVER w WHEN dispersion IS NOT NULL THEN 1.0 END AS z FROM bb WINDOW w AS (PARTITION BY bin))"""
+TOP = "{name} AS (SELECT gene_id FROM zz WHERE z IS NOT NULL ORDER BY round(z, 6) DESC, gene_id LIMIT {n})"
+#: Highly variable genes that are scaled: the result has a row for each cell and each of them.
+SCALED = 50
 
 
-def few(s, d):
-    return genes(s, d).where("size = 50")
+def variable(s, d, n: int) -> DataFrame:
+    """The ``n`` most variable genes of the log-normalised matrix."""
+    return normalize.select_hvgs(normalize.log_normalize(expr(s, d)), cells(s, d), genes(s, d), n, "seurat").where("highly_variable").select("gene_id")
 
 
-@query("pearson_residuals", f"{BASE}, {FEW}, {MOMENTS.format(genes='few', expr='expr')}, lib AS (SELECT cell_id, coalesce(sum(value), 0) AS lib FROM cells LEFT JOIN expr USING (cell_id) GROUP BY cell_id), s AS (SELECT cell_id, lib / avg(lib) OVER () AS s FROM lib), g AS (SELECT gene_id, mean, least(greatest(mean * mean / greatest(var - mean, 1e-6), 1e-6), 1e6) AS theta FROM mo) SELECT cell_id, gene_id, round((coalesce(value, 0) - s * mean) / sqrt(greatest(s * mean + s * mean * s * mean / theta, 0.1)), 6) AS value FROM s CROSS JOIN g LEFT JOIN expr USING (cell_id, gene_id)")
+@query("pearson_residuals", f"{BASE}, {MOMENTS.format(genes='genes', expr='expr')}, lib AS (SELECT cell_id, coalesce(sum(value), 0) AS lib FROM cells LEFT JOIN expr USING (cell_id) GROUP BY cell_id), s AS (SELECT cell_id, lib / avg(lib) OVER () AS s FROM lib), g AS (SELECT gene_id, mean, least(greatest(mean * mean / greatest(var - mean, 1e-6), 1e-6), 1e6) AS theta FROM mo) SELECT cell_id, gene_id, round((value - s * mean) / sqrt(greatest(s * mean + s * mean * s * mean / theta, 0.1)), 6) AS value, round(-s * mean / sqrt(greatest(s * mean + s * mean * s * mean / theta, 0.1)), 6) AS zero_value FROM expr JOIN s USING (cell_id) JOIN g USING (gene_id)")
 def pearson_residuals(s, d):
-    return rounded(normalize.pearson_residuals(expr(s, d), cells(s, d), few(s, d)), "value")
+    return rounded(normalize.pearson_residuals(expr(s, d), cells(s, d), genes(s, d), dense=False), "value", "zero_value")
 
 
-@query("scale_hvg", f"{BASE}, {FEW}, {MOMENTS.format(genes='few', expr='expr')} SELECT cell_id, gene_id, round(least(coalesce(CASE WHEN var > 0 THEN (coalesce(value, 0) - mean) / sqrt(var * n / (n - 1)) END, 0), 10), 6) AS value FROM cells CROSS JOIN mo LEFT JOIN expr USING (cell_id, gene_id)")
+@query("scale_hvg", f"{BASE}, {DISPERSION}, {TOP.format(name='few', n=SCALED)}, {MOMENTS.format(genes='few', expr='ln_expr').replace('mo AS', 'ms AS', 1)} SELECT cell_id, gene_id, round(least(coalesce(CASE WHEN var > 0 THEN (coalesce(value, 0) - mean) / sqrt(var * n / (n - 1)) END, 0), 10), 6) AS value FROM cells CROSS JOIN ms LEFT JOIN ln_expr USING (cell_id, gene_id)")
 def scale_hvg(s, d):
-    return rounded(normalize.scale(expr(s, d), cells(s, d), few(s, d), 10.0), "value")
+    return rounded(normalize.scale(normalize.log_normalize(expr(s, d)), cells(s, d), variable(s, d, SCALED), 10.0), "value")
 
 
-@query("hvg_seurat", f"""{BASE}, {LOGNORM}, {MOMENTS.format(genes='genes', expr='ln_expr')}, dd AS (SELECT gene_id, ln(1 + mean) AS mean, CASE WHEN mean > 0 AND var * n / (n - 1) > 0 THEN ln(var * n / (n - 1) / mean) END AS dispersion FROM mo),
-bb AS (SELECT *, CAST(CASE WHEN b > a THEN least(floor((mean - a) / (b - a) * 20), 19) ELSE 0 END AS INTEGER) AS bin FROM dd, (SELECT min(mean) AS a, max(mean) AS b FROM dd)),
-zz AS (SELECT *, CASE WHEN stddev_samp(dispersion) OVER w > 0 THEN (dispersion - avg(dispersion) OVER w) / stddev_samp(dispersion) OVER w WHEN dispersion IS NOT NULL THEN 1.0 END AS z FROM bb WINDOW w AS (PARTITION BY bin)),
-tt AS (SELECT gene_id FROM zz WHERE z IS NOT NULL ORDER BY round(z, 6) DESC, gene_id LIMIT 200)
+@query("hvg_seurat", f"""{BASE}, {DISPERSION}, {TOP.format(name='tt', n=200)}
 SELECT gene_id, round(mean, 6) AS mean, round(dispersion, 6) AS dispersion, bin, round(z, 6) AS dispersion_norm, gene_id IN (SELECT gene_id FROM tt) AS highly_variable FROM zz""")
 def hvg_seurat(s, d):
     return rounded(normalize.select_hvgs(normalize.log_normalize(expr(s, d)), cells(s, d), genes(s, d), 200, "seurat"), "mean", "dispersion", "dispersion_norm")

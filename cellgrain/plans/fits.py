@@ -8,7 +8,7 @@ from pyspark.sql import Window, functions as F
 
 from cellgrain.operators import doublets, embed, integrate as harmony, models, preprocess, splits, trials
 from cellgrain.plans.adapter import BASE, CELLS, cells, emb, expr, genes, table
-from cellgrain.plans.expression import BOUNDS, KEPT, METRICS, GENE_METRICS, MIN_CELLS, rounded
+from cellgrain.plans.expression import BOUNDS, KEPT, METRICS, GENE_METRICS, MIN_CELLS, rounded, variable
 from cellgrain.plans.registry import query
 from cellgrain.sources import ingest, layers
 
@@ -90,8 +90,7 @@ def storage_info(s, d):
 
 @query("doublet_score")
 def doublet_score(s, d):
-    few = genes(s, d).where("size <= 10")
-    return doublets.scores(expr(s, d), cells(s, d), few.withColumn("gene_id", F.col("gene_id")))
+    return doublets.scores(expr(s, d), cells(s, d), variable(s, d, 200))
 
 
 @query("doublet_consensus", f"WITH {CELLS} SELECT cell_id, batch = 'O' OR cell_type = '5-LOW' AS is_doublet FROM cells")
@@ -129,58 +128,74 @@ def labelled(s, d):
 
 @query("lr_classify")
 def lr_classify(s, d):
-    x = labelled(s, d)
-    return models.predict(models.fit(x, "lr", maxIter=50), x).select("cell_id", "label", "predicted", "class_probability")
+    return models.held_out(labelled(s, d), "lr").select("cell_id", "label", "predicted", "class_probability")
 
 
 @query("rf_classify")
 def rf_classify(s, d):
-    x = labelled(s, d)
-    return models.predict(models.fit(x, "rf", numTrees=20, maxDepth=6), x).select("cell_id", "label", "predicted")
+    return models.held_out(labelled(s, d), "rf").select("cell_id", "label", "predicted", "class_probability")
+
+
+@query("rf_importances")
+def rf_importances(s, d):
+    return models.importances(models.fit(labelled(s, d), "rf"))
 
 
 @query("svm_classify")
 def svm_classify(s, d):
-    x = labelled(s, d)
-    return models.predict(models.fit(x, "svm", maxIter=10), x).select("cell_id", "label", "predicted")
+    return models.held_out(labelled(s, d), "svm").select("cell_id", "label", "predicted")
+
+
+@query("ensemble_classify")
+def ensemble_classify(s, d):
+    return models.held_out(labelled(s, d), "ensemble").select("cell_id", "label", "lr", "rf", "svm", "predicted", "soft")
 
 
 @query("cv_scores")
 def cv_scores(s, d):
-    return models.cross_validate(labelled(s, d), "lr", maxIter=20)
+    return models.cross_validate(labelled(s, d), "lr")
 
 
 @query("modeling_stage")
 def modeling_stage(s, d):
-    return models.modeling_stage(labelled(s, d), "lr", maxIter=20)
+    return models.modeling_stage(labelled(s, d), "lr")
+
+
+@query("modeling_stage_grouped")
+def modeling_stage_grouped(s, d):
+    x = labelled(s, d).withColumn("patient_id", F.pmod("cell_id", F.lit(40)))
+    return models.modeling_stage(x, "lr", group="patient_id")
 
 
 @query("fused_classify")
 def fused_classify(s, d):
     x = labelled(s, d)
     fused = embed.fuse_concat({"a": x.select("cell_id", F.slice("vec", 1, 32).alias("vec")), "b": x.select("cell_id", F.slice("vec", 33, 32).alias("vec"))})
-    return models.fused_classify(fused.join(x.select("cell_id", "label"), "cell_id"), maxIter=20).select("cell_id", "label", "predicted")
+    return models.fused_classify(fused.join(x.select("cell_id", "label"), "cell_id"), maxIter=100).select("cell_id", "label", "predicted")
 
 
 @query("benchmark_leaderboard")
 def benchmark_leaderboard(s, d):
-    return models.benchmark(labelled(s, d), options={"lr": {"maxIter": 20}, "rf": {"numTrees": 20, "maxDepth": 6}})
+    return models.benchmark(labelled(s, d))
 
 
 @query("transfer_score")
 def transfer_score(s, d):
     x = labelled(s, d)
-    return models.transfer_score(models.fit(x.where("batch = 0"), "lr", maxIter=20), x.where("batch = 1"))
+    return models.transfer_score(models.fit(x.where("batch = 0"), "lr"), x.where("batch = 1"))
+
+
+FOLDS = "x AS (SELECT vec_id AS cell_id, CAST(vec_id % 2 AS INTEGER) AS batch, unnest(CAST(embedding AS DOUBLE[])) AS v, generate_subscripts(embedding, 1) AS k FROM embeddings)"
 
 
-@query("fit_train_only")
+@query("fit_train_only", f"WITH {FOLDS}, f AS (SELECT k, avg(v) AS m, stddev_samp(v) AS sd FROM x WHERE batch = 0 GROUP BY k) SELECT cell_id, batch, CAST(k - 1 AS INTEGER) AS k, round(CASE WHEN sd > 0 THEN (v - m) / sd ELSE 0 END, 6) AS v FROM x JOIN f USING (k)")
 def fit_train_only(s, d):
     from pyspark.ml.feature import StandardScaler
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
     x = emb(s, d).select("cell_id", "batch", array_to_vector("vec").alias("v"))
     both = splits.fit_on_train([StandardScaler(inputCol="v", outputCol="z", withMean=True)], x.where("batch = 0"), x.where("batch = 1"))
-    return trials.union_all([b.select("cell_id", "batch", vector_to_array("z").alias("vec")) for b in both])
+    return rounded(trials.union_all([b.select("cell_id", "batch", F.posexplode(vector_to_array("z")).alias("k", "v")) for b in both]), "v")
 
 
 PRED = "pr AS (SELECT vec_id AS cell_id, CAST(label AS VARCHAR) AS lr, CAST((label + vec_id) % 3 AS VARCHAR) AS rf, CAST(vec_id % 3 AS VARCHAR) AS svm FROM embeddings)"

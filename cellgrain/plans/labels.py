@@ -34,6 +34,11 @@ def study_id(s, d):
     return x.select("cell_id", metadata.study_id(x, "study", "driver").alias("study_id"))
 
 
+@query("dataset_study_id", "SELECT coalesce(arg_min(nullif(o_orderstatus, 'P'), o_orderkey) FILTER (o_orderstatus <> 'P'), 'driver') AS study_id FROM orders")
+def dataset_study_id(s, d):
+    return metadata.first_study(cells(s, d).select("cell_id", F.when(F.col("batch") != "P", F.col("batch")).alias("study")), "study", "cell_id", "driver")
+
+
 @query("patient_id", f"WITH {STRINGS} SELECT c_custkey, {PATIENT} AS patient_id FROM st")
 def patient_id(s, d):
     return strings(s, d).select("c_custkey", metadata.patient_id(F.col("sample_title")).alias("patient_id"))
@@ -151,11 +156,9 @@ RAW = [" b CELL ", "Plasma cell", "CL:0000786", "T cells", "memory t cell", "Mem
 RAWSQL = f"raw AS (SELECT o_orderkey AS cell_id, {RAW!r}[o_custkey % {len(RAW) + 1} + 1] AS label FROM orders)"
 
 
-def ontology_sql(only: str | None = None) -> str:
-    pairs = [(label, line.split(" ", 1)[0]) for line in annotate.ONTOLOGY.strip().splitlines() for label in line.split(" ", 1)[1].split("|")]
-    if only:
-        ids = dict(pairs)
-        pairs = [(x, ids[x]) for x in only.split("|")]
+def ontology_sql(only: list[str] | None = None) -> str:
+    ids = dict(annotate.ONTOLOGY)
+    pairs = [(x, ids[x]) for x in only] if only else annotate.ONTOLOGY
     return "onto(label, cl_id, ord) AS (VALUES " + ", ".join(f"('{a}', '{b}', {i})" for i, (a, b) in enumerate(pairs)) + ")"
 
 

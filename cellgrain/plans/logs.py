@@ -110,19 +110,26 @@ def bonferroni(s, d):
     return rounded(stats.bonferroni(p, ["family"]), "p_corrected")
 
 
-@query("pairwise_methods", f"WITH {SCORES}, df AS (SELECT 0 AS grp, a.block, a.method AS method_a, b.method AS method_b, a.score - b.score AS d FROM scores a JOIN scores b ON a.grp = 'O' AND b.grp = 'O' AND a.block = b.block AND a.method < b.method), {WILCOXON} SELECT method_a, method_b, n, n_used, round(w, 6) AS w, round(1 - 2 * w / (n * (n + 1)), 6) AS effect FROM wl JOIN nn USING (grp, method_a, method_b)")
+@query("pairwise_methods", f"WITH {SCORES}, {DIFFS}, {WILCOXON} SELECT grp, method_a, method_b, n, n_used, round(w, 6) AS w, round(1 - 2 * w / (n * (n + 1)), 6) AS effect FROM wl JOIN nn USING (grp, method_a, method_b)")
 def pairwise_methods(s, d):
-    return rounded(stats.all_pairs(scores(s, d).where("grp = 'O'"), "method", "block", "score").select("method_a", "method_b", "n", "n_used", "w", "effect"), "w", "effect")
+    return rounded(stats.all_pairs(scores(s, d), "method", "block", "score", group=["grp"]).select("grp", "method_a", "method_b", "n", "n_used", "w", "effect"), "w", "effect")
 
 
-@query("pairwise_better")
+TAIL = "1.00002368 + t * (0.37409196 + t * (0.09678418 + t * (-0.18628806 + t * (0.27886807 + t * (-1.13520398 + t * (1.48851587 + t * (-0.82215223 + t * 0.17087277)))))))"
+P_VALUE = f"""te AS (SELECT grp, method_a, method_b, sum(t * t * t - t) AS ties FROM (SELECT grp, method_a, method_b, a, count(*) AS t FROM us GROUP BY ALL) GROUP BY ALL),
+sd AS (SELECT *, sqrt(greatest(n_used * (n_used + 1) * (2 * n_used + 1) / 24 - ties / 48, 0)) AS sd FROM wl JOIN te USING (grp, method_a, method_b)),
+tx AS (SELECT *, abs((w - n_used * (n_used + 1) / 4) / nullif(sd, 0)) / sqrt(2) AS x, 1 / (1 + 0.5 * x) AS t FROM sd),
+pv AS (SELECT grp, method_a, method_b, t * exp(-x * x - 1.26551223 + t * ({TAIL})) AS p FROM tx)"""
+
+
+@query("pairwise_better", f"WITH {SCORES}, {DIFFS}, {WILCOXON}, {P_VALUE} SELECT grp, method_a, method_b, m > 0 AND CASE WHEN n >= 2 THEN coalesce(p, 1) END / 2 < 0.05 AS better FROM (SELECT grp, method_a, method_b, avg(d) AS m, count(*) AS n FROM df GROUP BY ALL) LEFT JOIN pv USING (grp, method_a, method_b)")
 def pairwise_better(s, d):
-    return stats.better(scores(s, d).where("grp = 'O'"), "method", "block", "score")
+    return stats.better(scores(s, d), "method", "block", "score", group=["grp"])
 
 
-@query("friedman", f"WITH {SCORES}, f AS (SELECT * FROM scores WHERE grp = 'O'), g AS (SELECT * FROM f WHERE block IN (SELECT block FROM f GROUP BY block HAVING count(*) = (SELECT count(DISTINCT method) FROM f))), r AS (SELECT *, rank() OVER (PARTITION BY block ORDER BY score) + (count(*) OVER (PARTITION BY block, score) - 1) / 2 AS r FROM g), c AS (SELECT method, sum(r) AS s, count(*) AS n FROM r GROUP BY 1), a AS (SELECT sum(s * s) AS ss, max(n) AS n, count(*) AS m FROM c), t AS (SELECT sum(t * t * t - t) AS ties FROM (SELECT count(*) AS t FROM g GROUP BY block, score)) SELECT n AS n_blocks, m AS n_methods, round((12 * ss / (n * m * (m + 1)) - 3 * n * (m + 1)) / (1 - ties / (n * (m * m * m - m))), 6) AS statistic FROM a, t")
+@query("friedman", f"WITH {SCORES}, g AS (SELECT s.* FROM scores s JOIN (SELECT grp, block FROM scores GROUP BY grp, block HAVING count(*) = (SELECT count(DISTINCT method) FROM scores z WHERE z.grp = scores.grp)) USING (grp, block)), r AS (SELECT *, rank() OVER (PARTITION BY grp, block ORDER BY score) + (count(*) OVER (PARTITION BY grp, block, score) - 1) / 2 AS r FROM g), c AS (SELECT grp, method, sum(r) AS s, count(*) AS n FROM r GROUP BY ALL), a AS (SELECT grp, sum(s * s) AS ss, max(n) AS n, count(*) AS m FROM c GROUP BY grp), t AS (SELECT grp, sum(t * t * t - t) AS ties FROM (SELECT grp, count(*) AS t FROM g GROUP BY grp, block, score) GROUP BY grp) SELECT grp, n AS n_blocks, m AS n_methods, round(CASE WHEN n >= 2 AND m >= 2 AND 1 - ties / (n * (m * m * m - m)) > 0 THEN (12 * ss / (n * m * (m + 1)) - 3 * n * (m + 1)) / (1 - ties / (n * (m * m * m - m))) END, 6) AS statistic FROM a JOIN t USING (grp)")
 def friedman(s, d):
-    return rounded(stats.friedman(scores(s, d).where("grp = 'O'"), "method", "block", "score").select("n_blocks", "n_methods", "statistic"), "statistic")
+    return rounded(stats.friedman(scores(s, d), "method", "block", "score", ["grp"]).select("grp", "n_blocks", "n_methods", "statistic"), "statistic")
 
 
 @query("fold_summary", f"WITH {SCORES} SELECT grp, method, round(avg(score), 6) AS mean, round(coalesce(stddev_samp(score), 0), 6) AS sd, min(score) AS low, max(score) AS high, count(*) AS n FROM scores GROUP BY ALL")

@@ -23,12 +23,14 @@ def numbered(files: DataFrame, out: str) -> DataFrame:
 def assemble(matrix: DataFrame, barcodes: DataFrame, features: DataFrame) -> DataFrame:
     """(cell_id, gene_id, value) from lines of triplet files (sample_id, value) and whole lists (sample_id, value). Cell
     ids get the sample's name in front; repeated gene names of a sample get a number. Comments and the line of sizes,
-    whose count is that of all entries, are no entries."""
+    whose count is that of all entries, are no entries; an entry that looks like the line of sizes comes beside it and stays."""
     part = F.split("value", r"\s+")
     m = matrix.where(~F.col("value").startswith("%")).select("sample_id", part[0].cast("int").alias("g"), part[1].cast("int").alias("c"), part[2].cast("double").alias("value"))
     sizes = m.groupBy("sample_id").agg(F.max("g").alias("_g"), F.max("c").alias("_c"), (F.count("*") - 1).alias("_n"))
     is_size = (F.col("g") == F.col("_g")) & (F.col("c") == F.col("_c")) & (F.col("value") == F.col("_n"))
-    entries = m.join(F.broadcast(sizes), "sample_id").where(~is_size).select("sample_id", "g", "c", "value")  # a row a sample
+    lines = m.join(F.broadcast(sizes), "sample_id").withColumn("_size", is_size)  # a row a sample
+    twice = lines.where("_size").groupBy("sample_id", "g", "c", "value").agg(F.count("*").alias("_k")).where("_k > 1").drop("_k")
+    entries = lines.where("not _size").select("sample_id", "g", "c", "value").unionByName(twice)
     bars = numbered(barcodes, "c").withColumnRenamed("text", "barcode")
     feats = numbered(features, "g").select("sample_id", "g", F.split("text", "\t")[1].alias("gene_name"))
     k = F.row_number().over(Window.partitionBy("sample_id", "gene_name").orderBy("g")) - 1

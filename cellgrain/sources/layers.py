@@ -10,9 +10,12 @@ LAYERS = ("raw", "standardized", "analysis_ready")
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in spark.checkpoint.dir; a folder of this session's only where that is unset."""
+    """A reliable checkpoint in spark.checkpoint.dir; where that is unset, in a folder of this session's on a local
+    master, else an error: executors don't see each other's disks."""
     spark = df.sparkSession
     if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and the executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cellgrain-"))
     return df.checkpoint(eager=True)
 
