@@ -10,6 +10,7 @@ from pyspark.ml.feature import StandardScaler, StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from cellgrain.sources import layers
 from cellgrain.operators import metrics, splits
 
 
@@ -29,7 +30,7 @@ def pipeline(kind: str, label: str, seed: int = 42, **options) -> Pipeline:
     elif kind == "rf":
         model = RandomForestClassifier(**common, weightCol="weight", numTrees=options.pop("numTrees", 100), maxDepth=options.pop("maxDepth", 15), seed=seed, **options)
     elif kind == "svm":
-        model = OneVsRest(classifier=LinearSVC(maxIter=options.pop("maxIter", 50), **options), **common, weightCol="weight")
+        model = OneVsRest(classifier=LinearSVC(maxIter=options.pop("maxIter", 50), **options), **common, weightCol="weight", parallelism=4)
     elif kind == "mlp":
         model = MultilayerPerceptronClassifier(**common, seed=seed, **options)
     else:
@@ -84,7 +85,7 @@ def ensemble(train: DataFrame, test: DataFrame, label: str = "label", key: str =
 
 def held_out(df: DataFrame, kind: str, label: str = "label", key: str = "cell_id", **options) -> DataFrame:
     """Predictions for a stratified fifth of the rows by a model (or the ``ensemble``) of the other rows."""
-    dealt = splits.stratified(df, label, key)
+    dealt = layers.checkpoint(splits.stratified(df, label, key))  # every fit reads it many times
     train, test = dealt.where("not is_test").drop("is_test"), dealt.where("is_test").drop("is_test")
     return ensemble(train, test, label, key, options) if kind == "ensemble" else predict(fit(train, kind, label, **options), test)
 
