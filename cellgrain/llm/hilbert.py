@@ -28,7 +28,7 @@ from cellgrain.llm.media import pieces
 
 LENGTH, END, FEATURES, DIMS, BITS = 2048, 1, 1024, 4, 12
 #: Distinct words whose ids an encoder keeps, words that it encodes in one call, and rows of a hash table in pack().
-MEMO, TOGETHER, JOIN_ROWS = 600_000, 1000, 500_000
+MEMO, TOGETHER, JOIN_ROWS = 300_000, 1000, 500_000
 
 
 @cache
