@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cellgrain.model import ratio
@@ -32,21 +31,31 @@ def scran_factors(expr: DataFrame, cells: DataFrame) -> DataFrame:
     any, and 0.5 at least.
 
     Cells of one library size share their peers, so peers are matched on distinct sizes, and values enter as a
-    histogram (size, gene, value, frequency). Only genes that half of the peers have can have a median above 0."""
+    histogram (size, gene, value, frequency). Only genes that half of the peers have can have a median above 0: how many
+    have one is the difference of two running sums along the gene's sizes, and only pairs of size and gene that pass meet the histogram."""
     lib = library_sizes(expr, cells)
-    sizes = lib.groupBy("lib").agg(F.count("*").alias("n"))
+    sizes = lib.where("lib > 0").groupBy("lib").agg(F.count("*").alias("n"))
     # A range join: sizes in octaves, so that a size meets its own octave and the two beside it only.
-    octave = F.when(F.col("lib") > 0, F.floor(F.log2("lib")).cast("int"))
-    a = sizes.where("lib > 0").select(F.col("lib").alias("size"), F.explode(F.array(octave - 1, octave, octave + 1)).alias("octave"))
-    pairs = a.join(sizes.where("lib > 0").select("lib", "n", octave.alias("octave")), "octave").where("lib > size / 2 AND lib < 2 * size").select("size", "lib", "n")
+    octave = F.floor(F.log2("lib")).cast("int")
+    reach = F.explode(F.array(octave - 1, octave, octave + 1)).alias("octave")
+    pairs = sizes.select(F.col("lib").alias("size"), reach).join(sizes.select("lib", "n", octave.alias("octave")), "octave").where("lib > size / 2 AND lib < 2 * size")
     peers = pairs.groupBy("size").agg(F.sum("n").alias("peers"))
-    bars = expr.where("value <> 0").join(lib, "cell_id").groupBy("lib", "gene_id", "value").agg(F.count("*").alias("freq"))
-    near = pairs.select("size", "lib").join(bars, "lib").groupBy("size", "gene_id", "value").agg(F.sum("freq").alias("freq"))
-    common = near.groupBy("size", "gene_id").agg(F.sum("freq").alias("have")).join(peers, "size").where("2 * have >= peers")
-    kept = near.join(common.select("size", "gene_id"), ["size", "gene_id"]).select("size", "gene_id", "value", "freq")
+    bars = expr.where("value <> 0").join(lib.where("lib > 0"), "cell_id").groupBy("lib", "gene_id", "value").agg(F.count("*").alias("freq"))
+    at_size = bars.groupBy("gene_id", "lib").agg(F.sum("freq").alias("freq"))
+    # Both bounds are strict: at equal sizes the upper one (-1) is read before the count (0), the lower one (1) after it.
+    bound = lambda at, sign: F.struct(at.cast("double").alias("at"), F.lit(sign).alias("sign"), F.col("lib").cast("double").alias("size"), F.lit(0).cast("long").alias("freq"))
+    count = F.struct(F.col("lib").cast("double").alias("at"), F.lit(0).alias("sign"), F.lit(None).cast("double").alias("size"), "freq")
+    events = at_size.select("gene_id", F.explode(F.array(count, bound(F.col("lib") * 2, -1), bound(F.col("lib") / 2, 1))).alias("e")).select("gene_id", "e.*")
+    run = F.sum("freq").over(Window.partitionBy("gene_id").orderBy("at", "sign").rowsBetween(Window.unboundedPreceding, 0))
+    have = events.withColumn("_run", run).where("sign <> 0").groupBy("gene_id", "size").agg(F.sum(-F.col("sign") * F.col("_run")).alias("have"))
+    common = have.join(peers.withColumn("size", F.col("size").cast("double")), "size").where("2 * have >= peers")
+    size_octave = F.floor(F.log2("size")).cast("int")
+    wide = common.select("gene_id", "size", F.explode(F.array(size_octave - 1, size_octave, size_octave + 1)).alias("octave"))
+    near = wide.join(bars.withColumn("octave", octave), ["gene_id", "octave"]).where("lib > size / 2 AND lib < 2 * size")
+    kept = near.groupBy("size", "gene_id", "value").agg(F.sum("freq").alias("freq"))
     zeros = common.where("peers > have").select("size", "gene_id", F.lit(0.0).alias("value"), (F.col("peers") - F.col("have")).alias("freq"))
     median = kept.unionByName(zeros).groupBy("size", "gene_id").agg(F.percentile("value", F.lit(0.5), F.col("freq")).alias("m"))
-    values = expr.where("value > 0").join(lib, "cell_id").withColumnRenamed("lib", "size").join(median, ["size", "gene_id"], "left")
+    values = expr.where("value > 0").join(lib.select("cell_id", F.col("lib").cast("double").alias("size")), "cell_id").join(median, ["size", "gene_id"], "left")
     raw = values.groupBy("cell_id").agg(F.exp(F.median(F.log(F.col("value") / (F.coalesce("m", F.lit(0.0)) + 1)))).alias("raw"))
     return cells.select("cell_id").join(raw, "cell_id", "left").select("cell_id", F.greatest(F.coalesce("raw", F.lit(0.0)), F.lit(0.5)).alias("size_factor"))
 
@@ -100,41 +109,62 @@ def hvg_seurat(expr: DataFrame, cells: DataFrame, genes: DataFrame, n_top: int =
     return scored.join(top, "gene_id", "left").select("gene_id", "mean", "dispersion", "bin", "dispersion_norm", F.coalesce("_hv", F.lit(False)).alias("highly_variable"))
 
 
-def loess(x: np.ndarray, y: np.ndarray, span: float = 0.3) -> np.ndarray:
-    """Local quadratic fit with tricube weights at every x."""
-    n = len(x)
-    k = min(n, max(3, int(np.ceil(span * n))))
-    order = np.argsort(x, kind="stable")
-    xs, ys, out = x[order], y[order], np.empty(n)
-    lo = 0
-    for i in range(n):
-        while lo + k < n and xs[lo + k] - xs[i] < xs[i] - xs[lo]:
-            lo += 1
-        u, v = xs[lo : lo + k] - xs[i], ys[lo : lo + k]
-        h = np.abs(u).max()
-        w = (1 - np.minimum(np.abs(u) / h, 1) ** 3) ** 3 + 1e-12 if h > 0 else np.ones(k)
-        a = np.stack([np.ones(k), u, u * u], axis=1)
-        out[i] = np.linalg.lstsq(a * np.sqrt(w)[:, None], v * np.sqrt(w), rcond=None)[0][0]
-    back = np.empty(n)
-    back[order] = out
-    return back
+#: Cells of the grid along the log mean, on which the trend of variances is fitted.
+GRID = 1000
+
+
+def trend_at(knots: np.ndarray, sums: np.ndarray, span: float = 0.3) -> np.ndarray:
+    """Local quadratic fit with tricube weights: level, slope and curvature at every knot. ``sums`` has a row a knot:
+    its points' number, sums of x to x ** 4, of y, x * y and x * x * y, with x taken from the knot. A neighbourhood holds ``span`` of all
+    points, three at least; a knot without curvature around it gets a lower degree."""
+    n = sums[:, 0]
+    need_points = min(n.sum(), max(3, np.ceil(span * n.sum())))
+    out = np.zeros((len(knots), 3))
+    for i, at in enumerate(knots):
+        d = knots - at
+        near = np.argsort(np.abs(d), kind="stable")
+        h = np.abs(d[near[np.searchsorted(np.cumsum(n[near]), need_points)]])
+        w = (1 - np.minimum(np.abs(d) / h, 1) ** 3) ** 3 + 1e-12 * (np.abs(d) <= h) if h > 0 else (d == 0).astype(float)
+        _, x1, x2, x3, x4, y, xy, xxy = sums.T
+        # Moments about this knot, from those about each point's own.
+        m1, m2, m3, m4 = x1 + d * n, x2 + 2 * d * x1 + d**2 * n, x3 + 3 * d * x2 + 3 * d**2 * x1 + d**3 * n, x4 + 4 * d * x3 + 6 * d**2 * x2 + 4 * d**3 * x1 + d**4 * n
+        a = np.array([[w @ n, w @ m1, w @ m2], [w @ m1, w @ m2, w @ m3], [w @ m2, w @ m3, w @ m4]])
+        b = np.array([w @ y, w @ (xy + d * y), w @ (xxy + 2 * d * xy + d**2 * y)])
+        scale = np.array([1, 1 / h, 1 / h**2]) if h > 0 else np.array([1.0, 0.0, 0.0])
+        out[i] = scale * np.linalg.lstsq(a * np.outer(scale, scale), b * scale, rcond=1e-12)[0]
+    return out
+
+
+def variance_trend(moments: DataFrame, span: float = 0.3) -> DataFrame:
+    """Adds reg_std, the root of the variance that the trend of log10 variance on log10 mean expects; 0 for genes without
+    variance. Genes meet as sums by cell of a grid of GRID cells, so fitting costs the same at any number of genes, and
+    each gene takes the fit of its cell's mean point."""
+    x, y = F.log10("mean"), F.log10("var")
+    rows = moments.withColumns({"_x": F.when((F.col("mean") > 0) & (F.col("var") > 0), x), "_y": F.when((F.col("mean") > 0) & (F.col("var") > 0), y)})
+    lo, hi, n = rows.agg(F.min("_x"), F.max("_x"), F.count("_x")).head()
+    if n < 3:
+        return moments.withColumn("reg_std", F.lit(0.0))
+    cell = F.least(F.floor((F.col("_x") - lo) / (hi - lo) * GRID), F.lit(GRID - 1)).cast("int") if hi > lo else F.when(F.col("_x").isNotNull(), 0)
+    rows = rows.withColumn("_cell", cell)
+    used = rows.where("_x is not null")
+    middle = used.groupBy("_cell").agg(F.avg("_x").alias("_k"))  # a row a cell of the grid
+    u = F.col("_x") - F.col("_k")
+    sums = used.join(F.broadcast(middle), "_cell").groupBy("_cell", "_k").agg(F.count("*"), F.sum(u), F.sum(u**2), F.sum(u**3), F.sum(u**4), F.sum("_y"), F.sum(u * F.col("_y")), F.sum(u**2 * F.col("_y")))
+    grid = sums.orderBy("_cell").collect()  # GRID rows at most
+    knots = np.array([r[1] for r in grid])
+    fits = trend_at(knots, np.array([r[2:] for r in grid], float), span)
+    table = moments.sparkSession.createDataFrame([(r[0], float(r[1]), *map(float, f)) for r, f in zip(grid, fits, strict=True)], "_cell int, _k double, _a double, _b double, _c double")
+    joined = rows.join(F.broadcast(table), "_cell", "left")
+    level = F.col("_a") + F.col("_b") * u + F.col("_c") * u * u
+    return joined.select(*moments.columns, F.coalesce(F.sqrt(F.pow(F.lit(10.0), level)), F.lit(0.0)).alias("reg_std"))
 
 
 def hvg_seurat_v3(expr: DataFrame, cells: DataFrame, genes: DataFrame, n_top: int = 2000, span: float = 0.3) -> DataFrame:
     """Variance of counts standardised by its trend, log10 variance on log10 mean by a local fit, values clipped at the root of
-    the number of cells. The fit sees one row a gene (tens of thousands whatever the number of cells)."""
+    the number of cells."""
     m = gene_moments(expr, cells, genes)
     m = m.withColumn("var", F.col("var") * ratio(F.col("n_cells"), F.col("n_cells") - 1))
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        ok = ((pdf["var"] > 0) & (pdf["mean"] > 0)).to_numpy()
-        sd = np.zeros(len(pdf))
-        if ok.sum() >= 3:
-            sd[ok] = np.sqrt(10 ** loess(np.log10(pdf["mean"].to_numpy()[ok]), np.log10(pdf["var"].to_numpy()[ok]), span))
-        return pdf[["gene_id", "mean", "var", "n_cells"]].assign(reg_std=sd)
-
-    kind = dict(m.dtypes)["gene_id"]
-    trend = m.withColumn("_one", F.lit(0)).groupBy("_one").applyInPandas(fit, f"gene_id {kind}, mean double, var double, n_cells long, reg_std double")
+    trend = variance_trend(m, span)
     limit = F.col("mean") + F.col("reg_std") * F.sqrt("n_cells")
     clipped = expr.join(trend, "gene_id").withColumn("v", F.least(F.col("value"), limit)).groupBy("gene_id").agg(F.sum("v").alias("_s"), F.sum(F.col("v") * F.col("v")).alias("_q"))
     j = trend.join(clipped, "gene_id", "left").fillna(0.0, ["_s", "_q"])

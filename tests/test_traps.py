@@ -65,11 +65,38 @@ def test_scran_factor_by_hand(spark):
     assert got[1] == pytest.approx(2 / 3) and got[3] == pytest.approx(4 / 3) and got[4] == 0.5
 
 
-def test_loess_keeps_a_parabola():
+def test_variance_trend_keeps_a_parabola(spark):
     import numpy as np
+    from pyspark.sql import functions as F
 
-    x = np.linspace(0, 1, 40)
-    assert np.allclose(normalize.loess(x, 1 + x - 3 * x * x), 1 + x - 3 * x * x, atol=1e-6)
+    for n in (40, 20_000):  # fewer genes than cells of the grid, and more
+        m = spark.range(n).select(F.col("id").alias("gene_id"), F.pow(F.lit(10.0), F.col("id") / n).alias("mean"), (F.col("id") / n).alias("_t"))
+        m = m.withColumn("var", F.pow(F.lit(10.0), 1 + F.col("_t") - 3 * F.col("_t") ** 2))
+        rows = normalize.variance_trend(m).select(F.log10(F.col("reg_std") ** 2).alias("got"), F.log10("var").alias("want")).collect()
+        assert len(rows) == n and np.allclose([r["got"] for r in rows], [r["want"] for r in rows], atol=1e-6)
+
+
+def test_variance_trend_is_a_local_fit(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    x = np.sort(rng.uniform(-2, 2, 60))
+    y = np.sin(2 * x) + rng.normal(0, 0.1, 60)
+    rows = [(i, float(10**a), float(10**b)) for i, (a, b) in enumerate(zip(x, y, strict=True))] + [(60, 0.0, 0.0), (61, 1.0, 0.0)]
+    got = {r["gene_id"]: r["reg_std"] for r in normalize.variance_trend(spark.createDataFrame(rows, "gene_id int, mean double, var double")).collect()}
+    assert got[60] == got[61] == 0
+    for i in range(60):  # one point a cell of the grid but for chance: 18 nearest points, tricube weights, second degree
+        d = np.abs(x - x[i])
+        h = np.sort(d)[17]
+        w = np.where(d <= h, (1 - np.minimum(d / h, 1) ** 3) ** 3, 0)
+        assert np.log10(got[i] ** 2) == pytest.approx(np.polynomial.polynomial.polyfit(x - x[i], y, 2, w=np.sqrt(w))[0], abs=0.02)
+
+
+def test_variance_trend_of_few_or_equal_genes(spark):
+    few = spark.createDataFrame([(1, 2.0, 3.0), (2, 1.0, 0.0)], "gene_id int, mean double, var double")
+    assert {r["reg_std"] for r in normalize.variance_trend(few).collect()} == {0.0}
+    same = spark.createDataFrame([(i, 2.0, 9.0) for i in range(5)], "gene_id int, mean double, var double")
+    assert [r["reg_std"] for r in normalize.variance_trend(same).collect()] == pytest.approx([3.0] * 5)
 
 
 @pytest.mark.parametrize(("name", "want"), [("Patient_3_cell_1", "Patient_3"), ("P01", "P01"), ("MM_7", "MM_7")])
