@@ -1,8 +1,8 @@
 """URL filter: a blocked Bloom filter of listed canonical URLs, then an exact hash join of its possible hits.
 
-A listed URL sets BITS bits in one block of BLOCK_BITS; the filter is a table of blocks, built by a grouped bit-or. It
-has at most MAX_BLOCKS rows whatever the list's size (a longer list lets more misses through to the exact join), so it
-may be broadcast. URLs whose bits are all set meet the list itself in a join on the canonical URL. DataFrame functions only.
+A listed URL sets BITS bits in one block of 64 * WORDS; the filter is a table of blocks, built by a grouped bit-or,
+some PER_BLOCK URLs a block whatever the list's size. Its rows are counted: a small filter is broadcast, a larger one meets
+the pages in a salted shuffle by block. URLs whose bits are all set meet the list itself in a join on the canonical URL. DataFrame functions only.
 
 Cases: a null URL or one without ``://`` has an empty host and path, meets no rule and is never listed; an empty list
 or table gives no hits; repeated rows are judged each; a URL of any length is handled whole; extra columns pass
@@ -15,14 +15,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cellgrain.llm.common import SALT, cut
+from cellgrain.llm.common import SALT, cut, lookup_join
 
-#: 2 ** 17 blocks of four 64-bit words: 4 MB of bits, under 6 MB as rows.
-MAX_BLOCKS, WORDS, BITS, PER_BLOCK = 1 << 17, 4, 8, 16
+#: 64-bit words of a block, bits of a URL, URLs of a block.
+WORDS, BITS, PER_BLOCK = 4, 8, 16
 #: Fixed values: (verdict, host, path) of the contract's rules.
 RULES = (("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/"))
 #: Hosts with one of these words supply the query's list.
-LISTED_HOST_WORDS = ("casino", "bets", "pills")
+LISTED_HOST_WORDS = ("casino", "bets", "pills", "ads-track", "spam-farm", "adult-x")
 #: Query parameters that don't choose a page.
 TRACKING = "^(utm_[a-z]+|ref|fbclid|gclid)="
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -59,12 +59,12 @@ def bloom_key(url: Column, blocks: int) -> list[Column]:
     places = [F.pmod(h + g * i, F.lit(64 * WORDS)) for i in range(1, BITS + 1)]
     one = F.lit(1).cast("long")
     masks = [reduce(lambda a, b: a.bitwiseOR(b), (F.when(F.floor(p / 64) == w, F.call_function("shiftleft", one, F.pmod(p, F.lit(64)).cast("int"))).otherwise(F.lit(0).cast("long")) for p in places)).alias(f"_w{w}") for w in range(WORDS)]
-    return [F.pmod(F.xxhash64(url, F.lit(2)), F.lit(blocks)).cast("int").alias("_block"), *masks]
+    return [F.pmod(F.xxhash64(url, F.lit(2)), F.lit(blocks)).cast("long").alias("_block"), *masks]
 
 
 def build_filter(listed: DataFrame, url: str, n: int) -> tuple[DataFrame, int]:
     """The filter's blocks and their number, for ``n`` listed URLs."""
-    blocks = min(MAX_BLOCKS, max(64, 1 << (n // PER_BLOCK).bit_length()))
+    blocks = max(64, 1 << (n // PER_BLOCK).bit_length())
     rows = listed.select(*bloom_key(F.col(url), blocks))
     return rows.groupBy("_block").agg(*(F.bit_or(f"_w{w}").alias(f"_f{w}") for w in range(WORDS))), blocks
 
@@ -75,7 +75,7 @@ def mark_listed(pages: DataFrame, listed: DataFrame, url: str = "canonical_url",
     listed = cut(listed.where(F.col(name).isNotNull()).distinct().withColumnRenamed(name, "_url"))
     bits, blocks = build_filter(listed, "_url", listed.count())
     keys = bloom_key(F.coalesce(F.col(url), F.lit("")), blocks)
-    probe = pages.select("*", *keys).join(F.broadcast(bits), "_block", "left")
+    probe = lookup_join(pages.select("*", *keys), bits, ["_block"], F.monotonically_increasing_id())
     possible = reduce(lambda a, b: a & b, (F.col(f"_f{w}").bitwiseAND(F.col(f"_w{w}")) == F.col(f"_w{w}") for w in range(WORDS)))
     probe = probe.withColumn("_hit", F.coalesce(possible, F.lit(False)) & F.col(url).isNotNull()).drop("_block", *(f"_{k}{w}" for k in "fw" for w in range(WORDS)))
     # Misses leave here; the hits' URLs meet the list. The salt deals one common URL over many tasks.
