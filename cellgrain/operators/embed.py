@@ -44,10 +44,8 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(d, 0))
 
 
-def knn(emb: DataFrame, k: int = 15, with_self: bool = False, size: int = BLOCK) -> DataFrame:
-    """src, dst, rank, dist: the k nearest points of each, ties by id; ``with_self`` puts the point itself first."""
-    need(emb, "cell_id", "vec")
-    keep = k - 1 if with_self else k
+def nearest(pairs: DataFrame, kind: str, keep: int) -> DataFrame:
+    """src, dst, dist: of every pair of blocks, the ``keep`` nearest rows of ry to each of rx, ties by id, itself left out."""
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -63,14 +61,93 @@ def knn(emb: DataFrame, k: int = 15, with_self: bool = False, size: int = BLOCK)
                 ok = np.isfinite(dist)
                 yield pa.RecordBatch.from_arrays([pa.array(np.array(ia)[rows][ok]), pa.array(ib[top.ravel()][ok]), pa.array(dist[ok])], names=["src", "dst", "dist"])
 
-    kind = dict(emb.dtypes)["cell_id"]
-    found = block_pairs(blocks(emb, size=size)).mapInArrow(near, f"src {kind}, dst {kind}, dist double")
+    return pairs.select("rx", "ry").mapInArrow(near, f"src {kind}, dst {kind}, dist double")
+
+
+def ranked(found: DataFrame, keep: int) -> DataFrame:
     w = Window.partitionBy("src").orderBy("dist", "dst")
-    best = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= keep)
-    if not with_self:
-        return best.select("src", "dst", "rank", "dist")
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= keep).select("src", "dst", "rank", "dist")
+
+
+def add_self(edges: DataFrame, emb: DataFrame, k: int = 15) -> DataFrame:
+    """Edges in which every point is its own first neighbour, before its k - 1 nearest."""
     own = emb.select(F.col("cell_id").alias("src"), F.col("cell_id").alias("dst"), F.lit(1).alias("rank"), F.lit(0.0).alias("dist"))
-    return own.unionByName(best.select("src", "dst", (F.col("rank") + 1).alias("rank"), "dist"))
+    return own.unionByName(edges.where(F.col("rank") < k).select("src", "dst", (F.col("rank") + 1).alias("rank"), "dist"))
+
+
+def knn(emb: DataFrame, k: int = 15, with_self: bool = False, size: int = BLOCK) -> DataFrame:
+    """src, dst, rank, dist: the k nearest points of each, ties by id; ``with_self`` puts the point itself first."""
+    need(emb, "cell_id", "vec")
+    keep = k - 1 if with_self else k
+    best = ranked(nearest(block_pairs(blocks(emb, size=size)), dict(emb.dtypes)["cell_id"], keep), keep)
+    return add_self(best, emb, k) if with_self else best
+
+
+#: Rows, about, from which knn_approx() learns its cells, and with which it measures its recall.
+FIT_ROWS, MEASURE_ROWS = 50_000, 500
+
+
+def hashed_sample(emb: DataFrame, rows: int, n: int, seed: int) -> DataFrame:
+    """About ``rows`` of n rows, by a hash of their ids."""
+    return emb.where(F.pmod(F.xxhash64("cell_id", F.lit(seed)), F.lit(1 << 30)) < min(1.0, rows / max(n, 1)) * (1 << 30))
+
+
+def probes_for(emb: DataFrame, sample: DataFrame, centres: np.ndarray, k: int, recall: float, size: int = BLOCK) -> int:
+    """How many cells a point must look into, so that a share ``recall`` of the sample's true neighbours lies in them. The
+    sample is compared with all points, in blocks."""
+    few = sample.agg(F.collect_list(F.struct("cell_id", "vec")).alias("rx"))  # one row of MEASURE_ROWS vectors
+    true = ranked(nearest(blocks(emb, size=size).select(F.col("rows").alias("ry")).crossJoin(F.broadcast(few)), dict(emb.dtypes)["cell_id"], k), k)
+    both = true.join(sample.select(F.col("cell_id").alias("src"), F.col("vec").alias("a")), "src").join(emb.select(F.col("cell_id").alias("dst"), F.col("vec").alias("b")), "dst")
+    rows = both.select("a", "b").collect()  # MEASURE_ROWS * k
+    if not rows:
+        return 1
+    own = distances(np.array([r["a"] for r in rows]), centres)
+    home = np.argmin(distances(np.array([r["b"] for r in rows]), centres), axis=1)
+    rank = (own < own[np.arange(len(rows)), home][:, None]).sum(axis=1)
+    return int(np.sort(rank)[min(len(rows) - 1, int(np.ceil(recall * len(rows))) - 1)]) + 1
+
+
+def knn_approx(emb: DataFrame, k: int = 15, recall: float = 0.95, cells: int | None = None, queries: DataFrame | None = None, seed: int = 42, size: int = BLOCK) -> DataFrame:
+    """As knn(), among the points of the cells nearest to each: every point is kept in its nearest centre's cell, and looks into
+    as many as a sample of points needs to find a share ``recall`` of its true neighbours. Cells are k-means centres of a
+    sample; their number is the root of the number of points where not given. A point whose cells hold fewer than k others
+    gets those; ``queries`` (cell_id) asks for some points only. Vectors without structure need a large share of all cells.
+
+    A large cell is cut into hash blocks of about ``size`` rows, so no task holds one whole; a vector travels once a cell that its
+    point looks into, not once for each block of all points."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    from cellgrain.sources.layers import checkpoint
+
+    need(emb, "cell_id", "vec")
+    kind, n = dict(emb.dtypes)["cell_id"], emb.count()
+    sample = hashed_sample(emb, FIT_ROWS, n, seed).select(array_to_vector("vec").alias("features"))
+    measure = hashed_sample(emb, MEASURE_ROWS, n, seed + 1)
+    if not sample.head(1) or not measure.head(1):
+        return knn(emb, k, size=size).join(queries.select(F.col("cell_id").alias("src")), "src", "left_semi") if queries is not None else knn(emb, k, size=size)
+    model = KMeans(k=max(2, cells or min(4096, int(n**0.5))), seed=seed, maxIter=10).fit(sample)
+    centres = np.array(model.clusterCenters())
+    probes = probes_for(emb, measure, centres, k, recall, size)
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = np.array(b.column("vec").to_pylist(), float).reshape(b.num_rows, centres.shape[1])
+            order = np.argsort(distances(x, centres), axis=1, kind="stable")[:, :probes]
+            yield pa.RecordBatch.from_arrays([b.column("cell_id"), b.column("vec"), pa.array(order.tolist(), pa.list_(pa.int32()))], names=["cell_id", "vec", "cells"])
+
+    placed = checkpoint(emb.select("cell_id", "vec").mapInArrow(look, f"cell_id {kind}, vec array<double>, cells array<int>"))
+    home = placed.select("cell_id", "vec", F.col("cells")[0].alias("cell"))
+    wanted = placed if queries is None else placed.join(queries.select("cell_id"), "cell_id", "left_semi")
+    asked = wanted.select("cell_id", "vec", F.explode("cells").alias("cell"))
+
+    def in_blocks(rows: DataFrame, block: str, out: str) -> DataFrame:
+        count = rows.groupBy("cell").agg(F.count("*").alias("_n"))  # a row a cell
+        cut = rows.join(F.broadcast(count), "cell").withColumn(block, F.pmod(F.xxhash64("cell_id"), F.ceil(F.col("_n") / size)).cast("int"))
+        return cut.groupBy("cell", block).agg(F.collect_list(F.struct("cell_id", "vec")).alias(out))
+
+    pairs = in_blocks(asked, "x", "rx").join(in_blocks(home, "y", "ry"), "cell")
+    return ranked(nearest(pairs, kind, k), k)
 
 
 def silhouette(emb: DataFrame, label: str, size: int = BLOCK) -> DataFrame:

@@ -107,14 +107,27 @@ def doublet_stats(s, d):
 
 @query("preprocess_report", f"{BASE}, {METRICS}, {KEPT}, {GENE_METRICS} SELECT n_cells_before, n_cells_after, n_genes_before, n_genes_after, round(100 * n_cells_after / n_cells_before, 6) AS pct_cells_retained, 'qc,ambient,normalize,hvg,batch' AS steps FROM (SELECT count(*) AS n_cells_before FROM cells), (SELECT count(*) AS n_cells_after FROM kept), (SELECT count(*) AS n_genes_before, count(*) FILTER (n_cells_by_counts >= {MIN_CELLS}) AS n_genes_after FROM gm)")
 def preprocess_report(s, d):
-    _, report = preprocess.run(expr(s, d), cells(s, d), genes(s, d), BOUNDS, MIN_CELLS)
+    _, report = preprocess.run(expr(s, d), cells(s, d), genes(s, d), BOUNDS, MIN_CELLS, report_only=True)
     return rounded(report, "pct_cells_retained").withColumn("steps", F.array_join("steps", ","))
 
 
-@query("preprocess_pipeline")
+CORRECTED = f"""co AS (SELECT expr.* FROM expr SEMI JOIN kept USING (cell_id) WHERE gene_id IN (SELECT gene_id FROM gm WHERE n_cells_by_counts >= {MIN_CELLS})),
+gt AS (SELECT gene_id, sum(value) AS t FROM co GROUP BY 1), sh AS (SELECT gene_id, t / (SELECT sum(t) FROM gt) AS share FROM gt), tp AS (SELECT gene_id FROM sh ORDER BY share DESC, gene_id LIMIT 100),
+rh AS (SELECT cell_id, sum(value) AS total, least(coalesce(sum(value) FILTER (gene_id IN (SELECT gene_id FROM tp)), 0) / sum(value), 0.9) AS rho FROM co GROUP BY 1),
+am AS (SELECT cell_id, gene_id, value - share * total * rho AS value FROM co JOIN sh USING (gene_id) JOIN rh USING (cell_id) WHERE value - share * total * rho > 0)"""
+
+
+@query("preprocess_pipeline", f"{BASE}, {METRICS}, {KEPT}, {GENE_METRICS}, {CORRECTED} SELECT cell_id, gene_id, round(ln(1 + value * 10000 / sum(value) OVER (PARTITION BY cell_id)), 6) AS value FROM am")
 def preprocess_pipeline(s, d):
     tables, _ = preprocess.run(expr(s, d), cells(s, d), genes(s, d), BOUNDS, MIN_CELLS)
-    return tables["expr"]
+    return rounded(tables["expr"], "value")
+
+
+@query("preprocess_doublets")
+def preprocess_doublets(s, d):
+    """Cells that the pipeline keeps when it scores doublets itself."""
+    tables, _ = preprocess.run(expr(s, d), cells(s, d), genes(s, d), BOUNDS, MIN_CELLS, doublet_rate=0.06, n_hvg=200)
+    return tables["cells"].select("cell_id", "patient_id", "sample_type")
 
 
 @query("harmony_correct")

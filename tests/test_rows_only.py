@@ -18,6 +18,31 @@ def test_doublet_scores_are_shares(spark):
     assert r[0] >= 0 and r[1] <= 1 and r[2] == 1500 and r[3] <= 0.06 + 1e-9
 
 
+def test_preprocessing_drops_the_doublets_it_scores(spark):
+    kept, plain = Q["preprocess_doublets"](spark, SF).count(), Q["preprocess_pipeline"](spark, SF).select("cell_id").distinct().count()
+    assert 0.9 * plain < kept <= 1500
+
+
+def test_approximate_neighbours_recall(spark):
+    from cellgrain.operators import embed
+    from cellgrain.plans.adapter import emb
+
+    for sf in (SF, SF.replace("0.001", "0.1")):
+        exact = embed.knn(emb(spark, sf), 15).where("src % 50 = 0")
+        got = Q["knn_approx"](spark, sf)
+        assert got.join(exact, ["src", "dst"]).count() >= 0.9 * exact.count()
+        assert got.groupBy("src").count().where("count > 15").count() == 0 and got.where("src = dst").count() == 0
+
+
+def test_approximate_neighbours_of_odd_tables(spark):
+    from cellgrain.operators import embed
+
+    schema = "cell_id long, vec array<double>"
+    assert embed.knn_approx(spark.createDataFrame([], schema), 3).count() == 0
+    same = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(9)], schema)  # one cell, three blocks
+    assert {r["count"] for r in embed.knn_approx(same, 3, size=4).groupBy("src").count().collect()} == {3}
+
+
 def test_harmony_mixes_batches(spark):
     e = spark.createDataFrame([(i, [float(i % 7), float(i % 5), 6.0 * (i % 2)], i % 2) for i in range(200)], "cell_id long, vec array<double>, batch int")
     from cellgrain.operators.integrate import harmony
