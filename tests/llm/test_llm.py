@@ -290,6 +290,15 @@ def test_hilbert_curve_visits_neighbours(dims, bits):
 # 6 -----------------------------------------------------------------------------------------------------------------
 
 
+
+def test_url_filter_beyond_its_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)  # the filter meets the pages in a salted shuffle
+    pages = spark.range(3000).select(F.concat(F.lit("h.org/"), (F.col("id") % 1000).cast("string")).alias("u"), "id").unionByName(spark.createDataFrame([(None, -1)], "u string, id long"))
+    listed = spark.range(0, 1000, 3).select(F.concat(F.lit("h.org/"), F.col("id").cast("string")).alias("url"))
+    got = {r["id"]: r["listed"] for r in urlbloom.mark_listed(pages, listed, "u").collect()}
+    assert got == {-1: False} | {i: i % 1000 % 3 == 0 for i in range(3000)}
+
+
 def test_urls(spark):
     urls = ["http://Example.COM/en/7x?a#b", "https://a.example.net/de/81", "http://net/de/", "xnet://xnet/de/1", "no scheme", None, "http://org", "http://www.casino.com:80/x.html?utm_source=1&b=2&a=1#z", "https://m.casino.com/x/?a=1&b=2", "http://EXAMPLE.com?q", ""]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumn("host", F.lit(1)).withColumn("_salt", F.lit(2))
