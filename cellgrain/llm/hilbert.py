@@ -15,9 +15,11 @@ import json
 import os
 import zlib
 from array import array
+from codecs import charmap_decode
 from collections.abc import Iterator
 from functools import cache
 from itertools import islice
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +29,8 @@ from cellgrain.llm.common import no_cycle_search, prefix_sums, table
 from cellgrain.llm.media import pieces
 
 LENGTH, END, FEATURES, DIMS, BITS = 2048, 1, 1024, 4, 12
-#: Distinct words whose ids an encoder keeps, words that it encodes in one call, and rows of a hash table in pack().
-MEMO, TOGETHER, JOIN_ROWS = 300_000, 1000, 500_000
+#: Distinct words whose ids an encoder keeps, and rows of a hash table in pack().
+MEMO, JOIN_ROWS = 300_000, 500_000
 
 
 @cache
@@ -38,13 +40,20 @@ def public_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def byte_alphabet() -> str:
+    """The character that stands for each byte in a byte-level model: its own if Latin-1 prints it, else the next one
+    from 256 on."""
+    own = {b for b in range(256) if chr(b).isprintable() and not chr(b).isspace()}
+    return "".join(chr(b) if b in own else chr(256 + sum(x not in own for x in range(b))) for b in range(256))
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library, without special tokens being added.
 
-    A byte-level model merges inside of words only, so each distinct word is encoded once by the library and its ids
-    are kept, those of the first MEMO words for good. A text is cut before its spaces, or by the model's published
-    pattern if white space precedes a space; it goes to the library whole if it has an added token's string, or a
-    character that the pattern and the library's own cutting put into different classes."""
+    A byte-level model merges inside of words only, so each distinct word is given to the library's model once and its
+    ids are kept, those of the first MEMO words for good. A text is cut before its spaces and around single line ends,
+    or by the model's published pattern if white space precedes a space; it goes to the library whole if it has an
+    added token's string, or a character that the pattern and the library's own cutting put into different classes."""
 
     #: The byte-level pattern (fixed value).
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -60,8 +69,8 @@ class Encoder:
         cutter = parts["pre_tokenizer"] or {}
         self.by_words = not parts["normalizer"] and cutter.get("type") == "ByteLevel" and cutter.get("use_regex", True) and not cutter.get("add_prefix_space")
         self.added = [x["content"] for x in parts["added_tokens"]]
-        self.words, self.solid, self.space = regex.compile(self.PATTERN).findall, regex.compile(r" ?\S+").fullmatch, regex.compile(r"\s").fullmatch
-        self.line = self.encoded(["\n"])[0]
+        self.words, self.letter, self.space = regex.compile(self.PATTERN).findall, regex.compile(r"\p{L}").fullmatch, regex.compile(r"\s").fullmatch
+        self.tokenize, self.alphabet = self.library.model.tokenize, byte_alphabet()
         self.memo: dict[str, bytes] = {}
         self.agreed: set[str] = set()
         self.spaces: set[str] = set()
@@ -69,6 +78,8 @@ class Encoder:
     def agree(self, characters: set[str]) -> bool:
         """Whether both cut at these characters alike: after a letter, a digit and a sign, and before a word."""
         for c in characters - self.agreed:
+            if c.isalpha() != bool(self.letter(c)):
+                return False
             for probe in (f"a{c}a", f"1{c}1", f"!{c}!", f"{c}{c}a"):
                 at = [0]
                 for w in self.words(probe):
@@ -80,23 +91,18 @@ class Encoder:
                 self.spaces.add(c)
         return True
 
-    def encoded(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+    def parts(self, word: str) -> list[str]:
+        """A word's parts by the pattern, which are plain for letters with signs behind."""
+        stem = word.rstrip(punctuation)
+        if stem[stem[:1] == " " :].isalpha():
+            return [stem, word[len(stem) :]] if len(stem) < len(word) else [word]
+        return self.words(word)
 
     def encoded_words(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of new words, put together from their parts by the pattern. Parts without white space inside go to the
-        library as lines, whose ends have an id of their own."""
-        parts = [self.words(w) for w in words]
-        new = list(set().union(*parts).difference(self.memo))
-        lines = [w for w in new if self.solid(w)] if len(self.line) == 4 else []
-        out = {}
-        groups = [lines[i : i + TOGETHER] for i in range(0, len(lines), TOGETHER)]
-        for some, data in zip(groups, self.encoded(["\n".join(g) for g in groups]), strict=True):
-            ends = [*(4 * np.flatnonzero(np.frombuffer(data, "<u4") == np.frombuffer(self.line, "<u4"))).tolist(), len(data)]
-            out.update(zip(some, (data[a:b] for a, b in zip([0, *(e + 4 for e in ends)], ends, strict=False)), strict=True))
-        rest = [w for w in new if w not in out]
-        out.update(zip(rest, self.encoded(rest), strict=True))
-        known = self.memo
+        """Ids of new words, put together from their parts by the pattern."""
+        parts = [self.parts(w) for w in words]
+        tokenize, alphabet, known = self.tokenize, self.alphabet, self.memo
+        out = {p: array("I", [t.id for t in tokenize(charmap_decode(p.encode(), "strict", alphabet)[0])]).tobytes() for p in set().union(*parts).difference(known)}
         return {w: out[w] if w in out else b"".join([known[p] if p in known else out[p] for p in some]) for w, some in zip(words, parts, strict=True)}
 
     def cut(self, text: str) -> list[str] | None:
@@ -104,8 +110,11 @@ class Encoder:
         characters = set(text)
         if not self.by_words or not self.agree(characters) or any(x in text for x in self.added):
             return None
-        if "\0" in characters or any(c + " " in text for c in characters & self.spaces):
+        spaces = characters & self.spaces
+        if "\0" in characters or any(c + " " in text for c in spaces):
             return self.words(text)
+        if "\n" in spaces and spaces <= {" ", "\n"} and "\n\n" not in text and " \n" not in text:
+            text = text.replace("\n", "\0\n\0")
         return text.replace(" ", "\0 ").split("\0")
 
     def ids(self, texts: list[str], end: int) -> list[np.ndarray]:
@@ -117,7 +126,7 @@ class Encoder:
         out = []
         for text, words, some in zip(texts, cut, known, strict=True):
             if words is None:
-                some = self.encoded([text])
+                some = [array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()]
             elif not all(some):
                 some = [new[w] if x is None else x for w, x in zip(words, some, strict=True)]
             out.append(np.frombuffer(b"".join(some) + last, "<u4"))
