@@ -18,7 +18,6 @@ from array import array
 from codecs import charmap_decode
 from collections.abc import Iterator
 from functools import cache
-from itertools import islice
 from string import punctuation
 
 import numpy as np
@@ -47,6 +46,36 @@ def byte_alphabet() -> str:
     return "".join(chr(b) if b in own else chr(256 + sum(x not in own for x in range(b))) for b in range(256))
 
 
+class Words(dict):
+    """Ids of words, put together from their parts by the pattern; a new part is given to the library's model."""
+
+    def __init__(self, model, pattern):
+        super().__init__()
+        self.tokenize, self.words, self.alphabet = model.tokenize, pattern.findall, byte_alphabet()
+
+    def part(self, word: str) -> bytes:
+        found = self.get(word)
+        if found is None:
+            found = self[word] = array("I", [t.id for t in self.tokenize(charmap_decode(word.encode(), "strict", self.alphabet)[0])]).tobytes()
+        return found
+
+    def __missing__(self, word: str) -> bytes:
+        stem = word.rstrip(punctuation)
+        if not stem[stem[:1] == " " :].isalpha():
+            found = b"".join(map(self.part, self.words(word)))
+        elif len(stem) == len(word):  # letters are one part, and signs behind them another
+            return self.part(word)
+        else:
+            found = self.part(stem) + self.part(word[len(stem) :])
+        self[word] = found
+        return found
+
+    def trim(self, size: int) -> None:
+        """Keeps the first ``size`` words."""
+        while len(self) > size:
+            self.popitem()
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library, without special tokens being added.
 
@@ -70,8 +99,7 @@ class Encoder:
         self.by_words = not parts["normalizer"] and cutter.get("type") == "ByteLevel" and cutter.get("use_regex", True) and not cutter.get("add_prefix_space")
         self.added = [x["content"] for x in parts["added_tokens"]]
         self.words, self.letter, self.space = regex.compile(self.PATTERN).findall, regex.compile(r"\p{L}").fullmatch, regex.compile(r"\s").fullmatch
-        self.tokenize, self.alphabet = self.library.model.tokenize, byte_alphabet()
-        self.memo: dict[str, bytes] = {}
+        self.memo = Words(self.library.model, regex.compile(self.PATTERN))
         self.agreed: set[str] = set()
         self.spaces: set[str] = set()
 
@@ -91,20 +119,6 @@ class Encoder:
                 self.spaces.add(c)
         return True
 
-    def parts(self, word: str) -> list[str]:
-        """A word's parts by the pattern, which are plain for letters with signs behind."""
-        stem = word.rstrip(punctuation)
-        if stem[stem[:1] == " " :].isalpha():
-            return [stem, word[len(stem) :]] if len(stem) < len(word) else [word]
-        return self.words(word)
-
-    def encoded_words(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of new words, put together from their parts by the pattern."""
-        parts = [self.parts(w) for w in words]
-        tokenize, alphabet, known = self.tokenize, self.alphabet, self.memo
-        out = {p: array("I", [t.id for t in tokenize(charmap_decode(p.encode(), "strict", alphabet)[0])]).tobytes() for p in set().union(*parts).difference(known)}
-        return {w: out[w] if w in out else b"".join([known[p] if p in known else out[p] for p in some]) for w, some in zip(words, parts, strict=True)}
-
     def cut(self, text: str) -> list[str] | None:
         """Words, or None for a text that isn't to be cut."""
         characters = set(text)
@@ -118,18 +132,12 @@ class Encoder:
         return text.replace(" ", "\0 ").split("\0")
 
     def ids(self, texts: list[str], end: int) -> list[np.ndarray]:
-        last = array("I", [end]).tobytes()
-        cut = [self.cut(t) for t in texts]
-        known = [list(map(self.memo.get, words)) if words is not None else None for words in cut]
-        new = self.encoded_words(list({w for words, some in zip(cut, known, strict=True) if some and not all(some) for w, x in zip(words, some, strict=True) if x is None}))
-        self.memo.update(islice(new.items(), max(0, MEMO - len(self.memo))))
-        out = []
-        for text, words, some in zip(texts, cut, known, strict=True):
-            if words is None:
-                some = [array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()]
-            elif not all(some):
-                some = [new[w] if x is None else x for w, x in zip(words, some, strict=True)]
+        last, ids_of, out = array("I", [end]).tobytes(), self.memo.__getitem__, []
+        for text in texts:
+            words = self.cut(text)
+            some = map(ids_of, words) if words is not None else [array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()]
             out.append(np.frombuffer(b"".join(some) + last, "<u4"))
+        self.memo.trim(MEMO)
         return out
 
 
