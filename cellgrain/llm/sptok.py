@@ -33,7 +33,7 @@ from cellgrain.llm.media import pieces
 
 CHUNK, BLOCK, MARK = 16_384, 2048, "▁"
 #: Words, pairs of pieces and so on that a Python worker keeps of each kind.
-MEMO = 400_000
+MEMO = 300_000
 #: The state at a boundary that no piece crosses.
 CLEAN = 0
 NEVER = float("-inf")
@@ -84,7 +84,9 @@ class Pieces:
         back = {i: bytes([b]) for b, i in self.byte.items()}
         known = set(plain)
         self.text = [model.id_to_piece(i).replace(MARK, " ").encode() if i in known else back.get(i, b"") for i in range(n)]
-        self.words = Memo(lambda w: self.bytes_of(self.merged(w)))
+        self.inside = {p[k : k + 2] for p in self.id for k in range(len(p) - 1)}
+        self.parts = Memo(lambda w: self.bytes_of(self.merged(w)))
+        self.words = Memo(self.word)
         self.pairs = Memo(lambda p: self.merged(p[0] + p[1]) == [*p])
         self.heads, self.tails = Memo(lambda x: self.enter(*x)), Memo(lambda x: self.leave(*x))
 
@@ -107,6 +109,16 @@ class Pieces:
                 scores[i] = get(parts[i] + parts[i + 1], NEVER)
         return parts
 
+    def word(self, s: str) -> bytes:
+        """Ids of a word. No piece crosses two characters that no piece has next to each other, so all paths meet there,
+        too, and the parts between such places are merged apart."""
+        inside, at, parts = self.inside, 0, []
+        for k in range(1, len(s)):
+            if s[k - 1 : k + 1] not in inside:
+                parts.append(s[at:k])
+                at = k
+        return b"".join(map(self.parts.__getitem__, [*parts, s[at:]])) if parts else self.parts[s]
+
     def encode(self, text: str) -> bytes:
         """Ids of a normalized text that starts and ends between words."""
         if MARK * 2 in text or "\0" in text:
