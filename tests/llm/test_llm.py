@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -278,6 +279,20 @@ def test_encoder_equals_the_library_at_every_character(monkeypatch):
     assert sum(e.agree(set(t)) for t in texts) > len(texts) / 2
 
 
+def random_texts(characters: list[str], n: int, size: int) -> list[str]:
+    pick = random.Random(5)
+    return ["".join(pick.choices(characters[: pick.randint(3, len(characters))], k=pick.randint(0, size))) for _ in range(n)]
+
+
+def test_encoder_cuts_white_space_and_signs_as_the_library(monkeypatch):
+    monkeypatch.setattr(hilbert, "MEMO", 500)
+    e = hilbert.Encoder(hilbert.public_vocabulary())
+    texts = random_texts([" ", "\n", "a", "é", ",", "'", "s", "t", "1", "\t", "\0", "字", "!", "\u0301"], 5000, 14)
+    want = [[*x.ids, 1] for x in e.library.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in e.ids(texts, 1)] == want
+    assert len(e.memo) == 500
+
+
 @pytest.mark.parametrize(("dims", "bits"), [(2, 4), (3, 3), (4, 2)])
 def test_hilbert_curve_visits_neighbours(dims, bits):
     cells = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dims, indexing="ij"), -1).reshape(-1, dims)
@@ -343,6 +358,18 @@ def test_pieces_equal_the_library(spark, docs, texts, chunk, block):
         assert got[i]["n_chunks"] >= len(t) // block
 
 
+@pytest.mark.parametrize("block", [5, 9, sptok.BLOCK])
+def test_parts_of_words_equal_the_library(block):
+    import sentencepiece
+
+    m, library = sptok.model_of(sptok.public_model()), sentencepiece.SentencePieceProcessor(model_file=sptok.public_model())
+    texts = random_texts([" ", "\n", "a", "é", ",", "'", "s", "t", "1", "ing", "the", "0", "字", "▁", "!", "$$", "..", ".\n"], 3000, 24)
+    for text in texts:
+        t = sptok.normalized(text)
+        ids, _ = sptok.traced(m, (t, 0, len(t), True, True), block)
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text)
+
+
 def test_transfer_product_is_associative():
     a, b, c = {(0, 1), (0, 2)}, {(1, 3), (2, 3), (2, 4)}, {(3, 0), (4, 5)}
     assert sptok.combine(sptok.combine(a, b), c) == sptok.combine(a, sptok.combine(b, c)) == {(0, 0), (0, 5)}
