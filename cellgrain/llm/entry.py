@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellgrain.llm import hilbert, maxent, mcd, media, shards, simhash, sptok, urlbloom, warc, zstdclf
+from cellgrain.llm import hilbert, maxent, mcd, media, mixing, resample, shards, simhash, sptok, urlbloom, warc, zstdclf
 from cellgrain.llm.common import parquet
 
 
@@ -18,6 +18,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zstdclf.classify(parquet(spark, sf_dir, "documents"), parquet(spark, sf_dir, "labels"))
 
 
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resampled_documents(parquet(spark, sf_dir, "documents"), parquet(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
@@ -32,9 +36,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_warc_archives": of("pages", warc.archived_pages),
         "op9_simhash_tiles": of("documents", simhash.near_copies),
         "op10_maxent_scores": of("documents", maxent.language_scores),
+        "op11_fair_queueing": of("documents", mixing.mixed_documents),
+        "op12_importance_resampling": op12,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mcd_outliers": mcd.sql(), "op4_prefix_shards": shards.sql(), "op6_url_bloom_filter": urlbloom.sql(), "op8_warc_archives": warc.SQL}
+    return {"op2_mcd_outliers": mcd.sql(), "op4_prefix_shards": shards.sql(), "op6_url_bloom_filter": urlbloom.sql(), "op8_warc_archives": warc.SQL, "op11_fair_queueing": mixing.sql(), "op12_importance_resampling": resample.sql()}
