@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellgrain.llm import hilbert, maxent, mcd, media, mixing, resample, shards, simhash, sptok, urlbloom, warc, zstdclf
+from cellgrain.llm import hilbert, maxent, mcd, media, mixing, resample, shards, simhash, sptok, trie, urlbloom, warc, zstdclf
 from cellgrain.llm.common import parquet
 
 
@@ -38,9 +38,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_maxent_scores": of("documents", maxent.language_scores),
         "op11_fair_queueing": of("documents", mixing.mixed_documents),
         "op12_importance_resampling": op12,
+        "op13_conversation_trie": of("conversations", trie.conversation_trie),
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mcd_outliers": mcd.sql(), "op4_prefix_shards": shards.sql(), "op6_url_bloom_filter": urlbloom.sql(), "op8_warc_archives": warc.SQL, "op11_fair_queueing": mixing.sql(), "op12_importance_resampling": resample.sql()}
+    return {"op2_mcd_outliers": mcd.sql(), "op4_prefix_shards": shards.sql(), "op6_url_bloom_filter": urlbloom.sql(), "op8_warc_archives": warc.SQL, "op11_fair_queueing": mixing.sql(), "op12_importance_resampling": resample.sql(), "op13_conversation_trie": trie.sql()}
