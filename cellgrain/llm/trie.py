@@ -29,6 +29,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cellgrain.llm import common
 from cellgrain.llm.common import cut, lookup_join
 from cellgrain.llm.shards import crc32_sql
 
@@ -203,33 +204,43 @@ def settle(state: DataFrame) -> DataFrame:
 
 def rollup(nodes: DataFrame, through: DataFrame, limit: int = LIMIT) -> DataFrame:
     """Adds leaves and saved, the totals of leaf and saving over the subtree of every node. ``nodes`` has node, parent,
-    conv (a conversation through it), depth and weight (of its whole subtree); ``through`` has the nodes of each conversation: _c, node, parent."""
+    conv (a conversation through it), depth and weight (of its whole subtree); ``through`` has the nodes of each
+    conversation: _c, q (their depth), node, parent."""
     zero = F.lit(0).cast("long")
     active = nodes.withColumns({"leaves": zero, "saved": zero, "comp": F.lit(bytearray(ROOT))})
     names, done, small = active.columns, [], []
-    passed = through.select("_c", F.explode(F.array(F.struct(F.col("node").alias("g"), F.lit(None).cast("binary").alias("child")), F.struct(F.col("parent").alias("g"), F.col("node").alias("child")))).alias("s")).select(F.col("_c").alias("conv"), "s.*").where("g IS NOT NULL")
+    steps = through.where("parent IS NOT NULL").select(F.col("_c").alias("conv"), F.col("parent").alias("g"), F.col("node").alias("_child"))
     salt = F.xxhash64("node")
     while True:
         large = active.where(F.col("weight") > limit).groupBy("comp").agg(F.max("weight").alias("_whole"))
         halves = lookup_join(active.where(2 * F.col("weight") > limit), large, ["comp"], salt, "inner").where("2 * weight >= _whole")
-        centroids = cut(halves.groupBy("comp").agg(F.min_by(F.struct("node", "depth", "weight"), "weight").alias("_g")).select("comp", F.col("_g.node").alias("g"), F.col("_g.depth").alias("_at"), F.col("_g.weight").alias("_lost")))
-        if centroids.isEmpty():
+        lightest = halves.groupBy("comp").agg(F.min_by(F.struct("node", "conv", "depth", "weight"), "weight").alias("_g"))
+        centroids = cut(lightest.select("comp", F.col("_g.node").alias("g"), F.col("_g.conv").alias("_through"), F.col("_g.depth").alias("_at"), F.col("_g.weight").alias("_lost")))
+        count = centroids.count()
+        if not count:
             small.append(active.select(names))
             break
-        small.append(lookup_join(active, centroids.select("comp"), ["comp"], salt, "left_anti").select(names))
-        held = lookup_join(active, centroids, ["comp"], salt, "inner")
-        met = lookup_join(passed, centroids.select("g", "comp"), ["g"], F.col("conv"), "inner").groupBy("conv", "comp").agg(F.max("child").alias("_child"), F.lit(True).alias("_hit"))
-        held = cut(lookup_join(held, met, ["conv", "comp"], salt))
-        below = held.where("_hit AND depth >= _at").groupBy("comp").agg(F.sum("leaf").alias("_leaves"), F.sum("saving").alias("_saved"))
-        held = lookup_join(held, below, ["comp"], salt)
-        path = F.col("_hit") & (F.col("depth") <= F.col("_at"))
-        new = {"leaves": F.col("leaves") + F.when(path, F.col("_leaves")).otherwise(0), "saved": F.col("saved") + F.when(path, F.col("_saved")).otherwise(0)}
-        new |= {"weight": F.col("weight") - F.when(F.col("_hit") & (F.col("depth") < F.col("_at")), F.col("_lost")).otherwise(0), "comp": F.when(F.col("_hit") & (F.col("depth") > F.col("_at")), F.col("_child")).otherwise(F.col("comp"))}
-        moved = cut(held.withColumns(new).select(*names, (F.col("node") == F.col("g")).alias("_gone")))
+
+        def near(left: DataFrame, right: DataFrame, how: str = "inner", keys: tuple[str, ...] = ("comp",), rows: int = count) -> DataFrame:
+            """A join with a row for each of the centroids at most."""
+            return left.join(F.broadcast(right), [*keys], how) if rows <= common.BROADCAST_ROWS else lookup_join(left, right, [*keys], F.xxhash64(*left.columns), how)
+
+        small.append(near(active, centroids.select("comp"), "left_anti").select(names))
+        # Nodes on the way from a centroid to its component's top: those of a conversation through it, up to its depth.
+        ways = centroids.groupBy(F.col("_through").alias("_c")).agg(F.collect_list(F.struct("comp", "_at")).alias("_ways"))
+        path = near(through.select("_c", "q", "node"), ways, keys=("_c",)).select("node", "q", F.explode("_ways").alias("_w")).where("q <= _w._at").select("node", F.col("_w.comp").alias("comp"), F.lit(True).alias("_up"))
+        # A node lies below a centroid if its conversation goes on from there.
+        below = near(steps, centroids.select("g", "comp"), keys=("g",)).groupBy("conv", "comp").agg(F.max("_child").alias("_child"))
+        held = lookup_join(near(active, centroids), below, ["conv", "comp"], salt).join(path, ["node", "comp"], "left")
+        gone, down = F.col("node") == F.col("g"), F.col("_child").isNotNull() & (F.col("depth") > F.col("_at"))
+        held = cut(held.select(*names, "_lost", gone.alias("_gone"), F.when(down, F.col("_child")).alias("_child"), F.coalesce("_up", F.lit(False)).alias("_up")))
+        total = held.where("_gone OR _child IS NOT NULL").groupBy("comp").agg(F.sum("leaf").alias("_leaves"), F.sum("saving").alias("_saved"))
+        up = lambda c, by: F.col(c) + F.when(F.col("_up"), F.col(by)).otherwise(0)
+        new = {"leaves": up("leaves", "_leaves"), "saved": up("saved", "_saved"), "weight": up("weight", "_minus"), "comp": F.coalesce("_child", "comp")}
+        moved = cut(near(held, total).withColumn("_minus", F.when(F.col("_gone"), 0).otherwise(-F.col("_lost"))).withColumns(new).select(*names, "_gone"))
         done.append(moved.where("_gone").select(names))
         active = moved.where("NOT _gone").select(names)
-    out = settle(union(small))
-    return union([out, *done]).drop("comp")
+    return union([settle(union(small)), *done]).drop("comp")
 
 
 def union(parts: list[DataFrame]) -> DataFrame:
@@ -295,7 +306,7 @@ def conversation_trie(turns: DataFrame, limit: int = LIMIT) -> DataFrame:
     nodes = merged.join(kids, "node", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0)))
     nodes = cut(nodes.select("node", "parent", "conv", "depth", "weight", "n_convs", "n_children", (F.col("n_children") == 0).cast("long").alias("leaf"), ((F.col("n_convs") - 1) * F.col("chars")).alias("saving")))
     least = max(nodes.count() // HOT, 1)
-    rolled = rollup(nodes, through.select("_c", "node", "parent"), limit)
+    rolled = rollup(nodes, through.select("_c", "q", "node", "parent"), limit)
     above = nodes.select(F.col("node").alias("parent"), F.col("conv").alias("_above"), "n_children")
     hot = above.where(F.col("n_children") > least).select("parent", F.col("_above").alias("_hot"))
     cold = above.where(F.col("n_children").between(1, least)).drop("n_children")
