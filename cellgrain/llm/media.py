@@ -141,14 +141,19 @@ def samples(data: memoryview, leaves: dict) -> list[tuple[int, int]]:
 
 
 def inspect(content: bytes) -> dict:
-    """The first track's codec, clock, samples and keyframes (all samples, where stss is absent)."""
+    """The first track's codec, clock, samples and keyframes (all samples, where stss is absent), and how many tracks
+    follow it. Samples of movie fragments are in no sample table, so a file with fragments is an error."""
     data = memoryview(content)
     top = {kind: (a, b) for kind, a, b in walk(data, 0, len(data))}
     if b"moov" not in top:
         raise ValueError("no moov box")
-    trak = next(((a, b) for kind, a, b in walk(data, *top[b"moov"]) if kind == b"trak"), None)
-    if trak is None:
+    inside = list(walk(data, *top[b"moov"]))
+    if b"moof" in top or any(kind == b"mvex" for kind, *_ in inside):
+        raise ValueError("movie fragments aren't read")
+    tracks = [(a, b) for kind, a, b in inside if kind == b"trak"]
+    if not tracks:
         raise ValueError("no track")
+    trak = tracks[0]
     leaves = track(data, *trak, {})
     a, b = leaves[b"mdhd"]
     timescale, duration = struct.unpack_from(">IQ", data, a + 20) if data[a] == 1 else struct.unpack_from(">II", data, a + 12)
@@ -162,13 +167,14 @@ def inspect(content: bytes) -> dict:
     if b"stss" in leaves:
         a, b = leaves[b"stss"]
         keys = [all_of[k - 1] for k in ints(data, a + 8, b, count(data, leaves, b"stss"), "I")]
-    return {"codec": codec, "timescale": timescale, "duration": duration or ticks, "samples": all_of, "keyframes": keys}
+    return {"codec": codec, "timescale": timescale, "duration": duration or ticks, "samples": all_of, "keyframes": keys, "further": len(tracks) - 1}
 
 
 READ = T.StructType([T.StructField("codec", T.StringType()), T.StructField("timescale", T.LongType()), T.StructField("duration", T.LongType()), T.StructField("n_samples", T.LongType()), T.StructField("keyframes", T.ArrayType(T.StructType([T.StructField("offset", T.LongType()), T.StructField("length", T.LongType())]))), T.StructField("sample_bytes", T.LongType()), T.StructField("sample_sha256", T.StringType()), T.StructField("sample_tail_crc32", T.LongType()), T.StructField("media_bytes", T.LongType()), T.StructField("media_sha256", T.StringType()), T.StructField("error", T.StringType())])
 
 
 def describe(content: bytes | None) -> dict:
+    """The columns of READ. ``error`` says what couldn't be read, or that further tracks aren't described."""
     out = dict.fromkeys(READ.fieldNames())
     if content is None:
         return out | {"error": "no content"}
@@ -188,7 +194,7 @@ def describe(content: bytes | None) -> dict:
         sha.update(content[a:b])
         tail, at = (tail + content[max(a, b - 16) : b])[-16:], at + b - a
     keys = [{"offset": a, "length": n} for a, n in x["keyframes"]]
-    return out | {"codec": x["codec"], "timescale": x["timescale"], "duration": x["duration"], "n_samples": len(x["samples"]), "keyframes": keys, "sample_bytes": at, "sample_sha256": sha.hexdigest(), "sample_tail_crc32": zlib.crc32(tail)}
+    return out | {"codec": x["codec"], "timescale": x["timescale"], "duration": x["duration"], "n_samples": len(x["samples"]), "keyframes": keys, "sample_bytes": at, "sample_sha256": sha.hexdigest(), "sample_tail_crc32": zlib.crc32(tail), "error": f"{x['further']} further tracks aren't described" if x["further"] else None}
 
 
 def pieces(batch: pa.RecordBatch, column: str, most: int = 16 << 20) -> Iterator[pa.RecordBatch]:

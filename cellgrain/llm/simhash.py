@@ -191,10 +191,11 @@ def links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE, words: int | N
     first ``words`` of 64 bits. If ``grouped``, a is a member and b the name of a tree of it instead."""
     ranked, _ = prefix_sums(fps.select("pop", "fp", F.lit(1).cast("long").alias("one")), ["pop", "fp"], "one", "at")
     tiles = cut(ranked.withColumn("tile", F.expr(f"at div {tile}")).groupBy("tile").agg(F.min("pop").alias("low"), F.max("pop").alias("high"), F.collect_list("fp").alias("fps")))
-    # Ranks follow population counts: tile y comes into x's reach if its lowest count is in [x.low, x.high + radius].
-    x = tiles.select(F.col("tile").alias("x"), F.explode(F.sequence("low", F.col("high") + radius)).alias("low"))
-    y = tiles.select(F.col("tile").alias("y"), "low")
-    pairs = x.join(y, "low").where("y >= x").select("x", "y")
+    # Ranks follow population counts, so the tiles in reach of x are x and those after it, up to the last whose lowest
+    # count is at most x.high + radius. Lowest counts are few (the bits of a fingerprint), so no join by a hot count is needed.
+    ends = tiles.groupBy("low").agg(F.max("tile").alias("last")).agg(F.collect_list(F.struct("low", "last")).alias("ends"))
+    last = F.array_max(F.transform(F.filter("ends", lambda e: e["low"] <= F.col("high") + radius), lambda e: e["last"]))
+    pairs = tiles.select(F.col("tile").alias("x"), "high").crossJoin(F.broadcast(ends)).select("x", F.explode(F.sequence("x", last)).alias("y"))  # one row
     both = pairs.join(tiles.select(F.col("tile").alias("x"), F.col("fps").alias("fx")), "x").join(tiles.select(F.col("tile").alias("y"), F.col("fps").alias("fy")), "y")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

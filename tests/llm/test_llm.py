@@ -86,6 +86,10 @@ def test_media_other_tables():
     assert (r["error"], r["codec"], r["duration"], [(k["offset"], k["length"]) for k in r["keyframes"]]) == (None, "avc1", 25, [(16, 10), (26, 20), (46, 30)])
     assert r["sample_sha256"] == hashlib.sha256(data[:60]).hexdigest()
     assert media.describe(moov[:-4])["error"] and media.describe(mdat + u(0) + moov[4:])["error"] is None
+    two = box(b"moov", *[box(b"trak", box(b"mdia", full(b"mdhd", u(0, 0, 1000, 0, 0)), box(b"minf", stbl)))] * 2)
+    r = media.describe(mdat + two)
+    assert r["n_samples"] == 3 and r["error"] == "1 further tracks aren't described"
+    assert "fragments" in media.describe(mdat + moov + box(b"moof", b""))["error"]
     for cut in range(0, len(mdat + moov), 7):
         assert media.describe((mdat + moov)[:cut])["codec"] is None
 
