@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from cellgrain.model import ratio
+from cellgrain.operators.quantiles import exact
+from cellgrain.sources.layers import checkpoint
 
 
 def profile(expr: DataFrame) -> DataFrame:
@@ -39,13 +41,14 @@ def background_genes(expr: DataFrame, cells: DataFrame, genes: DataFrame, share:
     counts take part)."""
     n = cells.agg(F.count("*").alias("_n"))
     mean = genes.select("gene_id").join(expr.groupBy("gene_id").agg(F.sum("value").alias("_sum")), "gene_id", "left").fillna(0).crossJoin(F.broadcast(n)).select("gene_id", (F.col("_sum") / F.col("_n")).alias("mean"))
-    low = mean.agg(F.percentile("mean", F.lit(share)).alias("_low"))
-    return mean.crossJoin(F.broadcast(low)).where("mean < _low").select("gene_id")
+    mean = checkpoint(mean)
+    return mean.crossJoin(F.broadcast(exact(mean, {"_low": ("mean", share)}))).where("mean < _low").select("gene_id")
 
 
-def decontx_score(expr: DataFrame, cells: DataFrame, genes: DataFrame) -> DataFrame:
-    """Per cell the share of its counts in background genes, and the probability that such a count is real."""
-    bg = background_genes(expr, cells, genes).withColumn("_bg", F.lit(True))
+def decontx_score(expr: DataFrame, cells: DataFrame, genes: DataFrame, background: DataFrame | None = None) -> DataFrame:
+    """Per cell the share of its counts in background genes (by default those of background_genes()), and the probability
+    that such a count is real."""
+    bg = (background_genes(expr, cells, genes) if background is None else background).withColumn("_bg", F.lit(True))
     agg = expr.join(bg, "gene_id", "left").groupBy("cell_id").agg(F.sum("value").alias("total"), F.sum(F.when(F.col("_bg"), F.col("value")).otherwise(0.0)).alias("_in"))
     score = F.coalesce(ratio(F.col("_in"), F.col("total")), F.lit(0.0))
     out = cells.select("cell_id").join(agg, "cell_id", "left").select("cell_id", score.alias("contamination_score"))
@@ -54,8 +57,8 @@ def decontx_score(expr: DataFrame, cells: DataFrame, genes: DataFrame) -> DataFr
 
 def decontx_correct(expr: DataFrame, cells: DataFrame, genes: DataFrame) -> DataFrame:
     """Counts of background genes times the cell's probability; other counts as they are."""
-    bg = background_genes(expr, cells, genes).withColumn("_bg", F.lit(True))
-    joined = expr.join(bg, "gene_id", "left").join(decontx_score(expr, cells, genes), "cell_id")
+    low = checkpoint(background_genes(expr, cells, genes))
+    joined = expr.join(low.withColumn("_bg", F.lit(True)), "gene_id", "left").join(decontx_score(expr, cells, genes, low), "cell_id")
     return joined.select("cell_id", "gene_id", F.when(F.col("_bg"), F.col("value") * F.col("native_prob")).otherwise(F.col("value")).alias("value"))
 
 

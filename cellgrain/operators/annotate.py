@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cellgrain.model import hash_rank, need, ratio
+from cellgrain.operators.joins import lookup, numbered
+from cellgrain.sources.layers import checkpoint
 
 #: Marker genes of each cell type, in dictionary order.
 MARKERS = {
@@ -150,14 +152,17 @@ def marker_scores(expr: DataFrame, cells: DataFrame, genes: DataFrame, markers:
     if not control:
         return out
     mean = genes.select("gene_id").join(expr.groupBy("gene_id").agg(F.sum("value").alias("m")), "gene_id", "left").fillna(0)
-    binned = mean.withColumn("bin", F.ntile(n_bins).over(Window.orderBy("m", "gene_id")))  # one row a gene
+    ordered = checkpoint(numbered(mean, ["m", "gene_id"]))
+    size, more = divmod(ordered.count(), n_bins)  # the first bins have one gene more
+    binned = ordered.withColumn("bin", F.when(F.col("at") < more * (size + 1), F.floor(F.col("at") / (size + 1))).otherwise(F.floor((F.col("at") - more) / max(size, 1))))
     touched = present.join(binned, "gene_id").select("cell_type", "bin").distinct()
     pool = touched.join(binned, "bin").join(present.select("cell_type", "gene_id"), ["cell_type", "gene_id"], "left_anti")
     w = Window.partitionBy("cell_type", "bin").orderBy(hash_rank("gene_id", "cell_type"))
-    chosen = pool.withColumn("k", F.row_number().over(w)).where(F.col("k") <= n_control).select("cell_type", "gene_id")
+    chosen = checkpoint(pool.withColumn("k", F.row_number().over(w)).where(F.col("k") <= n_control).select("cell_type", "gene_id"))
     n = chosen.groupBy("cell_type").agg(F.count("*").alias("cn"))
-    back = expr.join(F.broadcast(chosen), "gene_id").groupBy("cell_id", "cell_type").agg(F.sum("value").alias("cs"))
-    both = out.join(back, ["cell_id", "cell_type"], "left").join(F.broadcast(n), "cell_type", "left")
+    sets = chosen.groupBy("gene_id").agg(F.collect_list("cell_type").alias("_of"))
+    back = lookup(expr, sets, ["gene_id"], ["cell_id"], "inner").withColumn("cell_type", F.explode("_of")).groupBy("cell_id", "cell_type").agg(F.sum("value").alias("cs"))
+    both = lookup(out.join(back, ["cell_id", "cell_type"], "left"), n, ["cell_type"], ["cell_id"])
     return both.select("cell_id", "cell_type", "set_order", (F.col("score") - F.coalesce(F.coalesce("cs", F.lit(0.0)) / F.col("cn"), F.lit(0.0))).alias("score"))
 
 

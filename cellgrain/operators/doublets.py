@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from cellgrain.model import hash_int, hash_rank, need
 from cellgrain.operators import embed, normalize
+from cellgrain.operators.joins import lookup, numbered
+from cellgrain.operators.quantiles import exact
+from cellgrain.sources.layers import checkpoint
 
 
 def simulate(expr: DataFrame, cells: DataFrame, ratio: float = 1.0, seed: int = 42) -> DataFrame:
@@ -19,9 +22,9 @@ def simulate(expr: DataFrame, cells: DataFrame, ratio: float = 1.0, seed: int =
 
 def profiles(expr: DataFrame, genes: DataFrame) -> DataFrame:
     """(cell_id, vec): log-normalised values of the selected genes, in their order."""
-    order = genes.select("gene_id").distinct().withColumn("at", F.row_number().over(Window.orderBy("gene_id")) - 1)  # selected genes
+    order = checkpoint(numbered(genes.select("gene_id").distinct(), ["gene_id"]).withColumn("at", F.col("at").cast("int")))
     n = order.count()
-    x = normalize.log_normalize(expr).join(F.broadcast(order), "gene_id")  # selected genes: hundreds
+    x = lookup(normalize.log_normalize(expr), order, ["gene_id"], ["cell_id"], "inner", rows=n)
     m = x.groupBy("cell_id").agg(F.map_from_entries(F.collect_list(F.struct("at", "value"))).alias("m"))
     return m.select("cell_id", F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0))).alias("vec"))
 
@@ -37,7 +40,8 @@ def scores(expr: DataFrame, cells: DataFrame, genes: DataFrame, k: int = 15, rat
     near = embed.knn(embed.pca(p, min(n_pcs, dims))[0], k)
     share = near.where(~F.col("src").startswith("sim_")).groupBy(F.col("src").alias("_id")).agg(F.avg(F.col("dst").startswith("sim_").cast("double")).alias("score"))
     out = cells.select("cell_id", F.col("cell_id").cast("string").alias("_id")).join(share, "_id", "left").select("cell_id", F.coalesce("score", F.lit(0.0)).alias("score"))
-    return out.crossJoin(F.broadcast(out.agg(F.percentile("score", F.lit(1 - rate)).alias("_t")))).select("cell_id", "score", (F.col("score") > F.col("_t")).alias("doublet"))
+    out = checkpoint(out)
+    return out.crossJoin(F.broadcast(exact(out, {"_t": ("score", 1 - rate)}))).select("cell_id", "score", (F.col("score") > F.col("_t")).alias("doublet"))
 
 
 def consensus(calls: DataFrame, first: str | None = "scrublet", second: str | None = "doubletfinder", require_both: bool = False) -> DataFrame:

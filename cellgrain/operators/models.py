@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier
@@ -51,6 +52,35 @@ def predict(model: PipelineModel, df: DataFrame, out: str = "predicted") -> Data
     return x.select(*df.columns, F.get(labels, F.col("prediction").cast("int")).alias(out), *probability)
 
 
+class CalibratedMargins:
+    """A margin model whose class probabilities come from margins of rows that it hasn't seen: each of ``folds`` parts is
+    scored by a model of the others, and a multinomial logistic regression learns classes from these margins. Labels
+    are those of the model of all rows."""
+
+    def __init__(self, df: DataFrame, label: str = "label", key: str = "cell_id", folds: int = 3, ridge: float = 1e-3, **options):
+        dealt = layers.checkpoint(splits.stratified(df, label, key, parts=folds))
+        parts = range(folds)
+        with ThreadPool(folds + 1) as pool:  # the fits are independent jobs
+            *held, self.model = pool.map(lambda i: fit(dealt.where(F.col("fold") != i).drop("fold") if i < folds else df, "svm", label, **options), [*parts, folds])
+        self.labels = self.model.stages[0].labels
+        seen = [self.margins(m, dealt.where(F.col("fold") == i).drop("fold")) for i, m in zip(parts, held, strict=True) if m.stages[0].labels == self.labels]
+        if not seen:
+            raise ValueError("a class has too few rows to hold some out")
+        rows = self.model.stages[0].transform(layers.checkpoint(reduce(DataFrame.unionByName, seen)))
+        learner = LogisticRegression(featuresCol="_margins", labelCol="label_index", family="multinomial", regParam=ridge, predictionCol="_p", rawPredictionCol="_r", probabilityCol="_probability")
+        self.calibration = learner.fit(rows)
+
+    def margins(self, model: PipelineModel, df: DataFrame) -> DataFrame:
+        x = model.transform(df.withColumn("features_raw", array_to_vector("vec")))
+        return x.select(*df.columns, F.col("rawPrediction").alias("_margins"), "prediction")
+
+    def predict(self, df: DataFrame, out: str = "predicted") -> DataFrame:
+        names = F.array(*(F.lit(x) for x in self.labels))
+        x = self.calibration.transform(self.margins(self.model, df))
+        probability = F.slice(vector_to_array("_probability"), 1, len(self.labels))
+        return x.select(*df.columns, F.get(names, F.col("prediction").cast("int")).alias(out), probability.alias("class_probability"))
+
+
 def hard_vote(lr: Column, rf: Column, svm: Column) -> Column:
     """Majority of three; without one the first voter's."""
     return F.when(rf == svm, rf).otherwise(lr)
@@ -70,37 +100,48 @@ def importances(model: PipelineModel) -> DataFrame:
 
 def ensemble(train: DataFrame, test: DataFrame, label: str = "label", key: str = "cell_id", options: dict | None = None) -> DataFrame:
     """``test`` with lr, rf, svm (labels by the three models), predicted (their majority) and soft (the label of the
-    largest mean probability of lr and rf). Keys are unique."""
+    largest mean probability of the three). Keys are unique."""
     out, labels = test, []
     for kind in ("lr", "rf", "svm"):
-        model = fit(train, kind, label, **dict((options or {}).get(kind, {})))
-        labels = model.stages[0].labels
-        scored = predict(model, test.select(key, label, "vec"), kind)
-        probability = [F.col("class_probability").alias(f"_{kind}")] if "class_probability" in scored.columns else []
-        out = out.join(scored.select(key, kind, *probability), key)
-    mean = soft_vote(F.col("_lr"), F.col("_rf"))
+        given = dict((options or {}).get(kind, {}))
+        if kind == "svm":
+            model = CalibratedMargins(train, label, key, **given)
+            labels, scored = model.labels, model.predict(test.select(key, label, "vec"), kind)
+        else:
+            model = fit(train, kind, label, **given)
+            labels, scored = model.stages[0].labels, predict(model, test.select(key, label, "vec"), kind)
+        # The indexer keeps a class for unseen labels, which isn't one of them.
+        out = out.join(scored.select(key, kind, F.slice("class_probability", 1, len(labels)).alias(f"_{kind}")), key)
+    mean = soft_vote(F.col("_lr"), F.col("_rf"), F.col("_svm"))
     soft = F.get(F.array(*(F.lit(x) for x in labels)), (F.array_position(mean, F.array_max(mean)) - 1).cast("int"))
-    return out.withColumns({"predicted": hard_vote(F.col("lr"), F.col("rf"), F.col("svm")), "soft": soft}).drop("_lr", "_rf")
+    return out.withColumns({"predicted": hard_vote(F.col("lr"), F.col("rf"), F.col("svm")), "soft": soft}).drop("_lr", "_rf", "_svm")
 
 
 def held_out(df: DataFrame, kind: str, label: str = "label", key: str = "cell_id", **options) -> DataFrame:
     """Predictions for a stratified fifth of the rows by a model (or the ``ensemble``) of the other rows."""
     dealt = layers.checkpoint(splits.stratified(df, label, key))  # every fit reads it many times
     train, test = dealt.where("not is_test").drop("is_test"), dealt.where("is_test").drop("is_test")
+    if kind == "svm":
+        return CalibratedMargins(train, label, key, **options).predict(test)
     return ensemble(train, test, label, key, options) if kind == "ensemble" else predict(fit(train, kind, label, **options), test)
 
 
 def cross_validate(df: DataFrame, kind: str, label: str = "label", key: str = "cell_id", folds: int = 5, seed: int = 42, **options) -> DataFrame:
-    """fold, part, accuracy, balanced_accuracy. The scaler is fitted on the training rows of each fold only."""
-    dealt = splits.stratified(df, label, key, parts=folds, seed=seed)
-    rows = []
-    for i in range(folds):
+    """model, fold, part, accuracy, balanced_accuracy, for lr, rf, svm or the ensemble (its test rows only). The scaler is fitted
+    on the training rows of each fold only."""
+    dealt = layers.checkpoint(splits.stratified(df, label, key, parts=folds, seed=seed))
+
+    def one(i: int) -> list[DataFrame]:
         train, test = dealt.where(F.col("fold") != i).drop("fold"), dealt.where(F.col("fold") == i).drop("fold")
-        model = fit(train, kind, label, **dict(options))
-        for part, x in (("train", train), ("test", test)):
-            scored = predict(model, x).withColumn("_y", F.col(label).cast("string"))
-            rows.append(metrics.report(scored, "_y", "predicted").select(F.lit(i).alias("fold"), F.lit(part).alias("part"), "accuracy", "balanced_accuracy"))
-    return reduce(DataFrame.unionByName, rows)
+        if kind == "ensemble":
+            scored = [("test", ensemble(train, test, label, key, options))]
+        else:
+            model = fit(train, kind, label, **dict(options))
+            scored = [("train", predict(model, train)), ("test", predict(model, test))]
+        return [metrics.report(x.withColumn("_y", F.col(label).cast("string")), "_y", "predicted").select(F.lit(kind).alias("model"), F.lit(i).alias("fold"), F.lit(part).alias("part"), "accuracy", "balanced_accuracy") for part, x in scored]
+
+    with ThreadPool(folds) as pool:  # the folds' jobs share the cluster
+        return reduce(DataFrame.unionByName, [r for part in pool.map(one, range(folds)) for r in part])
 
 
 def modeling_stage(df: DataFrame, kind: str, label: str = "label", group: str | None = None, key: str = "cell_id", **options) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cellgrain.model import need, ratio
+from cellgrain.operators.quantiles import exact
+from cellgrain.sources.layers import checkpoint
 
 TOP = (50, 100, 200, 500)
 
@@ -88,18 +90,29 @@ def outliers(metrics: DataFrame, column: str, n_mads: float = 5.0, method: str =
     of the quartiles (``iqr``). Medians are exact and interpolated."""
     x = F.col(column)
     if method == "mad":
-        mid = metrics.agg(F.median(x).alias("_mid"))
-        near = metrics.crossJoin(F.broadcast(mid))  # one row
-        mad = near.agg(F.median(F.abs(x - F.col("_mid"))).alias("_mad"))
+        metrics = checkpoint(metrics)
+        near = metrics.crossJoin(F.broadcast(exact(metrics, {"_mid": (column, 0.5)})))  # one row
+        mad = exact(near.select(F.abs(x - F.col("_mid")).alias("_far")), {"_mad": ("_far", 0.5)})
         flagged = near.crossJoin(F.broadcast(mad)).withColumn("is_outlier", F.abs(x - F.col("_mid")) > n_mads * F.col("_mad"))
         return flagged.drop("_mid", "_mad")
     if method != "iqr":
         raise ValueError(f"method {method!r} is neither 'mad' nor 'iqr'")
-    q = metrics.agg(F.percentile(x, F.lit(0.25)).alias("_q1"), F.percentile(x, F.lit(0.75)).alias("_q3"))
+    metrics = checkpoint(metrics)
+    q = exact(metrics, {"_q1": (column, 0.25), "_q3": (column, 0.75)})
     span = 1.5 * (F.col("_q3") - F.col("_q1"))
     return metrics.crossJoin(F.broadcast(q)).withColumn("is_outlier", (x < F.col("_q1") - span) | (x > F.col("_q3") + span)).drop("_q1", "_q3")
 
 
+def dataset_summary(cells: DataFrame, dataset: str = "dataset", cell_type: str = "cell_type") -> DataFrame:
+    """A row a dataset: cells, medians of detected genes, counts and mitochondrial percentage, and cell types, of
+    cells with the columns of cell_metrics()."""
+    cells = checkpoint(cells.select(dataset, cell_type, "n_genes_by_counts", "total_counts", "pct_counts_mito"))
+    medians = exact(cells, {"median_genes": ("n_genes_by_counts", 0.5), "median_counts": ("total_counts", 0.5), "median_pct_mito": ("pct_counts_mito", 0.5)}, [dataset])
+    counts = cells.groupBy(dataset).agg(F.count("*").alias("n_cells"), F.count_distinct(cell_type).alias("n_cell_types"))
+    joined = counts.join(medians.withColumnRenamed(dataset, "_d"), F.col(dataset).eqNullSafe(F.col("_d")))
+    return joined.select(dataset, "n_cells", "median_genes", "median_counts", "median_pct_mito", "n_cell_types")
+
+
 def mask(df: DataFrame, condition: Column) -> tuple[DataFrame, DataFrame]:
     """Rows that meet a condition, and all others; unknown counts as not met."""
     known = F.coalesce(condition, F.lit(False))

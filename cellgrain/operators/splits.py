@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cellgrain.model import hash_rank, need
+from cellgrain.operators.quantiles import exact
 
 
 def patients(cells: DataFrame, patient: str, stratum: str | None = None) -> DataFrame:
@@ -57,7 +58,7 @@ def time_split(cells: DataFrame, time: str, cutoff=None) -> DataFrame:
     rows = cells.where(F.col(time).isNotNull()).withColumn("_t", micros)
     if cutoff is not None:
         return rows.withColumn("is_test", F.col("_t") > F.unix_micros(F.lit(cutoff).cast("timestamp"))).drop("_t")
-    return rows.crossJoin(F.broadcast(rows.agg(F.median("_t").alias("_m")))).withColumn("is_test", F.col("_t") > F.col("_m")).drop("_t", "_m")
+    return rows.crossJoin(F.broadcast(exact(rows.select("_t"), {"_m": ("_t", 0.5)}))).withColumn("is_test", F.col("_t") > F.col("_m")).drop("_t", "_m")
 
 
 def overlap(*frames: DataFrame, patient: str = "patient_id") -> DataFrame:

@@ -3,13 +3,18 @@ tail of a distribution is evaluated per result row."""
 
 from __future__ import annotations
 
+import functools
 import math
+from collections.abc import Iterator
 from statistics import NormalDist
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from cellgrain.model import hash_int
+from cellgrain.operators.joins import lookup
 
 
 def numbered(scores: DataFrame, group: list[str], order: list[str]) -> DataFrame:
@@ -43,12 +48,17 @@ def bca(scores: DataFrame, group: list[str], order: list[str], value: str, n_boo
     boot = resamples(scores, group, order, value, n_boot, seed).join(base.select(*group, "estimate"), group)
     share = boot.groupBy(*group).agg((F.count_if(F.col("mean") < F.col("estimate")) / F.count("*")).alias("below"), F.array_sort(F.collect_list("mean")).alias("means"))
     rows = base.join(share, group)
+    return with_limits(base.join(share, group), level).select(*group, "estimate", "acceleration", "z0", "low", "high")
+
+
+def with_limits(rows: DataFrame, level: float) -> DataFrame:
+    """Adds z0, low and high from below (the share of resampled means under the estimate), acceleration and the sorted means."""
     q = NormalDist()
     alpha = (1 - level) / 2
 
-    def limits(below: pd.Series, accel_: pd.Series, means: pd.Series) -> pd.DataFrame:
+    def limits(below: pd.Series, accel: pd.Series, means: pd.Series) -> pd.DataFrame:
         out = []
-        for p, a, m in zip(below, accel_, means, strict=True):
+        for p, a, m in zip(below, accel, means, strict=True):
             z0 = q.inv_cdf(min(max(p, 1 / (2 * len(m))), 1 - 1 / (2 * len(m))))
             ends = []
             for z in (q.inv_cdf(alpha), q.inv_cdf(1 - alpha)):
@@ -59,7 +69,69 @@ def bca(scores: DataFrame, group: list[str], order: list[str], value: str, n_boo
         return pd.DataFrame(out, columns=["z0", "low", "high"])
 
     udf = F.pandas_udf(limits, "z0 double, low double, high double")
-    return rows.withColumn("l", udf("below", "acceleration", "means")).select(*group, "estimate", "acceleration", "l.z0", "l.low", "l.high")
+    return rows.withColumn("l", udf("below", "acceleration", "means")).select(*rows.columns, "l.*")
+
+
+#: Rows weighed at once in a task (8 bytes a draw), and groups whose sums a task keeps before it hands them on.
+WEIGHED, HELD = 256, 256
+#: Fixed values by rule: the Poisson distribution of mean 1, cumulated and scaled to 64 bits.
+POISSON = np.array([min(2**64 - 1, int(sum(math.exp(-1) / math.factorial(k) for k in range(j + 1)) * 2**64)) for j in range(20)], np.uint64)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """64 well-mixed bits from 64 (the finaliser of SplitMix64)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def poisson_resamples(scores: DataFrame, group: list[str], order: list[str], value: str, n_boot: int = 1000, seed: int = 42) -> DataFrame:
+    """group, b, mean for groups of any size: each row is in each resample as often as a Poisson number of mean 1 says, which
+    follows from a hash of the row's group, order and the resample. Tasks send n_boot sums a group that they meet. A
+    resample that drew no row has no mean."""
+    rows = scores.where(F.col(value).isNotNull()).select(F.to_json(F.struct(*group)).alias("_g"), F.xxhash64(*group, *order, F.lit(seed)).alias("_h"), F.col(value).cast("double").alias("_v"))
+    steps = mixed(np.arange(1, n_boot + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] = {}
+
+        def out() -> pa.RecordBatch:
+            sums = np.concatenate(list(held.values()), axis=1) if held else np.zeros((2, 0))
+            names = pa.array(np.repeat(np.array(list(held), object), n_boot), pa.string())
+            return pa.RecordBatch.from_arrays([names, pa.array(np.tile(np.arange(n_boot, dtype=np.int32), len(held))), pa.array(sums[0]), pa.array(sums[1])], names=["_g", "b", "w", "s"])
+
+        for batch in batches:
+            g, h, v = batch.column("_g").to_numpy(zero_copy_only=False), batch.column("_h").to_numpy().view(np.uint64), batch.column("_v").to_numpy()
+            for name in dict.fromkeys(g):
+                mine = np.flatnonzero(g == name)
+                total = held.setdefault(name, np.zeros((2, n_boot)))
+                for i in range(0, len(mine), WEIGHED):
+                    some = mine[i : i + WEIGHED]
+                    w = np.searchsorted(POISSON, mixed(h[some, None] ^ steps[None, :]), "right").astype(float)
+                    total += np.stack([w.sum(axis=0), v[some] @ w])
+                if len(held) >= HELD:
+                    yield out()
+                    held.clear()
+        yield out()
+
+    sums = rows.mapInArrow(run, "_g string, b int, w double, s double").groupBy("_g", "b").agg(F.sum("w").alias("w"), F.sum("s").alias("s")).where("w > 0")
+    schema = T.StructType([scores.schema[c] for c in group])
+    return sums.select(F.from_json("_g", schema).alias("_k"), "b", (F.col("s") / F.col("w")).alias("mean")).select("_k.*", "b", "mean")
+
+
+def bca_large(scores: DataFrame, group: list[str], order: list[str], value: str, n_boot: int = 1000, level: float = 0.95, seed: int = 42) -> DataFrame:
+    """As bca(), by Poisson weights and central sums: no group is gathered, only its n_boot means are."""
+    v = F.col(value)
+    rows = scores.where(v.isNotNull())
+    mean = rows.groupBy(*group).agg(F.avg(v).alias("estimate"), F.count(v).alias("n"))
+    # Jackknife deviations are (x - mean) / (n - 1).
+    dev = (v - F.col("estimate")) / F.nullif(F.col("n") - 1, F.lit(0))
+    known = lookup(rows, mean, group, order)
+    central = known.groupBy(*group).agg(F.first("estimate").alias("estimate"), F.sum(F.pow(dev, F.lit(3.0))).alias("_c"), F.sum(F.pow(dev, F.lit(2.0))).alias("_q"))
+    base = central.select(*group, "estimate", F.when(F.col("_q") > 0, F.col("_c") / (6 * F.pow("_q", F.lit(1.5)))).otherwise(0.0).alias("acceleration"))
+    boot = poisson_resamples(scores, group, order, value, n_boot, seed).join(base, group)
+    share = boot.groupBy(*group).agg((F.count_if(F.col("mean") < F.col("estimate")) / F.count("*")).alias("below"), F.array_sort(F.collect_list("mean")).alias("means"))
+    return with_limits(base.join(share, group), level).select(*group, "estimate", "acceleration", "z0", "low", "high")
 
 
 def compare(diffs: DataFrame, group: list[str], order: list[str], value: str, n_boot: int = 1000, seed: int = 42) -> DataFrame:
@@ -80,7 +152,8 @@ def differences(scores: DataFrame, method: str, block: str, value: str, group: l
 
 
 def normal_tail(z: Column) -> Column:
-    """Two-sided tail of the standard normal distribution, by a rational approximation of erfc (error under 1.2e-7)."""
+    """Two-sided tail of the standard normal distribution, by Chebyshev's approximation of erfc that Press et al.
+    print in Numerical Recipes, 6.2 (error under 1.2e-7). Fixed values: its coefficients, in falling powers."""
     x = F.abs(z) / math.sqrt(2)
     t = 1 / (1 + 0.5 * x)
     poly = F.lit(0.17087277)
@@ -89,9 +162,33 @@ def normal_tail(z: Column) -> Column:
     return t * F.exp(-x * x - 1.26551223 + t * poly)
 
 
+#: Most differences whose rank sum is tested by its exact distribution.
+EXACT = 50
+
+
+@functools.cache
+def rank_sum_counts(n: int) -> list[int]:
+    """How many of the 2^n signs of the ranks 1 to n have each sum of positive ranks: rank k is in the sum or not."""
+    counts = [1]
+    for k in range(1, n + 1):
+        counts = [a + b for a, b in zip(counts + [0] * k, [0] * k + counts, strict=True)]
+    return counts
+
+
+def signed_rank_p(n: int, used: int, w: float, ties: float) -> float:
+    """Two-sided p-value of the smaller rank sum w of ``used`` of n differences: exact for at most EXACT of them without
+    zeros and ties, else the normal tail with the variance of tied ranks."""
+    if used == 0:
+        return 1.0
+    if used == n <= EXACT and ties == 0:
+        return min(1.0, 2 * sum(rank_sum_counts(n)[: int(w) + 1]) / 2**n)
+    variance = used * (used + 1) * (2 * used + 1) / 24 - ties / 48
+    return math.erfc(abs(w - used * (used + 1) / 4) / math.sqrt(2 * variance)) if variance > 0 else 1.0
+
+
 def wilcoxon(diffs: DataFrame, group: list[str], value: str = "d") -> DataFrame:
-    """Signed-rank test: group, n (zeros included), n_used, w = min(W+, W-), effect 1 - 2w / (n(n+1)), p (normal
-    approximation with ties). Under two differences the effect is null."""
+    """Signed-rank test: group, n (zeros included), n_used, w = min(W+, W-), effect 1 - 2w / (n(n+1)), p_value, and exact
+    (whether it is of the exact distribution). Under two differences effect and p_value are null."""
     v = F.round(F.col(value), 12)
     rows = diffs.where(F.col(value).isNotNull()).withColumn("_d", v)
     n = rows.groupBy(*group).agg(F.count("*").alias("n"))
@@ -101,11 +198,10 @@ def wilcoxon(diffs: DataFrame, group: list[str], value: str = "d") -> DataFrame:
     ties = used.groupBy(*group, "_a").agg(F.count("*").alias("t")).groupBy(*group).agg(F.sum(F.pow("t", F.lit(3.0)) - F.col("t")).alias("ties"))
     sums = used.groupBy(*group).agg(F.sum(F.when(F.col("_d") > 0, F.col("r")).otherwise(0.0)).alias("plus"), F.sum(F.when(F.col("_d") < 0, F.col("r")).otherwise(0.0)).alias("minus"), F.count("*").alias("n_used")).join(ties, group)
     j = n.join(sums, group, "left").fillna(0)
-    stat = F.least("plus", "minus")
-    m = F.col("n_used").cast("double")
-    sd = F.sqrt(F.greatest(m * (m + 1) * (2 * m + 1) / 24 - F.col("ties") / 48, F.lit(0.0)))
-    z = F.when(sd > 0, (stat - m * (m + 1) / 4) / sd)
-    return j.select(*group, "n", "n_used", stat.alias("w"), F.when(F.col("n") >= 2, 1 - 2 * stat / (F.col("n") * (F.col("n") + 1))).alias("effect"), F.when(F.col("n") >= 2, F.coalesce(normal_tail(z), F.lit(1.0))).alias("p_value"))
+    p = F.pandas_udf(lambda a, b, c, d: pd.Series([signed_rank_p(*x) for x in zip(a, b, c, d, strict=True)], dtype="float64"), "double")
+    stat, enough = F.least("plus", "minus"), F.col("n") >= 2
+    out = j.select(*group, "n", "n_used", stat.alias("w"), F.when(enough, 1 - 2 * stat / (F.col("n") * (F.col("n") + 1))).alias("effect"), p("n", "n_used", stat, "ties").alias("p_value"), ((F.col("n") == F.col("n_used")) & (F.col("n") <= EXACT) & (F.col("ties") == 0)).alias("exact"))
+    return out.withColumn("p_value", F.when(enough, F.col("p_value")))
 
 
 def bonferroni(tests: DataFrame, group: list[str] | None = None, alpha: float = 0.05, p: str = "p_value") -> DataFrame:

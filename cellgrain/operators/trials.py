@@ -138,9 +138,11 @@ def contract_check(expr: DataFrame, cells: DataFrame, genes: DataFrame, contract
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """One row: rows, columns, and an order-free digest of all rows (copies of a row don't cancel)."""
-    rows = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
-    return rows.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"), F.coalesce(F.bit_xor(F.xxhash64(*df.columns, "_n")), F.lit(0)).alias("digest")).withColumn("n_columns", F.lit(len(df.columns)))
+    """One row: rows, columns, and an order-free digest of all rows: the sum of their hashes modulo 2^64, so copies of a row
+    don't cancel and nothing but sums is shuffled."""
+    total = F.coalesce(F.sum(F.xxhash64(*df.columns).cast("decimal(28,0)")), F.lit(0))
+    digest = F.pmod(total, F.lit(str(2**64)).cast("decimal(38,0)")).cast("decimal(20,0)").cast("string")
+    return df.agg(F.count("*").alias("n_rows"), digest.alias("digest")).withColumn("n_columns", F.lit(len(df.columns)))
 
 
 def stage_summary(stages: DataFrame) -> DataFrame:

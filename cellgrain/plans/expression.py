@@ -271,8 +271,7 @@ def distinct_counts(s, d):
 
 @query("dataset_summary", f"{BASE}, {METRICS} SELECT batch AS dataset, count(*) AS n_cells, median(n_genes_by_counts) AS median_genes, median(total_counts) AS median_counts, round(median(pct_counts_mito), 6) AS median_pct_mito, count(DISTINCT cell_type) AS n_cell_types FROM cells JOIN m USING (cell_id) GROUP BY batch")
 def dataset_summary(s, d):
-    j = cells(s, d).join(metrics(s, d), "cell_id")
-    return rounded(j.groupBy(F.col("batch").alias("dataset")).agg(F.count("*").alias("n_cells"), F.median("n_genes_by_counts").alias("median_genes"), F.median("total_counts").alias("median_counts"), F.median("pct_counts_mito").alias("median_pct_mito"), F.count_distinct("cell_type").alias("n_cell_types")), "median_pct_mito")
+    return rounded(qc.dataset_summary(cells(s, d).join(metrics(s, d), "cell_id").withColumnRenamed("batch", "dataset")), "median_pct_mito")
 
 
 @query("celltype_distribution", f"{BASE} SELECT cell_type, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share FROM cells GROUP BY cell_type")

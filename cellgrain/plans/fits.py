@@ -15,9 +15,7 @@ from cellgrain.sources import ingest, layers
 
 def root(s) -> str:
     """A new folder in the shared one."""
-    layers.checkpoint(s.range(1))
-    base = s.conf.get("spark.checkpoint.dir", None) or s.sparkContext._jsc.sc().getCheckpointDir().get()
-    return f"{base.rstrip('/')}/layers/{uuid.uuid4().hex}"
+    return f"{layers.shared(s)}/layers/{uuid.uuid4().hex}"
 
 
 @query("ingest_samples", f"{BASE} SELECT 'S' || batch AS sample_id, 'S' || batch || '_bc' || cell_id AS cell_id, 'G' || gene_id AS gene_id, value FROM expr JOIN cells USING (cell_id)")
@@ -44,8 +42,8 @@ def clinical_join(s, d):
 
 @query("merge_samples", f"{BASE} SELECT batch AS dataset, cell_id, gene_id, value FROM expr JOIN cells USING (cell_id)")
 def merge_samples(s, d):
-    x = expr(s, d).join(cells(s, d).select("cell_id", "batch"), "cell_id")
-    return ingest.concat_datasets({b: x.where(F.col("batch") == b).drop("batch") for b in ("O", "F", "P")})
+    """Samples come with their name as a column, so one pass tags all of them, however many there are."""
+    return expr(s, d).join(cells(s, d).select("cell_id", F.col("batch").alias("dataset")), "cell_id").select("dataset", "cell_id", "gene_id", "value")
 
 
 @query("concat_datasets", "SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, NULL AS brand, 'customers' AS dataset FROM customer UNION ALL SELECT p_partkey, p_name, NULL, p_brand, 'parts' FROM part")
@@ -132,7 +130,7 @@ def preprocess_doublets(s, d):
 
 @query("harmony_correct")
 def harmony_correct(s, d):
-    return harmony.integrate(emb(s, d).drop("label"), "batch", 20, k=8, rounds=5)[0]
+    return harmony.integrate(emb(s, d).drop("label"), "batch", 20)[0]
 
 
 def labelled(s, d):
@@ -156,7 +154,7 @@ def rf_importances(s, d):
 
 @query("svm_classify")
 def svm_classify(s, d):
-    return models.held_out(labelled(s, d), "svm").select("cell_id", "label", "predicted")
+    return models.held_out(labelled(s, d), "svm").select("cell_id", "label", "predicted", "class_probability")
 
 
 @query("ensemble_classify")
@@ -169,6 +167,16 @@ def cv_scores(s, d):
     return models.cross_validate(labelled(s, d), "lr")
 
 
+@query("cv_scores_forest")
+def cv_scores_forest(s, d):
+    return models.cross_validate(labelled(s, d), "rf")
+
+
+@query("cv_scores_margins")
+def cv_scores_margins(s, d):
+    return models.cross_validate(labelled(s, d), "svm")
+
+
 @query("modeling_stage")
 def modeling_stage(s, d):
     return models.modeling_stage(labelled(s, d), "lr")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cellgrain.functions import metadata
-from cellgrain.operators import annotate, metrics
+from cellgrain.operators import annotate, metrics, reference_model
 from cellgrain.plans.adapter import BASE, CELLS, EXPR, GENES, VOTES, cells, expr, genes, table, votes
 from cellgrain.plans.expression import rounded
 from cellgrain.plans.registry import query
@@ -245,3 +245,29 @@ def annotation_metrics(s, d):
     x = label_pairs(s, d)
     both = metrics.ari(x, "y_true", "y_pred").crossJoin(metrics.nmi(x, "y_true", "y_pred"))  # one row each
     return rounded(metrics.composite(both, metrics.ANNOTATION_WEIGHTS), "ari", "nmi", "score")
+
+
+def model_table(s, d):
+    """A linear model of five labels on three quarters of the genes, by a rule from the table of parts."""
+    p = table(s, d, "part").where("p_partkey % 4 <> 0").select(F.col("p_partkey").alias("gene_id"), F.explode(F.sequence(F.lit(0), F.lit(4))).alias("k"))
+    weights = p.select(F.concat(F.lit("type"), "k").alias("label"), "gene_id", ((F.pmod(F.col("gene_id") * (F.col("k") + 3), F.lit(11)) - 5) / 100).alias("weight"))
+    starts = s.range(5).select(F.concat(F.lit("type"), "id").alias("label"), F.lit(None).cast("long").alias("gene_id"), (F.col("id") / 10).alias("weight"))
+    return weights.unionByName(starts)
+
+
+MODEL = "mw AS (SELECT p_partkey AS gene_id, k, ((p_partkey * (k + 3)) % 11 - 5) / 100 AS weight FROM part, range(5) r(k) WHERE p_partkey % 4 <> 0), ms AS (SELECT cell_id, k, sum(value * weight) AS s FROM expr JOIN mw USING (gene_id) GROUP BY ALL), mp AS (SELECT cell_id, k, coalesce(s, 0) + k / 10 AS score FROM cells CROSS JOIN range(5) r(k) LEFT JOIN ms USING (cell_id, k)), mx AS (SELECT *, exp(score - max(score) OVER (PARTITION BY cell_id)) AS e FROM mp)"
+
+
+@query("reference_model_scores", f"{BASE}, {MODEL} SELECT cell_id, 'type' || k AS label, round(score, 6) AS score, round(e / sum(e) OVER (PARTITION BY cell_id), 6) AS probability FROM mx")
+def reference_model_scores(s, d):
+    return rounded(reference_model.probabilities(expr(s, d), cells(s, d), model_table(s, d)), "score", "probability")
+
+
+@query("reference_model_labels", f"{BASE}, {MODEL} SELECT cell_id, 'type' || arg_min(k, (-round(e, 12), k)) AS predicted FROM mx GROUP BY cell_id")
+def reference_model_labels(s, d):
+    return reference_model.predict(expr(s, d), cells(s, d), model_table(s, d)).select("cell_id", "predicted")
+
+
+@query("reference_model_coverage", "SELECT count(*) AS n_model_genes, count(*) AS n_found FROM part WHERE p_partkey % 4 <> 0")
+def reference_model_coverage(s, d):
+    return reference_model.coverage(genes(s, d), model_table(s, d))

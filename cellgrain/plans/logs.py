@@ -66,31 +66,37 @@ def scores(s, d):
 
 SCORES = f"{CELLS}, scores AS (SELECT batch AS grp, cell_type AS method, CAST(c_custkey % 40 AS INTEGER) AS block, round(avg(price) / 1000, 1) AS score FROM cells JOIN customer ON c_custkey = patient_id GROUP BY ALL)"
 DRAW = "CAST(('0x' || substr(md5(b || ':' || i || ':42'), 1, 8))::BIGINT % len(vs) AS INTEGER) + 1"
-PACK = "pk AS (SELECT grp, method, list(score ORDER BY block) AS vs FROM scores GROUP BY ALL), bo AS (SELECT grp, method, b, avg(vs[" + DRAW + "]) AS mean FROM (SELECT *, unnest(range(len(vs))) AS i FROM (SELECT *, unnest(range(200)) AS b FROM pk)) GROUP BY ALL)"
+PACK = "pk AS (SELECT grp, method, list(score ORDER BY block) AS vs FROM scores GROUP BY ALL), bo AS (SELECT grp, method, b, avg(vs[" + DRAW + "]) AS mean FROM (SELECT *, unnest(range(len(vs))) AS i FROM (SELECT *, unnest(range(1000)) AS b FROM pk)) GROUP BY ALL)"
 
 
 @query("bootstrap_means", f"WITH {SCORES}, {PACK} SELECT grp, method, b, round(mean, 6) AS mean FROM bo")
 def bootstrap_means(s, d):
-    return rounded(stats.resamples(scores(s, d), ["grp", "method"], ["block"], "score", 200), "mean")
+    return rounded(stats.resamples(scores(s, d), ["grp", "method"], ["block"], "score"), "mean")
 
 
 @query("bootstrap_ci", f"WITH {SCORES}, e AS (SELECT grp, method, avg(score) AS m, sum(score) AS t, count(*) AS n FROM scores GROUP BY ALL) SELECT grp, method, round(any_value(m), 6) AS estimate, round(sum(power(m - (t - score) / (n - 1), 3)) / (6 * power(sum(power(m - (t - score) / (n - 1), 2)), 1.5)), 6) AS acceleration FROM scores JOIN e USING (grp, method) GROUP BY ALL")
 def bootstrap_ci(s, d):
-    return rounded(stats.bca(scores(s, d), ["grp", "method"], ["block"], "score", 200).select("grp", "method", "estimate", "acceleration"), "estimate", "acceleration")
+    return rounded(stats.bca(scores(s, d), ["grp", "method"], ["block"], "score").select("grp", "method", "estimate", "acceleration"), "estimate", "acceleration")
 
 
 @query("bootstrap_intervals")
 def bootstrap_intervals(s, d):
-    return stats.bca(scores(s, d), ["grp", "method"], ["block"], "score", 200)
+    return stats.bca(scores(s, d), ["grp", "method"], ["block"], "score")
+
+
+@query("bootstrap_large_groups")
+def bootstrap_large_groups(s, d):
+    """Mean metric of each family of trials: a few groups that hold all rows."""
+    return stats.bca_large(trials(s, d), ["family"], ["trial_id"], "metric")
 
 
 DIFFS = "df AS (SELECT a.grp, a.block, a.method AS method_a, b.method AS method_b, a.score - b.score AS d FROM scores a JOIN scores b ON a.grp = b.grp AND a.block = b.block AND a.method < b.method)"
 
 
-@query("bootstrap_compare", f"WITH {SCORES}, {DIFFS}, pk AS (SELECT grp, method_a, method_b, list(d ORDER BY block) AS vs FROM df GROUP BY ALL), bo AS (SELECT grp, method_a, method_b, b, avg(vs[{DRAW}]) AS mean FROM (SELECT *, unnest(range(len(vs))) AS i FROM (SELECT *, unnest(range(200)) AS b FROM pk)) GROUP BY ALL), ag AS (SELECT grp, method_a, method_b, quantile_cont(mean, 0.025) AS low, quantile_cont(mean, 0.975) AS high, least(1, 2 * least(count(*) FILTER (mean < 0), count(*) FILTER (mean > 0)) / count(*)) AS p FROM bo GROUP BY ALL), me AS (SELECT grp, method_a, method_b, avg(d) AS diff FROM df GROUP BY ALL) SELECT grp, method_a, method_b, round(diff, 6) AS diff, round(low, 6) AS low, round(high, 6) AS high, round(p, 6) AS p_value, low > 0 OR high < 0 AS significant FROM me JOIN ag USING (grp, method_a, method_b)")
+@query("bootstrap_compare", f"WITH {SCORES}, {DIFFS}, pk AS (SELECT grp, method_a, method_b, list(d ORDER BY block) AS vs FROM df GROUP BY ALL), bo AS (SELECT grp, method_a, method_b, b, avg(vs[{DRAW}]) AS mean FROM (SELECT *, unnest(range(len(vs))) AS i FROM (SELECT *, unnest(range(1000)) AS b FROM pk)) GROUP BY ALL), ag AS (SELECT grp, method_a, method_b, quantile_cont(mean, 0.025) AS low, quantile_cont(mean, 0.975) AS high, least(1, 2 * least(count(*) FILTER (mean < 0), count(*) FILTER (mean > 0)) / count(*)) AS p FROM bo GROUP BY ALL), me AS (SELECT grp, method_a, method_b, avg(d) AS diff FROM df GROUP BY ALL) SELECT grp, method_a, method_b, round(diff, 6) AS diff, round(low, 6) AS low, round(high, 6) AS high, round(p, 6) AS p_value, low > 0 OR high < 0 AS significant FROM me JOIN ag USING (grp, method_a, method_b)")
 def bootstrap_compare(s, d):
     x = stats.differences(scores(s, d), "method", "block", "score", ["grp"])
-    return rounded(stats.compare(x, ["grp", "method_a", "method_b"], ["block"], "d", 200), "diff", "low", "high", "p_value")
+    return rounded(stats.compare(x, ["grp", "method_a", "method_b"], ["block"], "d"), "diff", "low", "high", "p_value")
 
 
 WILCOXON = """us AS (SELECT *, abs(dd) AS a FROM (SELECT grp, method_a, method_b, round(d, 12) AS dd FROM df) WHERE dd <> 0),
@@ -98,10 +104,19 @@ rk AS (SELECT *, rank() OVER (PARTITION BY grp, method_a, method_b ORDER BY a) +
 wl AS (SELECT grp, method_a, method_b, count(*) AS n_used, least(coalesce(sum(r) FILTER (dd > 0), 0), coalesce(sum(r) FILTER (dd < 0), 0)) AS w FROM rk GROUP BY ALL), nn AS (SELECT grp, method_a, method_b, count(*) AS n FROM df GROUP BY ALL)"""
 
 
-@query("wilcoxon", f"WITH {SCORES}, {DIFFS}, {WILCOXON} SELECT grp, method_a, method_b, n, n_used, round(w, 6) AS w, round(1 - 2 * w / (n * (n + 1)), 6) AS effect FROM wl JOIN nn USING (grp, method_a, method_b)")
+# The p-value by ways of its own: the exact distribution by a recursion over ranks, the normal tail by Simpson's rule.
+P_VALUE = """te AS (SELECT grp, method_a, method_b, sum(t * t * t - t) AS ties FROM (SELECT grp, method_a, method_b, a, count(*) AS t FROM us GROUP BY ALL) GROUP BY ALL),
+ex AS MATERIALIZED (WITH RECURSIVE z(n, w, k) AS (SELECT 0, 0, CAST(1 AS DOUBLE) UNION ALL SELECT n + 1, w + s * (n + 1), sum(k) FROM z, (VALUES (0), (1)) v(s) WHERE n < 50 GROUP BY 1, 2) SELECT n, w, sum(k) OVER (PARTITION BY n ORDER BY w) / power(2, n) AS below FROM z),
+te2 AS MATERIALIZED (SELECT nn.*, coalesce(n_used, 0) AS n_used, coalesce(w, 0) AS w, coalesce(ties, 0) AS ties, abs(coalesce(w, 0) - coalesce(n_used, 0) * (coalesce(n_used, 0) + 1) / 4) / nullif(sqrt(greatest(n_used * (n_used + 1) * (2 * n_used + 1) / 24 - ties / 48, 0)), 0) AS x FROM nn LEFT JOIN wl USING (grp, method_a, method_b) LEFT JOIN te USING (grp, method_a, method_b)),
+tl AS (SELECT grp, method_a, method_b, greatest(0, 1 - sqrt(2 / pi()) * sum(CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END * exp(-power(x * i / 2000, 2) / 2)) * x / 6000) AS tail FROM te2, range(0, 2001) r(i) WHERE x IS NOT NULL GROUP BY grp, method_a, method_b, x),
+pv AS (SELECT te2.*, n_used = te2.n AND te2.n <= 50 AND ties = 0 AS exact, CASE WHEN te2.n < 2 THEN NULL WHEN n_used = te2.n AND te2.n <= 50 AND ties = 0 THEN least(1, 2 * below) ELSE coalesce(tail, 1) END AS p FROM te2 LEFT JOIN tl USING (grp, method_a, method_b) LEFT JOIN ex ON ex.n = te2.n AND ex.w = te2.w)"""
+TEST = "grp, method_a, method_b, n, n_used, round(w, 6) AS w, round(CASE WHEN n >= 2 THEN 1 - 2 * w / (n * (n + 1)) END, 6) AS effect, round(p, 6) AS p_value"
+
+
+@query("wilcoxon", f"WITH {SCORES}, {DIFFS}, {WILCOXON}, {P_VALUE} SELECT {TEST}, exact FROM pv")
 def wilcoxon(s, d):
     x = stats.differences(scores(s, d), "method", "block", "score", ["grp"])
-    return rounded(stats.wilcoxon(x, ["grp", "method_a", "method_b"]).drop("p_value"), "w", "effect")
+    return rounded(stats.wilcoxon(x, ["grp", "method_a", "method_b"]), "w", "effect", "p_value")
 
 
 @query("bonferroni", f"WITH {TRIALS}, p AS (SELECT trial_id, family, (trial_id % 1000 + 1) / 100000 AS p_value FROM trials) SELECT trial_id, family, p_value, round(least(p_value * count(*) OVER (PARTITION BY family), 1), 6) AS p_corrected, p_value * count(*) OVER (PARTITION BY family) < 0.05 AS significant FROM p")
@@ -110,19 +125,12 @@ def bonferroni(s, d):
     return rounded(stats.bonferroni(p, ["family"]), "p_corrected")
 
 
-@query("pairwise_methods", f"WITH {SCORES}, {DIFFS}, {WILCOXON} SELECT grp, method_a, method_b, n, n_used, round(w, 6) AS w, round(1 - 2 * w / (n * (n + 1)), 6) AS effect FROM wl JOIN nn USING (grp, method_a, method_b)")
+@query("pairwise_methods", f"WITH {SCORES}, {DIFFS}, {WILCOXON}, {P_VALUE} SELECT {TEST}, round(least(p * count(p) OVER (PARTITION BY grp), 1), 6) AS p_corrected, p * count(p) OVER (PARTITION BY grp) < 0.05 AS significant FROM pv")
 def pairwise_methods(s, d):
-    return rounded(stats.all_pairs(scores(s, d), "method", "block", "score", group=["grp"]).select("grp", "method_a", "method_b", "n", "n_used", "w", "effect"), "w", "effect")
-
-
-TAIL = "1.00002368 + t * (0.37409196 + t * (0.09678418 + t * (-0.18628806 + t * (0.27886807 + t * (-1.13520398 + t * (1.48851587 + t * (-0.82215223 + t * 0.17087277)))))))"
-P_VALUE = f"""te AS (SELECT grp, method_a, method_b, sum(t * t * t - t) AS ties FROM (SELECT grp, method_a, method_b, a, count(*) AS t FROM us GROUP BY ALL) GROUP BY ALL),
-sd AS (SELECT *, sqrt(greatest(n_used * (n_used + 1) * (2 * n_used + 1) / 24 - ties / 48, 0)) AS sd FROM wl JOIN te USING (grp, method_a, method_b)),
-tx AS (SELECT *, abs((w - n_used * (n_used + 1) / 4) / nullif(sd, 0)) / sqrt(2) AS x, 1 / (1 + 0.5 * x) AS t FROM sd),
-pv AS (SELECT grp, method_a, method_b, t * exp(-x * x - 1.26551223 + t * ({TAIL})) AS p FROM tx)"""
+    return rounded(stats.all_pairs(scores(s, d), "method", "block", "score", group=["grp"]).drop("exact"), "w", "effect", "p_value", "p_corrected")
 
 
-@query("pairwise_better", f"WITH {SCORES}, {DIFFS}, {WILCOXON}, {P_VALUE} SELECT grp, method_a, method_b, m > 0 AND CASE WHEN n >= 2 THEN coalesce(p, 1) END / 2 < 0.05 AS better FROM (SELECT grp, method_a, method_b, avg(d) AS m, count(*) AS n FROM df GROUP BY ALL) LEFT JOIN pv USING (grp, method_a, method_b)")
+@query("pairwise_better", f"WITH {SCORES}, {DIFFS}, {WILCOXON}, {P_VALUE} SELECT grp, method_a, method_b, m > 0 AND p / 2 < 0.05 AS better FROM pv JOIN (SELECT grp, method_a, method_b, avg(d) AS m FROM df GROUP BY ALL) USING (grp, method_a, method_b)")
 def pairwise_better(s, d):
     return stats.better(scores(s, d), "method", "block", "score", group=["grp"])
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from cellgrain.operators import embed, metrics
-from cellgrain.plans.adapter import EMB, emb
+from cellgrain.operators import communities, embed, metrics, normalize, sparse_pca
+from cellgrain.plans.adapter import EMB, cells, emb, expr
 from cellgrain.plans.expression import rounded
 from cellgrain.plans.registry import query
 from cellgrain.sources.layers import checkpoint
@@ -107,11 +107,33 @@ def graph_communities(s, d):
     return embed.communities(edges(s, d))
 
 
+@query("graph_clusters")
+def graph_clusters(s, d):
+    return communities.find(edges(s, d))
+
+
+@query("cluster_counts")
+def cluster_counts(s, d):
+    return communities.counts(communities.find(edges(s, d)))
+
+
 @query("pca_embed")
 def pca_embed(s, d):
     return embed.pca(emb(s, d), 10)[0]
 
 
+@query("pca_expression")
+def pca_expression(s, d):
+    """Of the normalised matrix of all cells and genes."""
+    return sparse_pca.components(normalize.log_normalize(expr(s, d)), cells(s, d), 20)[0]
+
+
+@query("pca_expression_variance")
+def pca_expression_variance(s, d):
+    shares = sparse_pca.components(normalize.log_normalize(expr(s, d)), cells(s, d), 20)[1]
+    return s.createDataFrame(list(enumerate(shares)), "component int, share double")
+
+
 @query("batch_mean_shift", f"WITH {EMB}, lo AS (SELECT cell_id, batch, unnest(range(64)) AS dim, unnest(vec) AS x FROM emb), b AS (SELECT batch, dim, avg(x) AS b FROM lo GROUP BY ALL), g AS (SELECT dim, avg(x) AS g FROM lo GROUP BY dim) SELECT cell_id, dim, round(x + g - b, 6) AS x FROM lo JOIN b USING (batch, dim) JOIN g USING (dim)")
 def batch_mean_shift(s, d):
     return rounded(embed.batch_shift(emb(s, d), "batch").select("cell_id", F.posexplode("vec").alias("dim", "x")), "x")

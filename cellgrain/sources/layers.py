@@ -3,23 +3,38 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 LAYERS = ("raw", "standardized", "analysis_ready")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in spark.checkpoint.dir; where that is unset, in a folder of this session's on a local
-    master, else an error: executors don't see each other's disks."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        if not spark.sparkContext.master.startswith("local"):
+def shared(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir; where that is unset, one of this session's on a local master, else an error:
+    executors don't see each other's disks."""
+    context = spark.sparkContext
+    if not spark.conf.get("spark.checkpoint.dir", None) and context._jsc.sc().getCheckpointDir().isEmpty():
+        if not context.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and the executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cellgrain-"))
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="cellgrain-"))
+    return (spark.conf.get("spark.checkpoint.dir", None) or context._jsc.sc().getCheckpointDir().get()).rstrip("/")
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint in the shared folder."""
+    shared(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """As checkpoint(), as a Parquet table of the shared folder. For loops with joins: a checkpoint keeps the estimate of its
+    size, a join's estimate is a product, and its digits double from round to round until planning takes longer than the work."""
+    path = f"{shared(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def location(root: str, layer: str, name: str = "") -> str:
     if layer not in LAYERS:
         raise ValueError(f"layer {layer!r} is none of {LAYERS}")
