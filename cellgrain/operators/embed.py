@@ -265,6 +265,23 @@ def transfer_labels(edges: DataFrame, labels: DataFrame, label: str, unknown: st
     return out.select("cell_id", F.when(own, F.col(label)).otherwise(F.coalesce("b.l", F.lit(unknown))).alias("predicted"), F.when(own, 1.0).otherwise(F.coalesce(-F.col("b.n") / F.col("t"), F.lit(0.0))).alias("confidence"))
 
 
+def propagate_labels(edges: DataFrame, labels: DataFrame, label: str, unknown: str = "Unknown") -> DataFrame:
+    """As transfer_labels(), again and again, until no further point gets a label: ``round`` says when a point got its own (0:
+    it had one), and is null for points that no labelled point reaches. A round's new labels vote in the next one only."""
+    from cellgrain.sources.layers import stored
+
+    state = stored(labels.select("cell_id", F.col(label).alias("_l"), F.lit(1.0).alias("_c"), F.when(F.col(label).isNotNull() & (F.col(label) != unknown), 0).alias("_r")))
+    turn, left = 0, state.where("_r IS NULL").count()
+    while left:
+        turn += 1
+        told = transfer_labels(edges, state, "_l", unknown)
+        state = stored(state.join(told, "cell_id").select("cell_id", F.col("predicted").alias("_l"), F.when(F.col("_r").isNull(), F.col("confidence")).otherwise(F.col("_c")).alias("_c"), F.coalesce("_r", F.when(F.col("predicted") != unknown, turn)).alias("_r")))
+        before, left = left, state.where("_r IS NULL").count()
+        if left == before:
+            break
+    return state.select("cell_id", F.coalesce("_l", F.lit(unknown)).alias("predicted"), F.when(F.col("_r").isNotNull(), F.col("_c")).otherwise(0.0).alias("confidence"), F.col("_r").alias("round"))
+
+
 def modularity(edges: DataFrame, labels: DataFrame, label: str, resolution: float = 1.0) -> DataFrame:
     """Of a partition of the undirected graph whose edges are those of ``edges`` in either direction, weight 1."""
     e = edges.where("src <> dst").select(F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v")).distinct()

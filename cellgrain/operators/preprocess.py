@@ -9,11 +9,12 @@ from cellgrain.operators import ambient, doublets, normalize, qc
 from cellgrain.sources.layers import checkpoint
 
 
-def run(expr: DataFrame, cells: DataFrame, genes: DataFrame, bounds: dict, min_cells: int = 10, doublet_column: str | None = None, doublet_rate: float | None = None, ambient_method: str | None = "soupx", normalization: str = "log", n_hvg: int = 2000, flavor: str = "seurat_v3", report_only: bool = False) -> tuple[dict[str, DataFrame], DataFrame]:
+def run(expr: DataFrame, cells: DataFrame, genes: DataFrame, bounds: dict, min_cells: int = 10, doublet_column: str | None = None, doublet_rate: float | None = None, ambient_method: str | None = "soupx", normalization: str = "log", n_hvg: int = 2000, flavor: str = "seurat_v3", hvg_on: str = "counts", report_only: bool = False) -> tuple[dict[str, DataFrame], DataFrame]:
     """Tables counts, expr, cells and genes after all steps, and a one-row report. Doublet calls are taken from
     ``doublet_column`` where given, or are the ``doublet_rate`` highest scores of simulated doublets on the n_hvg most variable
     genes; ``ambient_method`` None leaves that step out. Kept cells and genes, the counts without doublets and the corrected
-    counts are checkpointed, since several later steps read each. ``report_only`` leaves out the tables and what only they need."""
+    counts are checkpointed, since several later steps read each. ``hvg_on`` "values" ranks genes by the normalised values with
+    every flavour, as published runs of seurat_v3 did. ``report_only`` leaves out the tables and what only they need."""
     steps = ["qc"]
     expr = checkpoint(expr)
     before = qc.cell_metrics(expr, cells, genes)
@@ -44,7 +45,9 @@ def run(expr: DataFrame, cells: DataFrame, genes: DataFrame, bounds: dict, min_c
         values = normalize.pearson_residuals(counts, kept_cells, kept_genes)
     else:
         raise ValueError(f"normalization {normalization!r} is unknown")
-    flags = normalize.select_hvgs(values if flavor == "seurat" else counts, kept_cells, kept_genes, n_hvg, flavor)
+    if hvg_on not in ("counts", "values"):
+        raise ValueError(f"hvg_on {hvg_on!r} is neither 'counts' nor 'values'")
+    flags = normalize.select_hvgs(values if flavor == "seurat" or hvg_on == "values" else counts, kept_cells, kept_genes, n_hvg, flavor)
     out = {"counts": counts, "expr": values, "cells": metadata.annotate(kept_cells), "genes": kept_genes.join(flags.select("gene_id", "highly_variable"), "gene_id", "left")}
     return out, report(cells, genes, kept_cells, kept_genes, steps + later)
 

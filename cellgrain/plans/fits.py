@@ -121,6 +121,13 @@ def preprocess_pipeline(s, d):
     return rounded(tables["expr"], "value")
 
 
+@query("preprocess_counts", f"{BASE}, {METRICS}, {KEPT}, {GENE_METRICS}, {CORRECTED} SELECT cell_id, gene_id, round(value, 6) AS value FROM am")
+def preprocess_counts(s, d):
+    """The pipeline's snapshot of counts, before normalisation."""
+    tables, _ = preprocess.run(expr(s, d), cells(s, d), genes(s, d), BOUNDS, MIN_CELLS)
+    return rounded(tables["counts"], "value")
+
+
 @query("preprocess_doublets")
 def preprocess_doublets(s, d):
     """Cells that the pipeline keeps when it scores doublets itself."""

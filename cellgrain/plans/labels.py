@@ -97,11 +97,27 @@ def marker_mean(s, d):
     return rounded(annotate.marker_scores(expr(s, d), cells(s, d), genes(s, d), brand_markers(s, d)), "score")
 
 
-@query("marker_score")
+CONTROLS = "me AS (SELECT gene_id, coalesce(m, 0) AS m FROM genes LEFT JOIN (SELECT gene_id, sum(value) AS m FROM expr GROUP BY gene_id) USING (gene_id)), bi AS (SELECT gene_id, ntile(25) OVER (ORDER BY m, gene_id) AS bin FROM me), to_ AS (SELECT DISTINCT cell_type, bin FROM mk JOIN bi USING (gene_id)), po AS (SELECT cell_type, gene_id, row_number() OVER (PARTITION BY cell_type, bin ORDER BY md5(concat_ws(':', gene_id, cell_type, '42'))) AS k FROM to_ JOIN bi USING (bin) WHERE NOT EXISTS (SELECT 1 FROM mk WHERE mk.cell_type = to_.cell_type AND mk.gene_id = bi.gene_id)), ch AS (SELECT cell_type, gene_id FROM po WHERE k <= 50), cn AS (SELECT cell_type, count(*) AS cn FROM ch GROUP BY 1), cs AS (SELECT cell_id, cell_type, sum(value) AS cs FROM expr JOIN ch USING (gene_id) GROUP BY ALL)"
+
+
+@query("marker_score", f"{MARKED}, {CONTROLS} SELECT cell_id, cell_type, set_order, round(score - coalesce(coalesce(cs, 0) / cn, 0), 6) AS score FROM sc LEFT JOIN cs USING (cell_id, cell_type) LEFT JOIN cn USING (cell_type)")
 def marker_score(s, d):
     return rounded(annotate.marker_scores(expr(s, d), cells(s, d), genes(s, d), brand_markers(s, d), control=True), "score")
 
 
+SYMBOLS = sorted({g for genes_of in annotate.MARKERS.values() for g in genes_of})
+BUILTIN = f"nm(n, symbol) AS (VALUES {', '.join(f'({i}, {chr(39)}{g}{chr(39)})' for i, g in enumerate(SYMBOLS))}), mk(cell_type, set_order, symbol) AS (VALUES {', '.join(f'({chr(39)}{t}{chr(39)}, {i}, {chr(39)}{g}{chr(39)})' for i, (t, gs) in enumerate(annotate.MARKERS.items()) for g in gs)})"
+
+
+@query("marker_builtin", f"WITH {EXPR}, {CELLS}, {BUILTIN}, ex AS (SELECT cell_id, symbol, sum(value) AS value FROM expr JOIN nm ON n = gene_id % {len(SYMBOLS)} GROUP BY ALL), su AS (SELECT cell_id, cell_type, sum(value) AS s FROM ex JOIN mk USING (symbol) GROUP BY ALL), sz AS (SELECT cell_type, set_order, count(*) AS size FROM mk GROUP BY ALL), sc AS (SELECT cell_id, cell_type, set_order, round(coalesce(s, 0) / size, 9) AS score FROM (SELECT cell_id, sz.* FROM cells CROSS JOIN sz) LEFT JOIN su USING (cell_id, cell_type)) SELECT cell_id, CASE WHEN score >= 0.5 THEN cell_type ELSE 'Unknown' END AS cell_type_marker, round(score, 6) AS marker_score FROM sc QUALIFY row_number() OVER (PARTITION BY cell_id ORDER BY score DESC, set_order) = 1")
+def marker_builtin(s, d):
+    """The built-in marker sets over genes that bear the markers' names in turn."""
+    name = F.element_at(F.array(*(F.lit(g) for g in SYMBOLS)), (F.pmod("gene_id", F.lit(len(SYMBOLS))) + 1).cast("int"))
+    x = expr(s, d).groupBy("cell_id", name.alias("gene_id")).agg(F.sum("value").alias("value"))
+    scores = annotate.marker_scores(x, cells(s, d), s.createDataFrame([(g,) for g in SYMBOLS], "gene_id string"), annotate.marker_table(s))
+    return rounded(annotate.assign(scores.withColumn("score", F.round("score", 9))), "marker_score")
+
+
 @query("marker_annotate", f"{MARKED}, rk AS (SELECT *, row_number() OVER (PARTITION BY cell_id ORDER BY round(score, 9) DESC, set_order) AS k FROM sc) SELECT cell_id, CASE WHEN score >= 0.5 THEN cell_type ELSE 'Unknown' END AS cell_type_marker, round(score, 6) AS marker_score FROM rk WHERE k = 1")
 def marker_annotate(s, d):
     scores = annotate.marker_scores(expr(s, d), cells(s, d), genes(s, d), brand_markers(s, d))

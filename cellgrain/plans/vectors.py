@@ -37,9 +37,13 @@ def silhouette(s, d):
     return rounded(embed.silhouette(emb(s, d), "label"), "silhouette", digits=5)
 
 
-@query("silhouette_fast")
+# Mean squared distance to a cluster's points: |x|^2 + mean |y|^2 - 2 x . mean y.
+SQUARED = "cl AS (SELECT label AS c, dim, avg(x) AS m FROM (SELECT label, unnest(range(1, len(vec) + 1)) AS dim, unnest(vec) AS x FROM emb) GROUP BY ALL), cv AS (SELECT c, list(m ORDER BY dim) AS m FROM cl GROUP BY c), cq AS (SELECT label AS c, count(*) AS n, avg(list_dot_product(vec, vec)) AS q FROM emb GROUP BY label), ds AS (SELECT cell_id, label, c, n, list_dot_product(vec, vec) + q - 2 * list_dot_product(vec, m) AS d FROM emb, cv JOIN cq USING (c)), ab AS (SELECT cell_id, max(CASE WHEN c = label AND n > 1 THEN d * n / (n - 1) END) AS a, min(CASE WHEN c <> label THEN d END) AS b FROM ds GROUP BY cell_id)"
+
+
+@query("silhouette_fast", f"WITH {EMB}, {SQUARED} SELECT count(*) AS n, round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM ab")
 def silhouette_fast(s, d):
-    return emb(s, d).agg(F.count("*").alias("n")).withColumn("silhouette", F.lit(embed.silhouette_fast(emb(s, d), "label")))
+    return rounded(emb(s, d).agg(F.count("*").alias("n")).withColumn("silhouette", F.lit(embed.silhouette_fast(emb(s, d), "label"))), "silhouette")
 
 
 @query("batch_asw", f"WITH {EMB}, {SIL.format(k='batch')} SELECT round(avg(silhouette), 5) AS batch_asw FROM sl")
@@ -157,10 +161,14 @@ def fuse_attention(s, d):
     return rounded(embed.fuse_attention(modalities(s, d)).select("cell_id", F.posexplode("vec").alias("dim", "x")), "x")
 
 
-@query("fuse_moe_apply")
+FILLED = "fi AS (SELECT cell_id, [vec[1:32], list_concat(vec[33:48], list_transform(range(16), lambda k: 0.0)), list_concat(vec[49:56], list_transform(range(24), lambda k: 0.0))] AS v FROM emb WHERE cell_id <> 3), ml AS (SELECT cell_id, i, (v[1][i + 1] + v[2][i + 1] + v[3][i + 1]) / 3 AS x FROM fi, range(32) r(i)), hi AS (SELECT cell_id, j, greatest(sum(x * cos(i * (1 + j))), 0) AS h FROM ml, range(8) r(j) GROUP BY ALL), ga AS (SELECT cell_id, k, sum(h * sin(j * (1 + k))) AS z FROM hi, range(3) r(k) GROUP BY ALL), so AS (SELECT cell_id, k, exp(z - max(z) OVER (PARTITION BY cell_id)) AS e FROM ga), ws AS (SELECT cell_id, list(e / t ORDER BY k) AS w FROM (SELECT *, sum(e) OVER (PARTITION BY cell_id) AS t FROM so) GROUP BY cell_id)"
+
+
+@query("fuse_moe_apply", f"WITH {EMB}, {FILLED} SELECT cell_id, CAST(i AS INTEGER) AS dim, round(v[1][i + 1] * w[1] + v[2][i + 1] * w[2] + v[3][i + 1] * w[3], 6) AS x FROM fi JOIN ws USING (cell_id), range(32) r(i)")
 def fuse_moe_apply(s, d):
     i = np.arange(32)
-    return embed.fuse_moe(modalities(s, d), np.cos(i[:, None] * (1 + np.arange(8))), np.sin(np.arange(8)[:, None] * (1 + np.arange(3))))
+    fused = embed.fuse_moe(modalities(s, d), np.cos(i[:, None] * (1 + np.arange(8))), np.sin(np.arange(8)[:, None] * (1 + np.arange(3))))
+    return rounded(fused.select("cell_id", F.posexplode("vec").alias("dim", "x")), "x")
 
 
 @query("label_transfer", f"{KNN}, l AS (SELECT cell_id, CASE WHEN cell_id % 4 = 0 THEN 'Unknown' ELSE CAST(label AS VARCHAR) END AS label FROM emb), c AS (SELECT src, label, count(*) AS n FROM nn JOIN l ON cell_id = dst WHERE label <> 'Unknown' GROUP BY ALL), b AS (SELECT src, arg_min(label, (-n, label)) AS best, max(n) / sum(n) AS share FROM c GROUP BY src) SELECT cell_id, CASE WHEN label <> 'Unknown' THEN label ELSE coalesce(best, 'Unknown') END AS predicted, round(CASE WHEN label <> 'Unknown' THEN 1 ELSE coalesce(share, 0) END, 6) AS confidence FROM l LEFT JOIN b ON src = cell_id")
@@ -169,6 +177,13 @@ def label_transfer(s, d):
     return rounded(embed.transfer_labels(edges(s, d), labels, "label"), "confidence")
 
 
+@query("label_propagation")
+def label_propagation(s, d):
+    """From a tenth of the labels to all points that they reach."""
+    labels = emb(s, d).select("cell_id", F.when(F.pmod("cell_id", F.lit(10)) > 0, "Unknown").otherwise(F.col("label").cast("string")).alias("label"))
+    return embed.propagate_labels(checkpoint(edges(s, d)), labels, "label")
+
+
 @query("evaluate_all")
 def evaluate_all(s, d):
     e = emb(s, d).withColumn("pred", F.when(F.pmod("cell_id", F.lit(7)) == 0, "").otherwise(F.pmod("label", F.lit(4)).cast("string")))

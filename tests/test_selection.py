@@ -166,3 +166,24 @@ def test_reference_model_labels_cells_with_missing_genes(spark):
     assert np.mean([r["majority_label"] == r["cell_type"] for r in voted]) >= np.mean([r["predicted"] == r["cell_type"] for r in voted])
     lone = reference_model.probabilities(query.limit(0), cells.where("cell_id = 3"), model).collect()
     assert sum(r["probability"] for r in lone) == pytest.approx(1)
+
+
+def test_labels_spread_along_a_chain(spark):
+    """One label at an end reaches everything that hangs together, a step a round; a lone pair stays unknown."""
+    edges = spark.createDataFrame([(i, i - 1) for i in range(1, 6)] + [(10, 11)], "src long, dst long")
+    labels = spark.createDataFrame([(i, "x" if i == 0 else None if i == 3 else "Unknown") for i in [*range(6), 10, 11]], "cell_id long, label string")
+    got = {r["cell_id"]: (r["predicted"], r["confidence"], r["round"]) for r in embed.propagate_labels(edges, labels, "label").collect()}
+    assert got == {0: ("x", 1.0, 0), **{i: ("x", 1.0, i) for i in range(1, 6)}, 10: ("Unknown", 0.0, None), 11: ("Unknown", 0.0, None)}
+
+
+def test_variable_genes_may_be_ranked_by_values(spark):
+    from cellgrain.operators import preprocess
+    from cellgrain.plans.adapter import cells, expr, genes
+
+    kept = {}
+    for on in ("counts", "values"):
+        tables, _ = preprocess.run(expr(spark, SF), cells(spark, SF), genes(spark, SF), {"min_genes": 1, "min_umi": 1, "max_mito": 100, "max_ribo": 100}, 1, n_hvg=40, hvg_on=on)
+        kept[on] = {r["gene_id"] for r in tables["genes"].where("highly_variable").collect()}
+    assert len(kept["counts"]) == len(kept["values"]) == 40 and kept["counts"] != kept["values"]
+    with pytest.raises(ValueError, match="hvg_on"):
+        preprocess.run(expr(spark, SF), cells(spark, SF), genes(spark, SF), {}, 1, hvg_on="logs")
