@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from cellgrain.operators import ambient, normalize, pseudobulk, qc
 from cellgrain.plans.adapter import BASE, cells, expr, genes, table
 from cellgrain.plans.registry import query
+from cellgrain.sources.layers import checkpoint
 
 #: Bounds for the driver's tables, whose cells have about four genes.
 BOUNDS = {"min_genes": 2, "max_genes": 6, "min_umi": 50, "max_mito": 60, "max_ribo": 80}
@@ -159,12 +160,12 @@ sf AS (SELECT cell_id, greatest(coalesce(raw, 0), 0.5) AS size_factor FROM cells
 
 @query("scran_factors", f"{SCRAN} SELECT cell_id, round(size_factor, 6) AS size_factor FROM sf")
 def scran_factors(s, d):
-    return rounded(normalize.scran_factors(expr(s, d), cells(s, d)), "size_factor")
+    return rounded(normalize.scran_factors(checkpoint(expr(s, d)), cells(s, d)), "size_factor")
 
 
 @query("scran_normalize", f"{SCRAN} SELECT cell_id, gene_id, round(ln(1 + value / size_factor), 6) AS value FROM expr JOIN sf USING (cell_id)")
 def scran_normalize(s, d):
-    return rounded(normalize.scran_normalize(expr(s, d), cells(s, d)), "value")
+    return rounded(normalize.scran_normalize(checkpoint(expr(s, d)), cells(s, d)), "value")
 
 
 MOMENTS = "mo AS (SELECT gene_id, n, coalesce(t, 0) / n AS mean, greatest(coalesce(q, 0) / n - (coalesce(t, 0) / n) * (coalesce(t, 0) / n), 0) AS var FROM {genes} LEFT JOIN (SELECT gene_id, sum(value) AS t, sum(value * value) AS q FROM {expr} GROUP BY gene_id) USING (gene_id), (SELECT count(*) AS n FROM cells))"
@@ -178,7 +179,7 @@ SCALED = 50
 
 def variable(s, d, n: int) -> DataFrame:
     """The ``n`` most variable genes of the log-normalised matrix."""
-    return normalize.select_hvgs(normalize.log_normalize(expr(s, d)), cells(s, d), genes(s, d), n, "seurat").where("highly_variable").select("gene_id")
+    return normalize.select_hvgs(checkpoint(normalize.log_normalize(expr(s, d))), cells(s, d), genes(s, d), n, "seurat").where("highly_variable").select("gene_id")
 
 
 @query("pearson_residuals", f"{BASE}, {MOMENTS.format(genes='genes', expr='expr')}, lib AS (SELECT cell_id, coalesce(sum(value), 0) AS lib FROM cells LEFT JOIN expr USING (cell_id) GROUP BY cell_id), s AS (SELECT cell_id, lib / avg(lib) OVER () AS s FROM lib), g AS (SELECT gene_id, mean, least(greatest(mean * mean / greatest(var - mean, 1e-6), 1e-6), 1e6) AS theta FROM mo) SELECT cell_id, gene_id, round((value - s * mean) / sqrt(greatest(s * mean + s * mean * s * mean / theta, 0.1)), 6) AS value, round(-s * mean / sqrt(greatest(s * mean + s * mean * s * mean / theta, 0.1)), 6) AS zero_value FROM expr JOIN s USING (cell_id) JOIN g USING (gene_id)")
@@ -194,7 +195,7 @@ def scale_hvg(s, d):
 @query("hvg_seurat", f"""{BASE}, {DISPERSION}, {TOP.format(name='tt', n=200)}
 SELECT gene_id, round(mean, 6) AS mean, round(dispersion, 6) AS dispersion, bin, round(z, 6) AS dispersion_norm, gene_id IN (SELECT gene_id FROM tt) AS highly_variable FROM zz""")
 def hvg_seurat(s, d):
-    return rounded(normalize.select_hvgs(normalize.log_normalize(expr(s, d)), cells(s, d), genes(s, d), 200, "seurat"), "mean", "dispersion", "dispersion_norm")
+    return rounded(normalize.select_hvgs(checkpoint(normalize.log_normalize(expr(s, d))), cells(s, d), genes(s, d), 200, "seurat"), "mean", "dispersion", "dispersion_norm")
 
 
 @query("hvg_seurat_v3")

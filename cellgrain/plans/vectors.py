@@ -78,13 +78,16 @@ BIO = f"{KNN}, {SIL.format(k='label')}, {MAJOR}, bio AS (SELECT (((SELECT avg(si
 
 @query("bio_conservation", f"{BIO} SELECT round(bio_conservation, 5) AS bio_conservation FROM bio")
 def bio_conservation(s, d):
-    return rounded(metrics.bio_conservation(emb(s, d), embed.knn(emb(s, d), 15, with_self=True), "label"), "bio_conservation", digits=5)
+    e = checkpoint(emb(s, d))
+    near = checkpoint(embed.knn(e, 15, with_self=True))
+    return rounded(metrics.bio_conservation(e, near, "label"), "bio_conservation", digits=5)
 
 
 @query("integration_metrics", f"{BIO}, sb AS (SELECT x.cell_id, x.batch AS own, y.batch AS other, sum(CASE WHEN x.cell_id = y.cell_id THEN 0 ELSE list_distance(x.vec, y.vec) END) AS s, count(*) AS n FROM emb x, emb y GROUP BY ALL), ba AS (SELECT avg((b - a) / greatest(a, b)) AS batch_asw FROM (SELECT cell_id, max(CASE WHEN own = other THEN s / (n - 1) END) AS a, min(CASE WHEN own <> other THEN s / n END) AS b FROM sb GROUP BY ALL)), gc AS (SELECT avg(s) AS graph_connectivity FROM (SELECT src, avg(CASE WHEN a.label = b.label THEN 1.0 ELSE 0.0 END) AS s FROM nn JOIN emb a ON a.cell_id = src JOIN emb b ON b.cell_id = dst GROUP BY src)) SELECT round(bio_conservation, 5) AS bio_conservation, round(graph_connectivity, 5) AS graph_connectivity, round(batch_asw, 5) AS batch_asw, round(0.333 * bio_conservation + 0.333 * graph_connectivity + 0.334 * (batch_asw + 1) / 2, 5) AS score FROM bio, gc, ba")
 def integration_metrics(s, d):
-    near = checkpoint(edges(s, d))  # one search for both metrics of the graph
-    row = metrics.bio_conservation(emb(s, d), embed.add_self(near, emb(s, d)), "label").crossJoin(metrics.connectivity(near, emb(s, d), "label")).crossJoin(embed.silhouette(emb(s, d), "batch").agg(F.avg("silhouette").alias("batch_asw")))  # one row each
+    e = checkpoint(emb(s, d))
+    near = checkpoint(embed.knn(e, 15))  # one search for both metrics of the graph
+    row = metrics.bio_conservation(e, embed.add_self(near, e), "label").crossJoin(metrics.connectivity(near, e, "label")).crossJoin(embed.silhouette(e, "batch").agg(F.avg("silhouette").alias("batch_asw")))  # one row each
     return rounded(metrics.composite(row, metrics.INTEGRATION_WEIGHTS, rescale=("batch_asw",)), "bio_conservation", "graph_connectivity", "batch_asw", "score", digits=5)
 
 
@@ -187,4 +190,5 @@ def label_propagation(s, d):
 @query("evaluate_all")
 def evaluate_all(s, d):
     e = emb(s, d).withColumn("pred", F.when(F.pmod("cell_id", F.lit(7)) == 0, "").otherwise(F.pmod("label", F.lit(4)).cast("string")))
-    return metrics.evaluate(e, edges(s, d), "label", "pred", "batch")
+    e = checkpoint(e)
+    return metrics.evaluate(e, checkpoint(embed.knn(e, 15)), "label", "pred", "batch")
