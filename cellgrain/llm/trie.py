@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cellgrain.llm import common
-from cellgrain.llm.common import cut, lookup_join
+from cellgrain.llm.common import cut, lookup_join, table
 from cellgrain.llm.shards import crc32_sql
 
 BLOCK, SHARED = 100, 6
@@ -237,7 +237,8 @@ def rollup(nodes: DataFrame, through: DataFrame, limit: int = LIMIT) -> DataFram
         total = held.where("_gone OR _child IS NOT NULL").groupBy("comp").agg(F.sum("leaf").alias("_leaves"), F.sum("saving").alias("_saved"))
         up = lambda c, by: F.col(c) + F.when(F.col("_up"), F.col(by)).otherwise(0)
         new = {"leaves": up("leaves", "_leaves"), "saved": up("saved", "_saved"), "weight": up("weight", "_minus"), "comp": F.coalesce("_child", "comp")}
-        moved = cut(near(held, total).withColumn("_minus", F.when(F.col("_gone"), 0).otherwise(-F.col("_lost"))).withColumns(new).select(*names, "_gone"))
+        # A table, not a checkpoint: that would keep the joins' estimates of its size, whose digits double in each round.
+        moved = table(near(held, total).withColumn("_minus", F.when(F.col("_gone"), 0).otherwise(-F.col("_lost"))).withColumns(new).select(*names, "_gone"))
         done.append(moved.where("_gone").select(names))
         active = moved.where("NOT _gone").select(names)
     return union([settle(union(small)), *done]).drop("comp")
