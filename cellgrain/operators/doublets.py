@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+import numpy as np
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cellgrain.model import hash_int, hash_rank, need
 from cellgrain.operators import embed, normalize
@@ -12,11 +13,11 @@ from cellgrain.sources.layers import checkpoint
 
 
 def simulate(expr: DataFrame, cells: DataFrame, ratio: float = 1.0, seed: int = 42) -> DataFrame:
-    """Counts of artificial cells, ids ``sim_`` and a number: sums of two cells that are neighbours in a shuffled order. The order
-    is taken inside of 1,024 buckets of the digest, so no task ranks all cells."""
+    """Counts of artificial cells, ids ``sim_`` and a number: sums of two cells that are neighbours in a shuffled order, which
+    is a range sort of digests. The last of an odd number of cells stays alone and makes none."""
     few = cells.select("cell_id").withColumn("_h", hash_rank("cell_id", seed=seed)).where((hash_int(F.concat(F.col("_h"), F.lit("r"))) % 10_000) < ratio * 10_000)
-    rows = few.withColumn("_b", F.substring("_h", 1, 2)).withColumn("_k", F.row_number().over(Window.partitionBy("_b").orderBy("_h", "cell_id")))
-    pair = rows.select("cell_id", F.concat_ws("_", F.lit("sim"), "_b", F.floor((F.col("_k") - 1) / 2).cast("string")).alias("sim_id"))
+    rows = checkpoint(numbered(few, ["_h", "cell_id"]))
+    pair = rows.where(F.col("at") < rows.count() // 2 * 2).select("cell_id", F.concat(F.lit("sim_"), F.floor(F.col("at") / 2).cast("string")).alias("sim_id"))
     return expr.join(pair, "cell_id").groupBy(F.col("sim_id").alias("cell_id"), "gene_id").agg(F.sum("value").alias("value"))
 
 
@@ -29,21 +30,91 @@ def profiles(expr: DataFrame, genes: DataFrame) -> DataFrame:
     return m.select("cell_id", F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0))).alias("vec"))
 
 
-def scores(expr: DataFrame, cells: DataFrame, genes: DataFrame, k: int = 15, rate: float = 0.06, n_pcs: int = 10, ratio: float = 1.0, seed: int = 42) -> DataFrame:
-    """cell_id, score: the share of simulated cells among the k nearest of real and simulated ones (in principal components of
-    the selected genes), and ``doublet``: above the (1 - rate) quantile of all scores. Cells without counts of a selected gene have
-    score 0."""
+def shares(expr: DataFrame, cells: DataFrame, genes: DataFrame, k: int = 15, n_pcs: int = 10, ratio: float = 1.0, seed: int = 42) -> DataFrame:
+    """id (a text), simulated, share: of every real and simulated cell with counts of a selected gene, the part of simulated
+    ones among its k nearest, in principal components of these genes."""
     sims = simulate(expr, cells, ratio, seed).withColumn("cell_id", F.col("cell_id").cast("string"))
     both = expr.withColumn("cell_id", F.col("cell_id").cast("string")).unionByName(sims)
     p = profiles(both, genes)
     dims = len(p.select("vec").head()["vec"]) if p.head(1) else 1
     near = embed.knn(embed.pca(p, min(n_pcs, dims))[0], k)
-    share = near.where(~F.col("src").startswith("sim_")).groupBy(F.col("src").alias("_id")).agg(F.avg(F.col("dst").startswith("sim_").cast("double")).alias("score"))
-    out = cells.select("cell_id", F.col("cell_id").cast("string").alias("_id")).join(share, "_id", "left").select("cell_id", F.coalesce("score", F.lit(0.0)).alias("score"))
-    out = checkpoint(out)
+    return near.groupBy(F.col("src").alias("id")).agg(F.avg(F.col("dst").startswith("sim_").cast("double")).alias("share")).select("id", F.col("id").startswith("sim_").alias("simulated"), "share")
+
+
+def real(cells: DataFrame, found: DataFrame, score: Column) -> DataFrame:
+    """cell_id, score of all cells; 0 for those without neighbours."""
+    own = found.where("NOT simulated").select("id", score.alias("score"))
+    return cells.select("cell_id", F.col("cell_id").cast("string").alias("id")).join(own, "id", "left").select("cell_id", F.coalesce("score", F.lit(0.0)).alias("score"))
+
+
+def scores(expr: DataFrame, cells: DataFrame, genes: DataFrame, k: int = 15, rate: float = 0.06, n_pcs: int = 10, ratio: float = 1.0, seed: int = 42) -> DataFrame:
+    """cell_id, score: the share of simulated cells among the k nearest of real and simulated ones (in principal components of
+    the selected genes), and ``doublet``: above the (1 - rate) quantile of all scores. Cells without counts of a selected gene have
+    score 0."""
+    out = checkpoint(real(cells, shares(expr, cells, genes, k, n_pcs, ratio, seed), F.col("share")))
     return out.crossJoin(F.broadcast(exact(out, {"_t": ("score", 1 - rate)}))).select("cell_id", "score", (F.col("score") > F.col("_t")).alias("doublet"))
 
 
+def variable_genes(expr: DataFrame, cells: DataFrame, n_genes: int, min_counts: float = 0, min_cells: int = 0) -> DataFrame:
+    """gene_id of the most variable genes, of those with at least ``min_counts`` counts in at least ``min_cells`` cells."""
+    seen = expr.where(F.col("value") >= min_counts).groupBy("gene_id").agg(F.count("*").alias("n")).where(F.col("n") >= min_cells).select("gene_id")
+    x = checkpoint(normalize.log_normalize(expr.join(seen, "gene_id", "left_semi")))
+    return checkpoint(normalize.select_hvgs(x, cells, x.select("gene_id").distinct(), n_genes, "seurat").where("highly_variable").select("gene_id"))
+
+
+#: Bins of the histogram whose valley is the threshold, and most rounds of smoothing.
+BINS, SMOOTHED = 50, 1000
+
+
+def valley(simulated: DataFrame, score: str = "score", bins: int = BINS) -> float | None:
+    """The least frequent score between the two modes of simulated doublets (of one kind of cell, and of two): the
+    histogram, a row a bin, is smoothed until it has two peaks. None if it has no two."""
+    rows = simulated.groupBy(F.least(F.floor(F.col(score) * bins + 1e-9), F.lit(bins - 1)).cast("int").alias("bin")).agg(F.count("*").alias("n")).collect()
+    bars = np.zeros(bins)
+    for r in rows:
+        bars[r["bin"]] = r["n"]
+    for _ in range(SMOOTHED):
+        wide = np.concatenate([[-1.0], bars, [-1.0]])
+        keep = np.concatenate([[True], np.diff(bars) != 0])  # a plateau is one peak
+        at, level = np.flatnonzero(keep), bars[keep]
+        edge = np.concatenate([[-1.0], level, [-1.0]])
+        peaks = at[(edge[1:-1] > edge[:-2]) & (edge[1:-1] > edge[2:])]
+        if len(peaks) < 2:
+            return None
+        if len(peaks) == 2:
+            a, b = peaks
+            inside = bars[a : b + 1]
+            return float((a + np.flatnonzero(inside == inside.min()).mean() + 0.5) / bins)
+        wide[0], wide[-1] = bars[0], bars[-1]
+        bars = (wide[:-2] + wide[1:-1] + wide[2:]) / 3
+    return None
+
+
+def call_by_valley(expr: DataFrame, cells: DataFrame, rate: float = 0.06, min_counts: float = 2, min_cells: int = 2, n_genes: int = 2000, k: int = 15, n_pcs: int = 10, ratio: float = 1.0, seed: int = 42) -> DataFrame:
+    """cell_id, score (the likelihood of a doublet by Bayes' rule from its simulated neighbours and the expected rate) and
+    ``doublet``: above the valley of the simulated cells' scores, or of the (1 - rate) quantile where they have one mode."""
+    genes = variable_genes(expr, cells, n_genes, min_counts, min_cells)
+    found = checkpoint(shares(expr, cells, genes, k, n_pcs, ratio, seed))
+    n = found.agg(F.count_if("simulated").alias("s"), F.count_if(~F.col("simulated")).alias("r")).first()
+    odds = max(n["s"], 1) / max(n["r"], 1)
+    out = checkpoint(real(cells, found, F.col("share")).withColumnRenamed("score", "share"))
+    # Scores rise with the share, so the cut is made in shares, whose k + 1 levels leave no bin empty.
+    cut = valley(found.where("simulated"), "share", k)
+    if cut is None:
+        cut = exact(out, {"t": ("share", 1 - rate)}).first()["t"]
+    q = (F.col("share") * k + 1) / (k + 2)
+    likely = q * rate / odds / (1 - rate - q * (1 - rate - rate / odds))
+    return out.select("cell_id", likely.alias("score"), (F.col("share") > F.lit(cut)).alias("doublet"))
+
+
+def call_by_share(expr: DataFrame, cells: DataFrame, rate: float = 0.06, n_genes: int = 2000, k: int = 15, n_pcs: int = 10, ratio: float = 1.0, seed: int = 42) -> DataFrame:
+    """cell_id, score (the part of simulated cells among the k nearest) and ``doublet``: the round(rate * cells) cells with the
+    highest scores, ties by id."""
+    found = shares(expr, cells, variable_genes(expr, cells, n_genes), k, n_pcs, ratio, seed)
+    ordered = checkpoint(numbered(real(cells, found, F.col("share")).withColumn("_low", -F.col("score")), ["_low", "cell_id"]))
+    return ordered.select("cell_id", "score", (F.col("at") < round(rate * ordered.count())).alias("doublet"))
+
+
 def consensus(calls: DataFrame, first: str | None = "scrublet", second: str | None = "doubletfinder", require_both: bool = False) -> DataFrame:
     """Adds ``is_doublet``: either call (or both), or the one that there is; null counts as no. ValueError without any."""
     have = [c for c in (first, second) if c and c in calls.columns]

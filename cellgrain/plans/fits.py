@@ -91,6 +91,16 @@ def doublet_score(s, d):
     return doublets.scores(expr(s, d), cells(s, d), variable(s, d, 200))
 
 
+@query("doublet_valley")
+def doublet_valley(s, d):
+    return doublets.call_by_valley(expr(s, d), cells(s, d), n_genes=200)
+
+
+@query("doublet_neighbours")
+def doublet_neighbours(s, d):
+    return doublets.call_by_share(expr(s, d), cells(s, d))
+
+
 @query("doublet_consensus", f"WITH {CELLS} SELECT cell_id, batch = 'O' OR cell_type = '5-LOW' AS is_doublet FROM cells")
 def doublet_consensus(s, d):
     calls = cells(s, d).select("cell_id", (F.col("batch") == "O").alias("scrublet"), (F.col("cell_type") == "5-LOW").alias("doubletfinder"))
