@@ -3,8 +3,8 @@
 A wanted rank has an interval that holds its value, at first from the least to the largest value of its group. A pass
 counts the values of all open intervals in BINS bins of equal width, with the least and the largest value of each bin; the
 bin with the rank is the next interval, already narrowed to the values in it. A pass divides the rows of an interval by up to
-BINS, far outliers lose one bin, and an interval of one value is done: 10 million distinct values take three
-passes. Partial sums by bin are all that is shuffled, so no task holds a column's values, however large a group is.
+BINS, far outliers lose one bin, and an interval of one value is done, so evenly spread values need as many passes as BINS
+must be multiplied to reach their number. Counts by bin are all that is shuffled, so no task holds a column's values, however large a group is.
 """
 
 from __future__ import annotations
