@@ -98,7 +98,7 @@ def doublet_valley(s, d):
 
 @query("doublet_neighbours")
 def doublet_neighbours(s, d):
-    return doublets.call_by_share(expr(s, d), cells(s, d))
+    return doublets.call_by_share(expr(s, d), cells(s, d), n_genes=200)
 
 
 @query("doublet_consensus", f"WITH {CELLS} SELECT cell_id, batch = 'O' OR cell_type = '5-LOW' AS is_doublet FROM cells")
