@@ -150,6 +150,13 @@ def harmony_correct(s, d):
     return harmony.integrate(emb(s, d).drop("label"), "batch", 20)[0]
 
 
+@query("harmony_objective")
+def harmony_objective(s, d):
+    """A row a round, of which there are ten at most."""
+    history = harmony.harmony_rounds(emb(s, d), "batch")[1]
+    return s.createDataFrame(list(enumerate(history, 1)), "round int, objective double")
+
+
 def labelled(s, d):
     return emb(s, d).withColumn("label", F.col("label").cast("string"))
 

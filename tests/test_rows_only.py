@@ -44,6 +44,45 @@ def test_approximate_neighbours_of_odd_tables(spark):
     assert {r["count"] for r in embed.knn_approx(same, 3, size=4).groupBy("src").count().collect()} == {3}
 
 
+@pytest.mark.parametrize("n", [300, 6000])
+def test_harmony_lowers_its_objective_and_keeps_labels(spark, n):
+    """Three labels, two batches of unequal size, the second shifted: neighbours' batches mix, labels stay apart."""
+    from cellgrain.operators.integrate import harmony_rounds
+
+    rng = np.random.default_rng(n)
+    label, batch = rng.integers(0, 3, n), (rng.random(n) < 0.3).astype(int)
+    x = np.eye(3, 8)[label] * 6 + batch[:, None] * np.array([0, 0, 0, 3, 3, 0, 0, 0]) + rng.normal(0, 0.5, (n, 8))
+    e = spark.createDataFrame([(i, int(b), v.tolist()) for i, (b, v) in enumerate(zip(batch, x, strict=True))], "cell_id long, batch int, vec array<double>")
+    out, history = harmony_rounds(e, "batch", k=5)
+    assert len(history) >= 2 and all(b <= a for a, b in zip(history, history[1:], strict=False))
+    got = np.array([r["vec"] for r in out.orderBy("cell_id").collect()])
+
+    def entropy(v):
+        near = np.argsort(((v[:200, None] - v[None]) ** 2).sum(-1), axis=1)[:, 1:31]
+        p = batch[near].mean(axis=1).clip(1e-9, 1 - 1e-9)
+        return float(-(p * np.log(p) + (1 - p) * np.log(1 - p)).mean())
+
+    def silhouette(v):
+        d = np.sqrt(((v[:200, None] - v[None]) ** 2).sum(-1))
+        mean = np.stack([d[:, label == c].mean(axis=1) for c in range(3)], axis=1)
+        own = mean[np.arange(200), label[:200]]
+        mean[np.arange(200), label[:200]] = np.inf
+        return float(((mean.min(axis=1) - own) / np.maximum(own, mean.min(axis=1))).mean())
+
+    assert entropy(x) < 0.05 and entropy(got) > 0.4
+    assert silhouette(got) >= silhouette(x)
+
+
+def test_harmony_of_odd_tables(spark):
+    from cellgrain.operators.integrate import harmony_rounds
+
+    empty = spark.createDataFrame([], "cell_id long, batch string, vec array<double>")
+    assert harmony_rounds(empty, "batch")[0].count() == 0
+    odd = spark.createDataFrame([(1, None, [0.0, 0.0], 9), (2, "a", [0.0, 0.0], 9), (2, "a", [0.0, 0.0], 9), (3, "b", [1.0, 2.0], 9)], "cell_id long, batch string, vec array<double>, block int")
+    rows = harmony_rounds(odd, "batch", k=3)[0].collect()
+    assert sorted(r["cell_id"] for r in rows) == [1, 2, 2, 3] and all(np.isfinite(r["vec"]).all() for r in rows)
+
+
 def test_harmony_mixes_batches(spark):
     e = spark.createDataFrame([(i, [float(i % 7), float(i % 5), 6.0 * (i % 2)], i % 2) for i in range(200)], "cell_id long, vec array<double>, batch int")
     from cellgrain.operators.integrate import harmony
