@@ -12,7 +12,7 @@ from cellgrain.operators.embed import pca
 from cellgrain.sources.layers import stored
 
 
-def harmony_rounds(emb: DataFrame, batch: str, k: int = 10, theta: float = 2.0, lam: float = 1.0, sigma: float = 0.1, rounds: int = 10, seed: int = 42, tolerance: float = 1e-4, blocks: int = 5, passes: int = 2) -> tuple[DataFrame, list[float]]:
+def harmony_rounds(emb: DataFrame, batch: str, k: int = 10, theta: float = 2.0, lam: float = 1.0, sigma: float = 0.1, rounds: int = 10, seed: int = 42, tolerance: float = 1e-4, blocks: int = 5, passes: int = 1) -> tuple[DataFrame, list[float]]:
     """(cell_id, batch, vec) with batch effects removed, and the objective of each round.
 
     Each round assigns points softly to unit-length centres, less so where their batch is over-represented, and fits an

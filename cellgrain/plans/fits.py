@@ -10,7 +10,7 @@ from cellgrain.operators import doublets, embed, integrate as harmony, models, p
 from cellgrain.plans.adapter import BASE, CELLS, cells, emb, expr, genes, table
 from cellgrain.plans.expression import BOUNDS, KEPT, METRICS, GENE_METRICS, MIN_CELLS, rounded, variable
 from cellgrain.plans.registry import query
-from cellgrain.sources import ingest, layers
+from cellgrain.sources import ingest, layers, triplet_source
 
 
 def root(s) -> str:
@@ -77,6 +77,28 @@ def storage_roundtrip(s, d):
     return layers.read(s, here, "standardized", "driver")
 
 
+def as_triplets(s, d, samples=None):
+    """Counts with their batch as sample, written to the library's own source and read back."""
+    x = expr(s, d).join(cells(s, d).select("cell_id", F.col("batch").alias("sample_id")), "cell_id")
+    here = root(s)
+    triplet_source.write(x.select("sample_id", F.col("gene_id").cast("string"), F.col("cell_id").cast("string"), "value"), here)
+    return triplet_source.read(s, here, samples)
+
+
+TRIPLETS = "SELECT batch AS sample_id, CAST(gene_id AS VARCHAR) AS gene_id, CAST(cell_id AS VARCHAR) AS cell_id, value FROM expr JOIN cells USING (cell_id)"
+
+
+@query("triplet_source", f"{BASE} {TRIPLETS}")
+def triplet_roundtrip(s, d):
+    return as_triplets(s, d)
+
+
+@query("triplet_source_sample", f"{BASE} {TRIPLETS} WHERE batch IN ('F', 'P')")
+def triplet_sample(s, d):
+    """Two samples, whose files are the only ones read."""
+    return as_triplets(s, d, ["F", "P"])
+
+
 @query("storage_info")
 def storage_info(s, d):
     here = root(s)
