@@ -6,9 +6,10 @@ import uuid
 
 from pyspark.sql import Window, functions as F
 
-from cellgrain.operators import doublets, embed, integrate as harmony, models, preprocess, splits, trials
+from cellgrain.operators import doublets, embed, folds, integrate as harmony, models, preprocess, splits, trials
 from cellgrain.plans.adapter import BASE, CELLS, cells, emb, expr, genes, table
 from cellgrain.plans.expression import BOUNDS, KEPT, METRICS, GENE_METRICS, MIN_CELLS, rounded, variable
+from cellgrain.plans.logs import rank_of
 from cellgrain.plans.registry import query
 from cellgrain.sources import ingest, layers, triplet_source
 
@@ -223,6 +224,30 @@ def cv_scores_margins(s, d):
     return models.cross_validate(labelled(s, d), "svm")
 
 
+@query("cv_one_pass")
+def cv_one_pass(s, d):
+    return folds.cross_validate(labelled(s, d), "lr")
+
+
+@query("cv_one_pass_margins")
+def cv_one_pass_margins(s, d):
+    return folds.cross_validate(labelled(s, d), "svm")
+
+
+@query("cv_out_of_fold")
+def cv_out_of_fold(s, d):
+    return folds.out_of_fold(folds.fit(labelled(s, d), "lr"))
+
+
+DEALT = f"dealt AS (SELECT CAST(({rank_of('vec_id', 'label')} - 1) % 5 AS INTEGER) AS fold, CAST(embedding AS DOUBLE[]) AS v FROM embeddings), long AS (SELECT fold, unnest(v) AS v, CAST(generate_subscripts(v, 1) - 1 AS INTEGER) AS k FROM dealt)"
+
+
+@query("cv_fold_scalers", f"WITH {DEALT} SELECT held.fold, k, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS deviation FROM (SELECT DISTINCT fold FROM dealt) held JOIN long ON long.fold <> held.fold GROUP BY held.fold, k")
+def cv_fold_scalers(s, d):
+    """What each fold's model scales by: its training rows' moments, from one pass for all folds."""
+    return rounded(folds.scalers(folds.fit(labelled(s, d), "lr", passes=0)), "mean", "deviation")
+
+
 @query("modeling_stage")
 def modeling_stage(s, d):
     return models.modeling_stage(labelled(s, d), "lr")
