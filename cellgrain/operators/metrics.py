@@ -128,8 +128,10 @@ def centroids(emb: DataFrame, label: str) -> DataFrame:
 def davies_bouldin(emb: DataFrame, label: str) -> DataFrame:
     """Mean over clusters of the worst ratio of spreads to centre distance."""
     c = centroids(emb, label)
-    d = emb.select("cell_id", label, F.posexplode("vec").alias("dim", "x")).join(F.broadcast(c), [label, "dim"])  # clusters * dimensions
-    spread = d.groupBy("cell_id", label).agg(F.sqrt(F.sum(F.pow(F.col("x") - F.col("centre"), F.lit(2.0)))).alias("d")).groupBy(label).agg(F.avg("d").alias("s"))
+    whole = c.groupBy(label).agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "centre"))), lambda x: x["centre"]).alias("_c"))
+    squares = F.zip_with("vec", "_c", lambda x, y: (x - y) * (x - y))
+    d = F.sqrt(F.aggregate(squares, F.lit(0.0), lambda a, b: a + b))
+    spread = emb.join(F.broadcast(whole), label).groupBy(label).agg(F.avg(d).alias("s"))  # a row a cluster
     a = c.select(F.col(label).alias("i"), "dim", F.col("centre").alias("ci"))
     b = c.select(F.col(label).alias("j"), "dim", F.col("centre").alias("cj"))
     m = a.join(b, "dim").where("i <> j").groupBy("i", "j").agg(F.sqrt(F.sum(F.pow(F.col("ci") - F.col("cj"), F.lit(2.0)))).alias("m"))
