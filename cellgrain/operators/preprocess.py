@@ -6,37 +6,37 @@ from pyspark.sql import DataFrame, functions as F
 
 from cellgrain.functions import metadata
 from cellgrain.operators import ambient, doublets, normalize, qc
-from cellgrain.sources.layers import checkpoint
+from cellgrain.sources.layers import stored
 
 
 def run(expr: DataFrame, cells: DataFrame, genes: DataFrame, bounds: dict, min_cells: int = 10, doublet_column: str | None = None, doublet_rate: float | None = None, ambient_method: str | None = "soupx", normalization: str = "log", n_hvg: int = 2000, flavor: str = "seurat_v3", hvg_on: str = "counts", report_only: bool = False) -> tuple[dict[str, DataFrame], DataFrame]:
     """Tables counts, expr, cells and genes after all steps, and a one-row report. Doublet calls are taken from
     ``doublet_column`` where given, or are the ``doublet_rate`` highest scores of simulated doublets on the n_hvg most variable
     genes; ``ambient_method`` None leaves that step out. Kept cells and genes, the counts without doublets and the corrected
-    counts are checkpointed, since several later steps read each. ``hvg_on`` "values" ranks genes by the normalised values with
+    counts are stored as tables, since several later steps read each. ``hvg_on`` "values" ranks genes by the normalised values with
     every flavour, as published runs of seurat_v3 did. ``report_only`` leaves out the tables and what only they need."""
     steps = ["qc"]
-    expr = checkpoint(expr)
+    expr = stored(expr)
     before = qc.cell_metrics(expr, cells, genes)
-    kept_cells = checkpoint(cells.join(qc.filter_cells(before, **bounds).select("cell_id"), "cell_id", "left_semi"))
-    kept_genes = checkpoint(genes.join(qc.filter_genes(qc.gene_metrics(expr, cells, genes), min_cells).select("gene_id"), "gene_id", "left_semi"))
+    kept_cells = stored(cells.join(qc.filter_cells(before, **bounds).select("cell_id"), "cell_id", "left_semi"))
+    kept_genes = stored(genes.join(qc.filter_genes(qc.gene_metrics(expr, cells, genes), min_cells).select("gene_id"), "gene_id", "left_semi"))
     if doublet_column:
         kept_cells = doublets.consensus(kept_cells, doublet_column, None).where("not is_doublet").drop("is_doublet")
         steps.append("doublets")
     later = [*(["ambient"] if ambient_method else []), "normalize", "hvg", "batch"]
     if report_only and not doublet_rate:
         return {}, report(cells, genes, kept_cells, kept_genes, steps + later)
-    counts = checkpoint(qc.restrict(expr, kept_cells, kept_genes))
+    counts = stored(qc.restrict(expr, kept_cells, kept_genes))
     if doublet_rate:
         best = normalize.select_hvgs(normalize.log_normalize(counts), kept_cells, kept_genes, n_hvg, "seurat").where("highly_variable")
-        calls = doublets.scores(counts, kept_cells, checkpoint(best.select("gene_id")), rate=doublet_rate).where("doublet")
-        kept_cells = checkpoint(kept_cells.join(calls.select("cell_id"), "cell_id", "left_anti"))
+        calls = doublets.scores(counts, kept_cells, stored(best.select("gene_id")), rate=doublet_rate).where("doublet")
+        kept_cells = stored(kept_cells.join(calls.select("cell_id"), "cell_id", "left_anti"))
         counts = qc.restrict(counts, kept_cells)
         steps.append("doublets")
         if report_only:
             return {}, report(cells, genes, kept_cells, kept_genes, steps + later)
     if ambient_method:
-        counts = checkpoint(ambient.correct(counts, kept_cells, kept_genes, ambient_method))
+        counts = stored(ambient.correct(counts, kept_cells, kept_genes, ambient_method))
     if normalization == "log":
         values = normalize.log_normalize(counts)
     elif normalization == "scran":
