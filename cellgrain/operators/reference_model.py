@@ -29,25 +29,33 @@ def train(expr: DataFrame, cells: DataFrame, label: str, genes: DataFrame, ridge
     return expr.sparkSession.createDataFrame(table, f"label string, gene_id {dict(expr.dtypes)['gene_id']}, weight double")
 
 
-def probabilities(expr: DataFrame, cells: DataFrame, model: DataFrame) -> DataFrame:
-    """cell_id, label, score, probability (softmax over the labels): a row a cell and label. A cell without genes of the
-    model has the intercepts' probabilities."""
+def scored(expr: DataFrame, cells: DataFrame, model: DataFrame) -> DataFrame:
+    """cell_id, _all (label and score of every label), _top (the largest score), _sum (of exp(score - _top))."""
     labels = [r[0] for r in model.select("label").distinct().orderBy("label").collect()]  # a row a label
     by_gene = model.where("gene_id IS NOT NULL").groupBy("gene_id").agg(*(F.sum(F.when(F.col("label") == name, F.col("weight")).otherwise(0.0)).alias(f"_w{k}") for k, name in enumerate(labels)))
     start = {r["label"]: r["w"] for r in model.where("gene_id IS NULL").groupBy("label").agg(F.sum("weight").alias("w")).collect()}
     met = lookup(expr, by_gene, ["gene_id"], ["cell_id"], "inner")
     sums = met.groupBy("cell_id").agg(*(F.sum(F.col("value") * F.col(f"_w{k}")).alias(f"_s{k}") for k in range(len(labels))))
-    scored = cells.select("cell_id").join(sums, "cell_id", "left")
+    found = cells.select("cell_id").join(sums, "cell_id", "left")
     score = F.array(*(F.struct(F.lit(name).alias("label"), (F.coalesce(f"_s{k}", F.lit(0.0)) + start.get(name, 0.0)).alias("score")) for k, name in enumerate(labels)))
-    rows = scored.select("cell_id", score.alias("_all")).withColumn("_top", F.array_max(F.transform("_all", lambda e: e["score"])))
-    rows = rows.withColumn("_sum", F.aggregate("_all", F.lit(0.0), lambda a, e: a + F.exp(e["score"] - F.col("_top"))))
-    return rows.select("cell_id", "_top", "_sum", F.explode("_all").alias("e")).select("cell_id", "e.label", "e.score", (F.exp(F.col("e.score") - F.col("_top")) / F.col("_sum")).alias("probability"))
+    rows = found.select("cell_id", score.alias("_all")).withColumn("_top", F.array_max(F.transform("_all", lambda e: e["score"])))
+    return rows.withColumn("_sum", F.aggregate("_all", F.lit(0.0), lambda a, e: a + F.exp(e["score"] - F.col("_top"))))
+
+
+def probabilities(expr: DataFrame, cells: DataFrame, model: DataFrame) -> DataFrame:
+    """cell_id, label, score, probability (softmax over the labels): a row a cell and label. A cell without genes of the
+    model has the intercepts' probabilities."""
+    rows = scored(expr, cells, model).select("cell_id", "_top", "_sum", F.explode("_all").alias("e"))
+    return rows.select("cell_id", "e.label", "e.score", (F.exp(F.col("e.score") - F.col("_top")) / F.col("_sum")).alias("probability"))
 
 
 def predict(expr: DataFrame, cells: DataFrame, model: DataFrame) -> DataFrame:
-    """cell_id, predicted (ties: the first by alphabet) and confidence, its probability."""
-    best = F.min(F.struct((-F.col("probability")).alias("p"), F.col("label").alias("l"))).alias("_b")
-    return probabilities(expr, cells, model).groupBy("cell_id").agg(best).select("cell_id", F.col("_b.l").alias("predicted"), (-F.col("_b.p")).alias("confidence"))
+    """cell_id, predicted (ties: the first by alphabet) and confidence, its probability. Scores whose exponentials agree to 12
+    digits of the largest tie: sums of floats differ by their order."""
+    share = lambda e: F.exp(e["score"] - F.col("_top"))
+    best = F.array_min(F.transform("_all", lambda e: F.struct((-F.round(share(e), 12)).alias("v"), e["label"].alias("l"), (share(e) / F.col("_sum")).alias("p"))))
+    told = scored(expr, cells, model).groupBy("cell_id").agg(F.min(best).alias("_b"))
+    return told.select("cell_id", F.col("_b.l").alias("predicted"), F.col("_b.p").alias("confidence"))
 
 
 def coverage(genes: DataFrame, model: DataFrame) -> DataFrame:

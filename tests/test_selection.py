@@ -206,3 +206,13 @@ def test_planted_doublets_are_found(spark):
     hist = lambda counts: spark.createDataFrame([((b + 0.5) / 50,) for b, n in counts.items() for _ in range(n)], "score double")
     assert 0.2 < doublets.valley(hist({5: 40, 6: 30, 7: 10, 30: 20, 31: 25, 32: 5})) < 0.6
     assert doublets.valley(hist({5: 40})) is None
+
+
+def test_labels_tie_whatever_the_order_of_sums(spark):
+    """Equal scores whose float sums differ in the last digit are ties, so the first label by alphabet wins."""
+    from cellgrain.operators import reference_model
+
+    expr = spark.createDataFrame([(1, g, 1.0) for g in range(3)], "cell_id long, gene_id long, value double")
+    model = spark.createDataFrame([("a", 0, 0.3), ("a", 1, 0.2), ("a", 2, 0.1), ("b", 0, 0.6), ("a", None, 0.0), ("b", None, 5e-16)], "label string, gene_id long, weight double")
+    told = reference_model.predict(expr, expr.select("cell_id").distinct(), model).first()
+    assert told["predicted"] == "a" and told["confidence"] == pytest.approx(0.5)
