@@ -19,7 +19,8 @@ def lookup(left: DataFrame, right: DataFrame, keys: list[str], salt_by: list[str
         rows = right.count()
     if rows <= BROADCAST_ROWS:
         return left.join(F.broadcast(right), keys, how)
-    salted = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    # Spark's estimate of a size leaves out what explode() adds, so without the hint it may broadcast SALT copies of a large table.
+    salted = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))).hint("merge")
     return left.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(SALT)).cast("int")).join(salted, [*keys, "_salt"], how).drop("_salt")
 
 

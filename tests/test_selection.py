@@ -216,3 +216,16 @@ def test_labels_tie_whatever_the_order_of_sums(spark):
     model = spark.createDataFrame([("a", 0, 0.3), ("a", 1, 0.2), ("a", 2, 0.1), ("b", 0, 0.6), ("a", None, 0.0), ("b", None, 5e-16)], "label string, gene_id long, weight double")
     told = reference_model.predict(expr, expr.select("cell_id").distinct(), model).first()
     assert told["predicted"] == "a" and told["confidence"] == pytest.approx(0.5)
+
+
+def test_many_rows_of_a_lookup_are_not_broadcast(spark):
+    """Spark's estimate of the salted table is that of the table alone."""
+    right = spark.range(200_000).withColumnRenamed("id", "k").withColumn("w", F.col("k") * 2)
+    joined = joins.lookup(spark.range(10).select(F.col("id").alias("k")), right, ["k"], ["k"], "inner")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert "SortMergeJoin" in plan and "BuildRight" not in plan
+    assert sorted((r["k"], r["w"]) for r in joined.collect()) == [(i, 2 * i) for i in range(10)]
