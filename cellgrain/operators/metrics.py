@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cellgrain.model import ratio
 from cellgrain.operators import embed
+from cellgrain.sources.layers import checkpoint
 
 
 def contingency(df: DataFrame, true: str, pred: str) -> DataFrame:
@@ -111,10 +112,16 @@ def lisi(edges: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     return s.agg(F.avg("s").alias("lisi"))
 
 
-def bio_conservation(emb: DataFrame, edges_with_self: DataFrame, label: str) -> DataFrame:
-    """Mean of the silhouette, rescaled, and the NMI of labels with the majority label of the neighbours, the point
-    itself among them."""
-    sil = embed.silhouette(emb, label).agg(F.avg("silhouette").alias("_s"))
+def mean_silhouettes(emb: DataFrame, labels: dict[str, str]) -> DataFrame:
+    """One row: by name the mean silhouette of a column, all from one pass over the pairs."""
+    s = embed.silhouettes(emb, sorted(set(labels.values())))
+    return s.agg(*(F.avg(F.when(F.col("column") == c, F.col("silhouette"))).alias(name) for name, c in labels.items()))
+
+
+def bio_conservation(emb: DataFrame, edges_with_self: DataFrame, label: str, silhouette: DataFrame | None = None) -> DataFrame:
+    """Mean of the silhouette (a row with ``silhouette`` where it is known), rescaled, and the NMI of labels with the majority
+    label of the neighbours, the point itself among them."""
+    sil = (embed.silhouette(emb, label).agg(F.avg("silhouette").alias("silhouette")) if silhouette is None else silhouette).select(F.col("silhouette").alias("_s"))
     n = label_edges(edges_with_self, emb, label).groupBy("src", "a", "b").agg(F.count("*").alias("n"))
     major = n.groupBy("src", "a").agg(F.min(F.struct((-F.col("n")).alias("n"), F.col("b").alias("b"))).alias("m")).select("a", F.col("m.b").alias("b"))
     return sil.crossJoin(nmi(major, "a", "b")).select((((F.col("_s") + 1) / 2 + F.col("nmi")) / 2).alias("bio_conservation"))
@@ -150,6 +157,6 @@ def calinski_harabasz(emb: DataFrame, label: str) -> DataFrame:
 def evaluate(emb: DataFrame, edges: DataFrame, true: str, pred: str, batch: str) -> DataFrame:
     """metric, value of all metrics; rows without a prediction are left out of the label metrics."""
     known = emb.where(F.col(pred).isNotNull() & (F.col(pred).cast("string") != ""))
-    rows = [ari(known, true, pred), nmi(known, true, pred), report(known, true, pred).select("f1_weighted", "balanced_accuracy"), connectivity(edges, emb, true), embed.silhouette(emb, true).agg(F.avg("silhouette").alias("silhouette")), embed.silhouette(emb, batch).agg(F.avg("silhouette").alias("batch_asw"))]
+    rows = [ari(known, true, pred), nmi(known, true, pred), report(known, true, pred).select("f1_weighted", "balanced_accuracy"), connectivity(edges, emb, true), checkpoint(mean_silhouettes(emb, {"silhouette": true, "batch_asw": batch}))]
     long = [r.select(F.explode(F.array(*(F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in r.columns))).alias("e")).select("e.*") for r in rows]
     return reduce(DataFrame.unionByName, long)

@@ -195,6 +195,35 @@ def test_neighbours_do_not_depend_on_blocks(spark, block):
     assert all(abs(got[i, k + 1] - want[i, k]) < 1e-6 for i in range(90) for k in range(4))
 
 
+def test_neighbours_of_copies_and_texts(spark):
+    """Copies are at distance 0 (not at the root of a rounding error), by the least ids; ids may be texts."""
+    e = spark.createDataFrame([(f"c{i:03}", [0.1 * j + 0.3 * (i % 3 == 0) for j in range(8)]) for i in range(60)], "cell_id string, vec array<double>")
+    got = {}
+    for r in embed.knn(e, 5, size=9).collect():
+        got.setdefault(r["src"], {})[r["rank"]] = (r["dst"], r["dist"])
+    for i in range(60):
+        same = [f"c{j:03}" for j in range(60) if (j % 3 == 0) == (i % 3 == 0) and j != i]
+        assert got[f"c{i:03}"] == {k + 1: (same[k], 0.0) for k in range(5)}
+
+
+def test_exact_search_gives_a_row_a_neighbour(spark):
+    """A task gives k rows a point, not k for every block that the point was compared with."""
+    e = spark.range(400).select(F.col("id").alias("cell_id"), F.array(F.sin("id"), F.cos(F.col("id") * 3)).alias("vec"))
+    seen = embed.facing(e, 50)
+    assert seen.rdd.getNumPartitions() == 8 and seen.where("_pass = 0").count() == 400 and seen.where("_pass = 1").count() == 3200
+    assert embed.knn(e, 4, size=50).count() == 1600
+
+
+def test_silhouettes_of_two_columns_at_once(spark):
+    e = points(spark).withColumn("half", F.when(F.col("cell_id") % 9 > 0, F.pmod("cell_id", F.lit(2))))
+    both = embed.silhouettes(e, ["cell_type", "half"], size=16)
+    for c in ("cell_type", "half"):
+        one = {r["cell_id"]: (r["label"], r["silhouette"]) for r in embed.silhouette(e, c, size=2048).collect()}
+        two = {r["cell_id"]: (r["label"], r["silhouette"]) for r in both.where(F.col("column") == c).collect()}
+        assert set(one) == set(two) and len(one) == (90 if c == "cell_type" else 80)
+        assert all(one[k][0] == two[k][0] and abs(one[k][1] - two[k][1]) < 1e-9 for k in one)
+
+
 def test_well_separated_clusters(spark):
     e = points(spark)
     g = embed.knn(e, 15)
