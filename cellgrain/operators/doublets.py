@@ -9,35 +9,52 @@ from cellgrain.model import hash_int, hash_rank, need
 from cellgrain.operators import embed, normalize
 from cellgrain.operators.joins import lookup, numbered
 from cellgrain.operators.quantiles import exact
-from cellgrain.sources.layers import checkpoint
+from cellgrain.sources.layers import checkpoint, stored
 
 
-def simulate(expr: DataFrame, cells: DataFrame, ratio: float = 1.0, seed: int = 42) -> DataFrame:
-    """Counts of artificial cells, ids ``sim_`` and a number: sums of two cells that are neighbours in a shuffled order, which
-    is a range sort of digests. The last of an odd number of cells stays alone and makes none."""
+def pairs(cells: DataFrame, ratio: float = 1.0, seed: int = 42) -> DataFrame:
+    """cell_id, sim_id (``sim_`` and a number): two cells that are neighbours in a shuffled order, which is a range sort of
+    digests. The last of an odd number of cells stays alone and is left out."""
     few = cells.select("cell_id").withColumn("_h", hash_rank("cell_id", seed=seed)).where((hash_int(F.concat(F.col("_h"), F.lit("r"))) % 10_000) < ratio * 10_000)
     rows = checkpoint(numbered(few, ["_h", "cell_id"]))
-    pair = rows.where(F.col("at") < rows.count() // 2 * 2).select("cell_id", F.concat(F.lit("sim_"), F.floor(F.col("at") / 2).cast("string")).alias("sim_id"))
-    return expr.join(pair, "cell_id").groupBy(F.col("sim_id").alias("cell_id"), "gene_id").agg(F.sum("value").alias("value"))
+    return rows.where(F.col("at") < rows.count() // 2 * 2).select("cell_id", F.concat(F.lit("sim_"), F.floor(F.col("at") / 2).cast("string")).alias("sim_id"))
 
 
-def profiles(expr: DataFrame, genes: DataFrame) -> DataFrame:
-    """(cell_id, vec): log-normalised values of the selected genes, in their order."""
+def selected(expr: DataFrame, genes: DataFrame) -> tuple[DataFrame, int]:
+    """(cell_id, lib, few): the sum of all of a cell's counts, and its counts of the selected genes as a list of (at, value);
+    and the number of these genes. A small row a cell, so the whole matrix is shuffled once."""
     order = checkpoint(numbered(genes.select("gene_id").distinct(), ["gene_id"]).withColumn("at", F.col("at").cast("int")))
     n = order.count()
-    x = lookup(normalize.log_normalize(expr), order, ["gene_id"], ["cell_id"], "inner", rows=n)
-    m = x.groupBy("cell_id").agg(F.map_from_entries(F.collect_list(F.struct("at", "value"))).alias("m"))
+    marked = lookup(expr, order, ["gene_id"], ["cell_id"], "left", rows=n)
+    own = F.when(F.col("at").isNotNull(), F.struct("at", F.col("value").cast("double").alias("value")))
+    return marked.groupBy("cell_id").agg(F.sum("value").cast("double").alias("lib"), F.collect_list(own).alias("few")), n
+
+
+def simulated(rows: DataFrame, pair: DataFrame) -> DataFrame:
+    """As ``rows`` (cell_id, lib, few), sums of two cells, where they have a selected gene."""
+    both = rows.join(pair, "cell_id").groupBy("sim_id").agg(F.sum("lib").alias("lib"), F.flatten(F.collect_list("few")).alias("few")).where(F.size("few") > 0)
+    by_gene = both.select("sim_id", "lib", F.explode("few").alias("e")).groupBy("sim_id", "lib", "e.at").agg(F.sum("e.value").alias("value"))
+    return by_gene.groupBy("sim_id", "lib").agg(F.collect_list(F.struct("at", "value")).alias("few")).select(F.col("sim_id").alias("cell_id"), "lib", "few")
+
+
+def profiles(rows: DataFrame, n: int) -> DataFrame:
+    """(cell_id, vec): log-normalised values of the n selected genes, in their order, of ``rows`` (cell_id, lib, few) with any."""
+    value = lambda v: F.log1p(F.coalesce(F.when(F.col("lib") != 0, v * 1e4 / F.col("lib")), v))
+    m = rows.where(F.size("few") > 0).select("cell_id", F.map_from_entries(F.transform("few", lambda e: F.struct(e["at"].alias("at"), value(e["value"]).alias("value")))).alias("m"))
     return m.select("cell_id", F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0))).alias("vec"))
 
 
 def shares(expr: DataFrame, cells: DataFrame, genes: DataFrame, k: int = 15, n_pcs: int = 10, ratio: float = 1.0, seed: int = 42) -> DataFrame:
     """id (a text), simulated, share: of every real and simulated cell with counts of a selected gene, the part of simulated
-    ones among its k nearest, in principal components of these genes."""
-    sims = simulate(expr, cells, ratio, seed).withColumn("cell_id", F.col("cell_id").cast("string"))
-    both = expr.withColumn("cell_id", F.col("cell_id").cast("string")).unionByName(sims)
-    p = profiles(both, genes)
-    dims = len(p.select("vec").head()["vec"]) if p.head(1) else 1
-    near = embed.knn(embed.pca(p, min(n_pcs, dims))[0], k)
+    ones among its k nearest, in principal components of these genes. The cells' sums, the dense rows (of cells with a selected
+    gene) and their components are stored, since later steps read each several times."""
+    rows, n = selected(expr, genes)
+    rows = stored(rows)
+    few = rows.where(F.size("few") > 0).withColumn("cell_id", F.col("cell_id").cast("string"))
+    p = stored(profiles(few.unionByName(simulated(rows, pairs(cells, ratio, seed))), n))
+    if not p.head(1):
+        return p.select(F.col("cell_id").alias("id"), F.lit(False).alias("simulated"), F.lit(0.0).alias("share"))
+    near = embed.knn(stored(embed.pca(p, min(n_pcs, n))[0]), k)
     return near.groupBy(F.col("src").alias("id")).agg(F.avg(F.col("dst").startswith("sim_").cast("double")).alias("share")).select("id", F.col("id").startswith("sim_").alias("simulated"), "share")
 
 
@@ -58,7 +75,7 @@ def scores(expr: DataFrame, cells: DataFrame, genes: DataFrame, k: int = 15, rat
 def variable_genes(expr: DataFrame, cells: DataFrame, n_genes: int, min_counts: float = 0, min_cells: int = 0) -> DataFrame:
     """gene_id of the most variable genes, of those with at least ``min_counts`` counts in at least ``min_cells`` cells."""
     seen = expr.where(F.col("value") >= min_counts).groupBy("gene_id").agg(F.count("*").alias("n")).where(F.col("n") >= min_cells).select("gene_id")
-    x = checkpoint(normalize.log_normalize(expr.join(seen, "gene_id", "left_semi")))
+    x = stored(normalize.log_normalize(expr.join(seen, "gene_id", "left_semi")))
     return checkpoint(normalize.select_hvgs(x, cells, x.select("gene_id").distinct(), n_genes, "seurat").where("highly_variable").select("gene_id"))
 
 
@@ -93,6 +110,7 @@ def valley(simulated: DataFrame, score: str = "score", bins: int = BINS) -> floa
 def call_by_valley(expr: DataFrame, cells: DataFrame, rate: float = 0.06, min_counts: float = 2, min_cells: int = 2, n_genes: int = 2000, k: int = 15, n_pcs: int = 10, ratio: float = 1.0, seed: int = 42) -> DataFrame:
     """cell_id, score (the likelihood of a doublet by Bayes' rule from its simulated neighbours and the expected rate) and
     ``doublet``: above the valley of the simulated cells' scores, or of the (1 - rate) quantile where they have one mode."""
+    expr = stored(expr)
     genes = variable_genes(expr, cells, n_genes, min_counts, min_cells)
     found = checkpoint(shares(expr, cells, genes, k, n_pcs, ratio, seed))
     n = found.agg(F.count_if("simulated").alias("s"), F.count_if(~F.col("simulated")).alias("r")).first()
@@ -110,6 +128,7 @@ def call_by_valley(expr: DataFrame, cells: DataFrame, rate: float = 0.06, min_co
 def call_by_share(expr: DataFrame, cells: DataFrame, rate: float = 0.06, n_genes: int = 2000, k: int = 15, n_pcs: int = 10, ratio: float = 1.0, seed: int = 42) -> DataFrame:
     """cell_id, score (the part of simulated cells among the k nearest) and ``doublet``: the round(rate * cells) cells with the
     highest scores, ties by id."""
+    expr = stored(expr)
     found = shares(expr, cells, variable_genes(expr, cells, n_genes), k, n_pcs, ratio, seed)
     ordered = checkpoint(numbered(real(cells, found, F.col("share")).withColumn("_low", -F.col("score")), ["_low", "cell_id"]))
     return ordered.select("cell_id", "score", (F.col("at") < round(rate * ordered.count())).alias("doublet"))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from cellgrain.operators import ambient, normalize, pseudobulk, qc
 from cellgrain.plans.adapter import BASE, cells, expr, genes, table
 from cellgrain.plans.registry import query
-from cellgrain.sources.layers import checkpoint
+from cellgrain.sources.layers import checkpoint, stored
 
 #: Bounds for the driver's tables, whose cells have about four genes.
 BOUNDS = {"min_genes": 2, "max_genes": 6, "min_umi": 50, "max_mito": 60, "max_ribo": 80}
@@ -179,7 +179,7 @@ SCALED = 50
 
 def variable(s, d, n: int) -> DataFrame:
     """The ``n`` most variable genes of the log-normalised matrix."""
-    return normalize.select_hvgs(checkpoint(normalize.log_normalize(expr(s, d))), cells(s, d), genes(s, d), n, "seurat").where("highly_variable").select("gene_id")
+    return normalize.select_hvgs(stored(normalize.log_normalize(expr(s, d))), cells(s, d), genes(s, d), n, "seurat").where("highly_variable").select("gene_id")
 
 
 @query("pearson_residuals", f"{BASE}, {MOMENTS.format(genes='genes', expr='expr')}, lib AS (SELECT cell_id, coalesce(sum(value), 0) AS lib FROM cells LEFT JOIN expr USING (cell_id) GROUP BY cell_id), s AS (SELECT cell_id, lib / avg(lib) OVER () AS s FROM lib), g AS (SELECT gene_id, mean, least(greatest(mean * mean / greatest(var - mean, 1e-6), 1e-6), 1e6) AS theta FROM mo) SELECT cell_id, gene_id, round((value - s * mean) / sqrt(greatest(s * mean + s * mean * s * mean / theta, 0.1)), 6) AS value, round(-s * mean / sqrt(greatest(s * mean + s * mean * s * mean / theta, 0.1)), 6) AS zero_value FROM expr JOIN s USING (cell_id) JOIN g USING (gene_id)")

@@ -229,3 +229,16 @@ def test_many_rows_of_a_lookup_are_not_broadcast(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert "SortMergeJoin" in plan and "BuildRight" not in plan
     assert sorted((r["k"], r["w"]) for r in joined.collect()) == [(i, 2 * i) for i in range(10)]
+
+
+def test_doublet_profiles_come_from_one_small_row_a_cell(spark):
+    """Simulated cells are sums of two cells' totals and selected counts; the whole matrix isn't made again for them."""
+    from cellgrain.operators import doublets
+
+    expr = spark.createDataFrame([(1, "a", 3.0), (1, "x", 7.0), (2, "a", 2.0), (2, "b", 8.0), (3, "x", 5.0)], "cell_id long, gene_id string, value double")
+    rows, n = doublets.selected(expr, spark.createDataFrame([("a",), ("b",)], "gene_id string"))
+    assert n == 2 and {r["cell_id"]: (r["lib"], len(r["few"])) for r in rows.collect()} == {1: (10.0, 1), 2: (10.0, 2), 3: (5.0, 0)}
+    pair = spark.createDataFrame([(1, "sim_0"), (2, "sim_0"), (3, "sim_1"), (4, "sim_1")], "cell_id long, sim_id string")
+    sims = doublets.simulated(rows, pair)
+    assert [(r["cell_id"], r["vec"]) for r in doublets.profiles(sims, n).collect()] == [("sim_0", [pytest.approx(math.log1p(5 * 1e4 / 20)), pytest.approx(math.log1p(8 * 1e4 / 20))])]
+    assert {r["cell_id"]: r["vec"] for r in doublets.profiles(rows, n).collect()} == {1: [pytest.approx(math.log1p(3000)), 0.0], 2: [pytest.approx(math.log1p(2000)), pytest.approx(math.log1p(8000))]}
