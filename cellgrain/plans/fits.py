@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import Window, functions as F
 
-from cellgrain.operators import doublets, embed, folds, integrate as harmony, models, preprocess, splits, trials
+from cellgrain.operators import doublets, embed, folds, integrate as harmony, joins, models, preprocess, splits, trials
 from cellgrain.plans.adapter import BASE, CELLS, cells, emb, expr, genes, table
 from cellgrain.plans.expression import BOUNDS, KEPT, METRICS, GENE_METRICS, MIN_CELLS, rounded, variable
 from cellgrain.plans.logs import rank_of
@@ -22,17 +22,24 @@ def root(s) -> str:
 @query("ingest_samples", f"{BASE} SELECT 'S' || batch AS sample_id, 'S' || batch || '_bc' || cell_id AS cell_id, 'G' || gene_id AS gene_id, value FROM expr JOIN cells USING (cell_id)")
 def ingest_samples(s, d):
     """Counts written as triplet files by sample and read back."""
-    x = expr(s, d).join(cells(s, d).select("cell_id", F.concat(F.lit("S"), "batch").alias("sample_id")), "cell_id")
-    here = root(s)
-    coded = layers.checkpoint(x.withColumns({k: F.dense_rank().over(Window.partitionBy("sample_id").orderBy(c)) for k, c in (("c", "cell_id"), ("g", "gene_id"))}))
+    x = layers.stored(expr(s, d).join(cells(s, d).select("cell_id", F.concat(F.lit("S"), "batch").alias("sample_id")), "cell_id"))
+    here, coded, numbers = root(s), x, {}
+    for k, c in (("c", "cell_id"), ("g", "gene_id")):  # from 1 in each sample, by range partitions
+        places = joins.numbered(x.select("sample_id", c).distinct(), ["sample_id", c], "_at")
+        first = places.groupBy("sample_id").agg(F.min("_at").alias("_first"))  # a row a sample
+        numbers[k] = layers.stored(places.join(F.broadcast(first), "sample_id").select("sample_id", c, (F.col("_at") - F.col("_first") + 1).alias(k)))
+        coded = coded.join(numbers[k], ["sample_id", c])
+    coded = layers.stored(coded)
     size = coded.groupBy("sample_id").agg(F.concat_ws(" ", F.max("g"), F.max("c"), F.count("*")).alias("value"))
     entries = coded.select("sample_id", F.concat_ws(" ", "g", "c", F.col("value").cast("long")).alias("value"))
-    listed = lambda k, text: coded.select("sample_id", k, text.alias("value")).distinct().repartition("sample_id").sortWithinPartitions("sample_id", k).select("sample_id", "value")
-    bars, feats = listed("c", F.concat(F.lit("bc"), "cell_id")), listed("g", F.concat_ws("\t", F.concat(F.lit("ENS"), "gene_id"), F.concat(F.lit("G"), "gene_id")))
+    # A list is files in the order of their names.
+    in_order = lambda k, text: numbers[k].select("sample_id", k, text.alias("value")).repartitionByRange("sample_id", k).sortWithinPartitions("sample_id", k).select("sample_id", "value")
+    bars, feats = in_order("c", F.concat(F.lit("bc"), "cell_id")), in_order("g", F.concat_ws("\t", F.concat(F.lit("ENS"), "gene_id"), F.concat(F.lit("G"), "gene_id")))
     for name, df in (("matrix", entries.unionByName(size)), ("barcodes", bars), ("features", feats)):
         df.write.partitionBy("sample_id").text(f"{here}/{name}")
-    read = lambda name, whole: s.read.text(f"{here}/{name}", wholetext=whole).select(F.col("sample_id").cast("string"), "value")
-    return ingest.assemble(read("matrix", False), read("barcodes", True), read("features", True))
+    read = lambda name, *more: s.read.text(f"{here}/{name}", lineSep="\n").select(F.col("sample_id").cast("string"), "value", *more)
+    lists = lambda name, out: ingest.listed(read(name, F.input_file_name().alias("_path"), "_metadata"), out, ["sample_id"])
+    return ingest.put_together(read("matrix"), lists("barcodes", "c"), lists("features", "g"))
 
 
 @query("clinical_join", f"WITH {CELLS} SELECT cell_id, patient_id, c_mktsegment AS segment, c_acctbal AS balance FROM cells LEFT JOIN customer ON patient_id = c_custkey")

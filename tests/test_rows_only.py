@@ -208,3 +208,27 @@ def test_clinical_table_without_common_names(spark):
     cells = spark.createDataFrame([("a",)], "sample_id string")
     assert ingest.attach_clinical(cells, spark.createDataFrame([("z", 1)], "sample_id string, age int")).columns == ["sample_id"]
     assert ingest.attach_clinical(cells, spark.createDataFrame([("a", 1)], "sample_id string, age int")).first()["age"] == 1
+
+
+def test_lists_of_triplet_files_are_numbered_across_ranges_and_files(spark, tmp_path):
+    from cellgrain.sources import ingest
+
+    want = {}
+    for sample, n in (("a", 2000), ("b", 3)):
+        names = [f"{sample}{i:05d}" for i in range(n)]
+        names[1] = ""  # a blank line has a number
+        want |= {(sample, i + 1): x for i, x in enumerate(names)}
+        (tmp_path / f"sample_id={sample}").mkdir()
+        for part, rows in (("part-00000.txt", names[: n // 2]), ("part-00001.txt", names[n // 2 :])):
+            (tmp_path / f"sample_id={sample}" / part).write_bytes("".join(f"{x}\r\n" for x in rows).encode().rstrip(b"\r\n" if part.endswith("1.txt") else b"") + (b" \n\n" if part.endswith("1.txt") else b""))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "100")
+        read = spark.read.text(str(tmp_path), lineSep="\n").select("sample_id", F.input_file_name().alias("_path"), "value", "_metadata")
+        found = {(r["sample_id"], r["c"]): r["text"] for r in ingest.listed(read, "c", ["sample_id"]).collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert {k: v for k, v in found.items() if k in want} == want
+    assert not any(v.strip() for k, v in found.items() if k not in want)
