@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
@@ -44,6 +45,49 @@ def fit(df: DataFrame, kind: str, label: str = "label", **options) -> PipelineMo
     return pipeline(kind, label, **options).fit(balanced(df, label))
 
 
+#: Rows, about, of a part that a fit reads again and again; and nodes of trees that the driver may hold at once.
+PART_ROWS, NODES = 250_000, 1 << 18
+
+
+def dealt_out(df: DataFrame, **options) -> DataFrame:
+    """splits.stratified(), kept, in a part a core unless parts would be large: every reading of a fit sends a message a part."""
+    dealt = layers.checkpoint(splits.stratified(df, **options))
+    return dealt.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-dealt.count() // PART_ROWS)))
+
+
+def grove(train: DataFrame, label: str, fits: int = 1, seed: int = 42, numTrees: int = 100, maxDepth: int = 15, **options) -> Iterator[tuple[PipelineModel, int]]:
+    """A forest as models of some of its trees, one after the other, and their numbers of trees: the driver holds NODES nodes at
+    most over ``fits`` forests at the same time, but two trees of each at least. A model's votes add up to the forest's. A forest that is small enough is one model."""
+    rows = balanced(train, label)
+    index, scale, _ = pipeline("rf", label).getStages()
+    ready = Pipeline(stages=[index, scale]).fit(rows)
+    kept = layers.checkpoint(ready.transform(rows).select("features", "label_index", "weight"))
+    each, done = min(2 ** (maxDepth + 1), 2 * max(kept.count(), 1)), 0  # a leaf has a row
+    while done < numTrees:
+        n = min(numTrees - done, max(2, int(NODES // (fits * each))))
+        if numTrees - done - n == 1:  # one tree alone would take all features at each node
+            n = n + 1 if n < 3 else n - 1
+        some = RandomForestClassifier(featuresCol="features", labelCol="label_index", weightCol="weight", numTrees=n, maxDepth=maxDepth, seed=seed + done, **options).fit(kept)
+        each, done = max(1.0, 1.25 * some.totalNumNodes / n), done + n
+        yield PipelineModel(stages=[*ready.stages, some]), n
+
+
+def forest_predict(train: DataFrame, df: DataFrame, label: str = "label", out: str = "predicted", fits: int = 1, **options) -> DataFrame:
+    """As predict() of a forest fitted on ``train``: the votes of its models are summed by row."""
+    rows, votes, names = layers.stored(df.withColumn("_row", F.monotonically_increasing_id())), [], []
+    for model, _ in grove(train, label, fits, **options):
+        scored = model.transform(rows.withColumn("features_raw", array_to_vector("vec"))).select("_row", F.lit(len(votes)).alias("_at"), vector_to_array("rawPrediction").alias("_votes"))
+        votes.append(layers.stored(scored))
+        names = model.stages[0].labels
+    ordered = F.array_sort(F.collect_list(F.struct("_at", "_votes")))  # so that a sum doesn't depend on the order of tasks
+    total = F.aggregate(F.slice("_o", 2, len(votes)), F.col("_o")[0]["_votes"], lambda a, x: F.zip_with(a, x["_votes"], lambda u, v: u + v))
+    summed = reduce(DataFrame.unionByName, votes).groupBy("_row").agg(ordered.alias("_o")).select("_row", total.alias("_v"))
+    whole = F.aggregate("_v", F.lit(0.0), lambda a, x: a + x)
+    chosen = F.get(F.array(*(F.lit(x) for x in names)), (F.array_position("_v", F.array_max("_v")) - 1).cast("int"))
+    found = rows.join(summed, "_row")
+    return found.select(*df.columns, chosen.alias(out), F.when(whole > 0, F.transform("_v", lambda x: x / whole)).otherwise(F.col("_v")).alias("class_probability"))
+
+
 def predict(model: PipelineModel, df: DataFrame, out: str = "predicted") -> DataFrame:
     """Adds the predicted label as a text, and its class probabilities where the model has them."""
     labels = F.array(*(F.lit(x) for x in model.stages[0].labels))
@@ -58,7 +102,7 @@ class CalibratedMargins:
     are those of the model of all rows."""
 
     def __init__(self, df: DataFrame, label: str = "label", key: str = "cell_id", folds: int = 3, ridge: float = 1e-3, **options):
-        dealt = layers.checkpoint(splits.stratified(df, label, key, parts=folds))
+        dealt = dealt_out(df, label=label, key=key, parts=folds)
         parts = range(folds)
         with ThreadPool(folds + 1) as pool:  # the fits are independent jobs
             *held, self.model = pool.map(lambda i: fit(dealt.where(F.col("fold") != i).drop("fold") if i < folds else df, "svm", label, **options), [*parts, folds])
@@ -98,15 +142,25 @@ def importances(model: PipelineModel) -> DataFrame:
     return SparkSession.active().createDataFrame(rows, "feature int, importance double")
 
 
-def ensemble(train: DataFrame, test: DataFrame, label: str = "label", key: str = "cell_id", options: dict | None = None) -> DataFrame:
+def forest_importances(df: DataFrame, label: str = "label", **options) -> DataFrame:
+    """importances() of a forest, as the mean over its trees."""
+    total, trees = 0.0, 0
+    for model, n in grove(df, label, **options):
+        total, trees = total + n * model.stages[-1].featureImportances.toArray(), trees + n
+    return SparkSession.active().createDataFrame([(i, float(x / trees)) for i, x in enumerate(total)], "feature int, importance double")
+
+
+def ensemble(train: DataFrame, test: DataFrame, label: str = "label", key: str = "cell_id", options: dict | None = None, fits: int = 1) -> DataFrame:
     """``test`` with lr, rf, svm (labels by the three models), predicted (their majority) and soft (the label of the
-    largest mean probability of the three). Keys are unique."""
+    largest mean probability of the three). Keys are unique. ``fits``: forests that are fitted at the same time."""
     out, labels = test, []
     for kind in ("lr", "rf", "svm"):
         given = dict((options or {}).get(kind, {}))
         if kind == "svm":
             model = CalibratedMargins(train, label, key, **given)
             labels, scored = model.labels, model.predict(test.select(key, label, "vec"), kind)
+        elif kind == "rf":
+            scored = forest_predict(train, test.select(key, label, "vec"), label, kind, fits, **given)
         else:
             model = fit(train, kind, label, **given)
             labels, scored = model.stages[0].labels, predict(model, test.select(key, label, "vec"), kind)
@@ -119,28 +173,37 @@ def ensemble(train: DataFrame, test: DataFrame, label: str = "label", key: str =
 
 def held_out(df: DataFrame, kind: str, label: str = "label", key: str = "cell_id", **options) -> DataFrame:
     """Predictions for a stratified fifth of the rows by a model (or the ``ensemble``) of the other rows."""
-    dealt = layers.checkpoint(splits.stratified(df, label, key))  # every fit reads it many times
+    dealt = dealt_out(df, label=label, key=key)  # every fit reads it many times
     train, test = dealt.where("not is_test").drop("is_test"), dealt.where("is_test").drop("is_test")
     if kind == "svm":
         return CalibratedMargins(train, label, key, **options).predict(test)
+    if kind == "rf":
+        return forest_predict(train, test, label, **options)
     return ensemble(train, test, label, key, options) if kind == "ensemble" else predict(fit(train, kind, label, **options), test)
 
 
 def cross_validate(df: DataFrame, kind: str, label: str = "label", key: str = "cell_id", folds: int = 5, seed: int = 42, **options) -> DataFrame:
     """model, fold, part, accuracy, balanced_accuracy, for lr, rf, svm or the ensemble (its test rows only). The scaler is fitted
     on the training rows of each fold only."""
-    dealt = layers.checkpoint(splits.stratified(df, label, key, parts=folds, seed=seed))
+    dealt = dealt_out(df, label=label, key=key, parts=folds, seed=seed)
 
     def one(i: int) -> list[DataFrame]:
         train, test = dealt.where(F.col("fold") != i).drop("fold"), dealt.where(F.col("fold") == i).drop("fold")
         if kind == "ensemble":
-            scored = [("test", ensemble(train, test, label, key, options))]
+            scored = [("test", ensemble(train, test, label, key, options, fits))]
+        elif kind == "rf":
+            every = layers.stored(forest_predict(train, dealt, label, fits=fits, **options))
+            scored = [("train", every.where(F.col("fold") != i)), ("test", every.where(F.col("fold") == i))]
         else:
             model = fit(train, kind, label, **dict(options))
             scored = [("train", predict(model, train)), ("test", predict(model, test))]
         return [metrics.report(x.withColumn("_y", F.col(label).cast("string")), "_y", "predicted").select(F.lit(kind).alias("model"), F.lit(i).alias("fold"), F.lit(part).alias("part"), "accuracy", "balanced_accuracy") for part, x in scored]
 
-    with ThreadPool(folds) as pool:  # the folds' jobs share the cluster
+    fits = folds  # the folds' jobs share the cluster, if the driver has room for their trees
+    if kind in ("rf", "ensemble"):
+        depth = (options if kind == "rf" else options.get("rf", {})).get("maxDepth", 15)
+        fits = max(1, min(folds, NODES // (2 * min(2 ** (depth + 1), 2 * max(dealt.count(), 1)))))
+    with ThreadPool(fits) as pool:
         return reduce(DataFrame.unionByName, [r for part in pool.map(one, range(folds)) for r in part])
 
 

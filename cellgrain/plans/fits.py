@@ -203,7 +203,7 @@ def rf_classify(s, d):
 
 @query("rf_importances")
 def rf_importances(s, d):
-    return models.importances(models.fit(labelled(s, d), "rf"))
+    return models.forest_importances(labelled(s, d))
 
 
 @query("svm_classify")

@@ -232,3 +232,33 @@ def test_lists_of_triplet_files_are_numbered_across_ranges_and_files(spark, tmp_
             spark.conf.set(k, v)
     assert {k: v for k, v in found.items() if k in want} == want
     assert not any(v.strip() for k, v in found.items() if k not in want)
+
+
+def test_forest_is_fitted_a_few_trees_at_a_time(spark, monkeypatch):
+    from cellgrain.operators import models
+
+    rows = blobs(spark, 200)
+    whole = {r["cell_id"]: r["predicted"] for r in models.held_out(rows, "rf", numTrees=10, maxDepth=6).collect()}
+    sizes, grove = [], models.grove
+
+    def counted(*args, **options):
+        for model, n in grove(*args, **options):
+            sizes.append((n, model.stages[-1].getNumTrees, model.stages[-1].totalNumNodes))
+            yield model, n
+
+    monkeypatch.setattr(models, "grove", counted)
+    monkeypatch.setattr(models, "NODES", 300)
+    r = models.held_out(rows, "rf", numTrees=11, maxDepth=6).collect()
+    assert sum(n for n, _, _ in sizes) == 11 and all(n == t and n > 1 for n, t, _ in sizes) and len(sizes) > 1
+    assert max(x for n, _, x in sizes if n > 3) <= 300 if any(n > 3 for n, _, _ in sizes) else True
+    assert np.mean([x["predicted"] == whole[x["cell_id"]] for x in r]) > 0.9 and {x["cell_id"] for x in r} == set(whole)
+    assert all(abs(sum(x["class_probability"]) - 1) < 1e-9 for x in r)
+    got = models.cross_validate(rows, "rf", numTrees=4, maxDepth=4).collect()
+    assert len(got) == 10 and {x["part"] for x in got} == {"train", "test"}
+
+
+def test_fits_read_few_parts(spark):
+    from cellgrain.operators import models
+
+    rows = blobs(spark, 200).repartition(60)
+    assert models.dealt_out(rows, label="label", key="cell_id", parts=3).rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
