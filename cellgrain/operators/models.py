@@ -46,7 +46,7 @@ def fit(df: DataFrame, kind: str, label: str = "label", **options) -> PipelineMo
 
 
 #: Rows, about, of a part that a fit reads again and again; and nodes of trees that the driver may hold at once.
-PART_ROWS, NODES = 250_000, 1 << 18
+PART_ROWS, NODES = 250_000, 1 << 17
 
 
 def dealt_out(df: DataFrame, **options) -> DataFrame:
