@@ -107,6 +107,25 @@ def test_components_of_the_sparse_matrix(spark):
     assert [r["vec"] for r in none.collect()] == [[], [], []] and share == []
 
 
+def test_components_send_no_row_a_gene_to_the_driver(spark, monkeypatch):
+    """Cells in many groups, counts in many pieces: the dense solution, from fewer rows at the driver than genes, and without broadcasts of a basis."""
+    rng = np.random.default_rng(4)
+    x = rng.poisson(0.5, (80, 4)) @ rng.poisson(0.6, (4, 700)) * rng.integers(0, 2, (80, 700)) + 0.0
+    x[:, 5] += 3  # a gene that all cells have
+    expr = spark.createDataFrame([(int(i), int(j), float(x[i, j])) for i, j in zip(*np.nonzero(x), strict=True)], "cell_id long, gene_id long, value double")
+    rows, collect, frame = [], type(expr).toPandas, type(expr)
+    monkeypatch.setattr(frame, "toPandas", lambda self: rows.append(len(out := collect(self))) or out)
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: pytest.fail("broadcast"))
+    for name, size in (("COUNTS", 3000), ("PIECE", 512), ("STORED", 300)):
+        monkeypatch.setattr(sparse_pca, name, size, raising=False)
+    got, share = sparse_pca.components(expr, spark.range(80).withColumnRenamed("id", "cell_id"), 3, extra=2)
+    y = np.array([r["vec"] for r in got.orderBy("cell_id").collect()])
+    u, s, _ = np.linalg.svd(x - x.mean(0), full_matrices=False)
+    assert np.allclose(share, s[:3] ** 2 / (s**2).sum(), rtol=1e-3)
+    assert np.allclose(np.abs(y), np.abs(u[:, :3] * s[:3]), rtol=0.02, atol=0.02 * s[0] / 9)
+    assert max(rows, default=0) < 700
+
+
 def test_poisson_bootstrap_agrees_with_drawn_rows(spark):
     """Intervals of small groups as by whole draws, a group of a million values in many tasks, and repeated runs alike."""
     rng = np.random.default_rng(5)
