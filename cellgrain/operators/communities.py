@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from cellgrain.operators import joins
 from cellgrain.operators.joins import lookup
 from cellgrain.sources.layers import stored
 
@@ -35,7 +36,8 @@ def look(links: DataFrame, state: DataFrame, rows: int, whole: float) -> DataFra
     to = lookup(links.where("src <> dst"), state.select("gamma", F.col("node").alias("dst"), F.col("community").alias("c")), ["gamma", "dst"], ["src"], rows=rows)
     seen = to.select("gamma", F.col("src").alias("node"), "c", "w").unionByName(state.select("gamma", "node", F.col("community").alias("c"), F.lit(0.0).alias("w")))
     seen = seen.groupBy("gamma", "node", "c").agg(F.sum("w").alias("kc"))
-    seen = lookup(seen, tot, ["gamma", "c"], ["node"], rows=rows).join(state, ["gamma", "node"])
+    # A table of nodes is small as a file: without the hint Spark may send it through the driver, whatever its rows.
+    seen = lookup(seen, tot, ["gamma", "c"], ["node"], rows=rows).join(state if rows <= joins.BROADCAST_ROWS else state.hint("merge"), ["gamma", "node"])
     own = F.col("c") == F.col("community")
     value = F.col("kc") - F.col("gamma") * F.col("k") * (F.col("tot") - F.when(own, F.col("k")).otherwise(0.0)) / whole
     seen = seen.withColumn("value", value)

@@ -78,6 +78,15 @@ def test_communities_find_planted_groups(spark, monkeypatch):
     assert sorted(communities.find(edges, (1.0,)).collect()) == sorted(found)
 
 
+def test_communities_of_many_nodes_are_not_broadcast(spark, monkeypatch):
+    edges = planted(spark, 4, 8)
+    links = communities.stored(communities.links_of(edges, (1.0,)))
+    state = communities.stored(links.groupBy("gamma", F.col("src").alias("node")).agg(F.sum("w").alias("k")).withColumns({"loop": F.lit(0.0), "community": F.col("node")}))
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    looked = communities.look(links, state, 32, 1.0)
+    assert "Broadcast" not in looked._jdf.queryExecution().executedPlan().toString()
+
+
 def test_communities_at_three_resolutions(spark):
     edges = spark.createDataFrame(embed.knn(emb(spark, SF).where("cell_id < 200"), 8).collect())
     found = spark.createDataFrame(communities.find(edges).collect())
