@@ -6,11 +6,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cellgrain.model import hash_int, hash_rank, need
-from cellgrain.operators import embed, normalize
+from cellgrain.operators import embed, normalize, sparse_pca
 from cellgrain.operators.joins import lookup, numbered
 from cellgrain.operators.quantiles import exact
 from cellgrain.sources.layers import checkpoint, stored
 
+#: Most variable genes on which doublets are scored, as published.
+GENES = 2000
+
 
 def pairs(cells: DataFrame, ratio: float = 1.0, seed: int = 42) -> DataFrame:
     """cell_id, sim_id (``sim_`` and a number): two cells that are neighbours in a shuffled order, which is a range sort of
@@ -37,24 +40,29 @@ def simulated(rows: DataFrame, pair: DataFrame) -> DataFrame:
     return by_gene.groupBy("sim_id", "lib").agg(F.collect_list(F.struct("at", "value")).alias("few")).select(F.col("sim_id").alias("cell_id"), "lib", "few")
 
 
-def profiles(rows: DataFrame, n: int) -> DataFrame:
-    """(cell_id, vec): log-normalised values of the n selected genes, in their order, of ``rows`` (cell_id, lib, few) with any."""
+def logged(rows: DataFrame) -> DataFrame:
+    """(cell_id, few): log-normalised values of the selected genes, as a list of (at, value), of ``rows`` (cell_id, lib, few) with any."""
     value = lambda v: F.log1p(F.coalesce(F.when(F.col("lib") != 0, v * 1e4 / F.col("lib")), v))
-    m = rows.where(F.size("few") > 0).select("cell_id", F.map_from_entries(F.transform("few", lambda e: F.struct(e["at"].alias("at"), value(e["value"]).alias("value")))).alias("m"))
+    return rows.where(F.size("few") > 0).select("cell_id", F.transform("few", lambda e: F.struct(e["at"].alias("at"), value(e["value"]).alias("value"))).alias("few"))
+
+
+def profiles(rows: DataFrame, n: int) -> DataFrame:
+    """(cell_id, vec): as logged(), all n selected genes in their order."""
+    m = logged(rows).select("cell_id", F.map_from_entries("few").alias("m"))
     return m.select("cell_id", F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0))).alias("vec"))
 
 
 def shares(expr: DataFrame, cells: DataFrame, genes: DataFrame, k: int = 15, n_pcs: int = 10, ratio: float = 1.0, seed: int = 42) -> DataFrame:
     """id (a text), simulated, share: of every real and simulated cell with counts of a selected gene, the part of simulated
-    ones among its k nearest, in principal components of these genes. The cells' sums, the dense rows (of cells with a selected
-    gene) and their components are stored, since later steps read each several times."""
+    ones among its k nearest, in principal components of these genes. The cells' sums, their lists of selected genes' values (of
+    cells with any) and the components are stored, since later steps read each several times; rows are never made dense."""
     rows, n = selected(expr, genes)
     rows = stored(rows)
     few = rows.where(F.size("few") > 0).withColumn("cell_id", F.col("cell_id").cast("string"))
-    p = stored(profiles(few.unionByName(simulated(rows, pairs(cells, ratio, seed))), n))
+    p = stored(logged(few.unionByName(simulated(rows, pairs(cells, ratio, seed)))))
     if not p.head(1):
         return p.select(F.col("cell_id").alias("id"), F.lit(False).alias("simulated"), F.lit(0.0).alias("share"))
-    near = embed.knn(stored(embed.pca(p, min(n_pcs, n))[0]), k)
+    near = embed.knn(stored(sparse_pca.exact(p, n, n_pcs)[0]), k)
     return near.groupBy(F.col("src").alias("id")).agg(F.avg(F.col("dst").startswith("sim_").cast("double")).alias("share")).select("id", F.col("id").startswith("sim_").alias("simulated"), "share")
 
 
@@ -107,7 +115,7 @@ def valley(simulated: DataFrame, score: str = "score", bins: int = BINS) -> floa
     return None
 
 
-def call_by_valley(expr: DataFrame, cells: DataFrame, rate: float = 0.06, min_counts: float = 2, min_cells: int = 2, n_genes: int = 2000, k: int = 15, n_pcs: int = 10, ratio: float = 1.0, seed: int = 42) -> DataFrame:
+def call_by_valley(expr: DataFrame, cells: DataFrame, rate: float = 0.06, min_counts: float = 2, min_cells: int = 2, n_genes: int = GENES, k: int = 15, n_pcs: int = 10, ratio: float = 1.0, seed: int = 42) -> DataFrame:
     """cell_id, score (the likelihood of a doublet by Bayes' rule from its simulated neighbours and the expected rate) and
     ``doublet``: above the valley of the simulated cells' scores, or of the (1 - rate) quantile where they have one mode."""
     expr = stored(expr)
@@ -125,7 +133,7 @@ def call_by_valley(expr: DataFrame, cells: DataFrame, rate: float = 0.06, min_co
     return out.select("cell_id", likely.alias("score"), (F.col("share") > F.lit(cut)).alias("doublet"))
 
 
-def call_by_share(expr: DataFrame, cells: DataFrame, rate: float = 0.06, n_genes: int = 2000, k: int = 15, n_pcs: int = 10, ratio: float = 1.0, seed: int = 42) -> DataFrame:
+def call_by_share(expr: DataFrame, cells: DataFrame, rate: float = 0.06, n_genes: int = GENES, k: int = 15, n_pcs: int = 10, ratio: float = 1.0, seed: int = 42) -> DataFrame:
     """cell_id, score (the part of simulated cells among the k nearest) and ``doublet``: the round(rate * cells) cells with the
     highest scores, ties by id."""
     expr = stored(expr)

@@ -123,12 +123,12 @@ def doublet_score(s, d):
 
 @query("doublet_valley")
 def doublet_valley(s, d):
-    return doublets.call_by_valley(expr(s, d), cells(s, d), n_genes=200)
+    return doublets.call_by_valley(expr(s, d), cells(s, d))
 
 
 @query("doublet_neighbours")
 def doublet_neighbours(s, d):
-    return doublets.call_by_share(expr(s, d), cells(s, d), n_genes=200)
+    return doublets.call_by_share(expr(s, d), cells(s, d))
 
 
 @query("doublet_consensus", f"WITH {CELLS} SELECT cell_id, batch = 'O' OR cell_type = '5-LOW' AS is_doublet FROM cells")
@@ -171,7 +171,7 @@ def preprocess_counts(s, d):
 @query("preprocess_doublets")
 def preprocess_doublets(s, d):
     """Cells that the pipeline keeps when it scores doublets itself."""
-    tables, _ = preprocess.run(expr(s, d), cells(s, d), genes(s, d), BOUNDS, MIN_CELLS, doublet_rate=0.06, n_hvg=200)
+    tables, _ = preprocess.run(expr(s, d), cells(s, d), genes(s, d), BOUNDS, MIN_CELLS, doublet_rate=0.06, n_hvg=doublets.GENES)
     return tables["cells"].select("cell_id", "patient_id", "sample_type")
 
 
