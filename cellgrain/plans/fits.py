@@ -118,7 +118,7 @@ def storage_info(s, d):
 
 @query("doublet_score")
 def doublet_score(s, d):
-    return doublets.scores(expr(s, d), cells(s, d), variable(s, d, 200))
+    return doublets.scores(expr(s, d), cells(s, d), variable(s, d, doublets.GENES))
 
 
 @query("doublet_valley")

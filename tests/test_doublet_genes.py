@@ -10,7 +10,7 @@ class Asked(Exception):
     pass
 
 
-@pytest.mark.parametrize("name", ["doublet_valley", "doublet_neighbours", "preprocess_doublets"])
+@pytest.mark.parametrize("name", ["doublet_score", "doublet_valley", "doublet_neighbours", "preprocess_doublets"])
 def test_doublets_are_scored_on_as_many_genes_as_published(spark, monkeypatch, name):
     """Few genes leave most cells without counts of any, so with a score of 0."""
 
