@@ -62,8 +62,12 @@ def shares(expr: DataFrame, cells: DataFrame, genes: DataFrame, k: int = 15, n_p
     p = stored(logged(few.unionByName(simulated(rows, pairs(cells, ratio, seed)))))
     if not p.head(1):
         return p.select(F.col("cell_id").alias("id"), F.lit(False).alias("simulated"), F.lit(0.0).alias("share"))
-    near = embed.knn(stored(sparse_pca.exact(p, n, n_pcs)[0]), k)
-    return near.groupBy(F.col("src").alias("id")).agg(F.avg(F.col("dst").startswith("sim_").cast("double")).alias("share")).select("id", F.col("id").startswith("sim_").alias("simulated"), "share")
+    # Neighbours tie by id: the search takes twice an id's place among all, odd for simulated cells, since it sorts numbers faster than texts.
+    ids = stored(numbered(p.select(F.col("cell_id").alias("id")), ["id"]).select("id", (2 * F.col("at") + F.col("id").startswith("sim_").cast("int")).alias("cell_id")))
+    placed = p.withColumnRenamed("cell_id", "id").join(ids, "id").select("cell_id", "few")
+    near = embed.knn(stored(sparse_pca.exact(stored(placed), n, n_pcs)[0]), k)
+    share = near.groupBy(F.col("src").alias("cell_id")).agg(F.avg((F.col("dst") % 2).cast("double")).alias("share"))
+    return ids.join(share, "cell_id").select("id", (F.col("cell_id") % 2 == 1).alias("simulated"), "share")
 
 
 def real(cells: DataFrame, found: DataFrame, score: Column) -> DataFrame:
